@@ -70,7 +70,7 @@ def compare(spark, con, name, fn, sql, sf_dir, tol=0.0):
 
 def main(argv):
     sys.path.insert(0, ".")
-    from tripwise.catalog import oracle_sql, queries
+    from tripwise.checks import oracle_sql, queries
     from tripwise.session import get_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(queries())

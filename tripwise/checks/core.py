@@ -8,8 +8,6 @@ rounded in the final projection, identically on both sides.
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,30 +18,7 @@ from tripwise.plans.features import BIKE_FEATURES, TAXI_FEATURES, build_features
 from tripwise.sources import standins as sv
 from tripwise.sources.standin_sql import centres_values, with_views
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sv.table(spark, sf_dir, "events")
-
-
-def weather_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sv.weather(events(spark, sf_dir))
-
-
-def r(c, n: int):
-    return F.round(F.col(c) if isinstance(c, str) else c, n)
+from tripwise.checks.registry import events, r, register, weather_df
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -279,11 +254,3 @@ def q_elbow_select(spark, sf_dir):
     costs = clustering.cost_table(t, {k: allc[:k] for k in ELBOW_KS})
     e = clustering.elbow_table(costs)
     return e.select("k", r("mean_cost", 6).alias("mean_cost"), r("asd", 6).alias("asd"), "is_best")
-
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)

@@ -75,3 +75,49 @@ def with_views(names: list[str], body: str, extra: dict[str, str] | None = None)
     for n, q in (extra or {}).items():
         parts.append(f"{n} as ({q})")
     return "with " + ",\n".join(parts) + "\n" + body
+
+VIEWS["raw_yellow"] = """select event_id, strftime(pickup_ts, '%Y-%m-%d %H:%M:%S') as tpep_pickup_datetime,
+ strftime(dropoff_ts, '%Y-%m-%d %H:%M:%S') as tpep_dropoff_datetime, pickup_latitude, pickup_longitude,
+ dropoff_latitude, dropoff_longitude, passenger_count, trip_distance from raw_taxi"""
+
+
+def clean_taxi_sql(lon_box: tuple[float, float], lat_box: tuple[float, float], final: bool = True) -> str:
+    """Cleaned taxi rows (P1-P3, F6-F9) over ``raw_taxi``."""
+    p = """select event_id, strftime(pickup_ts, '%Y-%m-%d') as pck_date, strftime(pickup_ts, '%H:%M:%S') as pck_hms,
+ date_diff('second', date_trunc('second', pickup_ts), date_trunc('second', dropoff_ts)) as Duration,
+ pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude, passenger_count, trip_distance from raw_taxi"""
+    if not final:
+        return p
+    box = (f"pickup_longitude < {lon_box[1]} and pickup_longitude > {lon_box[0]} and "
+           f"dropoff_longitude < {lon_box[1]} and dropoff_longitude > {lon_box[0]} and "
+           f"pickup_latitude < {lat_box[1]} and pickup_latitude > {lat_box[0]} and "
+           f"dropoff_latitude < {lat_box[1]} and dropoff_latitude > {lat_box[0]}")
+    return (f"select * from ({p}) p where Duration > 120 and Duration < 3600 and pickup_latitude is not null "
+            f"and pickup_longitude is not null and dropoff_latitude is not null and dropoff_longitude is not null "
+            f"and {box}")
+
+
+def bike_fields_sql(header_prefixes: tuple[str, ...], keep_iso: bool) -> str:
+    """Header drop, split, shape check, unquote, pick, date/time normalisation."""
+    hdr = " and ".join(f"not starts_with(line, '{p}')" for p in header_prefixes)
+    date = "split_part(f[2], ' ', 1)"
+    parsed = f"strftime(try_strptime({date}, '%m/%d/%Y'), '%Y-%m-%d')"
+    dt = f"case when contains({date}, '-') then {date} else {parsed} end" if keep_iso else parsed
+    tm = "split_part(f[2], ' ', 2)"
+    full = f"case when len(string_split({tm}, ':')) = 2 then {tm} || ':00' else {tm} end"
+    time = f"strftime(try_strptime({full}, '%H:%M:%S'), '%H:%M:%S')"
+    return f"""select event_id, {dt} as dt, {time} as time, f[1] as dur, f[4] as id1, f[6] as lat1, f[7] as lon1,
+ f[8] as id2, f[10] as lat2, f[11] as lon2, f[14] as yr, f[15] as gdr from (
+ select event_id, list_transform(f, lambda x: regexp_replace(regexp_replace(x, '^"', ''), '"$', '')) as f from (
+  select event_id, string_split(rtrim(line, ','), ',') as f from raw_bike where {hdr}) a
+ where len(f) = 15 and contains(f[2], ' ') and not list_contains(f, '')) b"""
+
+
+SHAPE_SQL = ("dt is not null and time is not null and regexp_full_match(dur, '\\d+') and regexp_full_match(id1, '\\d+') "
+             "and regexp_full_match(lat1, '\\d{2}.\\d+') and regexp_full_match(lon1, '-\\d{2}.\\d+') "
+             "and regexp_full_match(id2, '\\d+') and regexp_full_match(lat2, '\\d{2}.\\d+') "
+             "and regexp_full_match(lon2, '-\\d{2}.\\d+') and regexp_full_match(yr, '\\d+') "
+             "and regexp_full_match(gdr, '\\d+')")
+BOUNDS_SQL = ("try_cast(dur as int) between 120 and 3600 and try_cast(yr as int) between 1900 and 2010 "
+              "and try_cast(lat1 as double) between 40.4774 and 40.9176 and try_cast(lon1 as double) between -74.2589 and -73.7004 "
+              "and try_cast(lat2 as double) between 40.4774 and 40.9176 and try_cast(lon2 as double) between -74.2589 and -73.7004")

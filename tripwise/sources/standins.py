@@ -184,3 +184,43 @@ def trip_locations(events: DataFrame, n_locations: int = 30) -> DataFrame:
 def fixed_centres(n: int = 12) -> list[tuple[float, float]]:
     """Deterministic end-point centres (lat, lon): k-th = (40.55 + 0.04 k, -74.15 + 0.05 k)."""
     return [(round(40.55 + 0.04 * k, 2), round(-74.15 + 0.05 * k, 2)) for k in range(n)]
+
+
+def raw_yellow(events: DataFrame) -> DataFrame:
+    """Yellow-taxi style records: text timestamps ``yyyy-MM-dd HH:mm:ss``."""
+    t = raw_taxi(events)
+    return t.select("event_id",
+                    F.date_format("pickup_ts", "yyyy-MM-dd HH:mm:ss").alias("tpep_pickup_datetime"),
+                    F.date_format("dropoff_ts", "yyyy-MM-dd HH:mm:ss").alias("tpep_dropoff_datetime"),
+                    "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+                    "passenger_count", "trip_distance")
+
+
+def raw_green(events: DataFrame) -> DataFrame:
+    """Green-taxi style records: 12-hour text timestamps and capitalised names."""
+    t = raw_taxi(events)
+    fmt = "MM/dd/yyyy hh:mm:ss a"
+    return t.select("event_id",
+                    F.date_format("pickup_ts", fmt).alias("lpep_pickup_datetime"),
+                    F.date_format("dropoff_ts", fmt).alias("Lpep_dropoff_datetime"),
+                    F.col("pickup_latitude").alias("Pickup_latitude"),
+                    F.col("pickup_longitude").alias("Pickup_longitude"),
+                    F.col("dropoff_latitude").alias("Dropoff_latitude"),
+                    F.col("dropoff_longitude").alias("Dropoff_longitude"),
+                    F.col("passenger_count").alias("Passenger_count"),
+                    F.col("trip_distance").alias("Trip_distance"))
+
+
+def yellow_csv_lines(events: DataFrame) -> DataFrame:
+    """Yellow CSV text with some malformed lines (passenger count 'NA')."""
+    y = raw_yellow(events)
+    pc = F.when(F.col("event_id") % 31 == 0, F.lit("NA")).otherwise(F.col("passenger_count").cast("string"))
+    cols = [F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")] + \
+        [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
+         ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")] + \
+        [pc, F.col("trip_distance").cast("string"), F.col("event_id").cast("string")]
+    return y.select(F.concat_ws(",", *cols).alias("value"))
+
+
+YELLOW_CSV_HEADER = ("tpep_pickup_datetime,tpep_dropoff_datetime,pickup_latitude,pickup_longitude,"
+                     "dropoff_latitude,dropoff_longitude,passenger_count,trip_distance,event_id")
