@@ -1 +1,242 @@
+"""Checks of splits, linear scoring, MSE, grid choice, gradient descent (exact,
+with oracles) and of the fits, grids and model round trips (rows only)."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tripwise.checks.core import N_CENTRES, feature_sql
+from tripwise.checks.registry import events, r, register, weather_df
+from tripwise.operators import clustering, linear, models, scoring, splits
+from tripwise.plans.features import BIKE_FEATURES, LABEL, build_features
+from tripwise.session import scratch_path
+from tripwise.sources import standins as sv
+from tripwise.sources.standin_sql import with_views
+
+# The published weights of the bike linear model (19 features, no intercept).
+BIKE_WEIGHTS = [2.3793087275367977E-5, 8.252425280153076E-5, 0.00371373182405045, 0.0017712775824036049,
+                -0.0032188557586419943, 0.008862060982318714, 0.0017710736827704567, -0.0032178271073041017,
+                -5.461110376730669E-5, 1.0864753431480841E-4, 0.3035367808606727, -9.204049893379684E-5,
+                -1.4284562848393268E-4, 0.08202064184937534, 2.4399763750571106E-4, 0.007276114508199349,
+                1.3075895301246786E-5, -3.1588619109791697E-6, -3.055814373116672E-4]
+SEED = 7
+
+
+def bike_features(spark, sf_dir, labelled=True):
+    ev = events(spark, sf_dir)
+    return build_features(sv.bike_trips(ev, labelled), weather_df(spark, sf_dir), sv.fixed_centres(N_CENTRES),
+                          "bike", labelled)
+
+
+def _inner(labelled: bool) -> str:
+    """The bike feature rows (unrounded) as a SQL subquery body."""
+    sql = feature_sql(BIKE_FEATURES, labelled)
+    head, _, tail = sql.rpartition("\nselect ")
+    return head + "\nselect * from (" + tail.split(" from (", 1)[1].rsplit(") q", 1)[0] + ") q"
+
+
+BIKE_SQL = _inner(True)
+BIKE_PRED_SQL = _inner(False)
+
+
+def _wrap(base: str, select: str) -> str:
+    """Run ``select`` over the result of ``base`` (a WITH ... SELECT statement) named f."""
+    head, sep, body = base.rpartition("\nselect * from (")
+    return f"{head},\nf as (select * from ({body}) \n{select}"
+
+
+def linear_sql() -> str:
+    return " + ".join(f"{w!r}*{f}" for w, f in zip(BIKE_WEIGHTS, BIKE_FEATURES))
+
+
+@register("split_hash", with_views(["trips"], f"select trip_id, {splits.hash_fraction_sql('trip_id', SEED)} < 0.7 "
+                                              "as in_train from trips"))
+def q_split_hash(spark, sf_dir):
+    t = sv.trips(events(spark, sf_dir))
+    return t.select("trip_id", (splits.hash_fraction(F.col("trip_id"), SEED) < F.lit(0.7)).alias("in_train"))
+
+
+@register("score_test_linear", _wrap(BIKE_SQL, f"select trip_id, dur, round({linear_sql()}, 6) as prediction, "
+                                               f"round(dur - ({linear_sql()}), 6) as residual from f"))
+def q_score_test_linear(spark, sf_dir):
+    m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
+    s = scoring.score_labelled(m, bike_features(spark, sf_dir), BIKE_FEATURES)
+    return s.select("trip_id", "dur", r("prediction", 6).alias("prediction"), r("residual", 6).alias("residual"))
+
+
+@register("score_pred_linear", _wrap(BIKE_PRED_SQL, f"select trip_id, round({linear_sql()}, 6) as prediction from f"))
+def q_score_pred_linear(spark, sf_dir):
+    m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
+    s = scoring.score_unlabelled(m, bike_features(spark, sf_dir, False), BIKE_FEATURES)
+    return s.select("trip_id", r("prediction", 6).alias("prediction"))
+
+
+@register("mse", _wrap(BIKE_SQL, f"select round(avg(pow(dur - ({linear_sql()}), 2)), 4) as mse from f"))
+def q_mse(spark, sf_dir):
+    m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
+    s = scoring.score_labelled(m, bike_features(spark, sf_dir), BIKE_FEATURES)
+    return scoring.mse(s).select(r("mse", 4).alias("mse"))
+
+
+# Constant-speed candidate models for the grid choice: prediction = dist / speed.
+GRID_SPEEDS = (2.0, 4.0, 6.0, 8.0, 10.0, 12.0)
+
+
+@register("grid_argmin", _wrap(BIKE_SQL, f"""select cell, speed, round(test_mse, 4) as test_mse from (
+ select g.cell, g.speed, avg(pow(dur - dist / g.speed, 2)) as test_mse
+ from f, (select * from (values {', '.join(f'({i}, {v!r})' for i, v in enumerate(GRID_SPEEDS))}) as v(cell, speed)) g
+ where {splits.hash_fraction_sql('trip_id', SEED)} >= 0.7 group by g.cell, g.speed) q
+ where test_mse is not null and not isnan(test_mse) order by test_mse, cell limit 1"""))
+def q_grid_argmin(spark, sf_dir):
+    """Held-out MSE of every cell in ONE pass (one average per cell), then the best cell."""
+    _, test = splits.split_hash(bike_features(spark, sf_dir), "trip_id", 0.7, SEED)
+    agg = test.agg(*[F.avg(F.pow(F.col("dur") - F.col("dist") / F.lit(v), 2)).alias(f"m{i}")
+                     for i, v in enumerate(GRID_SPEEDS)])
+    stack = "stack({}, {}) as (cell, speed, test_mse)".format(
+        len(GRID_SPEEDS), ", ".join(f"{i}, {v!r}D, m{i}" for i, v in enumerate(GRID_SPEEDS)))
+    res = agg.selectExpr(stack).select(F.col("cell").cast("int"), "speed", "test_mse")
+    best = models.grid_argmin(res, "test_mse", "cell")
+    return best.select("cell", "speed", r("test_mse", 4).alias("test_mse"))
+
+
+GD_FEATURES = ["dist", "tm", "yr"]
+GD_STEP = 1e-8
+GD_ITERS = 3
+
+
+def _gd_sql() -> str:
+    x = GD_FEATURES
+    prev = None
+    ctes = []
+    for t in range(1, GD_ITERS + 1):
+        src = "f" if prev is None else f"f, {prev}"
+        w = [f"{prev}.w{j}" if prev else "0.0e0" for j in range(len(x))]
+        dot = " + ".join(f"{w[j]}*{x[j]}" for j in range(len(x)))
+        grads = [f"{w[j]} - {GD_STEP!r}/sqrt({t}.0e0) * avg(({dot} - dur)*{x[j]}) as w{j}" for j in range(len(x))]
+        group = f" group by {', '.join(w)}" if prev else ""
+        ctes.append(f"it{t} as (select {', '.join(grads)} from {src}{group})")
+        prev = f"it{t}"
+    # Convergence after iteration 2 (|w2 - w1| < tol * max(|w2|, 1)) stops before iteration 3.
+    n = len(x)
+    diff = " + ".join(f"pow(it2.w{j} - it1.w{j}, 2)" for j in range(n))
+    norm = " + ".join(f"pow(it2.w{j}, 2)" for j in range(n))
+    conv = f"sqrt({diff}) < {linear.CONVERGENCE_TOL!r} * greatest(sqrt({norm}), 1.0e0)"
+    cols = ", ".join(f"round(case when {conv} then it2.w{j} else it3.w{j} end, 12) as w_{x[j]}" for j in range(n))
+    return ",\n".join(ctes) + f"\nselect case when {conv} then 2 else 3 end as iterations, {cols} from it1, it2, it3"
+
+
+@register("gd_linear", _wrap(BIKE_SQL, "").rstrip().rstrip("\n") + ",\n" + _gd_sql())
+def q_gd_linear(spark, sf_dir):
+    """Full-batch gradient descent from the sufficient statistics (one aggregate)."""
+    data = bike_features(spark, sf_dir)
+    m = linear.moments(data, GD_FEATURES, LABEL)
+    w, done = linear.descend(m, GD_STEP, [GD_ITERS])[GD_ITERS]
+    row = [int(done)] + [float(v) for v in w]
+    df = spark.createDataFrame([row], "iterations int, " + ", ".join(f"w_{c} double" for c in GD_FEATURES))
+    return df.select("iterations", *[r(f"w_{c}", 12).alias(f"w_{c}") for c in GD_FEATURES])
+
+
+# ------------------------------------------------------------ rows-only fits
+@register("split_random")
+def q_split_random(spark, sf_dir):
+    train, _ = splits.split_random(sv.trips(events(spark, sf_dir)), SEED)
+    return train
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return splits.sample_rows(sv.trips(events(spark, sf_dir)), 0.1, SEED)
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark, sf_dir):
+    """k-means on trip end points (k = 8), then start/end clusters of every trip."""
+    t = sv.trips(events(spark, sf_dir))
+    km = clustering.fit_kmeans(t, 8, SEED, max_iter=clustering.MAX_ITER)
+    return clustering.assign_clusters(t, clustering.centres_of(km)).select("trip_id", "km1", "km2")
+
+
+@register("kmeans_select")
+def q_kmeans_select(spark, sf_dir):
+    """Elbow choice of k over k = 6..12 (2 restarts, 20 iterations per fit in this check)."""
+    t = sv.trips(events(spark, sf_dir))
+    _, elbow, _ = clustering.select_k(spark, t, clustering.K_GRID, restarts=2, max_iter=20, seed=SEED)
+    return elbow
+
+
+def _split(spark, sf_dir):
+    return splits.split_hash(bike_features(spark, sf_dir), "trip_id", 0.7, SEED)
+
+
+@register("fit_dt")
+def q_fit_dt(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    m = models.fit_tree(train, BIKE_FEATURES, LABEL, max_depth=4, max_bins=32, seed=SEED)
+    return scoring.score_labelled(m, test, BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
+
+
+@register("fit_rf")
+def q_fit_rf(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    m = models.fit_forest(train, BIKE_FEATURES, LABEL, num_trees=16, max_depth=6, max_bins=32, seed=SEED)
+    return scoring.score_labelled(m, test, BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
+
+
+@register("fit_lr")
+def q_fit_lr(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    m = linear.fit_linear_sgd(train, BIKE_FEATURES, LABEL, iterations=100, step=1e-9)
+    return scoring.score_labelled(m, test, BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
+
+
+@register("grid_dt")
+def q_grid_dt(spark, sf_dir):
+    """Tree grid (depth 2, 4, 8 x bins 16, 32 in this check; the full grid is the default)."""
+    train, test = _split(spark, sf_dir)
+    cells = [dict(max_depth=d, max_bins=b) for d in (2, 4, 8) for b in (16, 32)]
+    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, cells, SEED)
+    return results
+
+
+@register("grid_rf")
+def q_grid_rf(spark, sf_dir):
+    """Forest grid (trees 1, 4 x depth 4, 6 x bins 32 in this check)."""
+    train, test = _split(spark, sf_dir)
+    cells = [dict(num_trees=t, max_depth=d, max_bins=32) for t in (1, 4) for d in (4, 6)]
+    _, results, _ = models.grid_search(spark, "rf", train, test, BIKE_FEATURES, LABEL, cells, SEED)
+    return results
+
+
+@register("grid_lr")
+def q_grid_lr(spark, sf_dir):
+    """The full 30-cell linear grid: two aggregates (train, test) in all."""
+    train, test = _split(spark, sf_dir)
+    _, results, _ = models.grid_search(spark, "lr", train, test, BIKE_FEATURES, LABEL)
+    return results
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Save a tree, load it back, and check both score every row identically."""
+    train, test = _split(spark, sf_dir)
+    m = models.fit_tree(train, BIKE_FEATURES, LABEL, max_depth=5, max_bins=32, seed=SEED)
+    path = models.save_model(spark, m, scratch_path(spark, "dt-model"))
+    back = models.load_model(spark, path, "dt")
+    a = scoring.score_unlabelled(m, test, BIKE_FEATURES).select("trip_id", F.col("prediction").alias("a"))
+    b = scoring.score_unlabelled(back, test, BIKE_FEATURES).select("trip_id", F.col("prediction").alias("b"))
+    j = a.join(b, "trip_id")
+    if j.where(F.col("a") != F.col("b")).limit(1).count():
+        raise AssertionError("reloaded tree scores differently")
+    return j
+
+
+@register("kmeans_roundtrip")
+def q_kmeans_roundtrip(spark, sf_dir):
+    t = sv.trips(events(spark, sf_dir))
+    km = clustering.fit_kmeans(t, 8, SEED, max_iter=50)
+    path = scratch_path(spark, "km-model")
+    km.write().overwrite().save(path)
+    back = models.load_model(spark, path, "km")
+    if clustering.centres_of(back) != clustering.centres_of(km):
+        raise AssertionError("reloaded k-means centres differ")
+    return clustering.assign_clusters(t, clustering.centres_of(back)).select("trip_id", "km1", "km2")
