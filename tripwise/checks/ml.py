@@ -240,3 +240,21 @@ def q_kmeans_roundtrip(spark, sf_dir):
     if clustering.centres_of(back) != clustering.centres_of(km):
         raise AssertionError("reloaded k-means centres differ")
     return clustering.assign_clusters(t, clustering.centres_of(back)).select("trip_id", "km1", "km2")
+
+
+@register("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    """Unlabelled bike trip files scored by a streaming query with the linear model."""
+    from tripwise.streaming import start_prediction_stream
+    from tripwise.sources import writers
+    cols = ["dt", "time", "id1", "lat1", "lon1", "id2", "lat2", "lon2", "yr", "gdr"]
+    src = writers.write_csv(sv.bike_trips(events(spark, sf_dir), False).select(*cols), scratch_path(spark, "stream-in"))
+    sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    w = weather_df(spark, sf_dir).persist()
+    try:
+        q = start_prediction_stream(spark, src, w, linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS),
+                                    sv.fixed_centres(N_CENTRES), "bike", sink, ckpt)
+        q.awaitTermination()
+    finally:
+        w.unpersist()
+    return spark.read.parquet(sink)

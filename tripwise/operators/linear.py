@@ -36,9 +36,10 @@ class Moments:
     n: int
 
     def mse(self, w: np.ndarray) -> float:
-        if self.n == 0:
+        if self.n == 0 or not np.all(np.isfinite(w)):
             return float("nan")
-        return float((w @ self.gram @ w - 2.0 * w @ self.xty + self.yty) / self.n)
+        with np.errstate(over="ignore", invalid="ignore"):
+            return float((w @ self.gram @ w - 2.0 * w @ self.xty + self.yty) / self.n)
 
 
 def moments(df: DataFrame, features: list[str], label: str) -> Moments:
@@ -67,12 +68,15 @@ def descend(m: Moments, step: float, iterations, tol: float = CONVERGENCE_TOL) -
     done = 0
     converged = False
     for t in range(1, wanted[-1] + 1):
-        if not converged and m.n > 0:
-            grad = (m.gram @ w - m.xty) / m.n
-            w = w - (step / math.sqrt(t)) * grad
+        if not converged and m.n > 0 and np.all(np.isfinite(w)):
+            with np.errstate(over="ignore", invalid="ignore"):
+                # A step too large diverges to inf / NaN: that cell's MSE is NaN and never wins.
+                grad = (m.gram @ w - m.xty) / m.n
+                w = w - (step / math.sqrt(t)) * grad
             done = t
             if prev is not None:
-                converged = bool(np.linalg.norm(w - prev) < tol * max(np.linalg.norm(w), 1.0))
+                with np.errstate(over="ignore", invalid="ignore"):
+                    converged = bool(np.linalg.norm(w - prev) < tol * max(np.linalg.norm(w), 1.0))
             prev = w.copy()
         if t in wanted:
             out[t] = (w.copy(), done)

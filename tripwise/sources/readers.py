@@ -25,21 +25,26 @@ def read_weather(spark: SparkSession, path) -> DataFrame:
              .where(F.col("dt").isNotNull())
 
 
+def parse_trips(df: DataFrame, dataset: str) -> DataFrame:
+    """Header drop (taxi: data lines start with '2'), date parse, required fields present."""
+    if dataset.lower() == "taxi":
+        df = df.where(F.col("dt").startswith("2"))
+    df = df.withColumn("dt", F.try_to_date("dt", "yyyy-MM-dd"))
+    required = [c for c in df.columns if c != "trip_distance"]
+    return df.dropna(subset=required)
+
+
 def read_trips(spark: SparkSession, path, dataset: str, labelled: bool = True,
                with_id: bool = True) -> DataFrame:
     """Trip files written by the cleaning jobs (taxi files may carry trip_distance
     as a 9th column; it is kept by name and is not a feature).
 
     Taxi files drop lines not starting with '2'; bike files have no header.
-    Rows that do not fit the schema are dropped.  ``trip_id`` is a stable
-    per-scan id for files that carry none.
+    Rows that do not fit the schema are dropped.  ``trip_id`` is a per-scan id
+    for files that carry none (stable for the same files and split size).
     """
     df = spark.read.schema(schemas.trips_schema(dataset, labelled)).option("mode", "DROPMALFORMED").csv(_paths(path))
-    if dataset.lower() == "taxi":
-        df = df.where(F.col("dt").startswith("2"))
-    df = df.withColumn("dt", F.try_to_date("dt", "yyyy-MM-dd"))
-    required = [c for c in df.columns if c != "trip_distance"]
-    df = df.dropna(subset=required)
+    df = parse_trips(df, dataset)
     if with_id:
         df = df.withColumn("trip_id", F.monotonically_increasing_id())
     return df
