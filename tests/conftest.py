@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.codegen.hugeMethodLimit", "8000")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

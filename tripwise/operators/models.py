@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+
+import numpy as np
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.operators.linear import LR_ITERATIONS, LR_STEPS, LinearModel, descend, moments
+from tripwise.operators.linear import LR_ITERATIONS, LR_STEPS, LinearModel, Moments, descend, moments_by
 
 # Fixed values of the source's grids.
 DT_DEPTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16)
@@ -116,7 +118,10 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
 
 
 def _grid_linear(spark, train, test, features, label, cells):
-    m_train, m_test = moments(train, features, label), moments(test, features, label)
+    both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+    by = moments_by(both, "is_train", list(features), label)
+    empty = Moments(np.zeros((len(features), len(features))), np.zeros(len(features)), 0.0, 0)
+    m_train, m_test = by.get(True, empty), by.get(False, empty)
     models, rows = {}, []
     by_step: dict[float, list[int]] = {}
     for c in cells:
