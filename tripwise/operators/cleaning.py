@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.functions.text import normalise_date, normalise_time, unquote_fields
+from tripwise.functions.text import normalise_date, normalise_time
 
 BIKE_ARITY = 15
 # Positions in a raw bike line: duration, start time, start id, start lat, start lon,
@@ -71,22 +71,40 @@ def drop_headers(df: DataFrame, line: str, prefixes: tuple[str, ...]) -> DataFra
 
 
 def reject_malformed(df: DataFrame, fields: str = "f", arity: int = BIKE_ARITY) -> DataFrame:
-    """Arity, a space in the start time and no empty field (checked before unquoting)."""
-    a = F.col(fields)
-    return df.where((F.size(a) == arity) & F.get(a, 1).contains(" ") & ~F.array_contains(a, ""))
+    """Keep rows whose split fields are well formed (see ``well_formed``)."""
+    return df.where(well_formed(F.col(fields), arity))
+
+
+def unquote(field: Column) -> Column:
+    """One leading, then one trailing double quote removed (one regex pass:
+    for a lone '"' both forms give the empty string)."""
+    return F.regexp_replace(field, r'^"|"$', "")
+
+
+def well_formed(f: Column, arity: int = BIKE_ARITY) -> Column:
+    """Arity, a space in the start time, no empty field (checked before unquoting)."""
+    return (F.size(f) == arity) & F.get(f, 1).contains(" ") & ~F.array_contains(f, "")
 
 
 def bike_fields(df: DataFrame, profile: BikeProfile, line: str = "line") -> DataFrame:
-    """Header drop, split, shape check, unquote, pick and normalise: string columns."""
-    d = drop_headers(df, line, profile.header_prefixes).withColumn("f", split_line(F.col(line)))
-    d = reject_malformed(d).withColumn("f", unquote_fields(F.col("f")))
-    start = F.split(F.get(F.col("f"), 1), " ")
-    picked = [F.get(F.col("f"), i).alias(n) for n, i in BIKE_PICK.items()]
-    keep = [c for c in d.columns if c not in (line, "f")]
-    return d.select(*keep,
-                    normalise_date(F.get(start, 0), profile.keep_iso_dates).alias("dt"),
-                    normalise_time(F.get(start, 1)).alias("time"),
-                    *picked)
+    """Header drop, split, shape check, unquote, pick and normalise: string columns.
+
+    Each line is split once and each record parsed once: the parsed record
+    comes out of a generator (a 0- or 1-element array), and filters above a
+    generator are not pushed back into it, so later predicates read the
+    parsed fields instead of re-parsing the line.  Only the picked fields are
+    unquoted (per field, which equals unquoting the whole array first).
+    """
+    keep = [c for c in df.columns if c != line]
+    d = drop_headers(df, line, profile.header_prefixes).select(*keep, split_line(F.col(line)).alias("f"))
+    f = F.col("f")
+    d = d.select(*keep, "f", F.split(unquote(F.get(f, 1)), " ").alias("start"))
+    start = F.col("start")
+    rec = F.struct(normalise_date(F.get(start, 0), profile.keep_iso_dates).alias("dt"),
+                   normalise_time(F.get(start, 1)).alias("time"),
+                   *[unquote(F.get(f, i)).alias(n) for n, i in BIKE_PICK.items()])
+    one = F.when(well_formed(f), F.array(rec))      # NULL for a malformed line: explode emits nothing
+    return d.select(*keep, F.explode(one).alias("r")).select(*keep, "r.*")
 
 
 def _between(c: Column, lo, hi) -> Column:

@@ -16,9 +16,18 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The checked side is kept cached (it is small by then), so the size check,
+    later statistics jobs and the join itself compute it once.  A side past
+    the bound is released and joined by a shuffle join.
+    """
+    cached = df.persist()
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def join_weather(trips: DataFrame, weather: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
