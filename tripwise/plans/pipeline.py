@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tripwise.operators import clustering, models, scoring, splits
 from tripwise.plans.features import LABEL, build_features, feature_names
+from tripwise.session import materialise
 from tripwise.sources import readers, writers
 
 DATASETS = ("taxi", "bike")
@@ -75,7 +76,7 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
                                                opts.seed, opts.parallelism)
             km.write().overwrite().save(kmeans_dir)
-            data = build_features(t, w, clustering.centres_of(km), dataset, labelled=True).persist()
+            data = materialise(build_features(t, w, clustering.centres_of(km), dataset, labelled=True))
             try:
                 train, test = split_frame(data, opts)
                 best, results, cell = models.grid_search(spark, algo, train, test, feats, LABEL, opts.cells,

@@ -58,3 +58,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/tripwise/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df):
+    """Compute ``df`` once, write it to the shared checkpoint folder and return
+    the checkpointed frame, cached.  Later jobs (a long grid search) read the
+    checkpoint, so a lost executor costs a re-read, not a re-run of the plan."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    src = df.persist()
+    try:
+        out = src.checkpoint(eager=True).persist()
+        out.count()
+    finally:
+        src.unpersist()
+    return out

@@ -20,9 +20,14 @@ def write_lines(df: DataFrame, path: str, cols: list[str] | None = None, sep: st
     return path
 
 
-def write_scored(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Scored rows (features, prediction, residual) as Parquet, or headerless CSV."""
+def write_scored(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                 partition_by: list[str] | None = None) -> str:
+    """Scored rows (features, prediction, residual) as Parquet, or headerless CSV.
+    ``partition_by`` (e.g. a date column) lets later reads prune partitions."""
     if fmt == "csv":
         return write_csv(df, path, header=False, mode=mode)
-    df.write.mode(mode).format(fmt).save(path)
+    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
     return path
