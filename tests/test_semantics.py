@@ -105,3 +105,26 @@ def test_peak_window_edges(spark):
     assert all(r["p"] == r["want"] for r in got)
     wk = df.select(weekday_flag(F.col("d")).alias("w")).collect()
     assert [r["w"] for r in wk] == [1.0] * 5 + [0.0]
+
+
+def test_grid_keeps_the_argmin_model(spark):
+    from tripwise.checks import ml
+    from tripwise.operators import models
+    from tripwise.plans.features import BIKE_FEATURES
+    train, test = ml._split(spark, SF_SMALL)
+    cells = [dict(max_depth=d, max_bins=16) for d in (1, 3, 6)]
+    best, res, cell = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 1, parallelism=3)
+    rows = sorted(res.collect(), key=lambda r: (r["test_mse"], r["cell"]))
+    assert cell == cells[rows[0]["cell"]]
+    assert best.getMaxDepth() == cell["max_depth"]
+
+
+def test_grid_lr_snapshots_equal_separate_fits(spark):
+    from tripwise.checks import ml
+    from tripwise.plans.features import BIKE_FEATURES
+    train, _ = ml._split(spark, SF_SMALL)
+    m = linear.moments(train, BIKE_FEATURES, "dur")
+    path = linear.descend(m, 1e-9, [25, 50, 100])
+    for n in (25, 50, 100):
+        alone, _ = linear.descend(m, 1e-9, [n])[n]
+        assert np.array_equal(alone, path[n][0])

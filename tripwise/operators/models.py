@@ -8,6 +8,8 @@ together.  Cells are independent Spark jobs submitted from a thread pool.
 
 from __future__ import annotations
 
+import math
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
@@ -98,6 +100,8 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
             .unionByName(assemble(test.withColumn("is_train", F.lit(False)), features))
             .select(VEC, label, "is_train").persist())
     tr = both.where("is_train")
+    best: dict = {}
+    lock = threading.Lock()
 
     def run(idx_cell):
         i, c = idx_cell
@@ -105,16 +109,21 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
             m = fit_tree(tr, features, label, c["max_depth"], c["max_bins"], seed)
         else:
             m = fit_forest(tr, features, label, c["num_trees"], c["max_depth"], c["max_bins"], seed)
-        return i, m, split_mse(m, both, features, label)
+        trm, tem = split_mse(m, both, features, label)
+        # Only the best model so far stays on the driver (a forest grid has 560 cells).
+        with lock:
+            if not math.isnan(tem) and (not best or (tem, i) < (best["mse"], best["cell"])):
+                best.update(mse=tem, cell=i, model=m)
+        return i, (trm, tem)
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(run, list(enumerate(cells))))
+            scored = list(pool.map(run, list(enumerate(cells))))
     finally:
         both.unpersist()
     rows = [(i, algo, c.get("num_trees"), c.get("max_depth"), c.get("max_bins"), None, None, trm, tem)
-            for (i, _, (trm, tem)), c in zip(fitted, cells)]
-    return _choose(spark, rows, {i: m for i, m, _ in fitted}, cells)
+            for (i, (trm, tem)), c in zip(scored, cells)]
+    return _choose(spark, rows, {best["cell"]: best["model"]} if best else {}, cells)
 
 
 def _grid_linear(spark, train, test, features, label, cells):
