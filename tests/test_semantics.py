@@ -128,3 +128,57 @@ def test_grid_lr_snapshots_equal_separate_fits(spark):
     for n in (25, 50, 100):
         alone, _ = linear.descend(m, 1e-9, [n])[n]
         assert np.array_equal(alone, path[n][0])
+
+
+@pytest.mark.parametrize("n_features", [3, 19])
+def test_moments_both_paths_agree_with_numpy(spark, n_features):
+    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
+    cols = ["lat1", "lon1", "psg", "id1", "id2", "yr", "gdr", "lat2", "lon2"]
+    exprs = [F.col(cols[i % len(cols)]) * F.lit(1.0 + i) for i in range(n_features)]
+    df = t.select(*[e.alias(f"x{i}") for i, e in enumerate(exprs)], "dur")
+    feats = [f"x{i}" for i in range(n_features)]
+    rows = df.collect()
+    x = np.array([[r[f] for f in feats] for r in rows])
+    y = np.array([r["dur"] for r in rows])
+    m = linear.moments(df, feats, "dur")
+    assert m.n == len(y)
+    assert np.allclose(m.gram, x.T @ x, rtol=1e-12)
+    assert np.allclose(m.xty, x.T @ y, rtol=1e-12)
+
+
+def test_calendar_and_distance_against_python(spark):
+    import datetime as dtm
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(300):
+        d = dtm.date(2015, 1, 1) + dtm.timedelta(days=rnd.randrange(0, 3 * 366))
+        h, mi, s = rnd.randrange(24), rnd.randrange(60), rnd.randrange(60)
+        la1, lo1, la2, lo2 = (rnd.uniform(40.4, 41.0), rnd.uniform(-74.3, -73.6),
+                              rnd.uniform(40.4, 41.0), rnd.uniform(-74.3, -73.6))
+        rows.append((d, f"{h:02d}:{mi:02d}:{s:02d}", la1, lo1, la2, lo2))
+    df = spark.createDataFrame(rows, "d date, t string, la1 double, lo1 double, la2 double, lo2 double")
+    from tripwise.functions import (chord_distance, day_fraction_of_time, day_of_year_fraction, peak_flag,
+                                    weekday_flag)
+    frac = day_fraction_of_time(F.col("t"))
+    got = df.select("d", "t", "la1", "lo1", "la2", "lo2",
+                    day_of_year_fraction(F.col("d")).alias("days"), frac.alias("tm"),
+                    weekday_flag(F.col("d")).alias("wk"), peak_flag(F.col("d"), frac).alias("pk"),
+                    chord_distance(F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2")).alias("dist")).collect()
+    for r in got:
+        d = r["d"]
+        last = dtm.date(d.year, 12, 31).timetuple().tm_yday
+        assert r["days"] == d.timetuple().tm_yday / last
+        h, mi, s = (float(p) for p in r["t"].split(":"))
+        tm = (s + mi * 60 + h * 3600) / 86400
+        assert r["tm"] == tm
+        wk = 1.0 if d.weekday() < 5 else 0.0
+        assert r["wk"] == wk
+        peak = wk == 1.0 and (0.25 <= tm <= 36000 / 86400 or 57600 / 86400 <= tm <= 72000 / 86400)
+        assert r["pk"] == (1.0 if peak else 0.0)
+
+        def xyz(la, lo):
+            a, b = math.radians(la), math.radians(lo)
+            return math.cos(a) * math.cos(b), math.cos(a) * math.sin(b), math.sin(a)
+        p, q = xyz(r["la1"], r["lo1"]), xyz(r["la2"], r["lo2"])
+        want = math.sqrt(sum((u - v) ** 2 for u, v in zip(p, q))) * 6371000
+        assert math.isclose(r["dist"], want, rel_tol=1e-9, abs_tol=1e-6)
