@@ -39,6 +39,17 @@ def rows_of(records, cols):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                 "tinyint": "TINYINT", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diffs(sdf, res):
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    return {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir, tol=0.0):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -51,6 +62,9 @@ def compare(spark, con, name, fn, sql, sf_dir, tol=0.0):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     info = dict(name=name, rows=len(srows), oracle_rows=len(drows), spark_s=round(t1 - t0, 2))
+    td = type_diffs(sdf, res)
+    if td:
+        info["types"] = td
     if sorted(scols) != sorted(dcols):
         return dict(info, ok=False, note=f"columns {scols} vs {dcols}")
     a, b = rows_of(srows, scols), rows_of(drows, dcols)

@@ -24,7 +24,7 @@ def split_sql(where: str = "") -> str:
     return f"select event_id, string_split(rtrim(line, ','), ',') as f from raw_bike {where}"
 
 
-@register("parse_line", with_views(BIKE_VIEWS, f"select event_id, len(f) as n_fields, try_cast(f[1] as int) as dur "
+@register("parse_line", with_views(BIKE_VIEWS, f"select event_id, cast(len(f) as integer) as n_fields, try_cast(f[1] as int) as dur "
                                                f"from ({split_sql()}) s"))
 def q_parse_line(spark, sf_dir):
     d = raw(spark, sf_dir).withColumn("f", cl.split_line(F.col("line")))

@@ -84,7 +84,7 @@ GRID_SPEEDS = (2.0, 4.0, 6.0, 8.0, 10.0, 12.0)
 
 @register("grid_argmin", _wrap(BIKE_SQL, f"""select cell, speed, round(test_mse, 4) as test_mse from (
  select g.cell, g.speed, avg(pow(dur - dist / g.speed, 2)) as test_mse
- from f, (select * from (values {', '.join(f'({i}, {v!r})' for i, v in enumerate(GRID_SPEEDS))}) as v(cell, speed)) g
+ from f, (select * from (values {', '.join(f'({i}, {v!r}e0)' for i, v in enumerate(GRID_SPEEDS))}) as v(cell, speed)) g
  where {splits.hash_fraction_sql('trip_id', SEED)} >= 0.7 group by g.cell, g.speed) q
  where test_mse is not null and not isnan(test_mse) order by test_mse, cell limit 1"""))
 def q_grid_argmin(spark, sf_dir):
