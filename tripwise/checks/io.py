@@ -13,7 +13,7 @@ from tripwise.session import scratch_path
 from tripwise.sources import readers, writers
 from tripwise.sources import standins as sv
 from tripwise.sources.standin_sql import VIEWS, clean_taxi_sql, with_views
-from tripwise.checks.cleaning import CLEAN_BIKE_SQL
+from tripwise.checks.cleaning import CLEAN_BIKE15_SQL, CLEAN_BIKE_SQL
 
 TAXI8 = ["dt", "time", "dur", "lat1", "lon1", "lat2", "lon2", "psg"]
 TAXI7 = [c for c in TAXI8 if c != "dur"]
@@ -145,3 +145,32 @@ def q_preview(spark, sf_dir):
     """First five cleaned rows under a total order (a 5-row preview is the feature)."""
     c = cl.clean_bike(sv.raw_bike(events(spark, sf_dir)), cl.BIKE_2016).select("event_id", *cl.BIKE_OUT)
     return c.orderBy("dt", "time", "event_id").limit(5)
+
+
+@register("clean_bike_job", with_views(["raw_bike"], f"select {', '.join(BIKE11)} from ({CLEAN_BIKE15_SQL}) a "
+                                                     f"union all select {', '.join(BIKE11)} from ({CLEAN_BIKE_SQL}) b"))
+def q_clean_bike_job(spark, sf_dir):
+    """Raw bike text in a 2015 and a 2016 directory -> cleaned comma-joined text, read back."""
+    from tripwise.plans.cleaning_jobs import clean_bike_job
+    lines = sv.raw_bike(events(spark, sf_dir)).select(F.col("line").alias("value"))
+    dirs = {}
+    for year in ("2015", "2016"):
+        dirs[year] = scratch_path(spark, f"bike-{year}")
+        lines.write.text(dirs[year])
+    out = clean_bike_job(spark, dirs, scratch_path(spark, "bike-clean"))
+    f = F.split(F.col("line"), ",")
+    return readers.read_lines(spark, out["path"]).select(*[F.get(f, i).alias(n) for i, n in enumerate(cl.BIKE_OUT)])
+
+
+@register("clean_taxi_job", with_views(["raw_taxi"], f"""select {', '.join(cl.TAXI_OUT)} from ({CLEAN_YELLOW_SQL}) c
+ where event_id % 31 <> 0"""))
+def q_clean_taxi_job(spark, sf_dir):
+    """Yellow CSV files with headers (some malformed rows) -> cleaned headerless CSV, read back."""
+    from tripwise.plans.cleaning_jobs import clean_taxi_job
+    y = sv.raw_yellow(events(spark, sf_dir))
+    y = y.withColumn("passenger_count", F.when(F.col("event_id") % 31 == 0, F.lit("NA"))
+                     .otherwise(F.col("passenger_count").cast("string")))
+    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
+    src = writers.write_csv(y.select(*cols), scratch_path(spark, "yellow-job"), header=True)
+    out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yellow-clean"))
+    return spark.read.schema(schemas.CLEAN_TAXI).csv(out["path"])
