@@ -40,3 +40,29 @@ def test_train_test_predict(spark, dataset, algo):
 def test_bad_arguments_rejected(spark):
     with pytest.raises(ValueError):
         pipeline.run(spark, "w", "t", "m", "k", "bus", "dt", "training")
+
+
+def test_trip_ids_do_not_depend_on_file_splitting(spark):
+    ev = sv.table(spark, SF_SMALL, "events")
+    one = writers.write_csv(sv.trips(ev).select(*LAB["bike"]).coalesce(1), scratch_path(spark, "one"))
+    many = writers.write_csv(sv.trips(ev).select(*LAB["bike"]).repartition(7), scratch_path(spark, "many"))
+    a = readers.read_trips(spark, one, "bike").select("trip_id", "dt", "time", "lat1")
+    b = readers.read_trips(spark, many, "bike").select("trip_id", "dt", "time", "lat1")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_cleaned_taxi_files_feed_the_pipeline(spark):
+    """Cleaning job output (9 columns, with trip_distance) is a valid training input."""
+    from pyspark.sql import functions as F
+    from tripwise import schemas
+    from tripwise.plans.cleaning_jobs import clean_taxi_job
+    ev = sv.table(spark, SF_SMALL, "events")
+    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
+    src = writers.write_csv(sv.raw_yellow(ev).select(*cols), scratch_path(spark, "y"), header=True)
+    out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yc"))
+    assert out["in_box"] > 0
+    weather = writers.write_csv(sv.weather(ev), scratch_path(spark, "w"), header=True)
+    opts = pipeline.RunOptions(k_grid=(6, 7, 8), restarts=1, kmeans_iter=10)
+    res = pipeline.run(spark, weather, out["path"], scratch_path(spark, "m"), scratch_path(spark, "k"),
+                       "taxi", "lr", "training", opts)
+    assert res["best_cell"] is not None

@@ -40,16 +40,23 @@ def read_trips(spark: SparkSession, path, dataset: str, labelled: bool = True,
     as a 9th column; it is kept by name and is not a feature).
 
     Taxi files drop lines not starting with '2'; bike files have no header.
-    Rows that do not fit the schema are dropped.  ``trip_id`` is a per-scan id
-    for files that carry none (stable for the same files and split size).
+    Rows that do not fit the schema are dropped.  Files carry no trip id, so
+    ``trip_id`` is a hash of the row's content: the same trip gets the same id
+    in a training run and a later test run, whatever the file splitting, so
+    the id-hash train/test split is the same in both.
     """
     df = spark.read.schema(schemas.trips_schema(dataset, labelled)).option("mode", "DROPMALFORMED").csv(_paths(path))
     df = parse_trips(df, dataset)
     if with_id:
-        df = df.withColumn("trip_id", F.monotonically_increasing_id())
+        df = df.withColumn("trip_id", content_id(df, [c for c in df.columns if c not in ("dur", "trip_distance")]))
     return df
 
 
+def content_id(df: DataFrame, cols: list[str]):
+    """A 64-bit hash of the given columns (identical rows share an id)."""
+    return F.xxhash64(*[F.col(c) for c in cols])
+
+
 def read_lines(spark: SparkSession, *dirs: str, with_source: bool = False) -> DataFrame:
     """Raw text lines of one or more directories (e.g. one per year)."""
     df = spark.read.text(list(dirs)).withColumnRenamed("value", "line")
