@@ -81,11 +81,19 @@ def elbow_table(costs: DataFrame) -> DataFrame:
     return ranked.select("k", "mean_cost", "asd", (F.col("k") == chosen).alias("is_best"))
 
 
+def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2") -> DataFrame:
+    """The (lat, lon) vectors k-means clusters, one row per trip."""
+    from pyspark.ml.feature import VectorAssembler
+    return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(
+        points.select(lat, lon).dropna())
+
+
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
                lat: str = "lat2", lon: str = "lon2"):
+    """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
+    ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    vec = VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(points.select(lat, lon))
+    vec = points if "features" in points.columns else kmeans_points(points, lat, lon)
     return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(vec)
 
 
@@ -102,7 +110,9 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     restart-0 fit of the chosen k (identical to a refit with the same seed).
     Fits run concurrently as independent Spark jobs over the cached points.
     """
-    pts = points.select(lat, lon).persist()
+    # Assembled once and cached: every concurrent fit reads the same cached
+    # vectors instead of caching a private copy of its input.
+    pts = kmeans_points(points, lat, lon).persist()
     cells = [(k, r) for k in ks for r in range(restarts)]
 
     def run(cell):
