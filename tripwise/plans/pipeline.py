@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.operators import clustering, models, scoring, splits
-from tripwise.plans.features import LABEL, build_features, feature_names
+from tripwise.operators.outliers import duration_closed, speed_3sigma
+from tripwise.plans.features import LABEL, build_features, feature_names, joined_features
 from tripwise.session import materialise
 from tripwise.sources import readers, writers
 
@@ -57,12 +58,28 @@ def _frame(spark: SparkSession, src, reader) -> DataFrame:
     return src if isinstance(src, DataFrame) else reader(spark, src)
 
 
+def held_out(opts: RunOptions):
+    """The held-out condition of the hash split (test rows of training)."""
+    return splits.hash_fraction(F.col("trip_id"), opts.seed) >= F.lit(opts.train_fraction)
+
+
 def split_frame(df: DataFrame, opts: RunOptions) -> tuple[DataFrame, DataFrame]:
     if opts.split == "random":
         return splits.split_random(df, opts.seed, (opts.train_fraction, 1 - opts.train_fraction))
     return splits.split_hash(df, "trip_id", opts.train_fraction, opts.seed)
 
 
+def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: str) -> DataFrame:
+    """Bounded, outlier-free feature rows, computed from ONE read of the trips:
+    the bounded join is cached, the speed statistics and the filtered rows
+    both come from that cache, and the result is checkpointed and cached."""
+    joined = duration_closed(joined_features(trips, weather, centres, dataset, labelled=True), LABEL).persist()
+    try:
+        return materialise(speed_3sigma(joined, "dist", LABEL))
+    finally:
+        joined.unpersist()
+
+
 def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, dataset: str, algo: str,
         mode: str, opts: RunOptions | None = None) -> dict:
     dataset, algo, mode = _validate(dataset, algo, mode)
@@ -76,7 +93,7 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
                                                opts.seed, opts.parallelism)
             km.write().overwrite().save(kmeans_dir)
-            data = materialise(build_features(t, w, clustering.centres_of(km), dataset, labelled=True))
+            data = labelled_features(t, w, clustering.centres_of(km), dataset)
             try:
                 train, test = split_frame(data, opts)
                 best, results, cell = models.grid_search(spark, algo, train, test, feats, LABEL, opts.cells,
@@ -90,18 +107,16 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
                 data.unpersist()
         km = models.load_model(spark, kmeans_dir, "km")
         model = models.load_model(spark, model_dir, algo)
-        data = build_features(t, w, clustering.centres_of(km), dataset, labelled=labelled)
         if mode == "test":
-            data = data.persist()
+            data = labelled_features(t, w, clustering.centres_of(km), dataset)
             try:
                 scored = scoring.score_labelled(model, data, feats, LABEL)
                 out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_test", opts.output_format)
-                all_mse = scoring.mse(scored).first()["mse"]
-                _, held = split_frame(scored, opts)
-                held_mse = scoring.mse(held).first()["mse"]
-                return dict(mode=mode, path=out, mse_all=all_mse, mse_held_out=held_mse)
+                row = scoring.mse_split(scored, held_out(opts)).first()
+                return dict(mode=mode, path=out, mse_all=row["mse"], mse_held_out=row["mse_held_out"])
             finally:
                 data.unpersist()
+        data = build_features(t, w, clustering.centres_of(km), dataset, labelled=False)
         scored = scoring.score_unlabelled(model, data, feats)
         out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_prediction", opts.output_format)
         return dict(mode=mode, path=out)
