@@ -154,6 +154,13 @@ def q_coords_not_null(spark, sf_dir):
     return cl.coords_not_null(p).select("event_id")
 
 
+@register("coords_nonzero", with_views(TAXI_VIEWS, f"""select event_id from ({PROJ}) p where pickup_latitude <> 0
+ and pickup_longitude <> 0 and dropoff_latitude <> 0 and dropoff_longitude <> 0"""))
+def q_coords_nonzero(spark, sf_dir):
+    p = cl.project_taxi(yellow(spark, sf_dir), cl.YELLOW, keep=("event_id",))
+    return cl.coords_nonzero(p).select("event_id")
+
+
 def _box_sql(spec) -> str:
     (lo_lon, hi_lon), (lo_lat, hi_lat) = spec.lon_box, spec.lat_box
     return (f"select event_id from ({PROJ}) p where pickup_longitude < {hi_lon} and pickup_longitude > {lo_lon} "

@@ -223,6 +223,15 @@ def coords_not_null(df: DataFrame) -> DataFrame:
     return df.dropna(subset=COORDS)
 
 
+def coords_nonzero(df: DataFrame) -> DataFrame:
+    """No coordinate equal to 0 (an optional step, off in the source's jobs)."""
+    cond = None
+    for c in COORDS:
+        k = F.col(c) != F.lit(0.0)
+        cond = k if cond is None else cond & k
+    return df.where(cond)
+
+
 def _in_box(lon_box, lat_box) -> Column:
     cond = None
     for c in ("pickup_longitude", "dropoff_longitude"):
