@@ -62,12 +62,16 @@ def drop_header_prefix(df: DataFrame, col: str, prefix: str = "2") -> DataFrame:
     return df.where(F.col(col).startswith(prefix))
 
 
-def drop_headers(df: DataFrame, line: str, prefixes: tuple[str, ...]) -> DataFrame:
+def not_header(line: Column, prefixes: tuple[str, ...]) -> Column:
     cond = None
     for p in prefixes:
-        c = ~F.col(line).startswith(p)
+        c = ~line.startswith(p)
         cond = c if cond is None else cond & c
-    return df.where(cond)
+    return cond
+
+
+def drop_headers(df: DataFrame, line: str, prefixes: tuple[str, ...]) -> DataFrame:
+    return df.where(not_header(F.col(line), prefixes))
 
 
 def reject_malformed(df: DataFrame, fields: str = "f", arity: int = BIKE_ARITY) -> DataFrame:
@@ -77,8 +81,9 @@ def reject_malformed(df: DataFrame, fields: str = "f", arity: int = BIKE_ARITY)
 
 def unquote(field: Column) -> Column:
     """One leading, then one trailing double quote removed (one regex pass:
-    for a lone '"' both forms give the empty string)."""
-    return F.regexp_replace(field, r'^"|"$', "")
+    for a lone '"' both forms give the empty string).  Fields without a quote,
+    the common case, skip the regex."""
+    return F.when(field.contains('"'), F.regexp_replace(field, r'^"|"$', "")).otherwise(field)
 
 
 def well_formed(f: Column, arity: int = BIKE_ARITY) -> Column:
@@ -96,14 +101,17 @@ def bike_fields(df: DataFrame, profile: BikeProfile, line: str = "line") -> Data
     unquoted (per field, which equals unquoting the whole array first).
     """
     keep = [c for c in df.columns if c != line]
-    d = drop_headers(df, line, profile.header_prefixes).select(*keep, split_line(F.col(line)).alias("f"))
+    # Header test, split and parse all feed the generator; nothing filters the
+    # raw line first, so a computed line is never re-derived inside a filter.
+    d = df.select(*keep, F.col(line).alias("_line"), split_line(F.col(line)).alias("f"))
     f = F.col("f")
-    d = d.select(*keep, "f", F.split(unquote(F.get(f, 1)), " ").alias("start"))
+    d = d.select(*keep, "_line", "f", F.split(unquote(F.get(f, 1)), " ").alias("start"))
     start = F.col("start")
     rec = F.struct(normalise_date(F.get(start, 0), profile.keep_iso_dates).alias("dt"),
                    normalise_time(F.get(start, 1)).alias("time"),
                    *[unquote(F.get(f, i)).alias(n) for n, i in BIKE_PICK.items()])
-    one = F.when(well_formed(f), F.array(rec))      # NULL for a malformed line: explode emits nothing
+    ok = not_header(F.col("_line"), profile.header_prefixes) & well_formed(f)
+    one = F.when(ok, F.array(rec))      # NULL for a header or malformed line: explode emits nothing
     return d.select(*keep, F.explode(one).alias("r")).select(*keep, "r.*")
 
 
