@@ -102,7 +102,7 @@ def centres_of(model) -> list[Centre]:
 
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
-             max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 4,
+             max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 8,
              lat: str = "lat2", lon: str = "lon2"):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 

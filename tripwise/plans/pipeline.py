@@ -41,7 +41,7 @@ class RunOptions:
     k_grid: tuple[int, ...] = clustering.K_GRID
     restarts: int = clustering.RESTARTS
     kmeans_iter: int = clustering.MAX_ITER
-    parallelism: int = 4
+    parallelism: int = 8
     output_format: str = "parquet"
     extra: dict = field(default_factory=dict)
 
