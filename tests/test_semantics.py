@@ -182,3 +182,13 @@ def test_calendar_and_distance_against_python(spark):
         p, q = xyz(r["la1"], r["lo1"]), xyz(r["la2"], r["lo2"])
         want = math.sqrt(sum((u - v) ** 2 for u, v in zip(p, q))) * 6371000
         assert math.isclose(r["dist"], want, rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_weighted_kmeans_cost_equals_cost_on_all_points(spark):
+    """Distinct points with counts as weights: the fit's cost is the cost over every trip."""
+    t = sv.trips(sv.table(spark, SF_SMALL, "events")).select(
+        F.round("lat2", 2).alias("lat2"), F.round("lon2", 2).alias("lon2"))   # many repeated points
+    m = clustering.fit_kmeans(t, 6, 3, weighted=True)
+    full = clustering.kmeans_cost(t, clustering.centres_of(m)).first()["cost"]
+    assert math.isclose(m.summary.trainingCost, full, rel_tol=1e-9)
+    assert clustering.kmeans_points(t, weighted=True).count() < t.count()

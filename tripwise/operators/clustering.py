@@ -81,20 +81,32 @@ def elbow_table(costs: DataFrame) -> DataFrame:
     return ranked.select("k", "mean_cost", "asd", (F.col("k") == chosen).alias("is_best"))
 
 
-def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2") -> DataFrame:
-    """The (lat, lon) vectors k-means clusters, one row per trip."""
+def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", weighted: bool = False) -> DataFrame:
+    """The (lat, lon) vectors k-means clusters.
+
+    ``weighted``: one row per distinct point with its count as ``weight``.  The
+    k-means objective, centre updates and cost are sums over points, so a
+    distinct point with weight w counts exactly like w copies; for station
+    based trips this turns every iteration over all trips into one over a few
+    hundred stations (one partially aggregated group-by, safe under skew).
+    """
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(
-        points.select(lat, lon).dropna())
+    p = points.select(lat, lon).dropna()
+    if weighted:
+        p = p.groupBy(lat, lon).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(p)
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
-               lat: str = "lat2", lon: str = "lon2"):
+               lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
     """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
     ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
     from pyspark.ml.clustering import KMeans
-    vec = points if "features" in points.columns else kmeans_points(points, lat, lon)
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(vec)
+    vec = points if "features" in points.columns else kmeans_points(points, lat, lon, weighted)
+    km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features")
+    if "weight" in vec.columns:
+        km = km.setWeightCol("weight")
+    return km.fit(vec)
 
 
 def centres_of(model) -> list[Centre]:
@@ -103,7 +115,7 @@ def centres_of(model) -> list[Centre]:
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
              max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 8,
-             lat: str = "lat2", lon: str = "lon2"):
+             lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 
     Returns (model, elbow DataFrame, cost DataFrame).  The chosen model is the
@@ -112,7 +124,7 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     """
     # Assembled once and cached: every concurrent fit reads the same cached
     # vectors instead of caching a private copy of its input.
-    pts = kmeans_points(points, lat, lon).persist()
+    pts = kmeans_points(points, lat, lon, weighted).persist()
     cells = [(k, r) for k in ks for r in range(restarts)]
 
     def run(cell):
