@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from tripwise.checks.registry import events, register
 from tripwise.operators import cleaning as cl
 from tripwise.sources import standins as sv
-from tripwise.sources.standin_sql import (BOUNDS_SQL, SHAPE_SQL, VIEWS, bike_fields_sql, clean_taxi_sql,
-                                          with_views)
+from tripwise.sources.standin_sql import BOUNDS_SQL, SHAPE_SQL, bike_fields_sql, clean_taxi_sql, with_views
 
 BIKE_VIEWS = ["raw_bike"]
 FIELDS16 = bike_fields_sql(cl.BIKE_2016.header_prefixes, True)

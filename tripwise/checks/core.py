@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripwise.functions import (cartesian, chord_distance, day_fraction_of_time, day_of_year_fraction,
                                 peak_flag, weekday_flag)
 from tripwise.operators import clustering, joins, outliers
-from tripwise.plans.features import BIKE_FEATURES, TAXI_FEATURES, build_features, joined_features
+from tripwise.plans.features import BIKE_FEATURES, TAXI_FEATURES, build_features
 from tripwise.sources import standins as sv
 from tripwise.sources.standin_sql import centres_values, with_views
 

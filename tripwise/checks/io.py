@@ -12,7 +12,7 @@ from tripwise.operators import joins
 from tripwise.session import scratch_path
 from tripwise.sources import readers, writers
 from tripwise.sources import standins as sv
-from tripwise.sources.standin_sql import VIEWS, clean_taxi_sql, with_views
+from tripwise.sources.standin_sql import clean_taxi_sql, with_views
 from tripwise.checks.cleaning import CLEAN_BIKE15_SQL, CLEAN_BIKE_SQL
 
 TAXI8 = ["dt", "time", "dur", "lat1", "lon1", "lat2", "lon2", "psg"]

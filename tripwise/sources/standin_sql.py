@@ -6,7 +6,7 @@ tables (events, nation, region).
 
 from __future__ import annotations
 
-from tripwise.sources.standins import BIKE_HEADER, TAXI_HEADER, fixed_centres
+from tripwise.sources.standins import BIKE_HEADER, fixed_centres
 
 VIEWS: dict[str, str] = {}
 
@@ -61,9 +61,6 @@ VIEWS["zones"] = """select n_nationkey+1 as location_id, r_name as borough, n_na
 
 VIEWS["trip_locations"] = "select event_id as trip_id, 1+event_id%30 as location_id from events"
 
-VIEWS["taxi_trips"] = "select * from trips"
-TAXI_HEADER_SQL = TAXI_HEADER
-
 
 def centres_values(n: int) -> str:
     rows = ", ".join(f"({k}, {lat!r}, {lon!r})" for k, (lat, lon) in enumerate(fixed_centres(n)))

@@ -15,7 +15,6 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripwise import schemas
 from tripwise.operators.clustering import Centre
