@@ -278,3 +278,13 @@ def q_train_test_predict(spark, sf_dir):
     pipeline.run(spark, weather, trips, model_dir, km_dir, "bike", "dt", "test", opts)
     out = pipeline.run(spark, weather, unl, model_dir, km_dir, "bike", "dt", "prediction", opts)
     return spark.read.parquet(out["path"])
+
+
+@register("kmeans_select_weighted")
+def q_kmeans_select_weighted(spark, sf_dir):
+    """Elbow choice of k with the end points reduced to distinct coordinates weighted
+    by their counts (the station-based variant; 2 restarts, 20 iterations here)."""
+    t = sv.trips(events(spark, sf_dir))
+    _, elbow, _ = clustering.select_k(spark, t, clustering.K_GRID, restarts=2, max_iter=20, seed=SEED,
+                                      weighted=True)
+    return elbow
