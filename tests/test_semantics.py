@@ -192,3 +192,10 @@ def test_weighted_kmeans_cost_equals_cost_on_all_points(spark):
     full = clustering.kmeans_cost(t, clustering.centres_of(m)).first()["cost"]
     assert math.isclose(m.summary.trainingCost, full, rel_tol=1e-9)
     assert clustering.kmeans_points(t, weighted=True).count() < t.count()
+
+
+def test_repeated_points_detection(spark):
+    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
+    assert not clustering.repeated_points(t)
+    coarse = t.select(F.round("lat2", 1).alias("lat2"), F.round("lon2", 1).alias("lon2"))
+    assert clustering.repeated_points(coarse)

@@ -97,8 +97,16 @@ def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", weigh
     return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(p)
 
 
+def repeated_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", share: float = 0.5) -> bool:
+    """True when distinct points are at most ``share`` of all points (one pass:
+    a count and a HyperLogLog distinct estimate)."""
+    r = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(lat, lon)).alias("d")).first()
+    return bool(r["n"]) and r["d"] <= share * r["n"]
+
+
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
-               lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
+               lat: str = "lat2", lon: str = "lon2", weighted: bool | str = "auto"):
     """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
     ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
     from pyspark.ml.clustering import KMeans
@@ -115,13 +123,17 @@ def centres_of(model) -> list[Centre]:
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
              max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 8,
-             lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
+             lat: str = "lat2", lon: str = "lon2", weighted: bool | str = "auto"):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 
     Returns (model, elbow DataFrame, cost DataFrame).  The chosen model is the
     restart-0 fit of the chosen k (identical to a refit with the same seed).
     Fits run concurrently as independent Spark jobs over the cached points.
+    ``weighted="auto"`` fits distinct points with counts as weights when they
+    are at most half the points (``repeated_points``).
     """
+    if weighted == "auto":
+        weighted = repeated_points(points, lat, lon)
     # Assembled once and cached: every concurrent fit reads the same cached
     # vectors instead of caching a private copy of its input.
     pts = kmeans_points(points, lat, lon, weighted).persist()

@@ -42,7 +42,7 @@ class RunOptions:
     restarts: int = clustering.RESTARTS
     kmeans_iter: int = clustering.MAX_ITER
     parallelism: int = 8
-    kmeans_weighted: bool | None = None      # None: bike (stations) yes, taxi no
+    kmeans_weighted: bool | str = "auto"     # "auto": weights when points repeat (stations)
     output_format: str = "parquet"
     extra: dict = field(default_factory=dict)
 
@@ -91,9 +91,8 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
     t = _frame(spark, trips, lambda s, p: readers.read_trips(s, p, dataset, labelled))
     try:
         if mode == "training":
-            weighted = opts.kmeans_weighted if opts.kmeans_weighted is not None else dataset == "bike"
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
-                                               opts.seed, opts.parallelism, weighted=weighted)
+                                               opts.seed, opts.parallelism, weighted=opts.kmeans_weighted)
             km.write().overwrite().save(kmeans_dir)
             data = labelled_features(t, w, clustering.centres_of(km), dataset)
             try:
