@@ -199,3 +199,9 @@ def test_repeated_points_detection(spark):
     assert not clustering.repeated_points(t)
     coarse = t.select(F.round("lat2", 1).alias("lat2"), F.round("lon2", 1).alias("lon2"))
     assert clustering.repeated_points(coarse)
+
+
+def test_fit_kmeans_auto_stays_unweighted_for_distinct_points(spark):
+    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
+    m = clustering.fit_kmeans(t, 6, 3, max_iter=10)
+    assert not m.hasParam("weightCol") or not m.isSet("weightCol")

@@ -110,7 +110,12 @@ def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
     """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
     ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
     from pyspark.ml.clustering import KMeans
-    vec = points if "features" in points.columns else kmeans_points(points, lat, lon, weighted)
+    if "features" in points.columns:
+        vec = points
+    else:
+        if weighted == "auto":
+            weighted = repeated_points(points, lat, lon)
+        vec = kmeans_points(points, lat, lon, bool(weighted))
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features")
     if "weight" in vec.columns:
         km = km.setWeightCol("weight")
@@ -134,6 +139,7 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     """
     if weighted == "auto":
         weighted = repeated_points(points, lat, lon)
+    weighted = bool(weighted)
     # Assembled once and cached: every concurrent fit reads the same cached
     # vectors instead of caching a private copy of its input.
     pts = kmeans_points(points, lat, lon, weighted).persist()
