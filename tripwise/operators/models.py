@@ -12,10 +12,9 @@ import math
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
-
-import numpy as np
 from typing import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,11 +46,14 @@ def fit_tree(train: DataFrame, features: Sequence[str], label: str = "dur", max_
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "dur", num_trees: int = 16,
                max_depth: int = 5, max_bins: int = 32, seed: int = 42, subset: str = "auto"):
-    """Forest; subset "auto" = all features for one tree, one third for several."""
+    """Forest; subset "auto" = all features for one tree, one third for several.
+    Rows are drawn with replacement only when there are several trees (a
+    one-tree forest sees every row once, like the source's trainer)."""
     from pyspark.ml.regression import RandomForestRegressor
     data = train if VEC in train.columns else assemble(train, features)
     est = RandomForestRegressor(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                maxBins=max_bins, impurity="variance", featureSubsetStrategy=subset, seed=seed)
+                                maxBins=max_bins, impurity="variance", featureSubsetStrategy=subset, seed=seed,
+                                bootstrap=num_trees > 1)
     return est.fit(data)
 
 
