@@ -49,3 +49,34 @@ def clean_taxi_job(spark: SparkSession, pattern: str, out_dir: str, spec: cl.Tax
     finally:
         raw.unpersist()
     return dict(path=out_dir, **counts)
+
+
+def main(argv: list[str]) -> int:
+    """python -m tripwise.plans.cleaning_jobs bike <out_dir> <year>=<text_dir> [<year>=<text_dir> ...]
+    python -m tripwise.plans.cleaning_jobs yellow|green <out_dir> <csv glob>"""
+    if len(argv) < 3 or argv[0] not in ("bike", "yellow", "green"):
+        print(main.__doc__)
+        return 1
+    from tripwise.session import get_session
+    spark = get_session()
+    if argv[0] == "bike":
+        dirs = dict(a.split("=", 1) for a in argv[2:])
+        unknown = set(dirs) - set(BIKE_PROFILES)
+        if unknown:
+            print(f"no cleaning rules for year(s) {sorted(unknown)}; known: {sorted(BIKE_PROFILES)}")
+            return 1
+        res = clean_bike_job(spark, dirs, argv[1])
+    else:
+        green_schema = ("lpep_pickup_datetime string, Lpep_dropoff_datetime string, Pickup_latitude double, "
+                        "Pickup_longitude double, Dropoff_latitude double, Dropoff_longitude double, "
+                        "Passenger_count bigint, Trip_distance double")
+        spec, schema = (cl.YELLOW, None) if argv[0] == "yellow" else (cl.GREEN, green_schema)
+        res = clean_taxi_job(spark, argv[2], argv[1], spec, schema)
+    for k, v in res.items():
+        print(f"{k}: {v}")
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main(sys.argv[1:]))
