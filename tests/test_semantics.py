@@ -205,3 +205,18 @@ def test_fit_kmeans_auto_stays_unweighted_for_distinct_points(spark):
     t = sv.trips(sv.table(spark, SF_SMALL, "events"))
     m = clustering.fit_kmeans(t, 6, 3, max_iter=10)
     assert not m.hasParam("weightCol") or not m.isSet("weightCol")
+
+
+def test_shared_depth_tree_grid_equals_direct_fits(spark):
+    from tripwise.checks import ml
+    from tripwise.operators import models
+    from tripwise.plans.features import BIKE_FEATURES
+    train, test = ml._split(spark, SF_SMALL)
+    cells = [dict(max_depth=d, max_bins=b) for d in (2, 4, 7) for b in (8, 32)]
+    _, shared, c1 = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 5)
+    _, direct, c2 = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 5, share_depths=False)
+    a = {r["cell"]: (r["train_mse"], r["test_mse"]) for r in shared.collect()}
+    b = {r["cell"]: (r["train_mse"], r["test_mse"]) for r in direct.collect()}
+    for k in a:
+        assert math.isclose(a[k][0], b[k][0], rel_tol=1e-9) and math.isclose(a[k][1], b[k][1], rel_tol=1e-9)
+    assert c1 == c2

@@ -89,10 +89,13 @@ def grid_argmin(results: DataFrame, metric: str = "test_mse", order: str = "cell
 
 
 def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFrame, features: Sequence[str],
-                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4):
+                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4,
+                share_depths: bool = True):
     """Fit every cell on ``train``, score both halves, choose by test MSE.
 
     Returns (best model or None, results DataFrame, best cell dict or None).
+    Tree grids share one deep fit per bin count across all depths
+    (``tree_depths``) unless ``share_depths`` is False.
     """
     algo = algo.lower()
     cells = cells if cells is not None else default_cells(algo)
@@ -102,6 +105,11 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
             .unionByName(assemble(test.withColumn("is_train", F.lit(False)), features))
             .select(VEC, label, "is_train").persist())
     tr = both.where("is_train")
+    if algo == "dt" and share_depths:
+        try:
+            return _grid_tree_shared(spark, both, tr, features, label, cells, seed, parallelism)
+        finally:
+            both.unpersist()
     best: dict = {}
     lock = threading.Lock()
 
@@ -128,6 +136,37 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
     return _choose(spark, rows, {best["cell"]: best["model"]} if best else {}, cells)
 
 
+def _grid_tree_shared(spark, both, tr, features, label, cells, seed, parallelism):
+    """One fit per bin count at the group's largest depth; every depth of the
+    group evaluated from per-leaf sums; the winning cell refitted once."""
+    from tripwise.operators import tree_depths
+    groups: dict[int, list[int]] = {}
+    for i, c in enumerate(cells):
+        groups.setdefault(int(c["max_bins"]), []).append(i)
+
+    def run(item):
+        bins, idxs = item
+        deep = fit_tree(tr, features, label, max(int(cells[i]["max_depth"]) for i in idxs), bins, seed)
+        mses = tree_depths.depth_mses(tree_depths.leaf_paths(deep),
+                                      tree_depths.leaf_sums(deep, both, label, VEC),
+                                      sorted({int(cells[i]["max_depth"]) for i in idxs}))
+        return {i: mses[int(cells[i]["max_depth"])] for i in idxs}
+
+    scored: dict[int, tuple[float, float]] = {}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for part in pool.map(run, list(groups.items())):
+            scored.update(part)
+    rows = [(i, "dt", None, int(c["max_depth"]), int(c["max_bins"]), None, None, *scored[i])
+            for i, c in enumerate(cells)]
+    results = spark.createDataFrame(rows, RESULT_SCHEMA)
+    best = grid_argmin(results).first()
+    if best is None:
+        return None, results, None
+    c = cells[best["cell"]]
+    model = fit_tree(tr, features, label, int(c["max_depth"]), int(c["max_bins"]), seed)
+    return model, results, c
+
+
 def _grid_linear(spark, train, test, features, label, cells):
     both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
     by = moments_by(both, "is_train", list(features), label)

@@ -1,0 +1,85 @@
+"""Every depth of a decision-tree grid from one fit per bin count.
+
+Trees grow level by level and a node's split does not depend on the depth
+limit, so the tree trained with maxDepth = d is the deepest tree cut at depth
+d: each depth-d node becomes a leaf predicting the mean label of its training
+rows.  One deep fit per ``maxBins`` therefore yields every depth of the grid.
+
+Evaluation needs only per-leaf sums: the deep model's leaf index per row
+(``leafCol``), then one grouped pass giving sum(y), sum(y^2) and n per leaf
+for each half of the split.  The tree topology (which leaves share an
+ancestor at each depth) comes from the model's printed structure, which
+lists nodes in the same left-first order as the leaf indices.  Everything
+after the grouped pass is proportional to the tree size, not the data.
+"""
+
+from __future__ import annotations
+
+import re
+from typing import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_LINE = re.compile(r"^( *)(If|Else|Predict)")
+
+
+def leaf_paths(model) -> list[list[int]]:
+    """Node ids from the root to each leaf, leaves in leaf-index order."""
+    lines = model.toDebugString.splitlines()[1:]
+    base = None
+    path: list[int] = []
+    leaves: list[list[int]] = []
+    next_id = 0
+    for line in lines:
+        m = _LINE.match(line)
+        if not m:
+            continue
+        indent, kind = len(m.group(1)), m.group(2)
+        base = indent if base is None else base
+        depth = indent - base
+        if kind == "Else":
+            del path[depth + 1:]
+            continue
+        del path[depth:]
+        path.append(next_id)
+        next_id += 1
+        if kind == "Predict":
+            leaves.append(list(path))
+    return leaves
+
+
+def leaf_sums(model, both: DataFrame, label: str, features_col: str) -> dict:
+    """{(leaf, is_train): (sum y, sum y^2, n)} in one grouped pass."""
+    m = model.copy()
+    m.setFeaturesCol(features_col).setLeafCol("_leaf")
+    rows = (m.transform(both).groupBy("_leaf", "is_train")
+            .agg(F.sum(label).alias("s"), F.sum(F.col(label) * F.col(label)).alias("q"),
+                 F.count(F.lit(1)).alias("n")).collect())
+    return {(int(r["_leaf"]), bool(r["is_train"])): (float(r["s"]), float(r["q"]), int(r["n"])) for r in rows}
+
+
+def depth_mses(paths: list[list[int]], sums: dict, depths: Sequence[int]) -> dict[int, tuple[float, float]]:
+    """{depth: (train MSE, test MSE)} of the tree cut at each depth."""
+    out = {}
+    for d in depths:
+        node_s: dict[int, float] = {}
+        node_n: dict[int, int] = {}
+        anc = [p[min(d, len(p) - 1)] for p in paths]
+        for leaf, a in enumerate(anc):
+            s, _, n = sums.get((leaf, True), (0.0, 0.0, 0))
+            node_s[a] = node_s.get(a, 0.0) + s
+            node_n[a] = node_n.get(a, 0) + n
+        res = []
+        for flag in (True, False):
+            sse, cnt = 0.0, 0
+            for leaf, a in enumerate(anc):
+                s, q, n = sums.get((leaf, flag), (0.0, 0.0, 0))
+                if n == 0:
+                    continue
+                p = node_s[a] / node_n[a]
+                sse += q - 2.0 * p * s + n * p * p
+                cnt += n
+            res.append(sse / cnt if cnt else float("nan"))
+        out[d] = (res[0], res[1])
+    return out
