@@ -37,7 +37,7 @@ class RunOptions:
     seed: int = 42
     train_fraction: float = 0.7
     split: str = "hash"                      # "hash" (reproducible) or "random"
-    cells: list[dict] | None = None          # None = the full reference grid
+    cells: list[dict] | None = None          # None = the full original grid
     k_grid: tuple[int, ...] = clustering.K_GRID
     restarts: int = clustering.RESTARTS
     kmeans_iter: int = clustering.MAX_ITER
