@@ -209,18 +209,3 @@ def raw_green(events: DataFrame) -> DataFrame:
                     F.col("dropoff_longitude").alias("Dropoff_longitude"),
                     F.col("passenger_count").alias("Passenger_count"),
                     F.col("trip_distance").alias("Trip_distance"))
-
-
-def yellow_csv_lines(events: DataFrame) -> DataFrame:
-    """Yellow CSV text with some malformed lines (passenger count 'NA')."""
-    y = raw_yellow(events)
-    pc = F.when(F.col("event_id") % 31 == 0, F.lit("NA")).otherwise(F.col("passenger_count").cast("string"))
-    cols = [F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")] + \
-        [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
-         ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")] + \
-        [pc, F.col("trip_distance").cast("string"), F.col("event_id").cast("string")]
-    return y.select(F.concat_ws(",", *cols).alias("value"))
-
-
-YELLOW_CSV_HEADER = ("tpep_pickup_datetime,tpep_dropoff_datetime,pickup_latitude,pickup_longitude,"
-                     "dropoff_latitude,dropoff_longitude,passenger_count,trip_distance,event_id")
