@@ -220,3 +220,24 @@ def test_shared_depth_tree_grid_equals_direct_fits(spark):
     for k in a:
         assert math.isclose(a[k][0], b[k][0], rel_tol=1e-9) and math.isclose(a[k][1], b[k][1], rel_tol=1e-9)
     assert c1 == c2
+
+
+def test_weather_join_falls_back_to_shuffle_join_past_the_bound(spark):
+    import io
+    import contextlib
+    from tripwise.operators import joins
+    ev = sv.table(spark, SF_SMALL, "events")
+    t, w = sv.trips(ev), sv.weather(ev)
+    small = joins.join_weather(t, w)                 # 27 rows: broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no automatic broadcast either
+    try:
+        big = joins.join_weather(t, w, max_rows=5)   # over the bound: no broadcast hint
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            big.explain()
+        assert "BroadcastHashJoin" not in buf.getvalue()
+        assert small.select("trip_id").exceptAll(big.select("trip_id")).count() == 0
+        assert small.count() == big.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
