@@ -87,6 +87,14 @@ def rounded_cols(cols: list[str]):
             else F.col(c) for c in cols]
 
 
+def feature_rows_sql(feats: list[str], labelled: bool, body: str, extra: dict[str, str] | None = None) -> str:
+    """``body`` run over the (unrounded) feature rows, available as the view ``f``."""
+    inner = joined_sql(feats, labelled)
+    if labelled:
+        inner = sigma_sql(f"select * from ({inner}) where dur >= 120 and dur <= 3600")
+    return with_views(["trips", "weather"], body, {**FEATURE_VIEWS, "f": inner, **(extra or {})})
+
+
 def feature_sql(feats: list[str], labelled: bool) -> str:
     inner = joined_sql(feats, labelled)
     if labelled:
@@ -96,12 +104,11 @@ def feature_sql(feats: list[str], labelled: bool) -> str:
 
 
 # ------------------------------------------------------- 1. acceptance slice
-ACCEPT_SQL = with_views(["trips", "weather"], f"""
-, j as (select t.*, temp, rain, snow, wspd, {dist_sql()} as dist
- from trips t join weather w on t.dt=w.dt where dur>=120 and dur<=3600),
- s as (select avg(dist/dur) as m, stddev_pop(dist/dur) as sd from j)
-select trip_id, round(dist,2) as dist, psg, yr from j, s
-where dist/dur < m+3*sd and dist/dur > m-3*sd""".replace("\n, j as", "j as", 1)).replace("\nj as", ",\nj as", 1)
+ACCEPT_SQL = with_views(["trips", "weather"], """select trip_id, round(dist,2) as dist, psg, yr from j, s
+where dist/dur < m+3*sd and dist/dur > m-3*sd""", {
+    "j": f"""select t.*, temp, rain, snow, wspd, {dist_sql()} as dist
+ from trips t join weather w on t.dt=w.dt where dur>=120 and dur<=3600""",
+    "s": "select avg(dist/dur) as m, stddev_pop(dist/dur) as sd from j"})
 
 
 @register("speed_3sigma", ACCEPT_SQL)
@@ -236,17 +243,20 @@ def q_kmeans_cost(spark, sf_dir):
 ELBOW_KS = clustering.K_GRID
 
 
-@register("elbow_select", with_views(["trips"], """, costs as (
- select k, sum(d2) as cost from (
+ELBOW_SQL = with_views(["trips"], """select k, round(mean_cost, 6) as mean_cost, round(asd, 6) as asd,
+ k = (select best_k from b) as is_best from e""", {
+    "centres": centres_values(max(ELBOW_KS)),
+    "ks": "select unnest(" + str(list(ELBOW_KS)) + ") as k",
+    "costs": """select k, sum(d2) as cost from (
   select t.trip_id, g.k, min(pow(t.lat2-c.clat,2)+pow(t.lon2-c.clon,2)) as d2
-  from trips t, ks g, centres c where c.k < g.k group by t.trip_id, g.k) q group by k),
- e as (select k, cost as mean_cost,
-  lag(cost, 2) over (order by k) + cost - 2.0e0*lag(cost, 1) over (order by k) as asd from costs),
- b as (select coalesce((select k - 1 from e where asd is not null and not isnan(asd) order by asd desc, k limit 1),
-                       (select min(k) from e)) as best_k)
-select k, round(mean_cost, 6) as mean_cost, round(asd, 6) as asd, k = (select best_k from b) as is_best from e""",
-          {"centres": centres_values(max(ELBOW_KS)),
-           "ks": "select unnest(" + str(list(ELBOW_KS)) + ") as k"}).replace("\n, costs as", ",\ncosts as", 1))
+  from trips t, ks g, centres c where c.k < g.k group by t.trip_id, g.k) q group by k""",
+    "e": """select k, cost as mean_cost,
+  lag(cost, 2) over (order by k) + cost - 2.0e0*lag(cost, 1) over (order by k) as asd from costs""",
+    "b": """select coalesce((select k - 1 from e where asd is not null and not isnan(asd) order by asd desc, k limit 1),
+                       (select min(k) from e)) as best_k"""})
+
+
+@register("elbow_select", ELBOW_SQL)
 def q_elbow_select(spark, sf_dir):
     """Elbow choice of k over a cost table: centre set k = the first k fixed centres."""
     t = sv.trips(events(spark, sf_dir))

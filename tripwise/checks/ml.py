@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripwise.checks.core import N_CENTRES, feature_sql
+from tripwise.checks.core import N_CENTRES, feature_rows_sql
 from tripwise.checks.registry import events, r, register, weather_df
 from tripwise.operators import clustering, linear, models, scoring, splits
 from tripwise.plans.features import BIKE_FEATURES, LABEL, build_features
@@ -28,21 +28,9 @@ def bike_features(spark, sf_dir, labelled=True):
                           "bike", labelled)
 
 
-def _inner(labelled: bool) -> str:
-    """The bike feature rows (unrounded) as a SQL subquery body."""
-    sql = feature_sql(BIKE_FEATURES, labelled)
-    head, _, tail = sql.rpartition("\nselect ")
-    return head + "\nselect * from (" + tail.split(" from (", 1)[1].rsplit(") q", 1)[0] + ") q"
-
-
-BIKE_SQL = _inner(True)
-BIKE_PRED_SQL = _inner(False)
-
-
-def _wrap(base: str, select: str) -> str:
-    """Run ``select`` over the result of ``base`` (a WITH ... SELECT statement) named f."""
-    head, sep, body = base.rpartition("\nselect * from (")
-    return f"{head},\nf as (select * from ({body}) \n{select}"
+def bike_sql(body: str, labelled: bool = True, extra: dict[str, str] | None = None) -> str:
+    """``body`` over the bike feature rows (view ``f``)."""
+    return feature_rows_sql(BIKE_FEATURES, labelled, body, extra)
 
 
 def linear_sql() -> str:
@@ -56,22 +44,22 @@ def q_split_hash(spark, sf_dir):
     return t.select("trip_id", (splits.hash_fraction(F.col("trip_id"), SEED) < F.lit(0.7)).alias("in_train"))
 
 
-@register("score_test_linear", _wrap(BIKE_SQL, f"select trip_id, dur, round({linear_sql()}, 6) as prediction, "
-                                               f"round(dur - ({linear_sql()}), 6) as residual from f"))
+@register("score_test_linear", bike_sql(f"select trip_id, dur, round({linear_sql()}, 6) as prediction, "
+                                         f"round(dur - ({linear_sql()}), 6) as residual from f"))
 def q_score_test_linear(spark, sf_dir):
     m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
     s = scoring.score_labelled(m, bike_features(spark, sf_dir), BIKE_FEATURES)
     return s.select("trip_id", "dur", r("prediction", 6).alias("prediction"), r("residual", 6).alias("residual"))
 
 
-@register("score_pred_linear", _wrap(BIKE_PRED_SQL, f"select trip_id, round({linear_sql()}, 6) as prediction from f"))
+@register("score_pred_linear", bike_sql(f"select trip_id, round({linear_sql()}, 6) as prediction from f", False))
 def q_score_pred_linear(spark, sf_dir):
     m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
     s = scoring.score_unlabelled(m, bike_features(spark, sf_dir, False), BIKE_FEATURES)
     return s.select("trip_id", r("prediction", 6).alias("prediction"))
 
 
-@register("mse", _wrap(BIKE_SQL, f"select round(avg(pow(dur - ({linear_sql()}), 2)), 4) as mse from f"))
+@register("mse", bike_sql(f"select round(avg(pow(dur - ({linear_sql()}), 2)), 4) as mse from f"))
 def q_mse(spark, sf_dir):
     m = linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)
     s = scoring.score_labelled(m, bike_features(spark, sf_dir), BIKE_FEATURES)
@@ -82,7 +70,7 @@ def q_mse(spark, sf_dir):
 GRID_SPEEDS = (2.0, 4.0, 6.0, 8.0, 10.0, 12.0)
 
 
-@register("grid_argmin", _wrap(BIKE_SQL, f"""select cell, speed, round(test_mse, 4) as test_mse from (
+@register("grid_argmin", bike_sql(f"""select cell, speed, round(test_mse, 4) as test_mse from (
  select g.cell, g.speed, avg(pow(dur - dist / g.speed, 2)) as test_mse
  from f, (select * from (values {', '.join(f'({i}, {v!r}e0)' for i, v in enumerate(GRID_SPEEDS))}) as v(cell, speed)) g
  where {splits.hash_fraction_sql('trip_id', SEED)} >= 0.7 group by g.cell, g.speed) q
@@ -105,27 +93,29 @@ GD_ITERS = 3
 
 
 def _gd_sql() -> str:
+    """Three unrolled full-batch steps over the bike feature rows, with the
+    convergence test after step 2 (which stops before step 3)."""
     x = GD_FEATURES
+    n = len(x)
+    ctes: dict[str, str] = {}
     prev = None
-    ctes = []
     for t in range(1, GD_ITERS + 1):
         src = "f" if prev is None else f"f, {prev}"
-        w = [f"{prev}.w{j}" if prev else "0.0e0" for j in range(len(x))]
-        dot = " + ".join(f"{w[j]}*{x[j]}" for j in range(len(x)))
-        grads = [f"{w[j]} - {GD_STEP!r}/sqrt({t}.0e0) * avg(({dot} - dur)*{x[j]}) as w{j}" for j in range(len(x))]
+        w = [f"{prev}.w{j}" if prev else "0.0e0" for j in range(n)]
+        dot = " + ".join(f"{w[j]}*{x[j]}" for j in range(n))
+        steps = [f"{w[j]} - {GD_STEP!r}/sqrt({t}.0e0) * avg(({dot} - dur)*{x[j]}) as w{j}" for j in range(n)]
         group = f" group by {', '.join(w)}" if prev else ""
-        ctes.append(f"it{t} as (select {', '.join(grads)} from {src}{group})")
+        ctes[f"it{t}"] = f"select {', '.join(steps)} from {src}{group}"
         prev = f"it{t}"
-    # Convergence after iteration 2 (|w2 - w1| < tol * max(|w2|, 1)) stops before iteration 3.
-    n = len(x)
     diff = " + ".join(f"pow(it2.w{j} - it1.w{j}, 2)" for j in range(n))
     norm = " + ".join(f"pow(it2.w{j}, 2)" for j in range(n))
     conv = f"sqrt({diff}) < {linear.CONVERGENCE_TOL!r} * greatest(sqrt({norm}), 1.0e0)"
     cols = ", ".join(f"round(case when {conv} then it2.w{j} else it3.w{j} end, 12) as w_{x[j]}" for j in range(n))
-    return ",\n".join(ctes) + f"\nselect case when {conv} then 2 else 3 end as iterations, {cols} from it1, it2, it3"
+    return bike_sql(f"select case when {conv} then 2 else 3 end as iterations, {cols} from it1, it2, it3",
+                    extra=ctes)
 
 
-@register("gd_linear", _wrap(BIKE_SQL, "").rstrip().rstrip("\n") + ",\n" + _gd_sql())
+@register("gd_linear", _gd_sql())
 def q_gd_linear(spark, sf_dir):
     """Full-batch gradient descent from the sufficient statistics (one aggregate)."""
     data = bike_features(spark, sf_dir)
