@@ -241,3 +241,16 @@ def test_weather_join_falls_back_to_shuffle_join_past_the_bound(spark):
         assert small.count() == big.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rows_with_unparseable_values_are_rejected_before_models(spark):
+    from tripwise.plans.features import BIKE_FEATURES, build_features
+    ev = sv.table(spark, SF_SMALL, "events")
+    t = sv.bike_trips(ev, False).withColumn(
+        "time", F.when(F.col("trip_id") % 2 == 0, F.lit("xx:yy")).otherwise(F.col("time")))
+    f = build_features(t, sv.weather(ev), sv.fixed_centres(8), "bike", labelled=False)
+    assert f.where(F.col("tm").isNull()).count() == 0
+    assert f.where(F.col("trip_id") % 2 == 0).count() == 0
+    from tripwise.operators import linear, scoring
+    m = linear.LinearModel(BIKE_FEATURES, [0.0] * len(BIKE_FEATURES))
+    assert scoring.score_unlabelled(m, f, BIKE_FEATURES).count() == f.count() > 0

@@ -50,7 +50,9 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
           .withColumn("weekday", weekday_flag(dt))
           .withColumn("peak", peak_flag(dt, F.col("tm"))))
     cols = (["trip_id"] if "trip_id" in j.columns else []) + ([LABEL] if labelled else []) + feats
-    return j.select(*cols)
+    # A row with a missing or unparseable value (e.g. a malformed time) is
+    # rejected here rather than failing the model later.
+    return j.select(*cols).dropna(subset=cols[1:] if cols[0] == "trip_id" else cols)
 
 
 def build_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
