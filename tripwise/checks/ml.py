@@ -250,26 +250,36 @@ def q_stream_predict(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
-@register("train_test_predict")
-def q_train_test_predict(spark, sf_dir):
-    """The whole pipeline on bike trip files: choose clusters, grid-search a tree,
-    score the labelled rows (test mode) and predict unlabelled ones (small grids)."""
+def _train_test_predict(spark, sf_dir, dataset: str, algo: str, cells):
     from tripwise.plans import pipeline
     from tripwise.sources import writers
     ev = events(spark, sf_dir)
-    lab = ["dt", "time", "dur", "id1", "lat1", "lon1", "id2", "lat2", "lon2", "yr", "gdr"]
+    lab = (["dt", "time", "dur", "id1", "lat1", "lon1", "id2", "lat2", "lon2", "yr", "gdr"] if dataset == "bike"
+           else ["dt", "time", "dur", "lat1", "lon1", "lat2", "lon2", "psg"])
     weather = writers.write_csv(sv.weather(ev), scratch_path(spark, "p-weather"), header=True)
     trips = writers.write_csv(sv.trips(ev).select(*lab), scratch_path(spark, "p-trips"))
     unl = writers.write_csv(sv.trips(ev).select(*[c for c in lab if c != "dur"]), scratch_path(spark, "p-unl"))
     model_dir, km_dir = scratch_path(spark, "p-model"), scratch_path(spark, "p-km")
-    opts = pipeline.RunOptions(cells=[dict(max_depth=d, max_bins=32) for d in (3, 5)], k_grid=(6, 7, 8, 9),
-                               restarts=1, kmeans_iter=20, seed=SEED)
-    pipeline.run(spark, weather, trips, model_dir, km_dir, "bike", "dt", "training", opts)
-    pipeline.run(spark, weather, trips, model_dir, km_dir, "bike", "dt", "test", opts)
-    out = pipeline.run(spark, weather, unl, model_dir, km_dir, "bike", "dt", "prediction", opts)
+    opts = pipeline.RunOptions(cells=cells, k_grid=(6, 7, 8, 9), restarts=1, kmeans_iter=20, seed=SEED)
+    pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "training", opts)
+    pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "test", opts)
+    out = pipeline.run(spark, weather, unl, model_dir, km_dir, dataset, algo, "prediction", opts)
     return spark.read.parquet(out["path"])
 
 
+@register("train_test_predict")
+def q_train_test_predict(spark, sf_dir):
+    """The whole pipeline on bike trip files: choose clusters, grid-search a tree,
+    score the labelled rows (test mode) and predict unlabelled ones (small grids)."""
+    return _train_test_predict(spark, sf_dir, "bike", "dt", [dict(max_depth=d, max_bins=32) for d in (3, 5)])
+
+
+@register("train_test_predict_taxi_lr")
+def q_train_test_predict_taxi_lr(spark, sf_dir):
+    """The whole pipeline on taxi trip files with the full 30-cell linear grid."""
+    return _train_test_predict(spark, sf_dir, "taxi", "lr", None)
+
+
 @register("kmeans_select_weighted")
 def q_kmeans_select_weighted(spark, sf_dir):
     """Elbow choice of k with the end points reduced to distinct coordinates weighted
