@@ -28,6 +28,7 @@ RF_DEPTHS = (2, 3, 4, 5, 6, 7, 8, 10)
 RF_BINS = (16, 32, 48, 64, 96, 128, 256)
 
 VEC = "features_vec"
+DEEP_TREE = 10
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = VEC) -> DataFrame:
@@ -39,8 +40,12 @@ def fit_tree(train: DataFrame, features: Sequence[str], label: str = "dur", max_
              max_bins: int = 32, seed: int = 42):
     from pyspark.ml.regression import DecisionTreeRegressor
     data = train if VEC in train.columns else assemble(train, features)
+    # Deep trees keep each row's node id cached (instead of shipping the tree to
+    # executors every level); with a checkpoint folder the cache is checkpointed
+    # every 10 levels, which also bounds the lineage a lost executor replays.
     est = DecisionTreeRegressor(featuresCol=VEC, labelCol=label, maxDepth=max_depth, maxBins=max_bins,
-                                impurity="variance", seed=seed)
+                                impurity="variance", seed=seed, cacheNodeIds=max_depth >= DEEP_TREE,
+                                checkpointInterval=10)
     return est.fit(data)
 
 
