@@ -58,7 +58,8 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = "dur", nu
     data = train if VEC in train.columns else assemble(train, features)
     est = RandomForestRegressor(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                 maxBins=max_bins, impurity="variance", featureSubsetStrategy=subset, seed=seed,
-                                bootstrap=num_trees > 1)
+                                bootstrap=num_trees > 1, cacheNodeIds=max_depth >= DEEP_TREE,
+                                checkpointInterval=10)
     return est.fit(data)
 
 
