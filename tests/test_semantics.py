@@ -254,3 +254,23 @@ def test_rows_with_unparseable_values_are_rejected_before_models(spark):
     from tripwise.operators import linear, scoring
     m = linear.LinearModel(BIKE_FEATURES, [0.0] * len(BIKE_FEATURES))
     assert scoring.score_unlabelled(m, f, BIKE_FEATURES).count() == f.count() > 0
+
+
+def test_seeded_fits_are_deterministic(spark):
+    from tripwise.checks import ml
+    from tripwise.operators import models
+    from tripwise.plans.features import BIKE_FEATURES
+    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
+    a = clustering.centres_of(clustering.fit_kmeans(t, 6, 11, max_iter=20))
+    b = clustering.centres_of(clustering.fit_kmeans(t, 6, 11, max_iter=20))
+    assert a == b
+    train, _ = ml._split(spark, SF_SMALL)
+    d1 = models.fit_tree(train, BIKE_FEATURES, "dur", 5, 32, 4).toDebugString
+    d2 = models.fit_tree(train, BIKE_FEATURES, "dur", 5, 32, 4).toDebugString
+    assert d1.split("\n", 1)[1] == d2.split("\n", 1)[1]
+    f1 = models.fit_forest(train, BIKE_FEATURES, "dur", 4, 4, 32, 4).toDebugString
+    f2 = models.fit_forest(train, BIKE_FEATURES, "dur", 4, 4, 32, 4).toDebugString
+    assert f1.split("\n", 1)[1] == f2.split("\n", 1)[1]
+    r1 = {r[0] for r in splits.split_random(t, 9)[0].select("trip_id").collect()}
+    r2 = {r[0] for r in splits.split_random(t, 9)[0].select("trip_id").collect()}
+    assert r1 == r2
