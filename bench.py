@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "speed_3sigma", "features_taxi", "features_bike", "features_bike_pred", "clean_bike", "union_years",
     "clean_taxi_yellow", "cleaning_counts", "assign_clusters", "elbow_select", "zone_enrich",
-    "score_test_linear", "grid_argmin", "gd_linear", "grid_lr", "kmeans_fit", "fit_dt", "fit_rf",
+    "score_test_linear", "grid_argmin", "gd_linear", "grid_lr", "kmeans_fit", "fit_dt", "fit_rf", "grid_dt",
 ]
 
 

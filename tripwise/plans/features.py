@@ -42,7 +42,12 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
     t = trips
     if "tm" not in t.columns:
         t = t.withColumn("tm", day_fraction_of_time(F.col("time")))
-    t = assign_clusters(t, centres)
+    # A row with a missing or unparseable input (e.g. a malformed time) is
+    # rejected here rather than failing the model later; every feature is
+    # then non-NULL, since each is a NULL-free function of these inputs.
+    inputs = [c for c in feats if c in t.columns] + (["dt"] + ([LABEL] if labelled else []))
+    t = assign_clusters(t.dropna(subset=list(dict.fromkeys(inputs))), centres)
+    weather = weather.dropna(subset=["dt", "temp", "rain", "snow", "wspd"])
     j = join_weather(t, weather, max_broadcast_rows)
     dt = F.col("dt")
     j = (j.withColumn("days", day_of_year_fraction(dt))
@@ -50,9 +55,7 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
           .withColumn("weekday", weekday_flag(dt))
           .withColumn("peak", peak_flag(dt, F.col("tm"))))
     cols = (["trip_id"] if "trip_id" in j.columns else []) + ([LABEL] if labelled else []) + feats
-    # A row with a missing or unparseable value (e.g. a malformed time) is
-    # rejected here rather than failing the model later.
-    return j.select(*cols).dropna(subset=cols[1:] if cols[0] == "trip_id" else cols)
+    return j.select(*cols)
 
 
 def build_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
