@@ -243,24 +243,39 @@ def q_kmeans_cost(spark, sf_dir):
 ELBOW_KS = clustering.K_GRID
 
 
+# Restart r of k uses the first k fixed centres moved by r * 0.01 degrees in latitude.
+ELBOW_RESTARTS = 3
+
+
+def restart_centres(k: int, r: int):
+    return [(round(a + 0.01 * r, 2), b) for a, b in sv.fixed_centres(max(ELBOW_KS))[:k]]
+
+
+def _restart_values() -> str:
+    rows = ", ".join(f"({r}, {i}, {a!r}, {b!r})" for r in range(ELBOW_RESTARTS)
+                     for i, (a, b) in enumerate(restart_centres(max(ELBOW_KS), r)))
+    return f"select * from (values {rows}) as c(r, k, clat, clon)"
+
+
 ELBOW_SQL = with_views(["trips"], """select k, round(mean_cost, 6) as mean_cost, round(asd, 6) as asd,
  k = (select best_k from b) as is_best from e""", {
-    "centres": centres_values(max(ELBOW_KS)),
+    "centres": _restart_values(),
     "ks": "select unnest(" + str(list(ELBOW_KS)) + ") as k",
-    "costs": """select k, sum(d2) as cost from (
-  select t.trip_id, g.k, min(pow(t.lat2-c.clat,2)+pow(t.lon2-c.clon,2)) as d2
-  from trips t, ks g, centres c where c.k < g.k group by t.trip_id, g.k) q group by k""",
-    "e": """select k, cost as mean_cost,
-  lag(cost, 2) over (order by k) + cost - 2.0e0*lag(cost, 1) over (order by k) as asd from costs""",
+    "costs": """select k, r, sum(d2) as cost from (
+  select t.trip_id, g.k, c.r, min(pow(t.lat2-c.clat,2)+pow(t.lon2-c.clon,2)) as d2
+  from trips t, ks g, centres c where c.k < g.k group by t.trip_id, g.k, c.r) q group by k, r""",
+    "m": "select k, avg(cost) as mean_cost from costs group by k",
+    "e": """select k, mean_cost,
+  lag(mean_cost, 2) over (order by k) + mean_cost - 2.0e0*lag(mean_cost, 1) over (order by k) as asd from m""",
     "b": """select coalesce((select k - 1 from e where asd is not null and not isnan(asd) order by asd desc, k limit 1),
                        (select min(k) from e)) as best_k"""})
 
 
 @register("elbow_select", ELBOW_SQL)
 def q_elbow_select(spark, sf_dir):
-    """Elbow choice of k over a cost table: centre set k = the first k fixed centres."""
+    """Elbow choice of k over a (k, restart) cost table (mean over restarts per k);
+    restart r of k = the first k fixed centres shifted by r * 0.01 in latitude."""
     t = sv.trips(events(spark, sf_dir))
-    allc = sv.fixed_centres(max(ELBOW_KS))
-    costs = clustering.cost_table(t, {k: allc[:k] for k in ELBOW_KS})
+    costs = clustering.cost_table(t, {(k, r): restart_centres(k, r) for k in ELBOW_KS for r in range(ELBOW_RESTARTS)})
     e = clustering.elbow_table(costs)
     return e.select("k", r("mean_cost", 6).alias("mean_cost"), r("asd", 6).alias("asd"), "is_best")

@@ -50,14 +50,18 @@ def kmeans_cost(df: DataFrame, centres: Sequence[Centre], lat: str = "lat2", lon
     return df.agg(F.sum(min_sq_distance(F.col(lat), F.col(lon), centres)).alias("cost"))
 
 
-def cost_table(df: DataFrame, centre_sets: dict[int, Sequence[Centre]],
-               lat: str = "lat2", lon: str = "lon2") -> DataFrame:
-    """(k, restart, cost) for several centre sets, computed in ONE pass over ``df``."""
-    ks = sorted(centre_sets)
-    agg = df.agg(*[F.sum(min_sq_distance(F.col(lat), F.col(lon), centre_sets[k])).alias(f"c{k}") for k in ks])
-    stack = "stack({n}, {items}) as (k, cost)".format(
-        n=len(ks), items=", ".join(f"{k}, c{k}" for k in ks))
-    return agg.selectExpr(stack).select(F.col("k").cast("int"), F.lit(1).alias("restart"), "cost")
+def cost_table(df: DataFrame, centre_sets: dict, lat: str = "lat2", lon: str = "lon2") -> DataFrame:
+    """(k, restart, cost) for several centre sets, computed in ONE pass over ``df``.
+
+    ``centre_sets`` maps k, or (k, restart), to that fit's centres.
+    """
+    keys = sorted((key if isinstance(key, tuple) else (key, 1)) for key in centre_sets)
+    sets = {key: centre_sets[key] if key in centre_sets else centre_sets[key[0]] for key in keys}
+    agg = df.agg(*[F.sum(min_sq_distance(F.col(lat), F.col(lon), sets[key])).alias(f"c{i}")
+                   for i, key in enumerate(keys)])
+    stack = "stack({n}, {items}) as (k, restart, cost)".format(
+        n=len(keys), items=", ".join(f"{k}, {r}, c{i}" for i, (k, r) in enumerate(keys)))
+    return agg.selectExpr(stack).select(F.col("k").cast("int"), F.col("restart").cast("int"), "cost")
 
 
 def elbow_table(costs: DataFrame) -> DataFrame:
