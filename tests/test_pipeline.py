@@ -66,3 +66,22 @@ def test_cleaned_taxi_files_feed_the_pipeline(spark):
     res = pipeline.run(spark, weather, out["path"], scratch_path(spark, "m"), scratch_path(spark, "k"),
                        "taxi", "lr", "training", opts)
     assert res["best_cell"] is not None
+
+
+def test_job_counts_equal_one_pass_counts(spark):
+    from tripwise import schemas
+    from tripwise.operators import cleaning as cl
+    from tripwise.plans.cleaning_jobs import clean_bike_job, clean_taxi_job
+    ev = sv.table(spark, SF_SMALL, "events")
+    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
+    src = writers.write_csv(sv.raw_yellow(ev).select(*cols), scratch_path(spark, "yy"), header=True)
+    out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yyc"))
+    want = cl.cleaning_counts(readers.read_csv_glob(spark, f"{src}/*.csv", schemas.YELLOW_RAW)).first().asDict()
+    assert {k: out[k] for k in want} == want
+    assert spark.read.csv(out["path"]).count() == want["in_box"]
+    d = scratch_path(spark, "bb")
+    sv.raw_bike(ev).select("line").write.text(d)
+    res = clean_bike_job(spark, {"2015": d, "2016": d}, scratch_path(spark, "bbc"))
+    raw = readers.read_lines(spark, d)
+    assert res["counts"] == {"2015": cl.clean_bike(raw, cl.BIKE_2015).count(),
+                             "2016": cl.clean_bike(raw, cl.BIKE_2016).count()}

@@ -255,21 +255,26 @@ def bounding_box(df: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
     return df.where(_in_box(spec.lon_box, spec.lat_box))
 
 
-def _duration_open() -> Column:
+def duration_open_condition() -> Column:
     return (F.col("Duration") > F.lit(120)) & (F.col("Duration") < F.lit(3600))
 
 
 def clean_taxi(raw: DataFrame, spec: TaxiSpec = YELLOW, keep: tuple[str, ...] = ()) -> DataFrame:
-    p = project_taxi(raw, spec, keep).where(_duration_open())
+    p = project_taxi(raw, spec, keep).where(duration_open_condition())
     return bounding_box(coords_not_null(p), spec)
 
 
-def cleaning_counts(raw: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
-    """The three step counts of the taxi job (after duration, non-null, box) in one pass."""
-    p = project_taxi(raw, spec).where(_duration_open())
+def step_count_exprs(spec: TaxiSpec = YELLOW) -> list[Column]:
+    """Rows after the duration bound, after the non-null step, after the box
+    (to be evaluated over rows that passed the duration bound)."""
     nn = None
     for c in COORDS:
         k = F.col(c).isNotNull()
         nn = k if nn is None else nn & k
-    return p.agg(F.count(F.lit(1)).alias("total"), F.count_if(nn).alias("non_null"),
-                 F.count_if(nn & _in_box(spec.lon_box, spec.lat_box)).alias("in_box"))
+    return [F.count(F.lit(1)).alias("total"), F.count_if(nn).alias("non_null"),
+            F.count_if(nn & _in_box(spec.lon_box, spec.lat_box)).alias("in_box")]
+
+
+def cleaning_counts(raw: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
+    """The three step counts of the taxi job (after duration, non-null, box) in one pass."""
+    return project_taxi(raw, spec).where(duration_open_condition()).agg(*step_count_exprs(spec))

@@ -5,8 +5,8 @@ bike:  one text directory per year -> per-year rules -> union -> comma-joined
 taxi:  CSV files with a header (glob) -> malformed rows dropped -> duration,
        non-null and city-box steps -> headerless CSV, plus the step counts.
 
-The cleaned frame is computed once (persisted) for both the counts and the
-write; counts come from one aggregate pass.
+Counts are metrics of the write itself (``Observation``): one pass over the
+input, nothing cached, whatever the data size.
 """
 
 from __future__ import annotations
@@ -22,33 +22,29 @@ BIKE_PROFILES = {"2015": cl.BIKE_2015, "2016": cl.BIKE_2016}
 
 def clean_bike_job(spark: SparkSession, year_dirs: dict[str, str], out_dir: str,
                    profiles: dict[str, cl.BikeProfile] | None = None) -> dict:
+    from pyspark.sql import Observation
     profiles = profiles or BIKE_PROFILES
-    frames = []
+    allc = None
     for year, path in year_dirs.items():
-        c = cl.clean_bike(readers.read_lines(spark, path), profiles[year])
-        frames.append(c.withColumn("_year", F.lit(year)))
-    allc = frames[0]
-    for f in frames[1:]:
-        allc = allc.unionByName(f)
-    allc = allc.persist()
-    try:
-        counts = {r["_year"]: r["n"] for r in allc.groupBy("_year").agg(F.count(F.lit(1)).alias("n")).collect()}
-        writers.write_lines(allc, out_dir, cl.BIKE_OUT)
-    finally:
-        allc.unpersist()
+        c = cl.clean_bike(readers.read_lines(spark, path), profiles[year]).withColumn("_year", F.lit(year))
+        allc = c if allc is None else allc.unionByName(c)
+    obs = Observation("bike_counts")
+    observed = allc.observe(obs, *[F.count_if(F.col("_year") == F.lit(y)).alias(y) for y in year_dirs])
+    writers.write_lines(observed, out_dir, cl.BIKE_OUT)
+    counts = {y: int(v) for y, v in obs.get.items()}
     return dict(path=out_dir, counts=counts, total=sum(counts.values()))
 
 
 def clean_taxi_job(spark: SparkSession, pattern: str, out_dir: str, spec: cl.TaxiSpec = cl.YELLOW,
                    schema: str | None = None) -> dict:
+    from pyspark.sql import Observation
     from tripwise import schemas
-    raw = readers.read_csv_glob(spark, pattern, schema or schemas.YELLOW_RAW).persist()
-    try:
-        counts = cl.cleaning_counts(raw, spec).first().asDict()
-        writers.write_csv(cl.clean_taxi(raw, spec), out_dir, header=False)
-    finally:
-        raw.unpersist()
-    return dict(path=out_dir, **counts)
+    raw = readers.read_csv_glob(spark, pattern, schema or schemas.YELLOW_RAW)
+    obs = Observation("taxi_counts")
+    p = cl.project_taxi(raw, spec).where(cl.duration_open_condition())
+    p = p.observe(obs, *cl.step_count_exprs(spec))
+    writers.write_csv(cl.bounding_box(cl.coords_not_null(p), spec), out_dir, header=False)
+    return dict(path=out_dir, **{k: int(v) for k, v in obs.get.items()})
 
 
 def main(argv: list[str]) -> int:
