@@ -109,14 +109,22 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
         km = models.load_model(spark, kmeans_dir, "km")
         model = models.load_model(spark, model_dir, algo)
         if mode == "test":
-            data = labelled_features(t, w, clustering.centres_of(km), dataset)
+            # One read of the trips (bounded join cached for the statistics),
+            # scores written once, both MSEs collected as metrics of that write.
+            from pyspark.sql import Observation
+            joined = duration_closed(joined_features(t, w, clustering.centres_of(km), dataset, labelled=True),
+                                     LABEL).persist()
             try:
-                scored = scoring.score_labelled(model, data, feats, LABEL)
+                scored = scoring.score_labelled(model, speed_3sigma(joined, "dist", LABEL), feats, LABEL)
+                obs = Observation("mse")
+                se = F.pow(F.col(LABEL) - F.col("prediction"), 2)
+                scored = scored.observe(obs, F.avg(se).alias("mse"),
+                                        F.avg(F.when(held_out(opts), se)).alias("mse_held_out"))
                 out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_test", opts.output_format)
-                row = scoring.mse_split(scored, held_out(opts)).first()
-                return dict(mode=mode, path=out, mse_all=row["mse"], mse_held_out=row["mse_held_out"])
+                m = obs.get
+                return dict(mode=mode, path=out, mse_all=m["mse"], mse_held_out=m["mse_held_out"])
             finally:
-                data.unpersist()
+                joined.unpersist()
         data = build_features(t, w, clustering.centres_of(km), dataset, labelled=False)
         scored = scoring.score_unlabelled(model, data, feats)
         out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_prediction", opts.output_format)
