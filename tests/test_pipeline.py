@@ -85,3 +85,14 @@ def test_job_counts_equal_one_pass_counts(spark):
     raw = readers.read_lines(spark, d)
     assert res["counts"] == {"2015": cl.clean_bike(raw, cl.BIKE_2015).count(),
                              "2016": cl.clean_bike(raw, cl.BIKE_2016).count()}
+
+
+def test_partitioned_scored_output_round_trips(spark):
+    from pyspark.sql import functions as F
+    ev = sv.table(spark, SF_SMALL, "events")
+    df = sv.trips(ev).select("trip_id", "dt", "dur")
+    path = writers.write_scored(df, scratch_path(spark, "part"), partition_by=["dt"])
+    back = spark.read.parquet(path)
+    assert back.count() == df.count()
+    one_day = back.where(F.col("dt") == F.lit("2024-01-05").cast("date"))
+    assert one_day.count() == df.where(F.col("dt") == F.lit("2024-01-05").cast("date")).count() > 0
