@@ -1,5 +1,6 @@
 """Small fixtures shared by the tests of the operators."""
 
+SF_SMALL, SF_MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -119,7 +119,7 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.nda
     sw = sw / sw.sum()
     m, v, mb, vb = np.zeros(dim), np.zeros(dim), 0.0, 0.0
     prior = float(np.clip((sw * y).sum(), 1e-3, 1 - 1e-3))
-    b = float(np.log(prior / (1 - prior)))
+    b = float(np.log(prior / (1 - prior)))  # the weighted share of ones
     for t in range(1, steps + 1):
         z = np.bincount(rows, weights=vals * w[cols], minlength=n) + b
         g = sw * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import table, tokenizer_path
-from tripwise.llm import simhash, url_filter
+from tripwise.llm import quality, secrets, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +63,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs).select("doc_id", "votes", "posterior", "score", "predicted")
+
+
+@register("op4_secret_scans")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
