@@ -28,28 +28,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[list, Column]:
-    """Bounds that cut ``key`` into buckets of about ``rows_per_bucket`` rows, and the bucket column.
+#: Most buckets of one order; their bounds are a literal of the plan.
+MAX_BUCKETS = 16_384
+FIRST = -(1 << 63)
 
-    The bounds are approximate quantiles (one pass, a bounded sketch), at most
-    4,096 of them, so their size does not depend on the data.  They are literals of the
-    returned expression: every evaluation of the plan gives a row the same bucket.
-    Bucket numbers ascend with the key; a null key falls into bucket 0.
+
+def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
+    """``df`` with ``okey`` (``key``, null as the smallest number) and ``bucket``, which ascends with it.
+
+    The bounds are approximate quantiles: one pass with a bounded sketch, at most
+    ``MAX_BUCKETS`` of them whatever the data.  Being part of the plan, they give a row
+    the same bucket on every evaluation; rows of one key share a bucket.
     """
+    from pyspark.ml.feature import Bucketizer
     n = df.count()
-    parts = int(min(4096, max(1, -(-n // rows_per_bucket))))
+    parts = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
     probs = [i / parts for i in range(1, parts)]
-    bounds = sorted(set(df.approxQuantile(key, probs, 0.2 / parts))) if probs and n else []
-    cuts = [int(b) for b in bounds]
-    if not cuts:
-        return cuts, F.lit(0)
-    # A binary search over the literal bounds, as nested conditions: log2(parts) comparisons a row.
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(key) >= F.lit(cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
-    return cuts, search(0, len(cuts))
+    bounds = df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, probs, 0.2 / parts) if probs else []
+    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
+    df = df.withColumn("okey", F.coalesce(F.col(key).cast("long"), F.lit(FIRST)))
+    if len(splits) == 2:
+        return df.withColumn("bucket", F.lit(0))
+    cut = Bucketizer(splits=splits, inputCol="__key", outputCol="__bucket")
+    return cut.transform(df.withColumn("__key", F.col("okey").cast("double"))) \
+        .withColumn("bucket", F.col("__bucket").cast("int")).drop("__key", "__bucket")
 
 
 class TokenMemo:

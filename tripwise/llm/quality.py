@@ -191,12 +191,13 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     return Model(w, bias, posterior, right)
 
 
-def classify(docs: DataFrame, max_train: int = MAX_TRAIN, threshold: float = 0.2) -> DataFrame:
+def classify(docs: DataFrame, max_train: int = MAX_TRAIN, threshold: float = 0.2, prefix: str = "") -> DataFrame:
     """``docs`` with ``votes``, ``posterior`` (of the weak labels), ``score`` and ``predicted`` (1: good).
 
-    A text is rejected only on clear evidence: a score below ``threshold``.
+    A text is rejected only on clear evidence: a score below ``threshold``.  The names
+    come after ``prefix`` and replace columns of that name.
     """
     model = fit(docs, max_train)
-    out = docs.withColumn("__q", model.score(docs.sparkSession, F.col("text")))
-    out = out.withColumns({c: F.col(f"__q.{c}") for c in ("votes", "posterior", "score")}).drop("__q")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = docs.withColumn("__judged", model.score(docs.sparkSession, F.col("text")))
+    out = out.withColumns({prefix + c: F.col(f"__judged.{c}") for c in ("votes", "posterior", "score")}).drop("__judged")
+    return out.withColumn(f"{prefix}predicted", (F.col(f"{prefix}score") >= threshold).cast("int"))

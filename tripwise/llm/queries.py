@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import table, tokenizer_path
-from tripwise.llm import quality, secrets, simhash, toxicity, url_filter
+from tripwise.llm import (ann, bpe_lexicon, huffman, order_minhash, packing, quality, secrets, simhash, toxicity,
+                          url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_secret_scans")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op5_ann_one_bit")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op6_order_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_copies(table(spark, sf_dir, "documents"))
+
+
+@register("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@register("op9_huffman_tokens")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@register("op10_bpe_lexicon")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_lexicon.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import written
@@ -237,3 +238,18 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.join(smallest, "root").select("fp", "component_id")
     return held.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
+
+    Texts meet the list of dropped ids in one join, and the window that leaves one row of
+    a repeated doc_id runs on the same partitioning.  Rows without a doc_id cannot be named
+    as members; one row of each distinct text among them stays.
+    """
+    groups = near_duplicates(docs, words, max_bits)
+    goes = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__key"), F.lit(False).alias("__null"))
+    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "__null": F.col("doc_id").isNull()})
+    kept = keyed.join(goes.distinct(), ["__key", "__null"], "left_anti")
+    nth = F.row_number().over(W.partitionBy("__key", "__null").orderBy("text"))
+    return kept.withColumn("__nth", nth).filter("__nth = 1").select(*docs.columns)

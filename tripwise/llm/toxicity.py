@@ -145,9 +145,10 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` and ``predicted``."""
+def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, prefix: str = "") -> DataFrame:
+    """``docs`` with ``held_out``, ``score`` and ``predicted`` (names after ``prefix``; they replace columns of that name)."""
     learn = labels.filter(~held_out(F.col("doc_id")))
     model = fit(labelled(docs, learn, max_train))
-    out = docs.withColumns({"held_out": held_out(F.col("doc_id")), "score": model.score(docs.sparkSession, F.col("text"))})
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    out = docs.withColumns({f"{prefix}held_out": held_out(F.col("doc_id")),
+                            f"{prefix}score": model.score(docs.sparkSession, F.col("text"))})
+    return out.withColumn(f"{prefix}predicted", (F.col(f"{prefix}score") >= 0.5).cast("int"))
