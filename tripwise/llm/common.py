@@ -59,35 +59,86 @@ class TokenMemo:
 
     Both vocabularies used here pre-tokenise so that no token spans the border
     between a chunk and the white space after it: ``lead`` says whether the white space
-    before a chunk belongs to it (byte-level vocabularies) or is dropped.  A chunk met for
-    the first time goes through the library alone, a repeated one costs a dictionary look-up.
-    The memo forgets everything at ``limit`` entries, so its memory is bounded.
+    before a chunk belongs to it (byte-level vocabularies) or is dropped.  ``fold`` is set for
+    vocabularies that lower-case.  Nor does a token span the border between a last letter and
+    the sentence marks after it, so these are looked up apart.  What is met for the first
+    time goes through the library; what repeats costs a dictionary look-up.  Two generations of
+    at most ``limit`` entries are kept: a full one replaces the older, so memory is bounded.
     """
 
-    def __init__(self, path: str, lead: bool, dtype: str, limit: int = 600_000):
+    MARKS = ".,;:!?"
+    #: Characters cut at once.
+    WORK = 1 << 21
+
+    def __init__(self, path: str, lead: bool, dtype: str, limit: int = 800_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.dtype, self.limit = dtype, limit
+        self.dtype, self.limit, self.fold = dtype, limit, not lead
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.find = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if lead else f"[^{WHITE}]+").findall
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids of ``text`` as packed little-endian integers of ``dtype``; null counts as empty."""
-        if not text:
-            return b""
-        chunks, memo = self.find(text), self.memo
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(memo) >= self.limit:
-            memo.clear()
-        new = list({c for c in chunks if c not in memo})
-        for c, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-            memo[c] = np.array(e.ids, dtype=self.dtype).tobytes()
-        return b"".join([memo[c] for c in chunks])
+    def _recall(self, wanted: set[str]) -> set[str]:
+        """Take what the older generation knows; the rest of ``wanted``."""
+        memo, older = self.memo, self.older
+        wanted = wanted.difference(memo)
+        if not older:
+            return wanted
+        memo.update([(c, older[c]) for c in wanted if c in older])
+        return wanted.difference(memo)
+
+    def _encode(self, words: list[str]) -> None:
+        """Remember words that the library has not yet been asked for, many of them a call."""
+        memo, width = self.memo, np.dtype(self.dtype).itemsize
+        for at in range(0, len(words), 4096):
+            part = words[at:at + 4096]
+            got = self.tok.encode(part, is_pretokenized=True, add_special_tokens=False)
+            flat = np.array(got.ids, dtype=self.dtype).tobytes()
+            ends = (np.cumsum(np.bincount(got.word_ids, minlength=len(part))) * width).tolist() if flat else [0] * len(part)
+            memo.update(zip(part, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _learn(self, chunks: set[str]) -> None:
+        marked, alike, new, marks = [], [], [], self.MARKS
+        for c in chunks:
+            core, tail = c, ""
+            if c[-1] in marks:
+                core = c.rstrip(marks)
+                if core and core[-1].isalpha():
+                    tail = c[len(core):]
+                    new.append(tail)
+                else:
+                    core = c
+            if self.fold and core.isascii() and core.isalpha():
+                core = core.lower()
+            new.append(core)
+            if tail:
+                marked.append((c, core, tail))
+            elif core is not c:
+                alike.append((c, core))
+        self._encode(list(self._recall(set(new))))
+        memo = self.memo
+        memo.update([(c, memo[core] + memo[tail]) for c, core, tail in marked])
+        memo.update([(c, memo[core]) for c, core in alike])
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as packed little-endian integers; null counts as empty."""
+        out, at = [], 0
+        while at < len(texts):
+            cut, size = [], 0
+            while at + len(cut) < len(texts) and size < self.WORK:
+                text = texts[at + len(cut)] or ""
+                size += len(text) + 1
+                cut.append(self.find(text))
+            at += len(cut)
+            if len(self.memo) >= self.limit:
+                self.memo, self.older = {}, self.memo
+            if new := self._recall(set().union(*cut)):
+                self._learn(new)
+            get = self.memo.__getitem__
+            out += [b"".join(map(get, chunks)) for chunks in cut]
+        return out
 
 
 _MEMOS: dict[tuple, TokenMemo] = {}

@@ -117,7 +117,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, end = token_memo(tokenizer, True, "<u2"), np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            ids = [memo.ids(t) + end for t in batch.column(3).to_pylist()]
+            ids = [x + end for x in memo.ids(batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 ["bucket", "okey", "doc_id", "n", "ids"])
