@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF_SMALL, documents, save
 from tokenizers import Tokenizer
@@ -45,10 +46,14 @@ def library(path, texts):
 def test_memo_equals_the_library(spark, odd, path, lead):
     texts = odd[0] | {-1 - i: t for i, t in texts_of(spark).items()}
     want, _ = library(path, texts)
-    for limit, work in ((800_000, 1 << 21), (50, 1)):
+    column = pa.array([*texts.values(), None, "cut off"])[:-2]
+    for limit, work in ((800_000, 1 << 21), (50, 1), (50, 3000)):
         memo = TokenMemo(path, lead, "<u2", limit)
         memo.WORK = work
-        assert {i: np.frombuffer(x, "<u2").tolist() for i, x in zip(texts, memo.ids(list(texts.values())))} == want
+        for _ in range(2):
+            assert {i: np.frombuffer(x, "<u2").tolist() for i, x in zip(texts, memo.ids(column))} == want
+    tail = memo.ids(column[7:])
+    assert [np.frombuffer(x, "<u2").tolist() for x in tail] == list(want.values())[7:]
 
 
 def check_packing(rows, texts, capacity=2048):

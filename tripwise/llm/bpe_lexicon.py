@@ -10,7 +10,7 @@ memory-map it.  Words outside the lexicon are merged exactly, pair by pair in ra
 
 Words of a text: special tokens are cut out of the raw text, the rest is NFC-normalised and
 lower-cased character by character and cut by the vocabulary's pattern.  Workers remember
-white-space chunks they have met (up to ``MEMO``), so a chunk is normalised and cut once.
+chunks they have met (twice ``MEMO`` at most), so a chunk is normalised and cut once.
 
 Defined cases: null text counts as empty: no ids and empty decoded text; the strings of
 special tokens are special tokens, as in the library; a word of any length is merged in
@@ -24,7 +24,6 @@ import heapq
 import json
 import mmap
 import re
-import unicodedata
 import uuid
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import WHITE
+from tripwise.llm.common import WHITE, ChunkMemo, byte_letters, lower_case
 from tripwise.session import checkpoint_root
 
 #: Words in the lexicon, and chunks that a worker remembers.
@@ -42,13 +41,6 @@ LEXICON, MEMO = 1 << 16, 400_000
 MAGIC = b"DAWG0001"
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return [chr(b) if b in plain else chr(0x100 + rest.index(b)) for b in range(256)]
-
-
 class Vocabulary:
     """Ids, merge ranks and cutting rules of a vocabulary file whose words end in a suffix."""
 
@@ -66,11 +58,6 @@ class Vocabulary:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\s", WHITE)).findall
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split
-        self.chunks = re.compile(f"[^{WHITE}]+").findall
-
-    def normal(self, chunk: str) -> str:
-        # One character at a time a capital sigma has one lower case, whatever follows it.
-        return unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
 
     def merge(self, word: str) -> list[int]:
         """Ids of a word by exact merging: the lowest-ranked pair first, the leftmost of equal ones."""
@@ -111,10 +98,6 @@ class Vocabulary:
                     heapq.heappush(heap, (rank[p], x, p))
         return [p for p in live if p]
 
-    def decode(self, ids: list[int]) -> str:
-        """No decoder is set in the vocabulary: tokens are joined by a space."""
-        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
-
 
 def compile_lexicon(words: list[bytes], outputs: list[list[int]]) -> bytes:
     """Minimal acyclic automaton of sorted, distinct, non-empty words with their ids, as one flat file.
@@ -210,50 +193,35 @@ class Lexicon:
         return [self.flat[self.ends[n]:self.ends[n + 1]].tolist() if k else None for n, k in zip(number.tolist(), known.tolist())]
 
 
-class Coder:
+class Coder(ChunkMemo):
     """Encodes and decodes in one worker: remembered chunks, then the lexicon, then exact merging."""
 
     def __init__(self, tokenizer: str, lexicon: Lexicon, limit: int = MEMO):
-        self.vocabulary, self.lexicon, self.limit = Vocabulary(tokenizer), lexicon, limit
-        self.memo: dict[str, tuple[int, str, str]] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        """Number of ids, ids and decoded text of new chunks."""
-        v, memo = self.vocabulary, self.memo
-        cut = {c: v.words(v.normal(c)) for c in chunks}
-        words = list({w for found in cut.values() for w in found})
-        ids = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in words])
-        known = {w: v.merge(w) if i is None else i for w, i in zip(words, ids)}
-        for c, found in cut.items():
-            got = [i for w in found for i in known[w]]
-            memo[c] = len(got), " ".join(map(str, got)), v.decode(got)
-
-    def chunks_of(self, text: str) -> list[str]:
-        """Chunks of a text; special tokens are chunks of their own, remembered from the start."""
-        v = self.vocabulary
-        if any(s in text for s in v.special):
-            out = []
-            for piece in v.cut(text):
-                out += [piece] if piece in v.special else v.chunks(piece)
-            return out
-        return v.chunks(text)
-
-    def run(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
-        """(number of ids, decimal ids joined by spaces, decoded text) of each text."""
-        memo, special = self.memo, self.vocabulary.special
-        cut = [self.chunks_of(t) if t else [] for t in texts]
-        new = {c for chunks in cut for c in chunks if c not in memo}
-        if new:
-            if len(memo) + len(new) > self.limit:
-                new |= {c for chunks in cut for c in chunks}
-                memo.clear()
-            self.learn(new - special.keys())
-            memo.update({c: (1, str(i), c) for c, i in special.items()})
-        out = []
-        for chunks in cut:
-            got = [m for c in chunks if (m := memo[c])[0]]
-            out.append((sum([m[0] for m in got]), " ".join([m[1] for m in got]), " ".join([m[2] for m in got])))
-        return out
+        super().__init__(False, "<u2", limit)
+        self.vocabulary, self.lexicon = Vocabulary(tokenizer), lexicon
+        top = max(self.vocabulary.tokens) + 1
+        self.decimal, self.token = [str(i) for i in range(top)], [self.vocabulary.tokens.get(i, "") for i in range(top)]
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of chunks: special tokens are cut out, the rest is normalised and cut into the vocabulary's words."""
+        v, found = self.vocabulary, []
+        for chunk in words:
+            if chunk.isalpha() and chunk.isascii():
+                found.append([chunk.lower()])
+            elif "<|" in chunk:
+                found.append([w for p in v.cut(chunk) for w in ([v.special[p]] if p in v.special else v.words(lower_case(p)))])
+            else:
+                found.append(v.words(lower_case(chunk)))
+        new = list({w for parts in found for w in parts if isinstance(w, str)})
+        ids = self.lexicon.find([w.encode() for w in new])
+        known = {w: v.merge(w) if i is None else i for w, i in zip(new, ids)}
+        return [known[p[0]] if len(p) == 1 and isinstance(p[0], str) else
+                [i for w in p for i in (known[w] if isinstance(w, str) else [w])] for p in found]
+
+    def texts(self, packed: bytes) -> tuple[int, str, str]:
+        """Number of ids, decimal ids joined by spaces, and decoded text (no decoder is set: tokens joined by spaces)."""
+        ids = np.frombuffer(packed, self.dtype).tolist()
+        return len(ids), " ".join(map(self.decimal.__getitem__, ids)), " ".join(map(self.token.__getitem__, ids))
 
 
 def frequent_words(docs: DataFrame, limit: int = LEXICON) -> list[str]:
@@ -266,7 +234,7 @@ def frequent_words(docs: DataFrame, limit: int = LEXICON) -> list[str]:
 def ship_lexicon(docs: DataFrame, tokenizer: str, limit: int = LEXICON) -> str:
     """Compile the corpus's lexicon, write it to the shared folder and hand it to all executors; its name."""
     spark, v = docs.sparkSession, Vocabulary(tokenizer)
-    words = sorted({v.normal(w) for w in frequent_words(docs, limit)}, key=lambda w: w.encode("utf-8", "surrogatepass"))
+    words = sorted({lower_case(w) for w in frequent_words(docs, limit)}, key=lambda w: w.encode("utf-8", "surrogatepass"))
     words = [w for w in words if v.words(w) == [w]]
     data = compile_lexicon([w.encode("utf-8", "surrogatepass") for w in words], [v.merge(w) for w in words])
     name = f"lexicon-{uuid.uuid4().hex}.bin"
@@ -301,12 +269,11 @@ def round_trip(docs: DataFrame, tokenizer: str, limit: int = LEXICON) -> DataFra
         work = coder(tokenizer, name)
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                got = work.run(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([sha(g[1]) for g in got], pa.string()),
-                     pa.array([sha(g[2]) for g in got], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            got = [(n, sha(ids), sha(text)) for n, ids, text in map(work.texts, work.ids(batch.column(1)))]
+            cols = list(zip(*got)) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,90 +56,203 @@ def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
         .withColumn("bucket", F.col("__bucket").cast("int")).drop("__key", "__bucket")
 
 
-class TokenMemo:
-    """Token ids of texts by the tokenizers library, remembered by white-space chunk.
+#: Masks of the first 0..8 bytes of a little-endian word; byte tables.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+BYTES = np.arange(256)
+BLANK = np.isin(BYTES, [9, 10, 11, 12, 13, 32])
+MAYBE_BLANK = np.isin(BYTES, [0xC2, 0xE1, 0xE2, 0xE3])  # first bytes of white space beyond ASCII
+LOWER = np.where((BYTES >= 65) & (BYTES <= 90), BYTES + 32, BYTES).astype(np.uint8)
+LETTER = (LOWER >= 97) & (LOWER <= 122)
+MARK = np.isin(BYTES, list(b".,;:!?"))
 
-    Both vocabularies used here pre-tokenise so that no token spans the border
-    between a chunk and the white space after it: ``lead`` says whether the white space
-    before a chunk belongs to it (byte-level vocabularies) or is dropped.  ``fold`` is set for
-    vocabularies that lower-case.  Nor does a token span the border between a last letter and
-    the sentence marks after it, so these are looked up apart.  What is met for the first
-    time goes through the library; what repeats costs a dictionary look-up.  Two generations of
-    at most ``limit`` entries are kept: a full one replaces the older, so memory is bounded.
+
+class ChunkMemo:
+    """Token ids of texts, remembered by chunk; ``encode`` of a subclass is asked for new chunks only.
+
+    A text is cut where no token of the vocabularies used here spans the border: between
+    a word and white space, and between a last letter and the sentence marks after it.
+    ``lead`` is set for byte-level vocabularies, where a space belongs to the word after it and
+    other white space is a chunk; without it white space is dropped and letters
+    are lower-cased.  A batch of texts is cut in one go on its UTF-8 bytes, equal
+    chunks are found by sorting, and only the different ones are looked up.  Two
+    generations of at most ``limit`` entries are kept: a full one replaces the older, so
+    memory is bounded.
     """
 
-    MARKS = ".,;:!?"
-    #: Characters cut at once.
-    WORK = 1 << 21
+    #: Bytes cut at once (one text at least); chunks of more bytes than KEY are looked up one by one.
+    WORK, KEY = 1 << 20, 24
+
+    def __init__(self, lead: bool, dtype: str, limit: int = 600_000):
+        self.lead, self.dtype, self.limit = lead, np.dtype(dtype), limit
+        self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.find = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if lead else f"[^{WHITE}]+").findall
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def _known(self, chunks: list[bytes]) -> list[bytes]:
+        memo, older = self.memo, self.older
+        got = list(map(memo.get, chunks))
+        if None in got:
+            new = {c for c, v in zip(chunks, got) if v is None}
+            if older:
+                memo.update([(c, older[c]) for c in new if c in older])
+                new = new.difference(memo)
+            words, width = list(new), self.dtype.itemsize
+            ids = self.encode([w.decode() for w in words])
+            ends = np.cumsum([0, *map(len, ids)]) * width
+            flat = np.array([i for x in ids for i in x], self.dtype).tobytes()
+            memo.update(zip(words, [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]))
+            got = list(map(memo.__getitem__, chunks))
+        return got
+
+    def _cut(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of every chunk of the texts raw[at[i]:at[i + 1]], in order."""
+        n = len(raw)
+        blank, border = BLANK[raw], np.zeros(n + 1, bool)
+        border[at] = True
+        before, after = np.ones(n, bool), np.ones(n, bool)
+        before[1:], after[:-1] = blank[:-1], blank[1:]
+        begin = np.flatnonzero(~blank & (before | border[:n]))
+        end = np.flatnonzero(~blank & (after | border[1:])) + 1
+        new = border.copy()
+        new[begin] = new[end] = True
+        # Sentence marks after a letter: ASCII, or of two bytes from C3 (but the signs for times and divided by).
+        marked = MARK[raw[end - 1]]
+        mark = MARK[raw]
+        core = np.maximum.accumulate(np.where(mark, -1, np.arange(n)))[end[marked] - 1] + 1  # where the marks begin
+        core = core[core > begin[marked]]
+        one, two = raw[core - 1], np.where(core > 1, raw[core - 2], 0)
+        new[core[LETTER[one] | ((two == 0xC3) & (one != 0x97) & (one != 0xB7))]] = True
+        if self.lead:
+            inner = begin[~border[begin]]
+            led = inner[blank[inner - 1]]
+            new[led - 1] = True  # the last white space before a word: a space goes with it
+            new[led[raw[led - 1] == 32]] = False
+        first = np.flatnonzero(new[:n])
+        last = np.append(first[1:], n)
+        return (first, last) if self.lead else (first[keep := ~blank[first]], last[keep])
+
+    def _different(self, raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One chunk of each kind, and every chunk's kind: by length and the bytes themselves, hashed only to sort."""
+        eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([raw, np.zeros(self.KEY, np.uint8)]), 8)
+        words = [eight[begin + k].view("<u8").ravel() & MASKS[np.clip(size - k, 0, 8)] for k in range(0, self.KEY, 8)]
+        words[0] = np.where(size > self.KEY, begin.astype(np.uint64), words[0])  # long ones are kinds of their own
+        h = size.astype(np.uint64)
+        for w in words:
+            h = (h ^ w) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        order = np.argsort(h)
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = h[order[1:]] != h[order[:-1]]
+        kind = np.empty(len(h), np.int64)
+        kind[order] = np.cumsum(fresh) - 1
+        shown = order[fresh]
+        odd = size != size[shown[kind]]
+        for w in words:
+            odd |= w != w[shown[kind]]
+        odd = np.flatnonzero(odd)  # equal hashes of different chunks
+        kind[odd] = len(shown) + np.arange(len(odd))
+        return np.concatenate([shown, odd]), kind
+
+    def _odd_texts(self, raw: np.ndarray, at: np.ndarray) -> list[int]:
+        """Texts with white space beyond ASCII, or with what may be a special token, which is not lower-cased."""
+        three = np.concatenate([raw, np.zeros(2, np.uint8)])
+        p = np.flatnonzero(MAYBE_BLANK[raw])
+        a, b, c = (three[p + k] for k in range(3))
+        blank = ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) \
+            | ((a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) \
+            | ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+        q = np.flatnonzero(raw == 60)
+        odd = np.concatenate([p[blank], q[three[q + 1] == 124]])  # <|
+        return np.unique(np.searchsorted(at, odd, "right") - 1).tolist()
+
+    def _batch(self, raw: np.ndarray, at: np.ndarray) -> list[bytes]:
+        if len(self.memo) >= self.limit:
+            self.memo, self.older = {}, self.memo
+        width = self.dtype.itemsize
+        out = [b""] * (len(at) - 1)
+        begin, end = self._cut(raw, at)
+        if len(begin):
+            cut = raw if self.lead else LOWER[raw]
+            data = cut.tobytes()
+            shown, kind = self._different(cut, begin, end - begin)
+            known = self._known([data[a:b] for a, b in zip(begin[shown].tolist(), end[shown].tolist())])
+            size = np.fromiter(map(len, known), np.int64, len(known)) // width
+            flat = np.frombuffer(b"".join(known), self.dtype)
+            n = size[kind]
+            ends = np.concatenate(([0], np.cumsum(n)))
+            skip = (np.cumsum(size) - size)[kind] - ends[:-1]
+            ids = flat[np.arange(ends[-1]) + np.repeat(skip, n)].tobytes()
+            edge = (ends[np.searchsorted(begin, at)] * width).tolist()
+            out = [ids[a:b] for a, b in zip(edge, edge[1:])]
+        for i in self._odd_texts(raw, at):
+            text = raw[at[i]:at[i + 1]].tobytes().decode()
+            out[i] = b"".join(self._known([c.encode() for c in self.find(text)]))
+        return out
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of an Arrow string array as packed little-endian integers; null counts as empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        out, i = [], 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + self.WORK, "right")) - 1)
+            out += self._batch(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            i = j
+        return out
 
-    def __init__(self, path: str, lead: bool, dtype: str, limit: int = 800_000):
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(0x100 + rest.index(b)) for b in range(256)]
+
+
+def lower_case(text: str) -> str:
+    """NFC and lower case character by character: a capital sigma has one lower case, whatever follows it."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
+class TokenMemo(ChunkMemo):
+    """New chunks go to the tokenizers library: plain words to its model, all others through the whole of it."""
+
+    def __init__(self, path: str, lead: bool, dtype: str, limit: int = 600_000):
+        super().__init__(lead, dtype, limit)
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.dtype, self.limit, self.fold = dtype, limit, not lead
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.find = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if lead else f"[^{WHITE}]+").findall
-
-    def _recall(self, wanted: set[str]) -> set[str]:
-        """Take what the older generation knows; the rest of ``wanted``."""
-        memo, older = self.memo, self.older
-        wanted = wanted.difference(memo)
-        if not older:
-            return wanted
-        memo.update([(c, older[c]) for c in wanted if c in older])
-        return wanted.difference(memo)
-
-    def _encode(self, words: list[str]) -> None:
-        """Remember words that the library has not yet been asked for, many of them a call."""
-        memo, width = self.memo, np.dtype(self.dtype).itemsize
-        for at in range(0, len(words), 4096):
-            part = words[at:at + 4096]
-            got = self.tok.encode(part, is_pretokenized=True, add_special_tokens=False)
-            flat = np.array(got.ids, dtype=self.dtype).tobytes()
-            ends = (np.cumsum(np.bincount(got.word_ids, minlength=len(part))) * width).tolist() if flat else [0] * len(part)
-            memo.update(zip(part, [flat[a:b] for a, b in zip([0, *ends], ends)]))
-
-    def _learn(self, chunks: set[str]) -> None:
-        marked, alike, new, marks = [], [], [], self.MARKS
-        for c in chunks:
-            core, tail = c, ""
-            if c[-1] in marks:
-                core = c.rstrip(marks)
-                if core and core[-1].isalpha():
-                    tail = c[len(core):]
-                    new.append(tail)
+        self.letters = dict(enumerate(byte_letters()))
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        # The library gives a new wrapper of the model at each access.
+        out, rest, model, letters, lead = [None] * len(words), [], self.tok.model.tokenize, self.letters, self.lead
+        for i, w in enumerate(words):
+            core = w[1:] if lead and w[0] == " " else w
+            if core.isalpha():  # one pre-token
+                if not w.isascii():
+                    w = w if lead else lower_case(w)
+                    w = w.encode().decode("latin-1").translate(letters)
+                elif lead:
+                    w = "\u0120" + core if core is not w else w  # the letter of a space
                 else:
-                    core = c
-            if self.fold and core.isascii() and core.isalpha():
-                core = core.lower()
-            new.append(core)
-            if tail:
-                marked.append((c, core, tail))
-            elif core is not c:
-                alike.append((c, core))
-        self._encode(list(self._recall(set(new))))
-        memo = self.memo
-        memo.update([(c, memo[core] + memo[tail]) for c, core, tail in marked])
-        memo.update([(c, memo[core]) for c, core in alike])
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as packed little-endian integers; null counts as empty."""
-        out, at = [], 0
-        while at < len(texts):
-            cut, size = [], 0
-            while at + len(cut) < len(texts) and size < self.WORK:
-                text = texts[at + len(cut)] or ""
-                size += len(text) + 1
-                cut.append(self.find(text))
-            at += len(cut)
-            if len(self.memo) >= self.limit:
-                self.memo, self.older = {}, self.memo
-            if new := self._recall(set().union(*cut)):
-                self._learn(new)
-            get = self.memo.__getitem__
-            out += [b"".join(map(get, chunks)) for chunks in cut]
+                    w = w.lower()
+                out[i] = [t.id for t in model(w)]
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
+            got = self.tok.encode([words[i] for i in part], is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(got.word_ids, minlength=len(part))).tolist() if got.ids else [0] * len(part)
+            ids = got.ids
+            for i, a, b in zip(part, [0, *ends], ends):
+                out[i] = ids[a:b]
         return out
 
 

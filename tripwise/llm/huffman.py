@@ -1,14 +1,14 @@
 """Token-ID files: canonical length-limited Huffman codes of ids from global counts.
 
-Writing takes three passes.  Documents are encoded and sorted by doc_id into ordered
-buckets (a written table of packed ids); the ids of all documents are counted; package-merge
+Writing takes two passes.  Documents are encoded into a written table of packed ids, and each
+task counts the ids it wrote; the counts of all tasks are summed; package-merge
 gives the best code lengths of at most ``LIMIT`` bits, and canonical codes follow from the
 lengths alone, which are the file's code book.  A file is a folder with two Parquet
 tables, ``codebook`` (id, bits) and ``blocks``, so Spark commits it as a whole and a lost
 executor only repeats a task.
 
-A block holds about ``BLOCK`` ids of whole documents in ascending doc_id order and is
-decoded by itself: its row has the position of its first id among all ids, its documents with
+The second pass sorts documents by doc_id within ordered buckets and encodes them.  A block
+holds about ``BLOCK`` ids of whole documents in ascending doc_id order and is decoded by itself: its row has the position of its first id among all ids, its documents with
 their lengths, the bit stream, and the bit offset of every ``LANE``-th id.  Decoding is
 driven by a table of all ``LIMIT``-bit prefixes and runs from all checkpoints of a block at once.
 
@@ -19,12 +19,14 @@ at most; an empty table gives an empty file; only ``doc_id`` and ``text`` are re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tripwise.llm.common import ordered_buckets, token_memo, written
 from tripwise.session import scratch_path
@@ -113,30 +115,26 @@ def unpack_bits(stream: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarr
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(bucket, okey, doc_id, n, ids, first): packed ids of every document, its first id's position in its bucket."""
+    """(bucket, okey, doc_id, n, ids) of every document; each task adds one row whose ``counts`` are those of its ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, end = token_memo(tokenizer, True, "<u2"), np.array([end_id], "<u2").tobytes()
+        seen = np.zeros(1 << 16, np.int64)
+        names = ["bucket", "okey", "doc_id", "n", "ids", "counts"]
         for batch in batches:
-            ids = [x + end for x in memo.ids(batch.column(3).to_pylist())]
+            ids = [x + end for x in memo.ids(batch.column(3))]
+            seen += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=1 << 16)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["bucket", "okey", "doc_id", "n", "ids"])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, upto = None, 0
-        for batch in batches:
-            first = []
-            for b, n in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
-                if b != bucket:
-                    bucket, upto = b, 0
-                first.append(upto)
-                upto += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.int64())], [*batch.schema.names, "first"])
+                [*batch.columns[:3], pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.nulls(len(ids), pa.binary())], names)
+        if seen.any():
+            used = np.flatnonzero(seen)
+            none = [pa.nulls(1, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            packed = np.stack([used, seen[used]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([*none, pa.array([packed], pa.binary())], names)
 
-    columns = "bucket int, okey long, doc_id long, n long, ids binary"
     keyed = ordered_buckets(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", ROWS_PER_BUCKET)
-    return keyed.select("bucket", "okey", "doc_id", "text").mapInArrow(run, columns) \
-        .repartition("bucket").sortWithinPartitions("bucket", "okey", "n", "ids").mapInArrow(number, columns + ", first long")
+    return keyed.select("bucket", "okey", "doc_id", "text").mapInArrow(
+        run, "bucket int, okey long, doc_id long, n long, ids binary, counts binary")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
@@ -145,19 +143,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     held = written(encoded(docs, tokenizer, end_id), "token-ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                seen += np.bincount(np.frombuffer(x.as_buffer(), "<u2"), minlength=1 << 16)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
+                used, n = np.frombuffer(x.as_buffer(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["id", "n"])
 
-    seen = held.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(1 << 16, np.int64)  # 2^16 at most: ids are packed in two bytes
+    seen = held.select("counts").filter("counts is not null").mapInArrow(count, "id long, n long") \
+        .groupBy("id").agg(F.sum("n").alias("n")).collect()  # 2^16 rows at most: ids are packed in two bytes
+    counts = np.zeros(1 << 16, np.int64)
     for r in seen:
         counts[r.id] = r.n
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
+    held = held.filter("bucket is not null")
     upto, starts = 0, {}
     for bucket, n in sorted(tuple(r) for r in held.groupBy("bucket").agg(F.sum("n")).collect()):
         starts[bucket], upto = upto, upto + n
@@ -177,48 +175,56 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                  pa.array([checkpoints], pa.binary())],
                 ["first_id", "n_ids", "doc_ids", "doc_ids_count", "bits", "checkpoints"])
 
-        begin, upto, docs, ids = 0, -1, [], []
+        at, begin, upto, docs, ids = None, 0, 0, [], []
         for batch in batches:
-            for bucket, doc, n, x, first in zip(*[batch.column(c).to_pylist() for c in range(5)]):
-                here = starts[bucket] + first
-                if docs and (here != upto or here - begin >= BLOCK):  # a gap in the order, or full
+            for bucket, doc, n, x in zip(*[batch.column(c).to_pylist() for c in range(4)]):
+                if docs and (bucket != at or upto - begin >= BLOCK):
                     yield block(begin, docs, ids)
                     docs, ids = [], []
+                if bucket != at:  # a task holds whole buckets, one after another
+                    at, upto = bucket, starts[bucket]
                 if not docs:
-                    begin = here
+                    begin = upto
                 docs.append(doc)
                 ids.append(x)
-                upto = here + n
+                upto += n
         if docs:
             yield block(begin, docs, ids)
 
-    held.select("bucket", "doc_id", "n", "ids", "first").mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    held.select("bucket", "okey", "doc_id", "n", "ids").repartition("bucket") \
+        .sortWithinPartitions("bucket", "okey", "n", "ids").select("bucket", "doc_id", "n", "ids") \
+        .mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids): every document of a token file, its ids packed as little-endian unsigned 32-bit integers."""
+def decoded(spark: SparkSession, path: str, columns: str, of: Callable[[np.ndarray], list]) -> DataFrame:
+    """doc_id, start and, as ``columns``, what ``of`` makes of every document's decoded ids, in the task that decodes them."""
     book = spark.read.schema("id long, bits int").parquet(f"{path}/codebook").collect()  # 2^16 rows at most
     lengths = np.zeros(1 << 16, np.int64)
     for r in book:
         lengths[r.id] = r.bits
     shared = spark.sparkContext.broadcast(decode_table(lengths, canonical_codes(lengths)))
+    schema = spark.createDataFrame([], f"doc_id long, start long, {columns}").schema
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n, docs, counts, bits, checkpoints in zip(*[batch.column(c).to_pylist() for c in range(6)]):
-                ids = unpack_bits(bits, checkpoints, n, shared.value)
+                ids = unpack_bits(bits, checkpoints, n, shared.value).astype("<u4")
                 ends = np.cumsum(counts)
-                cut = [ids[e - c:e].astype("<u4").tobytes() for e, c in zip(ends, counts)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(first + ends - np.array(counts), pa.int64()), pa.array(cut, pa.binary())],
-                    ["doc_id", "start", "ids"])
+                made = zip(*[of(ids[e - c:e]) for e, c in zip(ends, counts)])
+                cols = [docs, first + ends - np.array(counts), *made]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, arrow)], schema=arrow)
+
+    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").mapInArrow(run, schema)
 
-    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").mapInArrow(run, "doc_id long, start long, ids binary")
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, ids): every document of a token file, its ids packed as little-endian unsigned 32-bit integers."""
+    return decoded(spark, path, "ids binary", lambda ids: [ids.tobytes()])
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write a token file below the shared folder, read it back, and digest what was read."""
     path = scratch_path(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
-    return read_tokens(docs.sparkSession, path).select(
-        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return decoded(docs.sparkSession, path, "n_tokens long, ids_crc32 long", lambda ids: [len(ids), zlib.crc32(ids)])

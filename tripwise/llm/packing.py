@@ -62,7 +62,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         memo, end, salt = token_memo(tokenizer, False, "<u2"), np.array([end_id], "<u4"), 0
         for batch in batches:
             out = []
-            for doc, packed in zip(batch.column(0).to_pylist(), memo.ids(batch.column(1).to_pylist())):
+            for doc, packed in zip(batch.column(0).to_pylist(), memo.ids(batch.column(1))):
                 ids = np.concatenate([np.frombuffer(packed, "<u2").astype("<u4"), end])
                 for at in range(0, len(ids), capacity):
                     piece = ids[at:at + capacity]
