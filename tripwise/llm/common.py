@@ -235,10 +235,10 @@ class TokenMemo(ChunkMemo):
         out, rest, model, letters, lead = [None] * len(words), [], self.tok.model.tokenize, self.letters, self.lead
         for i, w in enumerate(words):
             core = w[1:] if lead and w[0] == " " else w
-            if core.isalpha():  # one pre-token
+            plain = w if lead or w.isascii() else lower_case(w)
+            if core.isalpha() and (plain is w or plain.isalpha()):  # one pre-token
                 if not w.isascii():
-                    w = w if lead else lower_case(w)
-                    w = w.encode().decode("latin-1").translate(letters)
+                    w = plain.encode().decode("latin-1").translate(letters)
                 elif lead:
                     w = "\u0120" + core if core is not w else w  # the letter of a space
                 else:
