@@ -26,7 +26,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     from tripwise.checks import queries
     from tripwise.session import get_session
-    spark = get_session()
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), driver_memory="16g")
     qs = queries()
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in qs]
     warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

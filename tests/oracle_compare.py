@@ -6,6 +6,7 @@ Usage: python tests/oracle_compare.py [sf_dir] [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -88,7 +89,8 @@ def main(argv):
     from tripwise.session import get_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(queries())
-    spark = get_session()
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), driver_memory="16g")
     con = duck(sf_dir)
     qs, sq = queries(), oracle_sql()
     fails = 0

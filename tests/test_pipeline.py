@@ -53,12 +53,9 @@ def test_trip_ids_do_not_depend_on_file_splitting(spark):
 
 def test_cleaned_taxi_files_feed_the_pipeline(spark):
     """Cleaning job output (9 columns, with trip_distance) is a valid training input."""
-    from pyspark.sql import functions as F
-    from tripwise import schemas
     from tripwise.plans.cleaning_jobs import clean_taxi_job
     ev = sv.table(spark, SF_SMALL, "events")
-    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
-    src = writers.write_csv(sv.raw_yellow(ev).select(*cols), scratch_path(spark, "y"), header=True)
+    src = writers.write_csv(sv.yellow_file(ev), scratch_path(spark, "y"), header=True)
     out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yc"))
     assert out["in_box"] > 0
     weather = writers.write_csv(sv.weather(ev), scratch_path(spark, "w"), header=True)
@@ -69,14 +66,14 @@ def test_cleaned_taxi_files_feed_the_pipeline(spark):
 
 
 def test_job_counts_equal_one_pass_counts(spark):
-    from tripwise import schemas
     from tripwise.operators import cleaning as cl
     from tripwise.plans.cleaning_jobs import clean_bike_job, clean_taxi_job
     ev = sv.table(spark, SF_SMALL, "events")
-    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
-    src = writers.write_csv(sv.raw_yellow(ev).select(*cols), scratch_path(spark, "yy"), header=True)
+    src = writers.write_csv(sv.yellow_file(ev), scratch_path(spark, "yy"), header=True)
     out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yyc"))
-    want = cl.cleaning_counts(readers.read_csv_glob(spark, f"{src}/*.csv", schemas.YELLOW_RAW)).first().asDict()
+    read = readers.read_taxi_csv(spark, f"{src}/*.csv", cl.YELLOW)
+    want = cl.cleaning_counts(read.where(~read.malformed)).first().asDict()
+    want |= dict(rows=ev.count(), malformed=ev.where("event_id % 31 = 0").count())
     assert {k: out[k] for k in want} == want
     assert spark.read.csv(out["path"]).count() == want["in_box"]
     d = scratch_path(spark, "bb")
@@ -96,3 +93,50 @@ def test_partitioned_scored_output_round_trips(spark):
     assert back.count() == df.count()
     one_day = back.where(F.col("dt") == F.lit("2024-01-05").cast("date"))
     assert one_day.count() == df.where(F.col("dt") == F.lit("2024-01-05").cast("date")).count() > 0
+
+
+def test_taxi_files_are_read_by_name_and_differing_headers_fail(spark):
+    from tripwise.operators import cleaning as cl
+    ev = sv.table(spark, SF_SMALL, "events")
+    wide = sv.yellow_file(ev)
+    one = writers.write_csv(wide, scratch_path(spark, "one"), header=True)
+    two = writers.write_csv(wide.select(*reversed(wide.columns)), scratch_path(spark, "two"), header=True)
+    a, b = (readers.read_taxi_csv(spark, p, cl.YELLOW) for p in (one, two))
+    assert a.count() == ev.count() and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    assert a.select("trip_distance").count() == a.where("malformed or not malformed").count()
+    with pytest.raises(Exception, match="header does not conform"):
+        readers.read_taxi_csv(spark, [one, two], cl.YELLOW).collect()
+    with pytest.raises(ValueError, match="lpep_pickup_datetime"):
+        readers.read_taxi_csv(spark, one, cl.GREEN)
+
+
+def test_eight_and_nine_column_trip_files_give_the_same_rows(spark):
+    ev = sv.table(spark, SF_SMALL, "events")
+    path = writers.write_csv(sv.trips(ev).select(*LAB["taxi"]), scratch_path(spark, "eight"))
+    t = readers.read_trips(spark, path, "taxi")
+    assert t.count() == len(t.collect()) == ev.count()
+    r = readers.trip_rejects(spark, path, "taxi").first()
+    assert (r.lines, r.headers, r.rejected) == (ev.count(), 0, 0)
+
+
+@pytest.mark.parametrize("split", ["hash", "random"])
+def test_held_out_mse_of_test_mode_is_that_of_training(spark, split):
+    import math
+    ev = sv.table(spark, SF_SMALL, "events")
+    weather = writers.write_csv(sv.weather(ev), scratch_path(spark, "w"), header=True)
+    trips = writers.write_csv(sv.trips(ev).select(*LAB["bike"]), scratch_path(spark, "t"))
+    model, km = scratch_path(spark, "m"), scratch_path(spark, "k")
+    opts = pipeline.RunOptions(cells=[dict(max_depth=3, max_bins=16)], k_grid=(6, 7, 8), restarts=1, kmeans_iter=5, seed=9, split=split)
+    tr = pipeline.run(spark, weather, trips, model, km, "bike", "dt", "training", opts)
+    te = pipeline.run(spark, weather, trips, model, km, "bike", "dt", "test")  # the split comes with the model
+    if split == "random":
+        assert te["mse_held_out"] is None
+    else:
+        assert math.isclose(te["mse_held_out"], tr["results"][0]["test_mse"], rel_tol=1e-9)
+
+
+def test_a_given_master_survives(spark):
+    from tripwise.session import get_session
+    import inspect
+    assert get_session().sparkContext.master == spark.sparkContext.master
+    assert all(p.default in (None, "tripwise") for p in inspect.signature(get_session).parameters.values())

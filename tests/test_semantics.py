@@ -194,14 +194,7 @@ def test_weighted_kmeans_cost_equals_cost_on_all_points(spark):
     assert clustering.kmeans_points(t, weighted=True).count() < t.count()
 
 
-def test_repeated_points_detection(spark):
-    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
-    assert not clustering.repeated_points(t)
-    coarse = t.select(F.round("lat2", 1).alias("lat2"), F.round("lon2", 1).alias("lon2"))
-    assert clustering.repeated_points(coarse)
-
-
-def test_fit_kmeans_auto_stays_unweighted_for_distinct_points(spark):
+def test_fit_kmeans_is_unweighted_unless_asked(spark):
     t = sv.trips(sv.table(spark, SF_SMALL, "events"))
     m = clustering.fit_kmeans(t, 6, 3, max_iter=10)
     assert not m.hasParam("weightCol") or not m.isSet("weightCol")
@@ -222,17 +215,17 @@ def test_shared_depth_tree_grid_equals_direct_fits(spark):
     assert c1 == c2
 
 
-def test_weather_join_falls_back_to_shuffle_join_past_the_bound(spark):
+def test_weather_join_is_a_shuffle_join_past_the_planners_bound(spark):
     import io
     import contextlib
     from tripwise.operators import joins
     ev = sv.table(spark, SF_SMALL, "events")
     t, w = sv.trips(ev), sv.weather(ev)
-    small = joins.join_weather(t, w)                 # 27 rows: broadcast
+    small = joins.join_weather(t, w)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no automatic broadcast either
     try:
-        big = joins.join_weather(t, w, max_rows=5)   # over the bound: no broadcast hint
+        big = joins.join_weather(t, w)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             big.explain()
@@ -274,3 +267,28 @@ def test_seeded_fits_are_deterministic(spark):
     r1 = {r[0] for r in splits.split_random(t, 9)[0].select("trip_id").collect()}
     r2 = {r[0] for r in splits.split_random(t, 9)[0].select("trip_id").collect()}
     assert r1 == r2
+
+
+def test_k_selection_scores_the_final_centres(spark):
+    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
+    model, elbow, costs = clustering.select_k(spark, t, (6, 7, 8), restarts=2, max_iter=3, seed=5)
+    again = {(k, r): clustering.fit_kmeans(t, k, 5 + r, 3) for k in (6, 7, 8) for r in range(2)}
+    for c in costs.collect():
+        want = clustering.kmeans_cost(t, clustering.centres_of(again[c["k"], c["restart"]])).first()["cost"]
+        assert math.isclose(c["cost"], want, rel_tol=1e-9)
+
+
+def test_null_fields_keep_their_place(spark):
+    from tripwise.session import scratch_path
+    from tripwise.sources import readers, writers
+    path = writers.write_lines(spark.createDataFrame([("a", None, "c")], "x string, y string, z string"), scratch_path(spark, "n"))
+    assert [r.line for r in readers.read_lines(spark, path).collect()] == ["a,,c"]
+
+
+def test_unparseable_timestamps_are_rejected_not_raised(spark):
+    from tripwise.operators import cleaning as cl
+    raw = sv.raw_yellow(sv.table(spark, SF_SMALL, "events"))
+    bad = raw.withColumn("tpep_pickup_datetime", F.when(F.col("event_id") % 2 == 0, "not a time").otherwise(F.col("tpep_pickup_datetime")))
+    assert cl.trip_duration(bad).where("Duration is null").count() == bad.where("event_id % 2 = 0").count() > 0
+    want = cl.clean_taxi(raw, keep=("event_id",)).where("event_id % 2 <> 0")
+    assert cl.clean_taxi(bad, keep=("event_id",)).exceptAll(want).count() == 0 and want.count() > 0

@@ -66,7 +66,8 @@ def joined_sql(feats: list[str], labelled: bool) -> str:
 
 
 def sigma_sql(inner: str) -> str:
-    return (f"select j.* from ({inner}) j, (select avg(dist/dur) as m, stddev_pop(dist/dur) as sd from ({inner})) s "
+    return (f"with bounded as materialized ({inner}) select j.* from bounded j, "
+            "(select avg(dist/dur) as m, stddev_pop(dist/dur) as sd from bounded) s "
             "where dist/dur < m + 3*sd and dist/dur > m - 3*sd")
 
 

@@ -63,33 +63,41 @@ def _scan_bike_q(labelled: bool):
 register("scan_bike", with_views(["trips"], f"select {', '.join(BIKE11)} from trips"))(_scan_bike_q(True))
 register("scan_bike_unlabelled", with_views(["trips"], f"select {', '.join(BIKE10)} from trips"))(_scan_bike_q(False))
 
-GREEN_SCHEMA = ("lpep_pickup_datetime string, Lpep_dropoff_datetime string, Pickup_latitude double, "
-                "Pickup_longitude double, Dropoff_latitude double, Dropoff_longitude double, "
-                "Passenger_count bigint, Trip_distance double, event_id bigint")
 GREEN_SQL = """select strftime(pickup_ts, '%m/%d/%Y %I:%M:%S %p') as lpep_pickup_datetime,
  strftime(dropoff_ts, '%m/%d/%Y %I:%M:%S %p') as Lpep_dropoff_datetime, pickup_latitude as Pickup_latitude,
  pickup_longitude as Pickup_longitude, dropoff_latitude as Dropoff_latitude, dropoff_longitude as Dropoff_longitude,
  passenger_count as Passenger_count, trip_distance as Trip_distance, event_id from raw_taxi"""
 
 
-@register("scan_csv_header", with_views(["raw_taxi"], GREEN_SQL))
+@register("scan_csv_header", with_views(["raw_taxi"], GREEN_SQL.replace(
+    "passenger_count as", "case when event_id % 31 <> 0 then passenger_count end as")))
 def q_scan_csv_header(spark, sf_dir):
-    g = sv.raw_green(events(spark, sf_dir))
-    cols = [c.split(" ")[0] for c in GREEN_SCHEMA.split(", ")]
-    path = writers.write_csv(g.select(*cols), scratch_path(spark, "green"), header=True)
-    return readers.read_csv_header(spark, path, GREEN_SCHEMA)
+    """Green files with all published columns, read by name; a number that does not parse is NULL."""
+    path = writers.write_csv(sv.green_file(events(spark, sf_dir)), scratch_path(spark, "green"), header=True)
+    g = readers.read_taxi_csv(spark, path, cl.GREEN, keep=("VendorID",))
+    return g.withColumn("event_id", F.col("VendorID").cast("bigint")).drop("VendorID", "malformed")
 
 
 @register("scan_csv_dropmalformed", with_views(["raw_taxi", "raw_yellow"],
                                                "select * from raw_yellow where event_id % 31 <> 0"))
 def q_scan_csv_dropmalformed(spark, sf_dir):
-    """Yellow CSV files (header, 'NA' passenger counts on some rows) read by glob, malformed dropped."""
-    y = sv.raw_yellow(events(spark, sf_dir))
-    y = y.withColumn("passenger_count", F.when(F.col("event_id") % 31 == 0, F.lit("NA"))
-                     .otherwise(F.col("passenger_count").cast("string")))
-    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
-    path = writers.write_csv(y.select(*cols), scratch_path(spark, "yellow"), header=True)
-    return readers.read_csv_glob(spark, f"{path}/*.csv", schemas.YELLOW_RAW).select("event_id", *cols[:-1])
+    """Yellow files with all published columns, read by name and by glob; malformed rows ('NA' passengers) dropped."""
+    path = writers.write_csv(sv.yellow_file(events(spark, sf_dir)), scratch_path(spark, "yellow"), header=True)
+    y = readers.read_taxi_csv(spark, f"{path}/*.csv", cl.YELLOW, keep=("VendorID",)).where(~F.col("malformed"))
+    return y.withColumn("event_id", F.col("VendorID").cast("bigint")).drop("VendorID", "malformed")
+
+
+@register("reject_counts", with_views(["trips"], """select count(*) as lines, count(*) filter (where trip_id % 17 = 0) as headers,
+ count(*) filter (where trip_id % 17 <> 0 and trip_id % 13 = 0) as rejected from trips"""))
+def q_reject_counts(spark, sf_dir):
+    """Lines, header lines and rejected lines of taxi trip files in which every 13th duration is no number."""
+    t = sv.trips(events(spark, sf_dir))
+    fields = [F.when(F.col("trip_id") % 13 == 0, "x").otherwise(F.col(c).cast("string")) if c == "dur" else F.col(c).cast("string")
+              for c in TAXI8]
+    path = scratch_path(spark, "rejects")
+    t.select(F.when(F.col("trip_id") % 17 == 0, F.lit(sv.TAXI_HEADER)).otherwise(F.concat_ws(",", *fields)).alias("value")) \
+        .write.text(path)
+    return readers.trip_rejects(spark, path, "taxi")
 
 
 @register("scan_raw_text", with_views(["raw_bike"], "select line from raw_bike"))
@@ -167,10 +175,20 @@ def q_clean_bike_job(spark, sf_dir):
 def q_clean_taxi_job(spark, sf_dir):
     """Yellow CSV files with headers (some malformed rows) -> cleaned headerless CSV, read back."""
     from tripwise.plans.cleaning_jobs import clean_taxi_job
-    y = sv.raw_yellow(events(spark, sf_dir))
-    y = y.withColumn("passenger_count", F.when(F.col("event_id") % 31 == 0, F.lit("NA"))
-                     .otherwise(F.col("passenger_count").cast("string")))
-    cols = [c.split(" ")[0] for c in schemas.YELLOW_RAW.split(", ")]
-    src = writers.write_csv(y.select(*cols), scratch_path(spark, "yellow-job"), header=True)
+    src = writers.write_csv(sv.yellow_file(events(spark, sf_dir)), scratch_path(spark, "yellow-job"), header=True)
     out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "yellow-clean"))
     return spark.read.schema(schemas.CLEAN_TAXI).csv(out["path"])
+
+
+CLEAN_GREEN_COLS = ", ".join("case when event_id % 31 <> 0 then passenger_count end as passenger_count" if c == "passenger_count" else c
+                             for c in cl.TAXI_OUT)
+
+
+@register("clean_taxi_job_green", with_views(["raw_taxi"], f"""select {CLEAN_GREEN_COLS}
+ from ({clean_taxi_sql(cl.GREEN.lon_box, cl.GREEN.lat_box)}) c"""))
+def q_clean_taxi_job_green(spark, sf_dir):
+    """Green CSV files with headers, read permissively -> cleaned headerless CSV, read back."""
+    from tripwise.plans.cleaning_jobs import clean_taxi_job
+    src = writers.write_csv(sv.green_file(events(spark, sf_dir)), scratch_path(spark, "green-job"), header=True)
+    out = clean_taxi_job(spark, f"{src}/*.csv", scratch_path(spark, "green-clean"), cl.GREEN)
+    return spark.read.schema(schemas.CLEAN_TAXI).csv(out["path"])

@@ -182,13 +182,20 @@ class TaxiSpec:
     ts_pattern: str
     lon_box: tuple[float, float]
     lat_box: tuple[float, float]
+    drop_malformed: bool = False
+
+    @property
+    def numbers(self) -> dict[str, str]:
+        """The number columns and their types."""
+        coords = (self.pickup_lat, self.pickup_lon, self.dropoff_lat, self.dropoff_lon)
+        return {c: "double" for c in coords} | {self.passengers: "bigint", self.distance: "double"}
 
 
 # Yellow and green source columns, patterns and open city boxes.
 # (The 12-hour pattern of the green files is written with 'hh' and one 'a'.)
 YELLOW = TaxiSpec("tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_latitude", "pickup_longitude",
                   "dropoff_latitude", "dropoff_longitude", "passenger_count", "trip_distance",
-                  "yyyy-MM-dd HH:mm:ss", (-75.0, -73.0), (39.5, 41.5))
+                  "yyyy-MM-dd HH:mm:ss", (-75.0, -73.0), (39.5, 41.5), True)
 GREEN = TaxiSpec("lpep_pickup_datetime", "Lpep_dropoff_datetime", "Pickup_latitude", "Pickup_longitude",
                  "Dropoff_latitude", "Dropoff_longitude", "Passenger_count", "Trip_distance",
                  "MM/dd/yyyy hh:mm:ss a", (-75.0, -72.0), (39.5, 42.0))
@@ -198,7 +205,8 @@ TAXI_OUT = ["pck_date", "pck_hms", "Duration", "pickup_latitude", "pickup_longit
 
 
 def _epoch(c: Column, pattern: str) -> Column:
-    return F.unix_timestamp(c, pattern) if pattern else F.unix_timestamp(c)
+    """Seconds since the epoch; NULL where the text is no timestamp (also under ANSI mode)."""
+    return F.unix_timestamp(F.try_to_timestamp(c, F.lit(pattern)) if pattern else F.try_to_timestamp(c))
 
 
 def trip_duration(df: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:

@@ -21,7 +21,8 @@ MAX_ITER = 200
 
 
 def _sq_dist(lat: Column, lon: Column, c: Centre) -> Column:
-    return F.pow(lat - F.lit(float(c[0])), 2) + F.pow(lon - F.lit(float(c[1])), 2)
+    a, b = lat - F.lit(float(c[0])), lon - F.lit(float(c[1]))
+    return a * a + b * b  # a product: pow() runs in software
 
 
 def nearest_centre(lat: Column, lon: Column, centres: Sequence[Centre]) -> Column:
@@ -53,11 +54,13 @@ def kmeans_cost(df: DataFrame, centres: Sequence[Centre], lat: str = "lat2", lon
 def cost_table(df: DataFrame, centre_sets: dict, lat: str = "lat2", lon: str = "lon2") -> DataFrame:
     """(k, restart, cost) for several centre sets, computed in ONE pass over ``df``.
 
-    ``centre_sets`` maps k, or (k, restart), to that fit's centres.
+    ``centre_sets`` maps k, or (k, restart), to that fit's centres.  Rows with a
+    ``weight`` count as so many.
     """
+    weight = F.col("weight") if "weight" in df.columns else F.lit(1.0)
     keys = sorted((key if isinstance(key, tuple) else (key, 1)) for key in centre_sets)
     sets = {key: centre_sets[key] if key in centre_sets else centre_sets[key[0]] for key in keys}
-    agg = df.agg(*[F.sum(min_sq_distance(F.col(lat), F.col(lon), sets[key])).alias(f"c{i}")
+    agg = df.agg(*[F.sum(weight * min_sq_distance(F.col(lat), F.col(lon), sets[key])).alias(f"c{i}")
                    for i, key in enumerate(keys)])
     stack = "stack({n}, {items}) as (k, restart, cost)".format(
         n=len(keys), items=", ".join(f"{k}, {r}, c{i}" for i, (k, r) in enumerate(keys)))
@@ -101,25 +104,15 @@ def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", weigh
     return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(p)
 
 
-def repeated_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", share: float = 0.5) -> bool:
-    """True when distinct points are at most ``share`` of all points (one pass:
-    a count and a HyperLogLog distinct estimate)."""
-    r = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(lat, lon)).alias("d")).first()
-    return bool(r["n"]) and r["d"] <= share * r["n"]
-
-
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
-               lat: str = "lat2", lon: str = "lon2", weighted: bool | str = "auto"):
+               lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
     """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
     ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
     from pyspark.ml.clustering import KMeans
     if "features" in points.columns:
         vec = points
     else:
-        if weighted == "auto":
-            weighted = repeated_points(points, lat, lon)
-        vec = kmeans_points(points, lat, lon, bool(weighted))
+        vec = kmeans_points(points, lat, lon, weighted)
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features")
     if "weight" in vec.columns:
         km = km.setWeightCol("weight")
@@ -132,18 +125,16 @@ def centres_of(model) -> list[Centre]:
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
              max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 8,
-             lat: str = "lat2", lon: str = "lon2", weighted: bool | str = "auto"):
+             lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 
     Returns (model, elbow DataFrame, cost DataFrame).  The chosen model is the
     restart-0 fit of the chosen k (identical to a refit with the same seed).
     Fits run concurrently as independent Spark jobs over the cached points.
-    ``weighted="auto"`` fits distinct points with counts as weights when they
-    are at most half the points (``repeated_points``).
+    The cost of a cell is that of its final centres: all cells are evaluated in
+    one pass once they are fitted.  ``weighted`` fits distinct points with their counts as
+    weights; its models differ from unweighted ones, so it is the caller's choice.
     """
-    if weighted == "auto":
-        weighted = repeated_points(points, lat, lon)
-    weighted = bool(weighted)
     # Assembled once and cached: every concurrent fit reads the same cached
     # vectors instead of caching a private copy of its input.
     pts = kmeans_points(points, lat, lon, weighted).persist()
@@ -152,15 +143,16 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     def run(cell):
         k, r = cell
         m = fit_kmeans(pts, k, seed + r, max_iter, lat, lon)
-        return k, r, float(m.summary.trainingCost), m
+        return k, r, m
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fitted = list(pool.map(run, cells))
+        costs = cost_table(pts, {(k, r): centres_of(m) for k, r, m in fitted}, lat, lon).collect()
     finally:
         pts.unpersist()
-    costs = spark.createDataFrame([(k, r, c) for k, r, c, _ in fitted], "k int, restart int, cost double")
+    costs = spark.createDataFrame([tuple(c) for c in costs], "k int, restart int, cost double")
     elbow = elbow_table(costs)
     best_k = elbow.where("is_best").first()["k"]
-    model = next(m for k, r, _, m in fitted if k == best_k and r == 0)
+    model = next(m for k, r, m in fitted if k == best_k and r == 0)
     return model, elbow, costs

@@ -1,8 +1,10 @@
 """Joins: trips to daily weather, trips to the zone lookup.
 
-The small side is broadcast only after its row count is checked against a
-bound; beyond the bound the join is left to a shuffle join, where adaptive
-execution splits a hot key (one day may hold a third of all trips).
+Both small sides (one row a day; a few hundred zones) are left to the planner: it
+broadcasts a side whose size in bytes is below ``spark.sql.autoBroadcastJoinThreshold``, from the
+file sizes or, with adaptive execution, from what the side turned out to be.  Beyond that it
+is a shuffle join, where adaptive execution splits a hot key (one day may hold a third of
+all trips).  Nothing is cached here and no job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -10,38 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A weather table has one row per day (about 366 per year); a zone table a few
-# hundred rows.  Anything past this many rows is not broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The checked side is kept cached (it is small by then), so the size check,
-    later statistics jobs and the join itself compute it once.  A side past
-    the bound is released and joined by a shuffle join.
-    """
-    cached = df.persist()
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
-
-
-def join_weather(trips: DataFrame, weather: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     """Inner equi-join on the trip date.  A trip without a weather day is
     dropped; a day listed twice fans the trip out (as the source does)."""
-    return trips.join(small_side(weather, max_rows), on="dt", how="inner")
+    return trips.join(weather, on="dt", how="inner")
 
 
-def enrich_zones(trips: DataFrame, zones: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                 drop_borough: str | None = "Unknown") -> DataFrame:
+def enrich_zones(trips: DataFrame, zones: DataFrame, drop_borough: str | None = "Unknown") -> DataFrame:
     """Left join of trips to zone coordinates by ``location_id``.
 
     Zones in ``drop_borough`` (the out-of-town placeholder) are removed from
     the lookup first, so their trips keep NULL coordinates like any unmatched id.
     """
     z = zones if drop_borough is None else zones.where(F.col("borough") != F.lit(drop_borough))
-    return trips.join(small_side(z, max_rows), on="location_id", how="left")
+    return trips.join(z, on="location_id", how="left")

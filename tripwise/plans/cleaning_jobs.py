@@ -2,8 +2,9 @@
 
 bike:  one text directory per year -> per-year rules -> union -> comma-joined
        text (the 11 cleaned fields), plus the row count of each year.
-taxi:  CSV files with a header (glob) -> malformed rows dropped -> duration,
-       non-null and city-box steps -> headerless CSV, plus the step counts.
+taxi:  CSV files with a header (glob), columns by name -> yellow: malformed rows
+       dropped -> duration, non-null and city-box steps -> headerless CSV, plus
+       the counts of rows read, malformed and without a readable time, and the step counts.
 
 Counts are metrics of the write itself (``Observation``): one pass over the
 input, nothing cached, whatever the data size.
@@ -35,16 +36,17 @@ def clean_bike_job(spark: SparkSession, year_dirs: dict[str, str], out_dir: str,
     return dict(path=out_dir, counts=counts, total=sum(counts.values()))
 
 
-def clean_taxi_job(spark: SparkSession, pattern: str, out_dir: str, spec: cl.TaxiSpec = cl.YELLOW,
-                   schema: str | None = None) -> dict:
+def clean_taxi_job(spark: SparkSession, pattern: str, out_dir: str, spec: cl.TaxiSpec = cl.YELLOW) -> dict:
     from pyspark.sql import Observation
-    from tripwise import schemas
-    raw = readers.read_csv_glob(spark, pattern, schema or schemas.YELLOW_RAW)
-    obs = Observation("taxi_counts")
-    p = cl.project_taxi(raw, spec).where(cl.duration_open_condition())
+    raw = readers.read_taxi_csv(spark, pattern, spec)
+    seen, obs = Observation("taxi_rows"), Observation("taxi_counts")
+    p = cl.project_taxi(raw, spec, keep=("malformed",))
+    p = p.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("malformed").alias("malformed"),
+                  F.count_if(F.col("Duration").isNull()).alias("no_time"))
+    p = (p.where(~F.col("malformed")) if spec.drop_malformed else p).drop("malformed").where(cl.duration_open_condition())
     p = p.observe(obs, *cl.step_count_exprs(spec))
     writers.write_csv(cl.bounding_box(cl.coords_not_null(p), spec), out_dir, header=False)
-    return dict(path=out_dir, **{k: int(v) for k, v in obs.get.items()})
+    return dict(path=out_dir, **{k: int(v) for o in (seen, obs) for k, v in o.get.items()})
 
 
 def main(argv: list[str]) -> int:
@@ -63,11 +65,7 @@ def main(argv: list[str]) -> int:
             return 1
         res = clean_bike_job(spark, dirs, argv[1])
     else:
-        green_schema = ("lpep_pickup_datetime string, Lpep_dropoff_datetime string, Pickup_latitude double, "
-                        "Pickup_longitude double, Dropoff_latitude double, Dropoff_longitude double, "
-                        "Passenger_count bigint, Trip_distance double")
-        spec, schema = (cl.YELLOW, None) if argv[0] == "yellow" else (cl.GREEN, green_schema)
-        res = clean_taxi_job(spark, argv[2], argv[1], spec, schema)
+        res = clean_taxi_job(spark, argv[2], argv[1], cl.YELLOW if argv[0] == "yellow" else cl.GREEN)
     for k, v in res.items():
         print(f"{k}: {v}")
     return 0

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripwise.functions import (chord_distance, day_fraction_of_time, day_of_year_fraction,
                                 peak_flag, weekday_flag)
 from tripwise.operators.clustering import Centre, assign_clusters
-from tripwise.operators.joins import MAX_BROADCAST_ROWS, join_weather
+from tripwise.operators.joins import join_weather
 from tripwise.operators.outliers import duration_closed, speed_3sigma
 
 TAXI_FEATURES = ["days", "tm", "lat1", "lon1", "lat2", "lon2", "km1", "km2", "dist",
@@ -36,7 +36,7 @@ def feature_names(dataset: str) -> list[str]:
 
 
 def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
-                    labelled: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    labelled: bool = True) -> DataFrame:
     """Feature rows before any duration or speed filter."""
     feats = feature_names(dataset)
     t = trips
@@ -48,7 +48,7 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
     inputs = [c for c in feats if c in t.columns] + (["dt"] + ([LABEL] if labelled else []))
     t = assign_clusters(t.dropna(subset=list(dict.fromkeys(inputs))), centres)
     weather = weather.dropna(subset=["dt", "temp", "rain", "snow", "wspd"])
-    j = join_weather(t, weather, max_broadcast_rows)
+    j = join_weather(t, weather)
     dt = F.col("dt")
     j = (j.withColumn("days", day_of_year_fraction(dt))
           .withColumn("dist", chord_distance(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")))
@@ -59,11 +59,10 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
 
 
 def build_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
-                   labelled: bool = True, persist_joined: bool = False,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   labelled: bool = True, persist_joined: bool = False) -> DataFrame:
     """The model input: labelled rows are bounded (120..3600 s, closed) and
     speed outliers removed; unlabelled rows are only joined and projected."""
-    j = joined_features(trips, weather, centres, dataset, labelled, max_broadcast_rows)
+    j = joined_features(trips, weather, centres, dataset, labelled)
     if not labelled:
         return j
     j = duration_closed(j, LABEL)

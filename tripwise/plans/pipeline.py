@@ -16,7 +16,7 @@ One feature definition serves all three modes, so training and serving agree.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +42,8 @@ class RunOptions:
     restarts: int = clustering.RESTARTS
     kmeans_iter: int = clustering.MAX_ITER
     parallelism: int = 8
-    kmeans_weighted: bool | str = "auto"     # "auto": weights when points repeat (stations)
+    kmeans_weighted: bool = False            # distinct points with counts as weights: another model
     output_format: str = "parquet"
-    extra: dict = field(default_factory=dict)
 
 
 def _validate(dataset: str, algo: str, mode: str) -> tuple[str, str, str]:
@@ -64,6 +63,20 @@ def held_out(opts: RunOptions):
     return splits.hash_fraction(F.col("trip_id"), opts.seed) >= F.lit(opts.train_fraction)
 
 
+SPLIT = "split string, seed long, train_fraction double"
+
+
+def save_split(spark: SparkSession, opts: RunOptions, model_dir: str) -> None:
+    """Keep how a model's training rows were chosen beside it."""
+    row = (opts.split, opts.seed, float(opts.train_fraction))
+    spark.createDataFrame([row], SPLIT).coalesce(1).write.mode("overwrite").json(model_dir.rstrip("/") + "_split")
+
+
+def load_split(spark: SparkSession, opts: RunOptions, model_dir: str) -> RunOptions:
+    r = spark.read.schema(SPLIT).json(model_dir.rstrip("/") + "_split").first()
+    return replace(opts, split=r["split"], seed=r["seed"], train_fraction=r["train_fraction"])
+
+
 def split_frame(df: DataFrame, opts: RunOptions) -> tuple[DataFrame, DataFrame]:
     if opts.split == "random":
         return splits.split_random(df, opts.seed, (opts.train_fraction, 1 - opts.train_fraction))
@@ -102,6 +115,7 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
                 if best is None:
                     raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
                 models.save_model(spark, best, model_dir)
+                save_split(spark, opts, model_dir)
                 return dict(mode=mode, k=len(km.clusterCenters()), best_cell=cell,
                             results=results.orderBy("cell").collect(), elbow=elbow.collect())
             finally:
@@ -109,6 +123,7 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
         km = models.load_model(spark, kmeans_dir, "km")
         model = models.load_model(spark, model_dir, algo)
         if mode == "test":
+            opts = load_split(spark, opts, model_dir)
             # One read of the trips (bounded join cached for the statistics),
             # scores written once, both MSEs collected as metrics of that write.
             from pyspark.sql import Observation
@@ -118,8 +133,9 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
                 scored = scoring.score_labelled(model, speed_3sigma(joined, "dist", LABEL), feats, LABEL)
                 obs = Observation("mse")
                 se = F.pow(F.col(LABEL) - F.col("prediction"), 2)
-                scored = scored.observe(obs, F.avg(se).alias("mse"),
-                                        F.avg(F.when(held_out(opts), se)).alias("mse_held_out"))
+                # A random split cannot be told from a row, so its held-out error is known from training only.
+                held = F.when(held_out(opts), se) if opts.split == "hash" else F.lit(None).cast("double")
+                scored = scored.observe(obs, F.avg(se).alias("mse"), F.avg(held).alias("mse_held_out"))
                 out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_test", opts.output_format)
                 m = obs.get
                 return dict(mode=mode, path=out, mse_all=m["mse"], mse_held_out=m["mse_held_out"])

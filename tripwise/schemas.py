@@ -13,10 +13,6 @@ BIKE_LABELLED = ("dt string, time string, dur double, id1 double, lat1 double, l
 BIKE_UNLABELLED = ("dt string, time string, id1 double, lat1 double, lon1 double, id2 double, "
                    "lat2 double, lon2 double, yr double, gdr double")
 
-YELLOW_RAW = ("tpep_pickup_datetime string, tpep_dropoff_datetime string, pickup_latitude double, "
-              "pickup_longitude double, dropoff_latitude double, dropoff_longitude double, "
-              "passenger_count bigint, trip_distance double, event_id bigint")
-
 ZONES = "location_id int, borough string, zone string, lat double, lon double"
 
 CLEAN_TAXI = ("pck_date string, pck_hms string, Duration bigint, pickup_latitude double, pickup_longitude double, "

@@ -16,16 +16,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, app: str = "tripwise",
-                shuffle_partitions: int | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
-    spark = (
-        SparkSession.builder.master(master).appName(app)
+def get_session(master: str | None = None, app: str = "tripwise", shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    """A session; master, partitions and memory are those it is started with unless given here."""
+    builder = (
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -34,21 +31,29 @@ def get_session(master: str | None = None, app: str = "tripwise",
         # HotSpot and would run interpreted; let such stages use the
         # non-fused operators instead (3-4x faster on the feature stage).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder.  Only a session on one machine gets one of its own when it is unset:
+    on a cluster, executors would write where the others cannot read."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="tripwise-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise import schemas
+from tripwise.operators.cleaning import TaxiSpec
 
 
 def _paths(path):
@@ -40,18 +41,30 @@ def read_trips(spark: SparkSession, path, dataset: str, labelled: bool = True,
     as a 9th column; it is kept by name and is not a feature).
 
     Taxi files drop lines not starting with '2'; bike files have no header.
-    Rows that do not fit the schema are dropped.  Files carry no trip id, so
+    A field that does not parse is NULL, and a row without a required field is dropped
+    (``trip_rejects`` counts them), whichever columns are used later.  Files carry no trip id, so
     ``trip_id`` is a hash of the row's content: the same trip gets the same id
     in a training run and a later test run, whatever the file splitting, so
     the id-hash train/test split is the same in both.
     """
-    df = spark.read.schema(schemas.trips_schema(dataset, labelled)).option("mode", "DROPMALFORMED").csv(_paths(path))
+    df = spark.read.schema(schemas.trips_schema(dataset, labelled)).csv(_paths(path))
     df = parse_trips(df, dataset)
     if with_id:
         df = df.withColumn("trip_id", content_id(df, [c for c in df.columns if c not in ("dur", "trip_distance")]))
     return df
 
 
+def trip_rejects(spark: SparkSession, path, dataset: str, labelled: bool = True) -> DataFrame:
+    """One row: lines read, header lines, and data lines that ``read_trips`` drops."""
+    df = spark.read.schema(schemas.trips_schema(dataset, labelled)).csv(_paths(path))
+    head = ~F.coalesce(F.col("dt"), F.lit("")).startswith("2") if dataset.lower() == "taxi" else F.lit(False)
+    bad = F.try_to_date("dt", "yyyy-MM-dd").isNull()
+    for c in df.columns:
+        if c not in ("dt", "trip_distance"):
+            bad = bad | F.col(c).isNull()
+    return df.agg(F.count(F.lit(1)).alias("lines"), F.count_if(head).alias("headers"), F.count_if(~head & bad).alias("rejected"))
+
+
 def content_id(df: DataFrame, cols: list[str]):
     """A 64-bit hash of the given columns (identical rows share an id)."""
     return F.xxhash64(*[F.col(c) for c in cols])
@@ -70,9 +83,28 @@ def read_csv_header(spark: SparkSession, path, schema: str, mode: str = "PERMISS
     return spark.read.schema(schema).option("header", True).option("mode", mode).csv(_paths(path))
 
 
-def read_csv_glob(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Glob of CSV files with headers; malformed rows are dropped."""
-    return read_csv_header(spark, pattern, schema, mode="DROPMALFORMED")
+def read_taxi_csv(spark: SparkSession, pattern, spec: TaxiSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``spec`` from CSV files with a header, found by name whatever their order.
+
+    Numbers are cast where they parse and NULL elsewhere; ``malformed`` marks rows with another number
+    of fields than the header, or with a number that does not parse.  A file whose header differs
+    from the first one's fails the read.  ``keep`` names further columns (as text).
+    """
+    names = spark.read.option("header", True).csv(_paths(pattern)).columns  # reads one line
+    held = {n.strip().lower(): n for n in names}
+    texts, numbers = [spec.pickup, spec.dropoff, *keep], spec.numbers
+    missing = [c for c in (*texts, *numbers) if c.lower() not in held]
+    if missing:
+        raise ValueError(f"no column {missing} in the header {names}")
+    schema = ", ".join(f"`{n}` string" for n in names) + ", __broken string"
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("columnPruning", False) \
+        .option("columnNameOfCorruptRecord", "__broken").csv(_paths(pattern))
+    of = lambda c: F.col(f"`{held[c.lower()]}`")
+    bad = F.col("__broken").isNotNull()
+    for c, kind in numbers.items():
+        bad = bad | (of(c).isNotNull() & of(c).try_cast(kind).isNull())
+    return df.select(*[of(c).alias(c) for c in texts], *[of(c).try_cast(kind).alias(c) for c, kind in numbers.items()],
+                     bad.alias("malformed"))
 
 
 def read_zones(spark: SparkSession, path) -> DataFrame:

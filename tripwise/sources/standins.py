@@ -209,3 +209,33 @@ def raw_green(events: DataFrame) -> DataFrame:
                     F.col("dropoff_longitude").alias("Dropoff_longitude"),
                     F.col("passenger_count").alias("Passenger_count"),
                     F.col("trip_distance").alias("Trip_distance"))
+
+
+# The columns of the published yellow and green files, in their order.
+YELLOW_FILE = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+               "pickup_longitude", "pickup_latitude", "RatecodeID", "store_and_fwd_flag", "dropoff_longitude",
+               "dropoff_latitude", "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+               "improvement_surcharge", "total_amount"]
+GREEN_FILE = ["VendorID", "lpep_pickup_datetime", "Lpep_dropoff_datetime", "Store_and_fwd_flag", "RateCodeID",
+              "Pickup_longitude", "Pickup_latitude", "Dropoff_longitude", "Dropoff_latitude", "Passenger_count",
+              "Trip_distance", "Fare_amount", "Extra", "MTA_tax", "Tip_amount", "Tolls_amount", "Ehail_fee",
+              "improvement_surcharge", "Total_amount", "Payment_type", "Trip_type "]
+
+
+def taxi_file(raw: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a published taxi file: the event id as vendor, no passenger number on every 31st row, filler elsewhere."""
+    held = {c.lower(): c for c in raw.columns}
+    cols = []
+    for c in columns:
+        name = held.get(c.lower())
+        col = F.col(name).cast("string") if name else F.col("event_id").cast("string") if c == "VendorID" else F.lit("1")
+        cols.append((F.when(F.col("event_id") % 31 == 0, "NA").otherwise(col) if c.lower() == "passenger_count" else col).alias(c))
+    return raw.select(*cols)
+
+
+def yellow_file(events: DataFrame) -> DataFrame:
+    return taxi_file(raw_yellow(events), YELLOW_FILE)
+
+
+def green_file(events: DataFrame) -> DataFrame:
+    return taxi_file(raw_green(events), GREEN_FILE)

@@ -13,9 +13,9 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overw
 
 def write_lines(df: DataFrame, path: str, cols: list[str] | None = None, sep: str = ",",
                 mode: str = "overwrite") -> str:
-    """One text line per row: the columns joined by ``sep``."""
+    """One text line per row: the columns joined by ``sep``; a NULL field is empty, so no column moves."""
     cols = cols or df.columns
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value")) \
+    df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("value")) \
       .write.mode(mode).text(path)
     return path
 
