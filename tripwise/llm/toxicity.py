@@ -82,13 +82,9 @@ def fit(train: DataFrame) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << BITS), dtype=np.int64)
-        flag = np.zeros(1 << BITS, dtype=bool)
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = buckets(t)
-                flag[got] = True
-                seen[int(y)] += flag
-                flag[got] = False
+                seen[int(y), np.unique(buckets(t))] += 1
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[1, at]), pa.array(seen[0, at])], ["f", "p", "q"])
 
