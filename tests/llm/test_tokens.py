@@ -199,3 +199,16 @@ def test_empty_and_repeated(spark, tmp_path):
         assert QUERIES[q](spark, same).count() == 5
     starts = sorted((r.start, r.doc_id) for r in QUERIES["op9_huffman_tokens"](spark, same).collect())
     assert [s for s, _ in starts] == [0, 1, 4, 7, 10] and [d for _, d in starts] == [None, None, 5, 5, 7]
+
+
+def test_seen_chunks_of_one_hash_are_told_apart():
+    from tripwise.llm.common import SeenChunks
+    seen = SeenChunks(2, np.dtype("<u2"))
+    h, key = np.array([7, 5, 7], np.uint64), np.array([[1, 1], [2, 1], [3, 1]], np.uint64)
+    seen.add(h, key, np.array([2, 1, 1]), np.array([10, 11, 20, 30], "<u2"))
+    row = seen.find(h, key)
+    assert row[0] >= 0 and row[1] >= 0 and row[2] == -1
+    seen.add(h[2:], key[2:], np.array([1]), np.array([30], "<u2"))  # its hash is taken
+    seen.add(np.array([6], np.uint64), np.array([[4, 1]], np.uint64), np.array([0]), np.array([], "<u2"))
+    row = seen.find(np.append(h, np.uint64(6)), np.vstack([key, [[4, 1]]]).astype(np.uint64))
+    assert [seen.flat[seen.at[r]:seen.at[r] + seen.n[r]].tolist() if r >= 0 else None for r in row] == [[10, 11], [20], None, []]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,43 @@ LETTER = (LOWER >= 97) & (LOWER <= 122)
 MARK = np.isin(BYTES, list(b".,;:!?"))
 
 
+def gathered(flat: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The slices flat[at[i]:at[i] + n[i]], one after another."""
+    ends = np.cumsum(n)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(at - (ends - n), n)]
+
+
+class SeenChunks:
+    """Ids of chunks of at most ``ChunkMemo.KEY`` bytes: rows of a table in the order of the chunks' hashes.
+
+    A row's key is the chunk itself and its length, so a find is exact; of different chunks with
+    one hash the first is kept.
+    """
+
+    def __init__(self, width: int, dtype: np.dtype):
+        self.hash, self.key = np.empty(0, np.uint64), np.empty((0, width), np.uint64)
+        self.at, self.n, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, dtype)
+
+    def find(self, h: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Row of every chunk, or -1."""
+        if not len(self.hash):
+            return np.full(len(h), -1)
+        row = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        row[(self.key[row] != key).any(axis=1)] = -1
+        return row
+
+    def add(self, h: np.ndarray, key: np.ndarray, n: np.ndarray, flat: np.ndarray) -> None:
+        begin = len(self.flat) + np.cumsum(n) - n
+        self.flat = np.concatenate([self.flat, flat])
+        h, first = np.unique(h, return_index=True)
+        place = np.searchsorted(self.hash, h)
+        if len(self.hash):
+            free = self.hash[np.minimum(place, len(self.hash) - 1)] != h
+            h, first, place = h[free], first[free], place[free]
+        self.hash, self.key = np.insert(self.hash, place, h), np.insert(self.key, place, key[first], axis=0)
+        self.at, self.n = np.insert(self.at, place, begin[first]), np.insert(self.n, place, n[first])
+
+
 class ChunkMemo:
     """Token ids of texts, remembered by chunk; ``encode`` of a subclass is asked for new chunks only.
 
@@ -74,38 +112,67 @@ class ChunkMemo:
     ``lead`` is set for byte-level vocabularies, where a space belongs to the word after it and
     other white space is a chunk; without it white space is dropped and letters
     are lower-cased.  A batch of texts is cut in one go on its UTF-8 bytes, equal
-    chunks are found by sorting, and only the different ones are looked up.  Two
-    generations of at most ``limit`` entries are kept: a full one replaces the older, so
+    chunks are found by sorting, and only the different ones are looked up, all at once.  Two
+    generations of about ``limit`` entries are kept: a full one replaces the older, so
     memory is bounded.
     """
 
     #: Bytes cut at once (one text at least); chunks of more bytes than KEY are looked up one by one.
-    WORK, KEY = 1 << 20, 24
+    WORK, KEY = 1 << 21, 24
 
     def __init__(self, lead: bool, dtype: str, limit: int = 600_000):
         self.lead, self.dtype, self.limit = lead, np.dtype(dtype), limit
-        self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.young, self.older = self._table(), self._table()
+        self.long: dict[bytes, bytes] = {}
         self.find = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if lead else f"[^{WHITE}]+").findall
 
     def encode(self, words: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def _known(self, chunks: list[bytes]) -> list[bytes]:
-        memo, older = self.memo, self.older
-        got = list(map(memo.get, chunks))
-        if None in got:
-            new = {c for c, v in zip(chunks, got) if v is None}
-            if older:
-                memo.update([(c, older[c]) for c in new if c in older])
-                new = new.difference(memo)
-            words, width = list(new), self.dtype.itemsize
-            ids = self.encode([w.decode() for w in words])
-            ends = np.cumsum([0, *map(len, ids)]) * width
-            flat = np.array([i for x in ids for i in x], self.dtype).tobytes()
-            memo.update(zip(words, [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]))
-            got = list(map(memo.__getitem__, chunks))
-        return got
+    def _table(self) -> SeenChunks:
+        return SeenChunks(self.KEY // 8 + 1, self.dtype)
+
+    def _flat(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each new chunk, and all their ids."""
+        ids = self.encode([c.decode() for c in chunks])
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return n, np.fromiter(chain.from_iterable(ids), self.dtype, int(n.sum()))
+
+    def _one_by_one(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of chunks of any length."""
+        if len(self.long) >= self.limit // 8:
+            self.long = {}
+        if new := list(set(chunks).difference(self.long)):
+            n, flat = self._flat(new)
+            ends = np.cumsum(n)
+            self.long.update((c, flat[e - k:e].tobytes()) for c, e, k in zip(new, ends.tolist(), n.tolist()))
+        return [self.long[c] for c in chunks]
+
+    def _ids_of(self, data: bytes, begin: np.ndarray, size: np.ndarray, h: np.ndarray,
+                key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of different chunks begin, how many they are, and the array that holds them."""
+        if len(self.young.hash) >= self.limit:
+            self.young, self.older = self._table(), self.young
+        young, older, short = self.young, self.older, size <= self.KEY
+        at, n = np.empty(len(h), np.int64), np.empty(len(h), np.int64)
+        row = young.find(h, key)
+        hit = row >= 0
+        at[hit], n[hit] = young.at[row[hit]], young.n[row[hit]]
+        miss = np.flatnonzero(~hit & short)
+        row = older.find(h[miss], key[miss])
+        known, row = miss[row >= 0], row[row >= 0]
+        at[known], n[known] = len(young.flat) + older.at[row], older.n[row]
+        new = np.setdiff1d(miss, known, assume_unique=True)
+        size_new, flat_new = self._flat([data[a:b] for a, b in zip(begin[new].tolist(), (begin + size)[new].tolist())])
+        long = np.flatnonzero(~short)
+        packed = self._one_by_one([data[a:b] for a, b in zip(begin[long].tolist(), (begin + size)[long].tolist())])
+        size_long = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        rest, n_rest = np.concatenate([new, long]), np.concatenate([size_new, size_long])
+        at[rest], n[rest] = len(young.flat) + len(older.flat) + np.cumsum(n_rest) - n_rest, n_rest
+        flat = np.concatenate([young.flat, older.flat, flat_new, np.frombuffer(b"".join(packed), self.dtype)])
+        if len(miss):
+            young.add(h[miss], key[miss], n[miss], gathered(flat, at[miss], n[miss]))
+        return at, n, flat
 
     def _cut(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end of every chunk of the texts raw[at[i]:at[i + 1]], in order."""
@@ -134,8 +201,9 @@ class ChunkMemo:
         last = np.append(first[1:], n)
         return (first, last) if self.lead else (first[keep := ~blank[first]], last[keep])
 
-    def _different(self, raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One chunk of each kind, and every chunk's kind: by length and the bytes themselves, hashed only to sort."""
+    def _different(self, raw: np.ndarray, begin: np.ndarray, size: np.ndarray) \
+            -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """One chunk of each kind with its hash and its key (bytes and length), and every chunk's kind."""
         eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([raw, np.zeros(self.KEY, np.uint8)]), 8)
         words = [eight[begin + k].view("<u8").ravel() & MASKS[np.clip(size - k, 0, 8)] for k in range(0, self.KEY, 8)]
         words[0] = np.where(size > self.KEY, begin.astype(np.uint64), words[0])  # long ones are kinds of their own
@@ -154,7 +222,8 @@ class ChunkMemo:
             odd |= w != w[shown[kind]]
         odd = np.flatnonzero(odd)  # equal hashes of different chunks
         kind[odd] = len(shown) + np.arange(len(odd))
-        return np.concatenate([shown, odd]), kind
+        shown = np.concatenate([shown, odd])
+        return shown, h[shown], np.stack([*(w[shown] for w in words), size[shown].astype(np.uint64)], axis=1), kind
 
     def _odd_texts(self, raw: np.ndarray, at: np.ndarray) -> list[int]:
         """Texts with white space beyond ASCII, or with what may be a special token, which is not lower-cased."""
@@ -169,27 +238,20 @@ class ChunkMemo:
         return np.unique(np.searchsorted(at, odd, "right") - 1).tolist()
 
     def _batch(self, raw: np.ndarray, at: np.ndarray) -> list[bytes]:
-        if len(self.memo) >= self.limit:
-            self.memo, self.older = {}, self.memo
-        width = self.dtype.itemsize
         out = [b""] * (len(at) - 1)
         begin, end = self._cut(raw, at)
         if len(begin):
             cut = raw if self.lead else LOWER[raw]
-            data = cut.tobytes()
-            shown, kind = self._different(cut, begin, end - begin)
-            known = self._known([data[a:b] for a, b in zip(begin[shown].tolist(), end[shown].tolist())])
-            size = np.fromiter(map(len, known), np.int64, len(known)) // width
-            flat = np.frombuffer(b"".join(known), self.dtype)
+            shown, h, key, kind = self._different(cut, begin, end - begin)
+            place, size, flat = self._ids_of(cut.tobytes(), begin[shown], (end - begin)[shown], h, key)
             n = size[kind]
+            ids = gathered(flat, place[kind], n).tobytes()
             ends = np.concatenate(([0], np.cumsum(n)))
-            skip = (np.cumsum(size) - size)[kind] - ends[:-1]
-            ids = flat[np.arange(ends[-1]) + np.repeat(skip, n)].tobytes()
-            edge = (ends[np.searchsorted(begin, at)] * width).tolist()
+            edge = (ends[np.searchsorted(begin, at)] * self.dtype.itemsize).tolist()
             out = [ids[a:b] for a, b in zip(edge, edge[1:])]
         for i in self._odd_texts(raw, at):
             text = raw[at[i]:at[i + 1]].tobytes().decode()
-            out[i] = b"".join(self._known([c.encode() for c in self.find(text)]))
+            out[i] = b"".join(self._one_by_one([c.encode() for c in self.find(text)]))
         return out
 
     def ids(self, texts: pa.Array) -> list[bytes]:
