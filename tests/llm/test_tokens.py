@@ -212,3 +212,13 @@ def test_seen_chunks_of_one_hash_are_told_apart():
     seen.add(np.array([6], np.uint64), np.array([[4, 1]], np.uint64), np.array([0]), np.array([], "<u2"))
     row = seen.find(np.append(h, np.uint64(6)), np.vstack([key, [[4, 1]]]).astype(np.uint64))
     assert [seen.flat[seen.at[r]:seen.at[r] + seen.n[r]].tolist() if r >= 0 else None for r in row] == [[10, 11], [20], None, []]
+
+
+def test_frequent_words_are_the_ones_that_repeat_most(spark):
+    docs = documents(spark, [" ".join(["often"] * 40 + ["some"] * 9), "Some once", None, ""] + ["a%s b%s" % (c, c) for c in "cdef"] * 2)
+    assert sorted(bl.frequent_words(docs)) == sorted(["often", "some"] + [x + c for x in "ab" for c in "cdef"])
+    assert sorted(bl.frequent_words(docs, 2)) == ["often", "some"]
+    assert bl.frequent_words(docs, 1) == ["often"]
+    some = bl.frequent_words(docs, 6)  # a share of the words of equal counts
+    assert {"often", "some"} <= set(some) and len(some) < 10 and some == bl.frequent_words(docs, 6)
+    assert bl.frequent_words(documents(spark, ["once"])) == []

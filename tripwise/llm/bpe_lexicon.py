@@ -33,11 +33,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import WHITE, ChunkMemo, byte_letters, lower_case
+from tripwise.llm.common import WHITE, ChunkMemo, byte_letters, lower_case, written
 from tripwise.session import checkpoint_root
 
-#: Words in the lexicon, and chunks that a worker remembers.
-LEXICON, MEMO = 1 << 16, 400_000
+#: Words in the lexicon, chunks that a worker remembers, and bands of word counts an octave.
+LEXICON, MEMO, BANDS = 1 << 16, 400_000, 16
 MAGIC = b"DAWG0001"
 
 
@@ -225,10 +225,25 @@ class Coder(ChunkMemo):
 
 
 def frequent_words(docs: DataFrame, limit: int = LEXICON) -> list[str]:
-    """The corpus's ``limit`` most frequent words; all documents are counted, partial counts are shuffled."""
+    """About ``limit`` of the corpus's most frequent words that repeat; all documents are counted.
+
+    Words fall into bands of like counts, ``BANDS`` an octave.  Whole bands are taken while they
+    fit, and of the next one the share that fits, by the words' hashes: the driver gets the
+    bands' sizes and the chosen words, however many partitions hold the counts.  A word left out costs a merge, never a result.
+    """
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(limit).select("word").collect()
-    return [r.word for r in top]
+    counted = words.groupBy("word").count().filter("count > 1") \
+        .select("word", F.floor(F.log2("count") * BANDS).cast("int").alias("band"))
+    counted = written(counted, "word-counts")
+    sizes = counted.groupBy("band").count().collect()  # 64 * BANDS rows at most
+    room, lowest, share = limit, -1, 0.0
+    for band, n in sorted(map(tuple, sizes), reverse=True):
+        if n > room:
+            lowest, share = band, room / n
+            break
+        room -= n
+    dealt = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    return [r.word for r in counted.filter((F.col("band") > lowest) | ((F.col("band") == lowest) & dealt)).select("word").collect()]
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, limit: int = LEXICON) -> str:
