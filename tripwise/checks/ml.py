@@ -127,10 +127,19 @@ def q_gd_linear(spark, sf_dir):
 
 
 # ------------------------------------------------------------ rows-only fits
-@register("split_random")
+@register("split_random", with_views(["trips"], "select count(*) as trips, 0 as in_both, 0 as in_none, "
+                                                "true as share_fits from trips"))
 def q_split_random(spark, sf_dir):
-    train, _ = splits.split_random(sv.trips(events(spark, sf_dir)), SEED)
-    return train
+    """The seeded random split puts every trip into exactly one part, about 70 % of them into the first."""
+    t = sv.trips(events(spark, sf_dir))
+    train, test = splits.split_random(t, SEED)
+    part = lambda df, a, b: df.select("trip_id", F.lit(a).alias("a"), F.lit(b).alias("b"))
+    each = part(train, 1, 0).union(part(test, 0, 1)).union(part(t, 0, 0)) \
+        .groupBy("trip_id").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return each.agg(F.count("*").alias("trips"),
+                    F.count_if(F.col("a") + F.col("b") > 1).cast("int").alias("in_both"),
+                    F.count_if(F.col("a") + F.col("b") == 0).cast("int").alias("in_none"),
+                    F.coalesce(F.abs(F.avg("a") - 0.7) < 0.1, F.lit(True)).alias("share_fits"))
 
 
 @register("sample_rows")
@@ -188,6 +197,14 @@ def q_grid_dt(spark, sf_dir):
     return results
 
 
+@register("grid_dt_full")
+def q_grid_dt_full(spark, sf_dir):
+    """The full 100-cell tree grid: one deep fit for each number of bins, and the winner's."""
+    train, test = _split(spark, sf_dir)
+    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, seed=SEED)
+    return results
+
+
 @register("grid_rf")
 def q_grid_rf(spark, sf_dir):
     """Forest grid (trees 1, 4 x depth 4, 6 x bins 32 in this check)."""
@@ -205,34 +222,57 @@ def q_grid_lr(spark, sf_dir):
     return results
 
 
-@register("model_roundtrip")
+def _differing(a, b, algo: str):
+    """How many rows two scorings share, and how many they score differently."""
+    both = a.select("trip_id", F.col("prediction").alias("a")).join(
+        b.select("trip_id", F.col("prediction").alias("b")), "trip_id")
+    return both.agg(F.lit(algo).alias("algo"), F.count("*").alias("held_out"),
+                    F.count_if(~F.col("a").eqNullSafe(F.col("b"))).cast("int").alias("differing"))
+
+
+@register("model_roundtrip", bike_sql(f"""select algo, count(trip_id) as held_out, 0 as differing
+ from (values ('dt'), ('rf'), ('lr')) as v(algo) left join f on {splits.hash_fraction_sql('trip_id', SEED)} >= 0.7
+ group by algo"""))
 def q_model_roundtrip(spark, sf_dir):
-    """Save a tree, load it back, and check both score every row identically."""
+    """A saved and reloaded tree, forest and linear model score every held-out row as before."""
     train, test = _split(spark, sf_dir)
-    m = models.fit_tree(train, BIKE_FEATURES, LABEL, max_depth=5, max_bins=32, seed=SEED)
-    path = models.save_model(spark, m, scratch_path(spark, "dt-model"))
-    back = models.load_model(spark, path, "dt")
-    a = scoring.score_unlabelled(m, test, BIKE_FEATURES).select("trip_id", F.col("prediction").alias("a"))
-    b = scoring.score_unlabelled(back, test, BIKE_FEATURES).select("trip_id", F.col("prediction").alias("b"))
-    j = a.join(b, "trip_id")
-    if j.where(F.col("a") != F.col("b")).limit(1).count():
-        raise AssertionError("reloaded tree scores differently")
-    return j
-
-
-@register("kmeans_roundtrip")
+    fits = {"dt": models.fit_tree(train, BIKE_FEATURES, LABEL, max_depth=5, max_bins=32, seed=SEED),
+            "rf": models.fit_forest(train, BIKE_FEATURES, LABEL, num_trees=4, max_depth=4, max_bins=32, seed=SEED),
+            "lr": linear.LinearModel(BIKE_FEATURES, BIKE_WEIGHTS)}
+    score = lambda m: scoring.score_unlabelled(m, test, BIKE_FEATURES)
+    parts = []
+    for algo, m in fits.items():
+        path = models.save_model(spark, m, scratch_path(spark, f"{algo}-model"))
+        parts.append(_differing(score(m), score(models.load_model(spark, path, algo)), algo))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@register("kmeans_roundtrip", with_views(["trips"], "select count(*) as trips, 0 as differing from trips"))
 def q_kmeans_roundtrip(spark, sf_dir):
+    """A saved and reloaded k-means model assigns every trip's end points as before."""
     t = sv.trips(events(spark, sf_dir))
-    km = clustering.fit_kmeans(t, 8, SEED, max_iter=50)
-    path = scratch_path(spark, "km-model")
-    km.write().overwrite().save(path)
+    km = clustering.fit_kmeans(t, 8, SEED, max_iter=clustering.MAX_ITER)
+    path = models.save_model(spark, km, scratch_path(spark, "km-model"))
     back = models.load_model(spark, path, "km")
-    if clustering.centres_of(back) != clustering.centres_of(km):
-        raise AssertionError("reloaded k-means centres differ")
-    return clustering.assign_clusters(t, clustering.centres_of(back)).select("trip_id", "km1", "km2")
+    first = clustering.assign_clusters(t, clustering.centres_of(km)).select("trip_id", "km1", "km2")
+    again = clustering.assign_clusters(t, clustering.centres_of(back)).select("trip_id", F.col("km1").alias("b1"), F.col("km2").alias("b2"))
+    same = F.col("km1").eqNullSafe(F.col("b1")) & F.col("km2").eqNullSafe(F.col("b2"))
+    return first.join(again, "trip_id").agg(F.count("*").alias("trips"), F.count_if(~same).cast("int").alias("differing"))
+
+
+@register("fit_dt_leaves", bike_sql(f"""select count(*) as trained, 0 as wrong_leaves
+ from f where {splits.hash_fraction_sql('trip_id', SEED)} < 0.7"""))
+def q_fit_dt_leaves(spark, sf_dir):
+    """Every leaf of a fitted tree predicts the mean duration of its training rows."""
+    train, _ = _split(spark, sf_dir)
+    m = models.fit_tree(train, BIKE_FEATURES, LABEL, max_depth=4, max_bins=32, seed=SEED)
+    leaves = scoring.score_labelled(m, train, BIKE_FEATURES).groupBy("prediction").agg(
+        F.count("*").alias("n"), F.avg("dur").alias("mean"))
+    off = F.abs(F.col("mean") - F.col("prediction")) > 1e-9 * F.abs(F.col("mean"))
+    return leaves.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("trained"), F.count_if(off).cast("int").alias("wrong_leaves"))
 
 
-@register("stream_predict")
+@register("stream_predict", bike_sql(f"select round({linear_sql()}, 6) as prediction from f", False))
 def q_stream_predict(spark, sf_dir):
     """Unlabelled bike trip files scored by a streaming query with the linear model."""
     from tripwise.streaming import start_prediction_stream
@@ -247,7 +287,7 @@ def q_stream_predict(spark, sf_dir):
         q.awaitTermination()
     finally:
         w.unpersist()
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).select(r("prediction", 6).alias("prediction"))
 
 
 def _train_test_predict(spark, sf_dir, dataset: str, algo: str, cells):
