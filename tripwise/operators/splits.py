@@ -19,8 +19,8 @@ def hash_fraction(id_col: Column, seed: int = 0) -> Column:
 
 
 def hash_fraction_sql(id_col: str, seed: int = 0) -> str:
-    return (f"cast((({id_col} % {HASH_MODULUS}) * {HASH_MULTIPLIER} + {seed}) % {HASH_MODULUS} as double)"
-            f" / {float(HASH_MODULUS)!r}")
+    positive = f"(({id_col} % {HASH_MODULUS}) + {HASH_MODULUS}) % {HASH_MODULUS}"  # ids may be negative
+    return f"cast((({positive}) * {HASH_MULTIPLIER} + {seed}) % {HASH_MODULUS} as double) / {float(HASH_MODULUS)!r}"
 
 
 def split_hash(df: DataFrame, id_col: str = "trip_id", train_fraction: float = 0.7,

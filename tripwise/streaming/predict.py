@@ -32,9 +32,10 @@ def read_trip_stream(spark: SparkSession, trips_dir: str, dataset: str, max_file
 
 def start_prediction_stream(spark: SparkSession, trips_dir: str, weather: DataFrame, model,
                             centres: Sequence[Centre], dataset: str, sink_dir: str, checkpoint_dir: str,
-                            fmt: str = "parquet", available_now: bool = True, processing_time: str | None = None):
-    """Start the scoring query and return its StreamingQuery handle."""
-    t = read_trip_stream(spark, trips_dir, dataset)
+                            fmt: str = "parquet", available_now: bool = True, processing_time: str | None = None,
+                            max_files: int = 1000):
+    """Start the scoring query and return its StreamingQuery handle; ``max_files`` bounds one micro-batch."""
+    t = read_trip_stream(spark, trips_dir, dataset, max_files)
     feats = build_features(t, weather, centres, dataset, labelled=False)
     scored = predict(model, feats, feature_names(dataset))
     w = (scored.writeStream.format(fmt).outputMode("append")
