@@ -190,10 +190,9 @@ def q_fit_lr(spark, sf_dir):
 
 @register("grid_dt")
 def q_grid_dt(spark, sf_dir):
-    """Tree grid (depth 2, 4, 8 x bins 16, 32 in this check; the full grid is the default)."""
+    """The full 100-cell tree grid, as ``grid_dt_full``."""
     train, test = _split(spark, sf_dir)
-    cells = [dict(max_depth=d, max_bins=b) for d in (2, 4, 8) for b in (16, 32)]
-    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, cells, SEED)
+    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, seed=SEED)
     return results
 
 
@@ -207,10 +206,9 @@ def q_grid_dt_full(spark, sf_dir):
 
 @register("grid_rf")
 def q_grid_rf(spark, sf_dir):
-    """Forest grid (trees 1, 4 x depth 4, 6 x bins 32 in this check)."""
+    """The full 560-cell forest grid, one fit for each cell."""
     train, test = _split(spark, sf_dir)
-    cells = [dict(num_trees=t, max_depth=d, max_bins=32) for t in (1, 4) for d in (4, 6)]
-    _, results, _ = models.grid_search(spark, "rf", train, test, BIKE_FEATURES, LABEL, cells, SEED)
+    _, results, _ = models.grid_search(spark, "rf", train, test, BIKE_FEATURES, LABEL, seed=SEED)
     return results
 
 
@@ -290,7 +288,7 @@ def q_stream_predict(spark, sf_dir):
     return spark.read.parquet(sink).select(r("prediction", 6).alias("prediction"))
 
 
-def _train_test_predict(spark, sf_dir, dataset: str, algo: str, cells):
+def _train_test_predict(spark, sf_dir, dataset: str, algo: str):
     from tripwise.plans import pipeline
     from tripwise.sources import writers
     ev = events(spark, sf_dir)
@@ -300,7 +298,7 @@ def _train_test_predict(spark, sf_dir, dataset: str, algo: str, cells):
     trips = writers.write_csv(sv.trips(ev).select(*lab), scratch_path(spark, "p-trips"))
     unl = writers.write_csv(sv.trips(ev).select(*[c for c in lab if c != "dur"]), scratch_path(spark, "p-unl"))
     model_dir, km_dir = scratch_path(spark, "p-model"), scratch_path(spark, "p-km")
-    opts = pipeline.RunOptions(cells=cells, k_grid=(6, 7, 8, 9), restarts=1, kmeans_iter=20, seed=SEED)
+    opts = pipeline.RunOptions(seed=SEED)
     pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "training", opts)
     pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "test", opts)
     out = pipeline.run(spark, weather, unl, model_dir, km_dir, dataset, algo, "prediction", opts)
@@ -309,15 +307,15 @@ def _train_test_predict(spark, sf_dir, dataset: str, algo: str, cells):
 
 @register("train_test_predict")
 def q_train_test_predict(spark, sf_dir):
-    """The whole pipeline on bike trip files: choose clusters, grid-search a tree,
-    score the labelled rows (test mode) and predict unlabelled ones (small grids)."""
-    return _train_test_predict(spark, sf_dir, "bike", "dt", [dict(max_depth=d, max_bins=32) for d in (3, 5)])
+    """The whole pipeline on bike trip files: choose clusters over all 35 fits, search the full
+    100-cell tree grid, score the labelled rows (test mode) and predict unlabelled ones."""
+    return _train_test_predict(spark, sf_dir, "bike", "dt")
 
 
 @register("train_test_predict_taxi_lr")
 def q_train_test_predict_taxi_lr(spark, sf_dir):
-    """The whole pipeline on taxi trip files with the full 30-cell linear grid."""
-    return _train_test_predict(spark, sf_dir, "taxi", "lr", None)
+    """The whole pipeline on taxi trip files with the full search of clusters and the 30-cell linear grid."""
+    return _train_test_predict(spark, sf_dir, "taxi", "lr")
 
 
 @register("kmeans_select_weighted")
