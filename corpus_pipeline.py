@@ -8,7 +8,7 @@ one.  All but the last return the columns they were given.
   documents among those given, except held-out ones.
 * ``quality``: documents that the weakly supervised scorer rejects go.
 * ``near_duplicates``: of each component of 4-word SimHash fingerprints that link at 4 bits or fewer, the
-  document with the smallest doc_id stays (one row of it, should it repeat).
+  row with the smallest doc_id stays (null last; the smallest text of it, should it repeat).
 * ``secrets``: found secrets and linked credential parts are masked in the text.
 * ``packing``: the rest is packed into sequences of at most 2,048 tokens, with the public word-level vocabulary.
 

@@ -100,3 +100,19 @@ def test_empty_table_and_repeated_rows(spark, tmp_path):
     df = documents(spark, ["a b c d e", "a b c d e", None, "x"], [3, 3, None, None]).withColumn("fp", F.lit(1))
     rows = QUERIES["op8_simhash_near_dedup"](spark, save(df, tmp_path / "r")).collect()
     assert len(rows) == 4 and sorted(r.component_id or -1 for r in rows) == [-1, -1, 3, 3]
+
+
+def test_one_row_of_each_component_stays_whatever_its_key(spark):
+    words = [" ".join(f"{name}{i}" for i in range(40)) for name in ("ash", "bay", "cat", "dog", "elm")]
+    a, b, c, d, e = words
+    rows = [(1, a), (5, b), (5, a), (9, b), (7, c), (7, d), (None, a), (None, e), (None, e), (None, e.upper()), (8, c), (7, c),
+            (3, d + "  "), (2, None), (2, "")]
+    assert len({sh.fingerprint(x) for x in words}) == 5
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows]).withColumn("__text", F.lit("clash"))
+    left = sh.one_of_each(docs)
+    assert left.columns == docs.columns
+    left = left.collect()
+    assert {r["__text"] for r in left} == {"clash"}
+    # a: row 1; b: row 5, though another text of 5 goes; c: row 7; d: row 3; e: a row without an id, the smallest text.
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
+        [(1, a), (5, b), (7, c), (3, d + "  "), (None, e.upper()), (2, None)], key=str)

@@ -31,6 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 #: Most buckets of one order; their bounds are a literal of the plan.
 MAX_BUCKETS = 16_384
 FIRST = -(1 << 63)

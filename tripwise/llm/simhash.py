@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import written
+from tripwise.llm.common import fresh, written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOW = np.uint64(0x5555555555555555)
@@ -65,14 +65,17 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, words: int = 4, hashed: bool = False) -> DataFrame:
+    """doc_id and ``fp``, the fingerprint as a signed 64-bit integer; if ``hashed``, also ``h``, a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            more = batch.columns[2:], batch.schema.names[2:]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *more[0]], ["doc_id", "fp", *more[1]])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    more = [F.xxhash64("text").alias("h")] if hashed else []
+    return docs.select(F.col("doc_id").cast("long"), "text", *more) \
+        .mapInArrow(run, "doc_id long, fp long" + ", h long" * hashed)
 
 
 def _runs(parts: int) -> list[int]:
@@ -228,28 +231,51 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _rooted(distinct: DataFrame, max_bits: int, max_cell: int) -> DataFrame:
+    """``distinct``, one row a fingerprint ``fp``, with the ``root`` of its component."""
+    roots = components(links(distinct.select("fp"), max_bits, max_cell))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell: int = 50_000) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits) and component_id."""
     held = written(fingerprints(docs, words), "fingerprints")
     distinct = written(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), max_bits, max_cell))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(distinct, max_bits, max_cell)
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.join(smallest, "root").select("fp", "component_id")
     return held.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
+def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell: int = 50_000) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the smallest by doc_id (null last), then text.
 
-    Texts meet the list of dropped ids in one join, and the window that leaves one row of
-    a repeated doc_id runs on the same partitioning.  Rows without a doc_id cannot be named
-    as members; one row of each distinct text among them stays.
+    A row is known by its doc_id and a hash of its text.  Only where several texts share a component's
+    smallest doc_id are texts compared.  Texts meet the list of dropped rows in one join, and
+    the window that leaves one of equal rows runs on the same partitioning.
     """
-    groups = near_duplicates(docs, words, max_bits)
-    goes = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__key"), F.lit(False).alias("__null"))
-    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "__null": F.col("doc_id").isNull()})
-    kept = keyed.join(goes.distinct(), ["__key", "__null"], "left_anti")
-    nth = F.row_number().over(W.partitionBy("__key", "__null").orderBy("text"))
-    return kept.withColumn("__nth", nth).filter("__nth = 1").select(*docs.columns)
+    held = written(fingerprints(docs, words, hashed=True), "fingerprints")
+    # The smallest doc_id with its least and its greatest hash: they differ if it has several texts.
+    none, d = F.col("doc_id").isNull(), F.col("doc_id")
+    distinct = held.groupBy("fp").agg(F.min(F.struct(none.alias("none"), d.alias("d"), "h")).alias("lo"),
+                                      F.max(F.struct((~none).alias("some"), F.bitwise_not(d).alias("d"), "h")).alias("hi"))
+    named = written(_rooted(written(distinct, "distinct"), max_bits, max_cell), "roots")
+    best = named.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
+        .select("root", F.col("lo.d").alias("d"), F.col("lo.h").alias("least"), F.col("hi.h").alias("most"))
+    best = written(best, "smallest")
+    tied = named.select("fp", "root").join(best.filter("least <> most").select("root", "d"), "root")
+    tied = held.join(tied, "fp").filter("doc_id <=> d").select("root", "d", "h").distinct()
+    tied = written(tied, "tied")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("of"), "text")
+    first = texts.join(tied, (texts["of"] == tied["h"]) & texts["id"].eqNullSafe(tied["d"])) \
+        .groupBy("root").agg(F.min(F.struct("text", "h")).getField("h").alias("chosen"))
+    stays = best.join(first, "root", "left").select("root", "d", F.coalesce("chosen", "least").alias("stays"))
+    of = named.select("fp", "root").join(stays, "root").select("fp", "d", "stays")
+    key, null, text, nth = fresh(docs, "__key", "__null", "__text", "__nth")
+    goes = held.join(of, "fp").filter("not (doc_id <=> d and h = stays)").select(
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias(key), F.col("doc_id").isNull().alias(null), F.col("h").alias(text))
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+                              null: F.col("doc_id").isNull(), text: F.xxhash64("text")})
+    kept = keyed.join(goes.distinct(), [key, null, text], "left_anti")
+    row = F.row_number().over(W.partitionBy(key, null, text).orderBy("text"))
+    return kept.withColumn(nth, row).filter(F.col(nth) == 1).select(*docs.columns)
