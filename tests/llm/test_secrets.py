@@ -80,3 +80,13 @@ def test_repeated_empty_and_long(spark, tmp_path):
     rows = QUERIES["op4_secret_scans"](spark, save(df, tmp_path / "a")).collect()
     assert sorted((r.n_assign, r.base_sha256) for r in rows) == sorted(plain(t)[0::3] for t in ["secret: abcdefg"] * 3 + [long, None])
     assert QUERIES["op4_secret_scans"](spark, save(df.limit(0), tmp_path / "e")).count() == 0
+
+
+def test_redaction_keeps_columns_named_like_its_helpers(spark):
+    docs = documents(spark, ["token = abcdefgh and more", "plain words", None])
+    for c in ("h1", "h2", "holes", "__h1", "__holes"):
+        docs = docs.withColumn(c, F.lit(f"of {c}"))
+    rows = sc.redact(docs).orderBy("doc_id").collect()
+    assert rows[0].__fields__ == docs.columns
+    assert [r.text for r in rows] == ["[SECRET] and more", "plain words", None]
+    assert all(r[c] == f"of {c}" for r in rows for c in ("h1", "h2", "holes", "__h1", "__holes"))

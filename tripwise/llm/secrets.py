@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import written
+from tripwise.llm.common import fresh, written
 
 KINDS = ("assign", "access", "hex", "keyid", "blob", "endpoint")
 #: The three base patterns; group of the value and its least length.
@@ -75,9 +75,9 @@ def _parts(text: Column) -> Column:
         where(text.contains("AKIA") | text.rlike(KEYID), [_cut(text, 3, KEYID), _cut(text, 4, BLOB), _cut(text, 5, ENDPOINT)]))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, names: list[str] = KEY) -> DataFrame:
     doc, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
-    return docs.withColumns({"h1": F.xxhash64(doc, text), "h2": F.xxhash64(text, F.lit("second"), doc)})
+    return docs.withColumns(dict(zip(names, (F.xxhash64(doc, text), F.xxhash64(text, F.lit("second"), doc)))))
 
 
 def _merged(spans: DataFrame, by: list[str]) -> DataFrame:
@@ -144,16 +144,18 @@ def redact(docs: DataFrame, scope: int = SCOPE, mask: str = "[SECRET]") -> DataF
     Only texts with a candidate part are joined with their spans; the others pass as they are.
     """
     _, found = spans(docs, scope)
+    *key, at = fresh(docs, "__h1", "__h2", "__holes")
     holes = _merged(found.select(*KEY, F.col("start").alias("lo"), F.col("end").alias("hi")), KEY) \
-        .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("holes"))
+        .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("holes")) \
+        .select(*[F.col(c).alias(k) for c, k in zip(KEY, key)], F.col("holes").alias(at))
     text = F.col("text")
     has = F.size(_parts(F.coalesce(text, F.lit("")))) > 0
-    n = F.size("holes")
-    kept = F.transform("holes", lambda h, i: F.substring(
-        text, F.when(i == 0, F.lit(1)).otherwise(F.element_at("holes", F.greatest(i, F.lit(1)))["hi"].cast("int") + 1),
-        (h["lo"] - F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at("holes", F.greatest(i, F.lit(1)))["hi"])).cast("int")))
-    rest = F.substring(text, F.element_at("holes", -1)["hi"].cast("int") + 1, F.length(text))
-    hit = _keyed(docs.filter(has)).join(holes, KEY, "left") \
+    n = F.size(at)
+    kept = F.transform(at, lambda h, i: F.substring(
+        text, F.when(i == 0, F.lit(1)).otherwise(F.element_at(at, F.greatest(i, F.lit(1)))["hi"].cast("int") + 1),
+        (h["lo"] - F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at(at, F.greatest(i, F.lit(1)))["hi"])).cast("int")))
+    rest = F.substring(text, F.element_at(at, -1)["hi"].cast("int") + 1, F.length(text))
+    hit = _keyed(docs.filter(has), key).join(holes, key, "left") \
         .withColumn("text", F.when(n > 0, F.concat(F.array_join(kept, mask), F.lit(mask), rest)).otherwise(text))
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.when(n > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
