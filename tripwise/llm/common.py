@@ -42,6 +42,26 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: A key with more than this share of all rows is heavy, so there are at most as many heavy keys as its inverse.
+HEAVY_SHARE, HEAVY_ROWS = 1 / 1000, 1000
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key; rows of heavy keys stay where they are.
+
+    Heavy keys of ``left`` (more than a thousandth of its rows, hence at most 1,000 of them)
+    meet their rows of ``right`` by broadcast, the others by a join on the key, so no task gets a
+    hot key's rows.  ``left`` is read twice: give a written table.
+    """
+    bound = max(HEAVY_ROWS, int(left.count() * HEAVY_SHARE))
+    heavy = written(left.groupBy(*keys).count().filter(F.col("count") > bound).drop("count"), "heavy")
+    if heavy.isEmpty():
+        return left.join(right, keys, how)
+    few = F.broadcast(heavy)
+    hot = left.join(few, keys, "left_semi").join(F.broadcast(right.join(few, keys, "left_semi")), keys, how)
+    return left.join(few, keys, "left_anti").join(right, keys, how).unionByName(hot)
+
+
 #: Most buckets of one order; their bounds are a literal of the plan.
 MAX_BUCKETS = 16_384
 FIRST = -(1 << 63)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import table, tokenizer_path
-from tripwise.llm import (ann, bpe_lexicon, huffman, order_minhash, packing, periodic_runs, quality, secrets, simhash,
-                          toxicity, url_filter)
+from tripwise.llm import (ann, bpe_lexicon, huffman, lsh_forest, order_minhash, packing, periodic_runs, quality, secrets,
+                          simhash, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_periodic_runs")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
+@register("op12_lsh_forest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
