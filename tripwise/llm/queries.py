@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import table, tokenizer_path
-from tripwise.llm import (ann, bpe_lexicon, huffman, lsh_forest, order_minhash, packing, periodic_runs, quality, secrets,
-                          simhash, toxicity, url_filter)
+from tripwise.llm import (ann, bpe_lexicon, huffman, lsh_forest, order_minhash, packing, periodic_runs, prefix_trie, quality,
+                          secrets, simhash, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,42 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_lsh_forest")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Turns are structs of role and text; a prefix is a list of them, compared as a whole.
+TRIE_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM own),
+built AS (
+  SELECT o.conv_id AS c, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM hashed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+member AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM built),
+prefix AS (SELECT c, d, len(turns) AS m, turns[1:d] AS p FROM member),
+node AS (
+  SELECT p, d, min(c) AS least, count(*) AS n,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (m = d), '')) AS ends
+  FROM prefix GROUP BY p, d),
+valued AS (
+  SELECT k.*, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+')) END AS saved,
+    (SELECT count(*) FROM node c WHERE c.d = k.d + 1 AND c.p[1:k.d] = k.p) AS children
+  FROM node k),
+below AS (
+  SELECT u, count(*) FILTER (children = 0) AS leaves, sum(saved) AS saved
+  FROM (SELECT unnest(list_transform(range(0, d + 1), lambda i: p[1:i])) AS u, children, saved FROM valued) GROUP BY u)
+SELECT k.least AS conv_id, k.d AS depth, up.least AS parent_conv_id, k.n AS n_convs, k.children AS n_children,
+  below.leaves AS n_leaves, below.saved::BIGINT AS saved_tokens, k.ends AS ends_sha256
+FROM valued k JOIN below ON below.u = k.p LEFT JOIN node up ON k.d > 0 AND up.d = k.d - 1 AND up.p = k.p[1:k.d - 1]"""
+
+
+@register("op11_conversation_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.conversations(turns)))
