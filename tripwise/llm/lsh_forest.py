@@ -19,6 +19,7 @@ group of thousands of near copies costs little more than its members.  A group w
 ``BLOCK`` shingles is dealt into blocks, each pair of blocks a task: no link is lost and no task
 grows with the data.
 
+Joins whose sides both grow with the corpus ask for a merge, so the plan is the same at every size.
 Skew.  Copies shrink map-side.  Rows of one group or component are never joined on it in one task:
 large groups are few and met by broadcast (``split_join``).
 
@@ -157,7 +158,7 @@ def regions(nodes: DataFrame, region: int) -> DataFrame:
     found = []
     for depth in range(FIRST, DEPTH + 1):
         size = rows.groupBy("group").count().filter("count > 1")
-        rows = written(rows.join(size, "group"), "regions")
+        rows = written(rows.join(size.hint("merge"), "group"), "regions")
         found.append(rows.filter(F.col("count") <= region).select("group", "node"))
         rows = rows.filter(F.col("count") > region)
         if rows.isEmpty():
@@ -264,7 +265,7 @@ def confirmed(groups: DataFrame, docs: DataFrame, block: int = BLOCK) -> DataFra
     mine = groups.select("root", "node", *key, "h1", "h2")
     texts = docs.select(F.col("doc_id").cast("long"), "text").select(
         *key, F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), "text")
-    held = texts.join(mine, ["id", "none", "h1", "h2"]).select("root", "node", "text")
+    held = texts.join(mine.hint("merge"), ["id", "none", "h1", "h2"]).select("root", "node", "text")
     held = written(held.groupBy("root", "node").agg(F.first("text").alias("text")), "group-texts")
     small = held.join(large, "root", "left_anti")
     if not large.isEmpty():  # a group of more than BLOCK shingles: at most as many as the corpus has blocks
