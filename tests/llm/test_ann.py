@@ -55,6 +55,18 @@ def test_several_blocks_copies_and_bad_rows(spark, tmp_path, monkeypatch):
         assert [i for i, _ in found[q]] == [i for i in range(100, 107) if i != q][:5]
 
 
+def test_every_vector_of_an_id_and_every_length_take_part(spark, tmp_path):
+    rows = [(50, [1.0, 0.0], 0), (1, [1.0, 0.1], 0), (1, [0.0, 1.0], 0), (2, [1.0, 1.0], 0), (2, [1.0, 1.0], 0), (3, [0.5, 0.5], 0),
+            (100, [1.0, 0.0, 0.0], 0), (4, [1.0, 0.0, 1.0], 0), (5, [0.0, 1.0, 0.0], 0), (150, [1.0], 0),
+            (200, [0.0, 0.0, 0.0, 1.0], 0), (200, [0.0, 0.0, 1.0, 1.0], 0), (9, [0.0, 0.0, 0.0, 2.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = QUERIES["op5_ann_one_bit"](spark, save(df, tmp_path, "embeddings")).collect()
+    of = lambda q: [(r.rank, r.vec_id, round(r.score, 6)) for r in sorted(found) if r.query_id == q]
+    assert of(50) == [(1, 1, 0.995037), (2, 2, 0.707107), (3, 3, 0.707107), (4, 1, 0.0)]
+    assert of(100) == [(1, 4, 0.707107), (2, 5, 0.0)] and of(150) == []
+    assert of(200) == [(1, 9, 0.707107), (1, 9, 1.0), (2, 200, 0.707107), (2, 200, 0.707107)]
+
+
 def test_few_rows_and_empty(spark, tmp_path):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (50, [1.0, 1.0], 0), (7, [0.0, 2.0], 0)], SCHEMA)
     found = got(QUERIES["op5_ann_one_bit"](spark, save(few, tmp_path / "f", "embeddings")))

@@ -47,7 +47,9 @@ def test_stages_in_order_on_the_whole_table(spark, tmp_path):
 def test_nulls_repeats_clashes_and_empty_tables(spark, tmp_path):
     rows = ["a plain text of some words here", "a plain text of some words here", None, "", "token = abcdefgh and more"] * 2
     docs = documents(spark, rows, [1, 2, 3, None, 4, 1, None, None, 5, 6])
-    for c in ("score", "predicted", "fp", "kind", "group", "__nth"):
+    clash = ("score", "predicted", "fp", "kind", "group", "__nth", "__judged", "__predicted", "__score", "__held_out", "__votes",
+             "__posterior", "__toxic", "__id")
+    for c in clash:
         docs = docs.withColumn(c, docs.lang)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for name, data in (("some", docs), ("none", docs.limit(0))):
@@ -58,6 +60,7 @@ def test_nulls_repeats_clashes_and_empty_tables(spark, tmp_path):
             then = run(spark, now, folder)
             if stage != "packing":
                 assert then.columns == now.columns
+                assert all(r[c] == "en" for r in then.collect() for c in clash)
             then.write.parquet(f"{tmp_path}/{name}-{stage}")
             now = spark.read.parquet(f"{tmp_path}/{name}-{stage}")
         assert (now.count() > 0) == (name == "some")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 import xxhash
@@ -61,13 +62,11 @@ def chained(values):
 
 
 def plain_sketch(text):
-    words = (text or "").strip(" ").split()
-    words = words or [""]
-    grams = [words] if len(words) < om.WORDS else [words[i:i + om.WORDS] for i in range(len(words) - om.WORDS + 1)]
-    if len(words) < om.WORDS:
-        hashes = [chained([" ".join(words)])]
-    else:
-        hashes = [chained(g) for g in grams]
+    words = re.findall(r"[^ \t\n\x0b\f\r]+", text or "") or [""]
+    letters, k, whole = words, om.WORDS, " ".join(words)
+    if len(words) < k or sum(map(len, words)) > om.LONG * len(words):
+        letters, k = whole, om.CHARS
+    hashes = [chained([whole])] if len(letters) < k else [chained(letters[i:i + k]) for i in range(len(letters) - k + 1)]
     seen, values = {}, []
     for i, h in enumerate(hashes):
         top = h >> 24
@@ -87,7 +86,8 @@ def plain_sketch(text):
 
 def test_selection_equals_a_plain_version(spark):
     rng = random.Random(1)
-    texts = ["", "a", "a b", "a b c", "a b c a b c a b c", "x " * 200] + [
+    texts = ["", "a", "a b", "a b c", "a b c a b c a b c", "x " * 200, "\n a b c d \t", "日本語" * 40, "é😀" * 3, "abcdefgh " + "x" * 90,
+             ("w" * 40 + " ") * 5, ("w" * 20 + " " * 30) * 5, "x" * 5000] + [
         " ".join(rng.choices("abcdefg" if i % 2 else [f"v{k}" for k in range(500)], k=rng.randint(1, 200))) for i in range(60)]
     df = om.with_sketch(documents(spark, texts), "text", "f").select("doc_id", om.as_text("f").alias("f"))
     assert {r.doc_id: r.f for r in df.collect()} == {i: plain_sketch(t) for i, t in enumerate(texts)}
@@ -106,6 +106,21 @@ def test_likeness_falls_with_edits_and_with_moved_passages(spark):
     assert like[0] == 1 and like[1] > 0.7 and like[1] > like[3] > like[4] == 0 and like[2] < 0.8
 
 
+def test_white_space_around_and_between_words_changes_nothing(spark):
+    texts = ["so it goes on and on", "\nso  it goes\ton and on", "so it goes on and on \r\n", "日本語の文", "\t日本語の文\n"]
+    rows = om.with_sketch(documents(spark, texts), "text", "f").orderBy("doc_id").collect()
+    assert rows[0].f == rows[1].f == rows[2].f != rows[3].f == rows[4].f
+
+
+def test_an_edit_of_a_text_without_spaces_changes_a_part_only(spark):
+    rng = random.Random(4)
+    text = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(300))
+    edited = "".join("x" if i in (60, 150, 240) else c for i, c in enumerate(text))
+    rows = om.with_sketch(documents(spark, [text, edited, text[::-1]]), "text", "f").orderBy("doc_id").collect()
+    like = [sum(a == b for a, b in zip(rows[0].f, r.f)) / om.SLOTS for r in rows]
+    assert like[0] == 1 > like[1] > 0.7 and like[2] < 0.2
+
+
 def test_empty_single_repeated_and_null_ids(spark, tmp_path):
     q = QUERIES["op6_order_minhash"]
     assert q(spark, save(documents(spark, []), tmp_path / "e")).count() == 0

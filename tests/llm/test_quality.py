@@ -1,10 +1,13 @@
 """Accuracy against labels the model never reads; EM against known accuracies; edge cases."""
 
+import math
+
 import numpy as np
-from helpers import SF_MID, documents, save
+from helpers import SF_MID, SF_SMALL, documents, save
 from pyspark.sql import functions as F
 
 from tripwise.llm import quality as ql
+from tripwise.llm.common import sample_share
 from tripwise.llm.queries import QUERIES
 
 
@@ -31,6 +34,47 @@ def test_em_finds_the_accuracies():
     assert np.mean([(of["".join(map(str, v))] >= 0.5) == t for v, t in zip(votes, truth)]) > 0.9
 
 
+def plain_em(votes, rounds=200):
+    """EM over all rows, one at a time."""
+    n = len(votes[0])
+    post = []
+    for v in votes:
+        good, bad = v.count(ql.GOOD), v.count(ql.BAD)
+        post.append((good + 1) / (good + 3 * bad + 2) if good + bad else 0.5)
+    for _ in range(rounds):
+        prior = min(max(sum(post) / len(post), 0.01), 0.99)
+        seen = [[[0.5] * 3, [0.5] * 3] for _ in range(n)]
+        for v, p in zip(votes, post):
+            for j, x in enumerate(v):
+                seen[j][0][x] += 1 - p
+                seen[j][1][x] += p
+        post = []
+        for v in votes:
+            z = math.log(prior / (1 - prior))
+            for j, x in enumerate(v):
+                if x != ql.NONE:
+                    good, bad = seen[j][1], seen[j][0]
+                    z += math.log(good[x] / (good[ql.GOOD] + good[ql.BAD]) / (bad[x] / (bad[ql.GOOD] + bad[ql.BAD])))
+            post.append(1 / (1 + math.exp(-max(-35, min(35, z)))))
+    return post
+
+
+def test_posteriors_equal_a_plain_em_over_all_rows(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    rows = ql.classify(docs).select("votes", "posterior").collect()
+    want = plain_em([[int(c) for c in r.votes] for r in rows])
+    assert len(rows) == docs.count() and max(abs(r.posterior - p) for r, p in zip(rows, want)) < 1e-6
+
+
+def test_training_rows_stay_bounded_and_names_may_clash(spark):
+    texts = [f"Plain sentence number {i} stands here for a while." for i in range(600)]
+    docs = documents(spark, texts, [3 if i % 3 == 0 else i for i in range(600)])
+    spread = sample_share(docs, ["doc_id", "text"], 60, 600)
+    assert 30 < spread.count() < 100 and 0 < spread.filter("doc_id = 3").count() < 60
+    out = ql.classify(docs.withColumn("__judged", F.lit("kept")), prefix="x_")
+    assert {r["__judged"] for r in out.collect()} == {"kept"}
+
+
 def test_votes():
     good = "The quick brown fox jumps over the lazy dog again. " * 4
     assert ql.look(good)[0][:3] == "111"

@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import SF_SMALL, documents, save
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tripwise.llm import bpe_lexicon as bl
+from tripwise.llm import common as cm
 from tripwise.llm import huffman as hf
 from tripwise.llm import packing as pk
 from tripwise.llm.common import TokenMemo, tokenizer_path
@@ -82,6 +84,24 @@ def check_packing(rows, texts, capacity=2048):
     return sum(map(len, want.values())), len(sequences)
 
 
+def test_packing_keeps_large_ids_beside_null_ones(spark, tmp_path):
+    big = (1 << 53) + 1
+    save(documents(spark, ["some words", "more words here", None], [big, None, big + 2]), tmp_path)
+    rows = QUERIES["op7_packing"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id for r in rows), key=str) == [big, big + 2, None]
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_rows_of_a_hot_id_are_dealt_into_ordered_buckets(spark, hot):
+    ids = [hot if i % 3 == 0 else i for i in range(3000)]
+    docs = documents(spark, [f"text {i}" for i in range(3000)], ids)
+    dealt = cm.ordered_buckets(docs.select("doc_id", "text"), "doc_id", 50)
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min("okey").alias("a"), F.max("okey").alias("b")) \
+        .orderBy("bucket").collect()
+    assert sum(r.n for r in sizes) == 3000 and max(r.n for r in sizes) <= 200
+    assert all(x.b <= y.a for x, y in zip(sizes, sizes[1:]))
+
+
 def test_packing(spark, odd):
     texts = texts_of(spark)
     used, sequences = check_packing(QUERIES["op7_packing"](spark, SF_SMALL).collect(), texts)

@@ -14,14 +14,17 @@ shuffle.  Entries and queries are dealt into blocks by hash; the grid of (query
 is a co-group, so a task holds one block of each, whatever the sizes.  The first pass sends k + 1
 lower bounds a query and block, the second the best k + 1 exact scores; pairs are never rows.
 
-Defined cases: vectors that are null, zero, hold nulls or non-finite numbers, or have another
-length than most, and rows without an id take no part, neither as queries; an id given with
-several vectors counts once, with the smallest; fewer rows than k give all of them; scores are equal
-for equal vectors, and ties go to the smaller id; an empty table gives an empty table.
+Defined cases: vectors that are null, zero, or hold nulls or non-finite numbers, and rows without an id
+take no part, neither as queries; vectors are compared with those of the same length, each length in blocks of its
+own; each different vector of an id is a candidate (and a query) by itself, equal rows are one; fewer rows than
+k give all of them; scores are equal for equal vectors, and ties go to the smaller id; an empty table gives
+an empty table; columns other than the id and the vector are not read.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,6 +37,7 @@ BITS, EPSILON, K, SEED = 512, 1.9, 5, 20
 ENTRIES, QUERIES, TILE = 8192, 2048, 128  # rows of a block, queries of a block, queries at once
 
 
+@lru_cache(maxsize=8)
 def rotation(dim: int, bits: int = BITS, seed: int = SEED) -> np.ndarray:
     """Orthonormal columns: ``dim`` numbers into max(bits, dim) dimensions, as float32."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((max(bits, dim), dim)))
@@ -71,40 +75,39 @@ def _signs(codes: pa.ChunkedArray, bits: int) -> np.ndarray:
     return np.unpackbits(raw, axis=1, count=bits).astype(np.float32) * 2 - 1
 
 
-def usable(df: DataFrame) -> tuple[DataFrame, int]:
-    """(vec_id, vec as doubles) of the rows that take part, and their length."""
+def usable(df: DataFrame) -> DataFrame:
+    """(vec_id, vec as doubles) of the rows that take part, equal ones once."""
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
-    df = df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(fine) \
-        .select(F.col("vec_id").cast("long"), x.alias("vec"))
-    most = df.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    dim = most.n if most else 1
-    return df.filter(F.size("vec") == dim).groupBy("vec_id").agg(F.min("vec").alias("vec")), dim
+    return df.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(fine) \
+        .select(F.col("vec_id").cast("long"), x.alias("vec")).distinct()
 
 
 def search(df: DataFrame, is_query: Column, k: int = K, bits: int = BITS, epsilon: float = EPSILON) -> DataFrame:
     """The ``k`` nearest found by cosine for every row of ``is_query``: query_id, rank, vec_id, score."""
-    rows, dim = usable(df)
-    rows = written(rows.withColumn("h", F.xxhash64("vec")), "vectors")
-    turn = rotation(dim, bits)
-    bits, top = len(turn), k + 1
+    rows = written(usable(df).withColumn("h", F.xxhash64("vec")), "vectors")
+    top = k + 1
     first = W.partitionBy("h", "vec").orderBy("vec_id")
     equal = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= top) \
         .groupBy("h", "vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
     def code(batches):
         for batch in batches:
-            if batch.num_rows:
-                packed, f = codes_of(_matrix(batch.column(batch.schema.get_field_index("vec")), dim), turn)
+            dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
+            for dim in np.unique(dims).tolist():  # as a rule one
+                part = batch.filter(pa.array(dims == dim))
+                packed, f = codes_of(_matrix(part.column(part.schema.get_field_index("vec")), dim), rotation(dim, bits))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(f)],
-                    [*batch.schema.names, "code", "f"])
+                    [*part.columns, pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(f)],
+                    [*part.schema.names, "code", "f"])
 
-    entries = equal.select(F.element_at("ids", 1).alias("entry"), "ids", "h", "vec")
-    entries = written(entries.mapInArrow(code, "entry long, ids array<long>, h long, vec array<double>, code binary, f float"), "codes")
+    entries = equal.select(F.element_at("ids", 1).alias("least"), "ids", "h", "vec", F.size("vec").alias("dim"))
+    entries = entries.mapInArrow(code, "least long, ids array<long>, h long, vec array<double>, dim int, code binary, f float")
+    # A written number: unique, and the same whenever it is read again.
+    entries = written(entries.withColumn("entry", F.monotonically_increasing_id()), "codes")
     asked = written(rows.filter(is_query).join(entries.select("h", "vec", "entry"), ["h", "vec"])
                     .select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")), "queries")
-    queries = asked.select("query").distinct().join(entries.select(F.col("entry").alias("query"), "vec"), "query")
+    queries = asked.select("query").distinct().join(entries.select(F.col("entry").alias("query"), "vec", "dim"), "query")
     queries = written(queries, "query-vectors")
     many = max(1, -(-entries.count() // ENTRIES)), max(1, -(-queries.count() // QUERIES))
 
@@ -113,26 +116,31 @@ def search(df: DataFrame, is_query: Column, k: int = K, bits: int = BITS, epsilo
             .withColumn("eb", F.explode(F.sequence(F.lit(0), F.lit(many[0] - 1)).cast("array<long>")))
         e = entries.withColumn("eb", F.pmod(F.xxhash64("entry"), F.lit(many[0]))) \
             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(many[1] - 1)).cast("array<long>")))
-        return q.groupBy("qb", "eb").cogroup(e.groupBy("qb", "eb"))
+        return q.groupBy("dim", "qb", "eb").cogroup(e.groupBy("dim", "qb", "eb"))
 
     def lower(q: pa.Table, e: pa.Table) -> pa.Table:
         out = []
         if q.num_rows and e.num_rows:
-            x, signs, f = _matrix(q["vec"], dim), _signs(e["code"], bits), e["f"].to_numpy()
+            dim = q["dim"][0].as_py()
+            turn = rotation(dim, bits)
+            x, signs, f = _matrix(q["vec"], dim), _signs(e["code"], len(turn)), e["f"].to_numpy()
             n = min(top, len(f))
             for at in range(0, len(x), TILE):
                 low, _ = bounds(x[at:at + TILE], signs, f, turn, epsilon)
                 out += np.partition(low, len(f) - n, axis=1)[:, len(f) - n:].tolist()
         return pa.table({"query": q["query"] if out else pa.array([], pa.int64()), "low": pa.array(out, pa.list_(pa.float32()))})
 
-    lows = grid(queries, entries.select("entry", "code", "f")).applyInArrow(lower, "query long, low array<float>")
+    lows = grid(queries, entries.select("entry", "dim", "code", "f")).applyInArrow(lower, "query long, low array<float>")
     least = F.get(F.sort_array(F.flatten(F.collect_list("low")), False), F.lit(top - 1))
     need = lows.groupBy("query").agg(F.coalesce(least, F.lit(-3.0).cast("float")).alias("need"))
 
     def rerank(q: pa.Table, e: pa.Table) -> pa.Table:
         who, what, score = [], [], []
         if q.num_rows and e.num_rows:
-            x, signs, f = _matrix(q["vec"], dim), _signs(e["code"], bits), e["f"].to_numpy()
+            dim = q["dim"][0].as_py()
+            turn = rotation(dim, bits)
+            x, signs, f = _matrix(q["vec"], dim), _signs(e["code"], len(turn)), e["f"].to_numpy()
+            least = e["least"].to_numpy()
             y, ids, names, needs = _matrix(e["vec"], dim), e["entry"].to_numpy(), q["query"].to_numpy(), q["need"].to_numpy()
             xn, yn = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", y, y))
             for at in range(0, len(x), TILE):
@@ -140,20 +148,21 @@ def search(df: DataFrame, is_query: Column, k: int = K, bits: int = BITS, epsilo
                 for i, near in enumerate(high >= needs[at:at + TILE, None], at):
                     near = np.flatnonzero(near)
                     s = np.einsum("ij,j->i", y[near], x[i]) / (yn[near] * xn[i])
-                    best = np.lexsort((ids[near], -s))[:top]
+                    best = np.lexsort((least[near], -s))[:top]
                     who.append(np.full(len(best), names[i]))
-                    what.append(ids[near][best])
+                    what += [ids[near][best], least[near][best]]
                     score.append(s[best])
         cat = lambda parts, t: pa.array(np.concatenate(parts) if parts else [], t)
-        return pa.table({"query": cat(who, pa.int64()), "entry": cat(what, pa.int64()), "score": cat(score, pa.float64())})
+        return pa.table({"query": cat(who, pa.int64()), "entry": cat(what[0::2], pa.int64()), "least": cat(what[1::2], pa.int64()),
+                         "score": cat(score, pa.float64())})
 
-    near = grid(queries.join(need, "query"), entries.select("entry", "vec", "code", "f")) \
-        .applyInArrow(rerank, "query long, entry long, score double")
-    by_query = W.partitionBy("query").orderBy(F.desc("score"), "entry")
+    near = grid(queries.join(need, "query"), entries.select("entry", "least", "dim", "vec", "code", "f")) \
+        .applyInArrow(rerank, "query long, entry long, least long, score double")
+    by_query = W.partitionBy("query").orderBy(F.desc("score"), "least", "entry")
     near = near.withColumn("n", F.row_number().over(by_query)).filter(F.col("n") <= top)
-    found = near.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
-    found = found.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))) \
+    found = near.join(entries.select("entry", "ids"), "entry").select("query", "entry", "score", F.explode("ids").alias("vec_id"))
+    found = found.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "entry"))) \
         .filter(F.col("n") <= top).drop("n")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return asked.join(found, "query").filter("vec_id <> query_id").withColumn("rank", rank).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(W.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "entry"))
+    return asked.join(found, "query").filter("not (vec_id = query_id and entry = query)").withColumn("rank", rank) \
+        .filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

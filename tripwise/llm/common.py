@@ -46,15 +46,21 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 HEAVY_SHARE, HEAVY_ROWS = 1 / 1000, 1000
 
 
-def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None,
+               heavy: DataFrame | None = None) -> DataFrame:
     """``left`` joined with ``right``, which has one row a key; rows of heavy keys stay where they are.
 
     Heavy keys of ``left`` (more than a thousandth of its rows, hence at most 1,000 of them)
     meet their rows of ``right`` by broadcast, the others by a join on the key, so no task gets a
-    hot key's rows.  ``left`` is read twice: give a written table.
+    hot key's rows.  ``left`` is read twice: give what is cheap to read, its ``rows`` if known, and as
+    ``heavy`` a table of the ``count`` of each key if there is one.
     """
-    bound = max(HEAVY_ROWS, int(left.count() * HEAVY_SHARE))
-    heavy = written(left.groupBy(*keys).count().filter(F.col("count") > bound).drop("count"), "heavy")
+    rows = left.count() if rows is None else rows
+    bound = max(HEAVY_ROWS, int(rows * HEAVY_SHARE))
+    if rows <= bound:
+        return left.join(right, keys, how)
+    counts = left.groupBy(*keys).count() if heavy is None else heavy
+    heavy = written(counts.filter(F.col("count") > bound).select(*keys), "heavy")
     if heavy.isEmpty():
         return left.join(right, keys, how)
     few = F.broadcast(heavy)
@@ -72,7 +78,8 @@ def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
 
     The bounds are approximate quantiles: one pass with a bounded sketch, at most
     ``MAX_BUCKETS`` of them whatever the data.  Being part of the plan, they give a row
-    the same bucket on every evaluation; rows of one key share a bucket.
+    the same bucket on every evaluation.  Rows of one key share a bucket, unless they are more than two
+    buckets' worth (null may be): then they are cut once more, by ranges of a hash of the text.
     """
     from pyspark.ml.feature import Bucketizer
     n = df.count()
@@ -84,8 +91,29 @@ def ordered_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> DataFrame:
     if len(splits) == 2:
         return df.withColumn("bucket", F.lit(0))
     cut = Bucketizer(splits=splits, inputCol="__key", outputCol="__bucket")
-    return cut.transform(df.withColumn("__key", F.col("okey").cast("double"))) \
+    df = cut.transform(df.withColumn("__key", F.col("okey").cast("double"))) \
         .withColumn("bucket", F.col("__bucket").cast("int")).drop("__key", "__bucket")
+    # One heavy key a bucket at most, as it spans two bounds: at most MAX_BUCKETS rows, and as many cuts in all.
+    size = max(rows_per_bucket, n // MAX_BUCKETS)
+    heavy = df.groupBy("bucket", "okey").count().filter(F.col("count") > 2 * size) \
+        .groupBy("bucket").agg(F.max(F.struct("count", "okey")).alias("h")).collect()
+    if not heavy:
+        return df
+    cuts = [(r.bucket, r.h.okey, -(-r.h["count"] // size)) for r in heavy]
+    most = max(c[2] for c in cuts) + 2
+    few = F.broadcast(df.sparkSession.createDataFrame(cuts, "bucket int, heavy long, cuts int"))
+    share = F.shiftrightunsigned(F.xxhash64("text"), 33) / F.lit(float(1 << 31))
+    part = F.when(F.col("okey") == F.col("heavy"), F.floor(share * F.col("cuts")).cast("int") + 1) \
+        .when(F.col("okey") > F.col("heavy"), F.col("cuts") + 1).otherwise(0)
+    return df.join(few, "bucket", "left").withColumn("bucket", F.col("bucket") * most + part).drop("heavy", "cuts")
+
+
+def free_prefix(df: DataFrame, names: list[str]) -> str:
+    """Underscores enough that no column of ``df`` is one of ``names`` after them."""
+    taken, prefix = {c.lower() for c in df.columns}, "__"
+    while any((prefix + name).lower() in taken for name in names):
+        prefix += "_"
+    return prefix
 
 
 #: Masks of the first 0..8 bytes of a little-endian word; byte tables.
@@ -394,8 +422,8 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.nda
     return w, b
 
 
-def sample_share(df: DataFrame, key: Column, limit: int, n: int) -> DataFrame:
-    """Rows whose key hashes below ``limit / n``: about ``limit`` rows, the same ones on every evaluation."""
+def sample_share(df: DataFrame, keys: list[str], limit: int, n: int) -> DataFrame:
+    """Rows whose keys hash below ``limit / n``: about ``limit`` rows, the same ones on every evaluation."""
     if n <= limit:
         return df
-    return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < F.lit(int(1_000_000 * limit / n)))
+    return df.filter(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1_000_000)) < F.lit(int(1_000_000 * limit / n)))

@@ -157,8 +157,8 @@ def regions(nodes: DataFrame, region: int) -> DataFrame:
                        _bytes(DEPTH - FIRST, FIRST).alias("path"))
     found = []
     for depth in range(FIRST, DEPTH + 1):
-        size = rows.groupBy("group").count().filter("count > 1")
-        rows = written(rows.join(size.hint("merge"), "group"), "regions")
+        size = written(rows.groupBy("group").count().filter("count > 1"), "region-sizes")
+        rows = written(split_join(rows, size.hint("merge"), ["group"], heavy=size), "regions")
         found.append(rows.filter(F.col("count") <= region).select("group", "node"))
         rows = rows.filter(F.col("count") > region)
         if rows.isEmpty():

@@ -1,6 +1,8 @@
 """Order MinHash fingerprints, in DataFrame operations only.
 
-The letters are the words of a text (cut at white space), a k-mer is ``WORDS`` of them in a row.
+The letters are the words of a text (cut at white space), a k-mer is ``WORDS`` of them in a row.  A text with
+fewer words than that, or with more than ``LONG`` characters a word (a script without spaces), has its
+characters as letters, white space as one of them, and k-mers of ``CHARS``.
 Each k-mer gets its occurrence number, so repeats count.  For each of ``SLOTS`` orders of
 the hash values the ``PICK`` least occurrence-numbered k-mers are selected, put back into text
 order, and hashed as a tuple.  Two texts agree in a slot about as often as they share k-mers in
@@ -11,11 +13,12 @@ s-th of ``SLOTS`` evenly spaced anchors.  One sort of a text's hashes then serve
 instead of one pass over its k-mers for each.  All of it is row-local: arrays sorted and cut
 by built-in functions, no k-mer is ever exploded or shuffled.
 
-Defined cases: null text counts as empty; a text with fewer words than a k-mer is one
+Defined cases: null text counts as empty; a text with fewer characters than a k-mer is one
 k-mer, and one k-mer fills each slot alone; equal texts have equal fingerprints; texts that
 differ only in their white space have equal ones too; beyond 2^24 words positions start
-again.  The next document is that with the next larger doc_id (null first, equal ids by text),
-after the last the first, which for a single row is itself.
+again.  The next document is that with the next larger doc_id (null first; equal ids by text,
+if they are very many by ranges of its hash first),
+after the last the first, which for a single row is itself.  Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from tripwise.llm.common import ordered_buckets
 
 WORDS, PICK, SLOTS = 3, 2, 32
+CHARS, LONG = 5, 32
+WHITE = " \t\n\x0b\f\r"
 POSITION = (1 << 24) - 1
 SHIFT = 64 - 5  # a hash's slot is its upper 5 bits: SLOTS anchors
 ROWS_PER_BUCKET = 1000
@@ -37,12 +42,16 @@ def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
 
     Steps are columns of their own, so each is evaluated once a row.
     """
-    g, v, at, words = (f"__{out}_{x}" for x in ("kmers", "values", "starts", "words"))
-    n = F.size(words)
-    df = df.withColumn(words, F.split(F.trim(F.coalesce(F.col(text), F.lit(""))), r"\s+"))
-    w = F.col(words)
-    df = df.withColumn(g, F.when(n < WORDS, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.transform(
-        F.sequence(F.lit(0), F.greatest(n - WORDS, F.lit(0))), lambda i: F.xxhash64(*[w[i + j] for j in range(WORDS)]))))
+    g, v, at, words, chars = (f"__{out}_{x}" for x in ("kmers", "values", "starts", "words", "chars"))
+    n, m = F.size(words), F.size(chars)
+    df = df.withColumn(words, F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(WHITE)), r"\s+"))
+    w, c = F.col(words), F.col(chars)
+    few = (n < WORDS) | (F.length(text) > n * LONG) & (F.length(F.array_join(w, "")) > n * LONG)
+    df = df.withColumn(chars, F.when(few, F.split(F.array_join(w, " "), "")))
+    kmers = lambda x, n, k: F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
+                                        lambda i: F.xxhash64(*[x[i + j] for j in range(k)]))
+    df = df.withColumn(g, F.when(c.isNull(), kmers(w, n, WORDS)).when(m < CHARS, F.array(F.xxhash64(F.array_join(w, " "))))
+                       .otherwise(kmers(c, m, CHARS)))
 
     def packed(h: Column, i: Column) -> Column:
         """Upper 40 bits of the hash, 24 bits of position: a number that sorts by hash."""
@@ -74,7 +83,7 @@ def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(out, F.transform(F.sequence(F.lit(low), F.lit(low + SLOTS - 1)), lambda b: tuple_hash(
         F.coalesce(F.get(F.filter(at, lambda j: F.shiftright(value[j], SHIFT) >= b), F.lit(0)), F.lit(0))
     ).bitwiseAND(F.lit(0xFFFFFFFF))))
-    return df.drop(words, g, s, runs, v, at)
+    return df.drop(words, chars, g, s, runs, v, at)
 
 
 def as_text(sketch: Column | str) -> Column:

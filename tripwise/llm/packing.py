@@ -21,8 +21,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +81,12 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     groups = max(1, -(-cut.count() // group))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "salt"), F.lit(groups)))
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "start", "salt"], kind="stable", na_position="first")
-        bins, offsets = first_fit_decreasing(part["length"].to_numpy(np.int64), capacity)
-        return part.assign(sequence_id=part["group"] * (1 << 32) + bins, offset=offsets).drop(columns=["group", "salt"])
+    def run(part: pa.Table) -> pa.Table:  # Arrow keeps ids as integers beside null ones
+        part = part.take(pc.sort_indices(part, [(c, "ascending") for c in ("doc_id", "start", "salt")], null_placement="at_start"))
+        bins, offsets = first_fit_decreasing(part["length"].to_numpy(), capacity)
+        sequence = part["group"].to_numpy() * (1 << 32) + bins
+        return part.drop_columns(["group", "salt"]).append_column("sequence_id", pa.array(sequence)) \
+            .append_column("offset", pa.array(offsets))
 
-    return dealt.groupBy("group").applyInPandas(
+    return dealt.groupBy("group").applyInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import fit_logistic, sample_share
+from tripwise.llm.common import fit_logistic, fresh, sample_share
 
 #: At most about so many documents train the scorer.
 MAX_TRAIN = 20_000
@@ -180,7 +180,8 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.binary()), pa.array(c, pa.binary())],
                                              ["votes", "at", "value"])
 
-    sample = sample_share(docs.select("doc_id", "text"), F.col("doc_id"), max_train, n).select("text") \
+    # By id and text, equal rows once: a hot id is sampled like any other rows.
+    sample = sample_share(docs.select("doc_id", "text"), ["doc_id", "text"], max_train, n).dropDuplicates().select("text") \
         .mapInArrow(rows, "votes string, at binary, value binary").collect()
     sample = [r for r in sample if r.votes != none]
     cols = [np.frombuffer(r["at"], dtype="<u2") for r in sample]
@@ -198,6 +199,7 @@ def classify(docs: DataFrame, max_train: int = MAX_TRAIN, threshold: float = 0.2
     come after ``prefix`` and replace columns of that name.
     """
     model = fit(docs, max_train)
-    out = docs.withColumn("__judged", model.score(docs.sparkSession, F.col("text")))
-    out = out.withColumns({prefix + c: F.col(f"__judged.{c}") for c in ("votes", "posterior", "score")}).drop("__judged")
+    judged, = fresh(docs, "__judged")
+    out = docs.withColumn(judged, model.score(docs.sparkSession, F.col("text")))
+    out = out.withColumns({prefix + c: F.col(f"{judged}.{c}") for c in ("votes", "posterior", "score")}).drop(judged)
     return out.withColumn(f"{prefix}predicted", (F.col(f"{prefix}score") >= threshold).cast("int"))

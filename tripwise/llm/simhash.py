@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import fresh, written
+from tripwise.llm.common import fresh, split_join, written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOW = np.uint64(0x5555555555555555)
@@ -199,7 +199,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     Alternating star contractions (large star, small star).  Every round is one
     written table, so a lost executor repeats one round at most; a round aggregates before it
-    shuffles.  Stops when a round changes nothing.
+    shuffles, and the edges of a hub stay where they are and get its minimum by broadcast.
+    Stops when a round changes nothing.
     """
     def largest_first(e: DataFrame) -> DataFrame:
         return e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
@@ -214,10 +215,10 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = largest_first(large)
+        large = split_join(both.filter("b > a"), least, ["a"], rows=seen[0])
+        large = written(largest_first(large.select(F.col("b").alias("a"), F.col("m").alias("b"))), "star")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        small = split_join(large, low, ["a"])
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         then = written(largest_first(small), "links")
         new = mark(then)
@@ -241,10 +242,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell
     """One row per document: doc_id, fingerprint (16 hex digits) and component_id."""
     held = written(fingerprints(docs, words), "fingerprints")
     distinct = written(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    named = _rooted(distinct, max_bits, max_cell)
+    named = written(_rooted(distinct, max_bits, max_cell), "roots")
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named.join(smallest, "root").select("fp", "component_id")
-    return held.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = written(split_join(named, smallest, ["root"]).select("fp", "component_id"), "components")
+    return split_join(held, of, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell: int = 50_000) -> DataFrame:
@@ -270,9 +271,9 @@ def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4, max_cell: in
     first = texts.join(tied, (texts["of"] == tied["h"]) & texts["id"].eqNullSafe(tied["d"])) \
         .groupBy("root").agg(F.min(F.struct("text", "h")).getField("h").alias("chosen"))
     stays = best.join(first, "root", "left").select("root", "d", F.coalesce("chosen", "least").alias("stays"))
-    of = named.select("fp", "root").join(stays, "root").select("fp", "d", "stays")
+    of = written(split_join(named.select("fp", "root"), written(stays, "stays"), ["root"]).select("fp", "d", "stays"), "chosen")
     key, null, text, nth = fresh(docs, "__key", "__null", "__text", "__nth")
-    goes = held.join(of, "fp").filter("not (doc_id <=> d and h = stays)").select(
+    goes = split_join(held, of, ["fp"]).filter("not (doc_id <=> d and h = stays)").select(
         F.coalesce("doc_id", F.lit(0).cast("long")).alias(key), F.col("doc_id").isNull().alias(null), F.col("h").alias(text))
     keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
                               null: F.col("doc_id").isNull(), text: F.xxhash64("text")})

@@ -126,14 +126,16 @@ def fit(train: DataFrame) -> Model:
 def labelled(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """Training rows (text, toxic): about ``max_train`` of the labelled documents.
 
-    The sampled ids (bounded by ``max_train``) are broadcast, so no text is shuffled.
+    The sampled ids (bounded by ``max_train``) are broadcast, so no text is shuffled.  Should their rows be
+    more (an id may repeat), rows are sampled by id and text; equal rows are learnt from once.
     """
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     known = written(known, "labels")
-    ids = F.broadcast(sample_share(known, F.col("doc_id"), max_train, known.count()))
+    ids = F.broadcast(sample_share(known, ["doc_id"], max_train, known.count()))
     train = docs.select(F.col("doc_id").alias("__id"), "text").join(ids, F.col("__id") == ids["doc_id"]) \
-        .select("text", F.col("__toxic").cast("int").alias("toxic"))
-    return written(train, "training-texts")
+        .select("doc_id", "text", F.col("__toxic").cast("int").alias("toxic"))
+    train = sample_share(train, ["doc_id", "text"], max_train, train.count()).dropDuplicates()
+    return written(train.select("text", "toxic"), "training-texts")
 
 
 def held_out(doc_id: Column) -> Column:
