@@ -21,19 +21,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwise.llm import packing, quality, secrets, simhash, toxicity
-from tripwise.llm.common import table, tokenizer_path, written
+from tripwise.llm.common import free_prefix, table, tokenizer_path, written
 
 #: SQL cannot express trained classifiers; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), prefix="__")
-    return judged.filter("__predicted = 0").select(*docs.columns)
+    free = free_prefix(docs, ["held_out", "score", "predicted"])
+    judged = toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), prefix=free)
+    return judged.filter(f"{free}predicted = 0").select(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.classify(docs, prefix="__").filter("__predicted = 1").select(*docs.columns)
+    free = free_prefix(docs, ["votes", "posterior", "score", "predicted"])
+    return quality.classify(docs, prefix=free).filter(f"{free}predicted = 1").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
