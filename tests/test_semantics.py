@@ -190,14 +190,49 @@ def test_weighted_kmeans_cost_equals_cost_on_all_points(spark):
         F.round("lat2", 2).alias("lat2"), F.round("lon2", 2).alias("lon2"))   # many repeated points
     m = clustering.fit_kmeans(t, 6, 3, weighted=True)
     full = clustering.kmeans_cost(t, clustering.centres_of(m)).first()["cost"]
-    assert math.isclose(m.summary.trainingCost, full, rel_tol=1e-9)
+    distinct = clustering.cost_table(clustering.kmeans_points(t, weighted=True), {6: clustering.centres_of(m)}, "lat", "lon")
+    assert math.isclose(distinct.first()["cost"], full, rel_tol=1e-9)
     assert clustering.kmeans_points(t, weighted=True).count() < t.count()
 
 
-def test_fit_kmeans_is_unweighted_unless_asked(spark):
-    t = sv.trips(sv.table(spark, SF_SMALL, "events"))
-    m = clustering.fit_kmeans(t, 6, 3, max_iter=10)
-    assert not m.hasParam("weightCol") or not m.isSet("weightCol")
+def plain_lloyd(points, centres, max_iter, tol=1e-4):
+    for _ in range(max_iter):
+        sums = [[0, 0.0, 0.0] for _ in centres]
+        for a, b in points:
+            d = [(a - x) ** 2 + (b - y) ** 2 for x, y in centres]
+            s = sums[d.index(min(d))]
+            s[0], s[1], s[2] = s[0] + 1, s[1] + a, s[2] + b
+        new = [(s[1] / s[0], s[2] / s[0]) if s[0] else c for s, c in zip(sums, centres)]
+        far = max((x - u) ** 2 + (y - v) ** 2 for (x, y), (u, v) in zip(new, centres))
+        centres = new
+        if far <= tol * tol:
+            break
+    return centres
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_all_cells_of_one_loop_equal_plain_fits(spark, weighted):
+    import hashlib
+    t = sv.trips(sv.table(spark, SF_SMALL, "events")).where("trip_id % 3 = 0").select(
+        F.round("lat2", 2).alias("lat2"), F.round("lon2", 2).alias("lon2"))
+    rows = [tuple(r) for r in t.collect()]
+    model, _, costs = clustering.select_k(spark, t, (2, 3, 5), restarts=2, max_iter=12, seed=4, weighted=weighted)
+    got = {(c["k"], c["restart"]): c["cost"] for c in costs.collect()}
+    for k, r in got:
+        def digest(p):
+            unit = [str(math.floor(x * 1e6 + 0.5)) for x in p]
+            return hashlib.md5(",".join([*unit, str(4 + r)]).encode()).hexdigest()
+        want = plain_lloyd(rows, sorted(set(rows), key=lambda p: (digest(p), p))[:k], 12)
+        cost = sum(min((a - x) ** 2 + (b - y) ** 2 for x, y in want) for a, b in rows)
+        assert math.isclose(got[k, r], cost, rel_tol=1e-9)
+
+
+def test_seeds_of_few_or_equal_points(spark):
+    from tripwise.operators import lloyd
+    pts = clustering.kmeans_points(spark.createDataFrame([(40.5, -74.0)] * 500 + [(40.6, -74.1)], "lat2 double, lon2 double"))
+    fits = lloyd.fit(pts, [(6, 0), (1, 1)], 3, 5)
+    assert sorted(map(tuple, fits[6, 0].tolist())) == [(40.5, -74.0), (40.6, -74.1)] and len(fits[1, 1]) == 1
+    assert len(lloyd.fit(pts.limit(0), [(6, 0)], 3, 5)[6, 0]) == 0
 
 
 def test_shared_depth_tree_grid_equals_direct_fits(spark):

@@ -245,7 +245,7 @@ ELBOW_KS = clustering.K_GRID
 
 
 # Restart r of k uses the first k fixed centres moved by r * 0.01 degrees in latitude.
-ELBOW_RESTARTS = 3
+ELBOW_RESTARTS = clustering.RESTARTS
 
 
 def restart_centres(k: int, r: int):

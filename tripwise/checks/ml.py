@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripwise.checks.core import N_CENTRES, feature_rows_sql
 from tripwise.checks.registry import events, r, register, weather_df
-from tripwise.operators import clustering, linear, models, scoring, splits
+from tripwise.operators import clustering, linear, lloyd, models, scoring, splits
 from tripwise.plans.features import BIKE_FEATURES, LABEL, build_features
 from tripwise.session import scratch_path
 from tripwise.sources import standins as sv
@@ -147,7 +147,59 @@ def q_sample_rows(spark, sf_dir):
     return splits.sample_rows(sv.trips(events(spark, sf_dir)), 0.1, SEED)
 
 
-@register("kmeans_fit")
+def lloyd_sql(ks, restarts: int, body: str, max_iter: int = clustering.MAX_ITER) -> str:
+    """``body`` over the points ``pts`` and the settled centres ``settled`` (k, r, a1, b1, a2, b2, ...) of every cell.
+
+    The loop is a recursion on one row a cell: squared distances, the nearest (lowest on ties), means, and the
+    test whether any centre moved.
+    """
+    most = max(ks)
+    js = range(1, most + 1)
+    names = ", ".join(f"a{j}, b{j}" for j in js)
+    dist = ", ".join(f"coalesce((p.lat-a{j})*(p.lat-a{j}) + (p.lon-b{j})*(p.lon-b{j}), 1e300)" for j in js)
+    mean = ", ".join(f"coalesce(sum(lat) filter (cl={j}) / count(*) filter (cl={j}), a{j}) as x{j}, "
+                     f"coalesce(sum(lon) filter (cl={j}) / count(*) filter (cl={j}), b{j}) as y{j}" for j in js)
+    far = ", ".join(f"coalesce((x{j}-a{j})*(x{j}-a{j}) + (y{j}-b{j})*(y{j}-b{j}), 0e0)" for j in js)
+    seeds = ", ".join(f"max(lat) filter (j={j}) as a{j}, max(lon) filter (j={j}) as b{j}" for j in js)
+    sql = with_views(["trips"], body, {
+        "pts": "select lat2 as lat, lon2 as lon from trips where lat2 is not null and lon2 is not null",
+        "ranked": f"""select r, lat, lon, row_number() over (partition by r order by
+  {lloyd.point_hash_sql('lat', 'lon', f'{SEED} + r')}, lat, lon) as j
+  from (select distinct lat, lon from pts) q, (select unnest(range({restarts})) as r) s""",
+        "cells": f"select unnest({list(ks)}) as k",
+        "it": f"""select k, r, 0 as n, true as moved, {seeds} from cells, ranked where j <= k group by k, r
+ union all
+ select k, r, n + 1, greatest({far}) > {lloyd.TOL * lloyd.TOL!r}, {', '.join(f'x{j}, y{j}' for j in js)} from (
+  select k, r, n, {names}, {mean} from (
+   select it.*, p.lat, p.lon, list_position([{dist}], list_min([{dist}])) as cl
+   from it, pts p where it.moved and it.n < {max_iter}) q group by k, r, n, {names}) q""",
+        "settled": f"select k, r, {names} from it qualify row_number() over (partition by k, r order by n desc) = 1"})
+    return sql.replace("with ", "with recursive ", 1)
+
+
+def _nearest_sql(lat: str, lon: str, k: int) -> str:
+    d = ", ".join(f"({lat}-a{j})*({lat}-a{j}) + ({lon}-b{j})*({lon}-b{j})" for j in range(1, k + 1))
+    return f"cast(list_position([{d}], list_min([{d}])) - 1 as double)"
+
+
+def _elbow_sql() -> str:
+    d = ", ".join(f"coalesce((lat-a{j})*(lat-a{j}) + (lon-b{j})*(lon-b{j}), 1e300)" for j in range(1, max(clustering.K_GRID) + 1))
+    body = f"""select k, mean_cost, asd, k = (select coalesce(
+  (select k - 1 from e where asd is not null and not isnan(asd) order by asd desc, k limit 1), (select min(k) from e))) as is_best
+ from (select k, round(mean_cost, 6) as mean_cost, round(asd, 6) as asd from e) q"""
+    return lloyd_sql(clustering.K_GRID, clustering.RESTARTS, f""", costs as (
+ select k, r, sum(list_min([{d}])) as cost from settled, pts group by k, r),
+m as (select k, avg(cost) as mean_cost from costs group by k),
+e as (select k, mean_cost, lag(mean_cost, 2) over (order by k) + mean_cost - 2e0*lag(mean_cost, 1) over (order by k) as asd from m)
+{body}""")
+
+
+def _rounded_elbow(elbow):
+    return elbow.select("k", r("mean_cost", 6).alias("mean_cost"), r("asd", 6).alias("asd"), "is_best")
+
+
+@register("kmeans_fit", lloyd_sql([8], 1, f"""select trip_id, {_nearest_sql('lat1', 'lon1', 8)} as km1,
+ {_nearest_sql('lat2', 'lon2', 8)} as km2 from trips, settled"""))
 def q_kmeans_fit(spark, sf_dir):
     """k-means on trip end points (k = 8), then start/end clusters of every trip."""
     t = sv.trips(events(spark, sf_dir))
@@ -155,12 +207,12 @@ def q_kmeans_fit(spark, sf_dir):
     return clustering.assign_clusters(t, clustering.centres_of(km)).select("trip_id", "km1", "km2")
 
 
-@register("kmeans_select")
+@register("kmeans_select", _elbow_sql())
 def q_kmeans_select(spark, sf_dir):
     """Elbow choice of k over k = 6..12: 5 restarts, 200 iterations."""
     t = sv.trips(events(spark, sf_dir))
     _, elbow, _ = clustering.select_k(spark, t, seed=SEED)
-    return elbow
+    return _rounded_elbow(elbow)
 
 
 def _split(spark, sf_dir):
@@ -318,10 +370,10 @@ def q_train_test_predict_taxi_lr(spark, sf_dir):
     return _train_test_predict(spark, sf_dir, "taxi", "lr")
 
 
-@register("kmeans_select_weighted")
+@register("kmeans_select_weighted", _elbow_sql())
 def q_kmeans_select_weighted(spark, sf_dir):
     """Elbow choice of k with the end points reduced to distinct coordinates weighted
     by their counts (the station-based variant; 5 restarts, 200 iterations)."""
     t = sv.trips(events(spark, sf_dir))
     _, elbow, _ = clustering.select_k(spark, t, seed=SEED, weighted=True)
-    return elbow
+    return _rounded_elbow(elbow)

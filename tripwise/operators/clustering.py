@@ -6,12 +6,15 @@ a literal array of centres: no join, no Python, whole-stage code generation.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripwise.operators import lloyd
+from tripwise.session import stored
+
 Centre = tuple[float, float]
 
 # Fixed values of the cluster search: candidate k, restarts per k, iterations.
@@ -89,70 +92,66 @@ def elbow_table(costs: DataFrame) -> DataFrame:
 
 
 def kmeans_points(points: DataFrame, lat: str = "lat2", lon: str = "lon2", weighted: bool = False) -> DataFrame:
-    """The (lat, lon) vectors k-means clusters.
+    """The points k-means clusters: lat, lon, weight.
 
-    ``weighted``: one row per distinct point with its count as ``weight``.  The
-    k-means objective, centre updates and cost are sums over points, so a
-    distinct point with weight w counts exactly like w copies; for station
-    based trips this turns every iteration over all trips into one over a few
+    ``weighted``: one row per distinct point with its count as ``weight``.  Centre updates and
+    cost are sums over points, so a distinct point with weight w counts exactly like w copies;
+    for station based trips this turns every iteration over all trips into one over a few
     hundred stations (one partially aggregated group-by, safe under skew).
     """
-    from pyspark.ml.feature import VectorAssembler
-    p = points.select(lat, lon).dropna()
+    p = points.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")).dropna()
     if weighted:
-        p = p.groupBy(lat, lon).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return VectorAssembler(inputCols=[lat, lon], outputCol="features").transform(p)
+        return p.groupBy("lat", "lon").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return p.withColumn("weight", F.lit(1.0))
+
+
+@dataclass
+class CentreModel:
+    """Location clusters: a few centres, kept as a table (cluster, lat, lon)."""
+    centres: list[Centre]
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, *map(float, c)) for i, c in enumerate(self.centres)]
+        spark.createDataFrame(rows, "cluster int, lat double, lon double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "CentreModel":
+        rows = spark.read.parquet(path).orderBy("cluster").collect()
+        return CentreModel([(r["lat"], r["lon"]) for r in rows])
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
-               lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
-    """k-means|| initialisation, Euclidean distance, at most ``max_iter`` iterations.
-    ``points`` may already hold the assembled ``features`` vector (then it is used as is)."""
-    from pyspark.ml.clustering import KMeans
-    if "features" in points.columns:
-        vec = points
-    else:
-        vec = kmeans_points(points, lat, lon, weighted)
-    km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features")
-    if "weight" in vec.columns:
-        km = km.setWeightCol("weight")
-    return km.fit(vec)
+               lat: str = "lat2", lon: str = "lon2", weighted: bool = False) -> CentreModel:
+    """One fit: seeds in stored hash order, Euclidean distance, at most ``max_iter`` iterations (``lloyd``)."""
+    pts = stored(kmeans_points(points, lat, lon, weighted), "points")
+    return _model(lloyd.fit(pts, [(k, 0)], seed, max_iter)[k, 0])
+
+
+def _model(centres) -> CentreModel:
+    return CentreModel([(float(a), float(b)) for a, b in centres])
 
 
-def centres_of(model) -> list[Centre]:
-    return [(float(c[0]), float(c[1])) for c in model.clusterCenters()]
+def centres_of(model: CentreModel) -> list[Centre]:
+    return list(model.centres)
 
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
-             max_iter: int = MAX_ITER, seed: int = 42, parallelism: int = 8,
-             lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
+             max_iter: int = MAX_ITER, seed: int = 42, lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 
     Returns (model, elbow DataFrame, cost DataFrame).  The chosen model is the
     restart-0 fit of the chosen k (identical to a refit with the same seed).
-    Fits run concurrently as independent Spark jobs over the cached points.
-    The cost of a cell is that of its final centres: all cells are evaluated in
-    one pass once they are fitted.  ``weighted`` fits distinct points with their counts as
-    weights; its models differ from unweighted ones, so it is the caller's choice.
+    All cells run in one loop, one scan of the stored points an iteration.
+    The cost of a cell is that of its final centres, for all cells in one more
+    pass.  ``weighted`` reduces the points to distinct ones with their counts first: the same
+    seeds and, but for the order of sums, the same centres.
     """
-    # Assembled once and cached: every concurrent fit reads the same cached
-    # vectors instead of caching a private copy of its input.
-    pts = kmeans_points(points, lat, lon, weighted).persist()
-    cells = [(k, r) for k in ks for r in range(restarts)]
-
-    def run(cell):
-        k, r = cell
-        m = fit_kmeans(pts, k, seed + r, max_iter, lat, lon)
-        return k, r, m
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(run, cells))
-        costs = cost_table(pts, {(k, r): centres_of(m) for k, r, m in fitted}, lat, lon).collect()
-    finally:
-        pts.unpersist()
-    costs = spark.createDataFrame([tuple(c) for c in costs], "k int, restart int, cost double")
+    pts = stored(kmeans_points(points, lat, lon, weighted), "points")
+    fitted = lloyd.fit(pts, [(k, r) for k in ks for r in range(restarts)], seed, max_iter)
+    # Fewer different points than centres: what there is.  No point at all: no cost.
+    sets = {cell: _model(c).centres for cell, c in fitted.items() if len(c)}
+    costs = [tuple(c) for c in cost_table(pts, sets, "lat", "lon").collect()] if sets else []
+    costs = spark.createDataFrame(costs, "k int, restart int, cost double")
     elbow = elbow_table(costs)
-    best_k = elbow.where("is_best").first()["k"]
-    model = next(m for k, r, m in fitted if k == best_k and r == 0)
-    return model, elbow, costs
+    best = elbow.where("is_best").first()
+    return _model(fitted[best["k"] if best else min(ks), 0]), elbow, costs

@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwise.operators.clustering import CentreModel
 from tripwise.operators.linear import LR_ITERATIONS, LR_STEPS, LinearModel, Moments, descend, moments_by
 
 # Fixed values of the source's grids.
@@ -210,7 +211,7 @@ def default_cells(algo: str) -> list[dict]:
 
 
 def save_model(spark: SparkSession, model, path: str) -> str:
-    if isinstance(model, LinearModel):
+    if isinstance(model, (LinearModel, CentreModel)):
         model.save(spark, path)
     else:
         model.write().overwrite().save(path)
@@ -228,6 +229,5 @@ def load_model(spark: SparkSession, path: str, algo: str):
         from pyspark.ml.regression import RandomForestRegressionModel
         return RandomForestRegressionModel.load(path)
     if algo == "km":
-        from pyspark.ml.clustering import KMeansModel
-        return KMeansModel.load(path)
+        return CentreModel.load(spark, path)
     raise ValueError(algo)

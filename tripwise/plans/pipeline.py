@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tripwise.operators import clustering, models, scoring, splits
 from tripwise.operators.outliers import duration_closed, speed_3sigma
 from tripwise.plans.features import LABEL, build_features, feature_names, joined_features
-from tripwise.session import materialise
+from tripwise.session import stored
 from tripwise.sources import readers, writers
 
 DATASETS = ("taxi", "bike")
@@ -42,7 +42,7 @@ class RunOptions:
     restarts: int = clustering.RESTARTS
     kmeans_iter: int = clustering.MAX_ITER
     parallelism: int = 8
-    kmeans_weighted: bool = False            # distinct points with counts as weights: another model
+    kmeans_weighted: bool = False            # reduce the points to distinct ones with counts first
     output_format: str = "parquet"
 
 
@@ -84,14 +84,10 @@ def split_frame(df: DataFrame, opts: RunOptions) -> tuple[DataFrame, DataFrame]:
 
 
 def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: str) -> DataFrame:
-    """Bounded, outlier-free feature rows, computed from ONE read of the trips:
-    the bounded join is cached, the speed statistics and the filtered rows
-    both come from that cache, and the result is checkpointed and cached."""
-    joined = duration_closed(joined_features(trips, weather, centres, dataset, labelled=True), LABEL).persist()
-    try:
-        return materialise(speed_3sigma(joined, "dist", LABEL))
-    finally:
-        joined.unpersist()
+    """Bounded, outlier-free feature rows from ONE read of the trips: the bounded join is stored once, and
+    the speed statistics and the filtered rows both come from there."""
+    joined = duration_closed(joined_features(trips, weather, centres, dataset, labelled=True), LABEL)
+    return speed_3sigma(stored(joined, "features"), "dist", LABEL)
 
 
 def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, dataset: str, algo: str,
@@ -105,21 +101,17 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
     try:
         if mode == "training":
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
-                                               opts.seed, opts.parallelism, weighted=opts.kmeans_weighted)
-            km.write().overwrite().save(kmeans_dir)
-            data = labelled_features(t, w, clustering.centres_of(km), dataset)
-            try:
-                train, test = split_frame(data, opts)
-                best, results, cell = models.grid_search(spark, algo, train, test, feats, LABEL, opts.cells,
-                                                         opts.seed, opts.parallelism)
-                if best is None:
-                    raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
-                models.save_model(spark, best, model_dir)
-                save_split(spark, opts, model_dir)
-                return dict(mode=mode, k=len(km.clusterCenters()), best_cell=cell,
-                            results=results.orderBy("cell").collect(), elbow=elbow.collect())
-            finally:
-                data.unpersist()
+                                               opts.seed, weighted=opts.kmeans_weighted)
+            models.save_model(spark, km, kmeans_dir)
+            train, test = split_frame(labelled_features(t, w, clustering.centres_of(km), dataset), opts)
+            best, results, cell = models.grid_search(spark, algo, train, test, feats, LABEL, opts.cells,
+                                                     opts.seed, opts.parallelism)
+            if best is None:
+                raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
+            models.save_model(spark, best, model_dir)
+            save_split(spark, opts, model_dir)
+            return dict(mode=mode, k=len(clustering.centres_of(km)), best_cell=cell,
+                        results=results.orderBy("cell").collect(), elbow=elbow.collect())
         km = models.load_model(spark, kmeans_dir, "km")
         model = models.load_model(spark, model_dir, algo)
         if mode == "test":

@@ -65,16 +65,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tripwise/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df):
-    """Compute ``df`` once, write it to the shared checkpoint folder and return
-    the checkpointed frame, cached.  Later jobs (a long grid search) read the
-    checkpoint, so a lost executor costs a re-read, not a re-run of the plan."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    src = df.persist()
-    try:
-        out = src.checkpoint(eager=True).persist()
-        out.count()
-    finally:
-        src.unpersist()
-    return out
+def stored(df, name: str):
+    """``df`` written once below the checkpoint folder and read back from there: one copy, no cache.
+    Later jobs (a long grid search) read it, so a lost executor costs a re-read, not a re-run of the plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
