@@ -241,13 +241,16 @@ def test_shared_depth_tree_grid_equals_direct_fits(spark):
     from tripwise.plans.features import BIKE_FEATURES
     train, test = ml._split(spark, SF_SMALL)
     cells = [dict(max_depth=d, max_bins=b) for d in (2, 4, 7) for b in (8, 32)]
-    _, shared, c1 = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 5)
-    _, direct, c2 = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 5, share_depths=False)
-    a = {r["cell"]: (r["train_mse"], r["test_mse"]) for r in shared.collect()}
-    b = {r["cell"]: (r["train_mse"], r["test_mse"]) for r in direct.collect()}
-    for k in a:
-        assert math.isclose(a[k][0], b[k][0], rel_tol=1e-9) and math.isclose(a[k][1], b[k][1], rel_tol=1e-9)
-    assert c1 == c2
+    best, shared, chosen = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 5)
+    one, again, _ = models.grid_search(spark, "dt", ml._flagged(spark, SF_SMALL), None, BIKE_FEATURES, "dur", cells, 5)
+    for got, frame in ((shared, train), (again, train)):
+        for r in got.collect():
+            direct = models.fit_tree(frame, BIKE_FEATURES, "dur", r["max_depth"], r["max_bins"], 5)
+            for df, mse in ((train, r["train_mse"]), (test, r["test_mse"])):
+                e = direct.transform(df).agg(F.avg(F.pow(F.col("dur") - F.col("prediction"), 2))).first()[0]
+                assert math.isclose(e, mse, rel_tol=1e-9)
+    direct = models.fit_tree(train, BIKE_FEATURES, "dur", chosen["max_depth"], chosen["max_bins"], 5)
+    assert best.toDebugString == one.toDebugString == direct.toDebugString
 
 
 def test_weather_join_is_a_shuffle_join_past_the_planners_bound(spark):

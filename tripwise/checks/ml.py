@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripwise.checks.core import N_CENTRES, feature_rows_sql
 from tripwise.checks.registry import events, r, register, weather_df
 from tripwise.operators import clustering, linear, lloyd, models, scoring, splits
+from tripwise.operators import histogram_trees as trees
 from tripwise.plans.features import BIKE_FEATURES, LABEL, build_features
 from tripwise.session import scratch_path
 from tripwise.sources import standins as sv
@@ -219,6 +220,11 @@ def _split(spark, sf_dir):
     return splits.split_hash(bike_features(spark, sf_dir), "trip_id", 0.7, SEED)
 
 
+def _flagged(spark, sf_dir):
+    """Both halves in one frame."""
+    return bike_features(spark, sf_dir).withColumn("is_train", splits.hash_fraction(F.col("trip_id"), SEED) < F.lit(0.7))
+
+
 @register("fit_dt")
 def q_fit_dt(spark, sf_dir):
     train, test = _split(spark, sf_dir)
@@ -243,32 +249,28 @@ def q_fit_lr(spark, sf_dir):
 @register("grid_dt")
 def q_grid_dt(spark, sf_dir):
     """The full 100-cell tree grid, as ``grid_dt_full``."""
-    train, test = _split(spark, sf_dir)
-    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, seed=SEED)
+    _, results, _ = models.grid_search(spark, "dt", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL, seed=SEED)
     return results
 
 
 @register("grid_dt_full")
 def q_grid_dt_full(spark, sf_dir):
-    """The full 100-cell tree grid: one deep fit for each number of bins, and the winner's."""
-    train, test = _split(spark, sf_dir)
-    _, results, _ = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, LABEL, seed=SEED)
+    """The full 100-cell tree grid: one deep tree for each number of bins."""
+    _, results, _ = models.grid_search(spark, "dt", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL, seed=SEED)
     return results
 
 
 @register("grid_rf")
 def q_grid_rf(spark, sf_dir):
-    """The full 560-cell forest grid, one fit for each cell."""
-    train, test = _split(spark, sf_dir)
-    _, results, _ = models.grid_search(spark, "rf", train, test, BIKE_FEATURES, LABEL, seed=SEED)
+    """The full 560-cell forest grid: one forest for each number of bins, whose prefixes and cuts are the cells."""
+    _, results, _ = models.grid_search(spark, "rf", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL, seed=SEED)
     return results
 
 
 @register("grid_lr")
 def q_grid_lr(spark, sf_dir):
     """The full 30-cell linear grid: two aggregates (train, test) in all."""
-    train, test = _split(spark, sf_dir)
-    _, results, _ = models.grid_search(spark, "lr", train, test, BIKE_FEATURES, LABEL)
+    _, results, _ = models.grid_search(spark, "lr", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL)
     return results
 
 
@@ -322,6 +324,42 @@ def q_fit_dt_leaves(spark, sf_dir):
     return leaves.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("trained"), F.count_if(off).cast("int").alias("wrong_leaves"))
 
 
+SPLIT_BINS = 32
+
+
+def _splits_sql() -> str:
+    """The best split of the root and of its children by a search over all quantile thresholds."""
+    feats = ", ".join(f"cast({f} as double)" for f in BIKE_FEATURES)
+    names = ", ".join(f"'{f}'" for f in BIKE_FEATURES)
+
+    def level(rows: str) -> str:
+        return f"""select node, f, t, n, sl*sl/nl + (s - sl)*(s - sl)/(n - nl) - s*s/n as gain from (
+  select r.node, r.f, c.t, sum(dur) as s, cast(count(*) as double) as n, sum(dur) filter (x <= t) as sl,
+   cast(count(*) filter (x <= t) as double) as nl from {rows} r join cuts c on c.f = r.f group by r.node, r.f, c.t) q
+ where nl > 0 and nl < n qualify row_number() over (partition by node order by gain desc, f, t) = 1"""
+    return bike_sql(f"""select cast(node as int) as node, list_extract([{names}], f + 1) as feature, t as threshold,
+ cast(n as bigint) as trips from (select * from root union all select * from children) q""", extra={
+        "fr": f"""select trip_id, dur, 1 as node, unnest([{feats}]) as x, unnest(range({len(BIKE_FEATURES)})) as f
+  from f where {splits.hash_fraction_sql('trip_id', SEED)} < 0.7""",
+        "ranked": "select f, x, row_number() over (partition by f order by x) as rn, count(*) over (partition by f) as n from fr",
+        "cuts": f"""select distinct f, x as t from ranked, (select unnest(range(1, {SPLIT_BINS})) as i) b
+  where rn = ceil(i / {SPLIT_BINS}e0 * n)""",
+        "root": level("fr"),
+        "side": "select trip_id, case when x <= t then 2 else 3 end as node from fr join root on root.f = fr.f",
+        "below": "select fr.trip_id, dur, side.node, x, f from fr join side on side.trip_id = fr.trip_id",
+        "children": level("below")})
+
+
+@register("fit_dt_splits", _splits_sql())
+def q_fit_dt_splits(spark, sf_dir):
+    """Feature, threshold and training trips of the first two levels of a fitted tree."""
+    rows = trees.numbered(_flagged(spark, sf_dir), BIKE_FEATURES, LABEL)
+    cuts = trees.thresholds(rows.where("is_train"), BIKE_FEATURES, [SPLIT_BINS])[SPLIT_BINS]
+    grown = trees.fit(rows, BIKE_FEATURES, LABEL, [0], 2, cuts, SEED).nodes[0]
+    out = [(i, BIKE_FEATURES[f], float(cuts[f][k]), int(n)) for i, (n, _, f, k) in grown.items() if i < 4 and f >= 0]
+    return spark.createDataFrame(out, "node int, feature string, threshold double, trips long")
+
+
 @register("stream_predict", bike_sql(f"select round({linear_sql()}, 6) as prediction from f", False))
 def q_stream_predict(spark, sf_dir):
     """Unlabelled bike trip files scored by a streaming query with the linear model."""

@@ -1,15 +1,13 @@
 """Tree, forest and linear regressors; grid search; best-cell choice.
 
-Fits are Spark ML estimators over a cached, assembled training set.  A grid
-keeps one cached frame holding both halves of the split (``is_train``), so
-each cell costs one fit plus ONE pass that yields train and test MSE
-together.  Cells are independent Spark jobs submitted from a thread pool.
+A grid takes one frame whose ``is_train`` flag tells the halves of the split, stores it once,
+and needs one forest for each bin count (``histogram_trees``): its prefixes and cuts are the cells of all sizes
+and depths, scored in one pass that yields train and test MSE together.
 """
 
 from __future__ import annotations
 
 import math
-import threading
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 from typing import Sequence
@@ -18,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwise.operators import histogram_trees as ht
 from tripwise.operators.clustering import CentreModel
 from tripwise.operators.linear import LR_ITERATIONS, LR_STEPS, LinearModel, Moments, descend, moments_by
 
@@ -28,61 +27,33 @@ RF_TREES = (1, 2, 4, 6, 8, 10, 16, 32, 64, 128)
 RF_DEPTHS = (2, 3, 4, 5, 6, 7, 8, 10)
 RF_BINS = (16, 32, 48, 64, 96, 128, 256)
 
-VEC = "features_vec"
-DEEP_TREE = 10
 
-
-def assemble(df: DataFrame, features: Sequence[str], out: str = VEC) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
+def flagged(train: DataFrame, test: DataFrame | None) -> DataFrame:
+    """One frame with ``is_train``; without ``test``, ``train`` is that frame already (and is computed once)."""
+    if test is None:
+        return train
+    return train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
 
 
 def fit_tree(train: DataFrame, features: Sequence[str], label: str = "dur", max_depth: int = 5,
-             max_bins: int = 32, seed: int = 42):
-    from pyspark.ml.regression import DecisionTreeRegressor
-    data = train if VEC in train.columns else assemble(train, features)
-    # Deep trees keep each row's node id cached (instead of shipping the tree to
-    # executors every level); with a checkpoint folder the cache is checkpointed
-    # every 10 levels, which also bounds the lineage a lost executor replays.
-    est = DecisionTreeRegressor(featuresCol=VEC, labelCol=label, maxDepth=max_depth, maxBins=max_bins,
-                                impurity="variance", seed=seed, cacheNodeIds=max_depth >= DEEP_TREE,
-                                checkpointInterval=10)
-    return est.fit(data)
+             max_bins: int = 32, seed: int = 42) -> ht.TreeModel:
+    """One tree over all rows and features."""
+    return fit_forest(train, features, label, 1, max_depth, max_bins, seed)
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = "dur", num_trees: int = 16,
-               max_depth: int = 5, max_bins: int = 32, seed: int = 42, subset: str = "auto"):
-    """Forest; subset "auto" = all features for one tree, one third for several.
-    Rows are drawn with replacement only when there are several trees (a
-    one-tree forest sees every row once, like the source's trainer)."""
-    from pyspark.ml.regression import RandomForestRegressor
-    data = train if VEC in train.columns else assemble(train, features)
-    est = RandomForestRegressor(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                maxBins=max_bins, impurity="variance", featureSubsetStrategy=subset, seed=seed,
-                                bootstrap=num_trees > 1, cacheNodeIds=max_depth >= DEEP_TREE,
-                                checkpointInterval=10)
-    return est.fit(data)
+               max_depth: int = 5, max_bins: int = 32, seed: int = 42) -> ht.TreeModel:
+    """Forest: several trees draw rows with replacement and split on a third of the features; one
+    tree sees every row once and all features, like the source's trainer."""
+    rows = ht.numbered(train.withColumn("is_train", F.lit(True)), features, label)
+    cuts = ht.thresholds(rows, features, [max_bins])[max_bins]
+    trees = [0] if num_trees == 1 else range(1, num_trees + 1)
+    return ht.fit(rows, features, label, trees, max_depth, cuts, seed).model(num_trees, max_depth)
 
 
 def predict(model, df: DataFrame, features: Sequence[str], out: str = "prediction") -> DataFrame:
-    """Add ``out``: a column expression for linear models, a vector transform otherwise."""
-    if isinstance(model, LinearModel):
-        return model.transform(df, out)
-    data = df if VEC in df.columns else assemble(df, features)
-    model = model.copy()
-    model.setFeaturesCol(VEC).setPredictionCol(out)
-    res = model.transform(data)
-    return res.drop(VEC) if VEC not in df.columns else res
-
-
-def split_mse(model, both: DataFrame, features: Sequence[str], label: str) -> tuple[float, float]:
-    """Train and test MSE in one pass over the flagged frame."""
-    p = predict(model, both, features, "_p")
-    se = F.pow(F.col(label) - F.col("_p"), 2)
-    row = p.agg(F.avg(F.when(F.col("is_train"), se)).alias("tr"),
-                F.avg(F.when(~F.col("is_train"), se)).alias("te")).first()
-    nan = float("nan")
-    return (nan if row["tr"] is None else float(row["tr"]), nan if row["te"] is None else float(row["te"]))
+    """Add ``out``: a column expression for linear models, batches through the trees otherwise."""
+    return model.transform(df, out)
 
 
 RESULT_SCHEMA = ("cell int, algo string, num_trees int, max_depth int, max_bins int, iterations int, "
@@ -95,87 +66,49 @@ def grid_argmin(results: DataFrame, metric: str = "test_mse", order: str = "cell
     return results.where(ok).orderBy(F.col(metric), F.col(order)).limit(1)
 
 
-def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFrame, features: Sequence[str],
-                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4,
-                share_depths: bool = True):
-    """Fit every cell on ``train``, score both halves, choose by test MSE.
+def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFrame | None, features: Sequence[str],
+                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4):
+    """Score every cell on both halves, choose by test MSE (``train`` and ``test``, or one frame with ``is_train``).
 
     Returns (best model or None, results DataFrame, best cell dict or None).
-    Tree grids share one deep fit per bin count across all depths
-    (``tree_depths``) unless ``share_depths`` is False.
     """
     algo = algo.lower()
     cells = cells if cells is not None else default_cells(algo)
+    both = flagged(train, test)
     if algo == "lr":
-        return _grid_linear(spark, train, test, features, label, cells)
-    both = (assemble(train.withColumn("is_train", F.lit(True)), features)
-            .unionByName(assemble(test.withColumn("is_train", F.lit(False)), features))
-            .select(VEC, label, "is_train").persist())
-    tr = both.where("is_train")
-    if algo == "dt" and share_depths:
-        try:
-            return _grid_tree_shared(spark, both, tr, features, label, cells, seed, parallelism)
-        finally:
-            both.unpersist()
-    best: dict = {}
-    lock = threading.Lock()
-
-    def run(idx_cell):
-        i, c = idx_cell
-        if algo == "dt":
-            m = fit_tree(tr, features, label, c["max_depth"], c["max_bins"], seed)
-        else:
-            m = fit_forest(tr, features, label, c["num_trees"], c["max_depth"], c["max_bins"], seed)
-        trm, tem = split_mse(m, both, features, label)
-        # Only the best model so far stays on the driver (a forest grid has 560 cells).
-        with lock:
-            if not math.isnan(tem) and (not best or (tem, i) < (best["mse"], best["cell"])):
-                best.update(mse=tem, cell=i, model=m)
-        return i, (trm, tem)
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            scored = list(pool.map(run, list(enumerate(cells))))
-    finally:
-        both.unpersist()
-    rows = [(i, algo, c.get("num_trees"), c.get("max_depth"), c.get("max_bins"), None, None, trm, tem)
-            for (i, (trm, tem)), c in zip(scored, cells)]
-    return _choose(spark, rows, {best["cell"]: best["model"]} if best else {}, cells)
-
-
-def _grid_tree_shared(spark, both, tr, features, label, cells, seed, parallelism):
-    """One fit per bin count at the group's largest depth; every depth of the
-    group evaluated from per-leaf sums; the winning cell refitted once."""
-    from tripwise.operators import tree_depths
+        return _grid_linear(spark, both, features, label, cells)
+    return _grid_trees(spark, algo, ht.numbered(both, features, label), features, label, cells, seed, parallelism)
+
+
+def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism):
+    """One forest a bin count, as deep and with as many trees as its cells ask for; one pass scores them all."""
     groups: dict[int, list[int]] = {}
     for i, c in enumerate(cells):
         groups.setdefault(int(c["max_bins"]), []).append(i)
+    cuts = ht.thresholds(rows.where("is_train"), features, list(groups))
+    size, depth = (lambda i: int(cells[i].get("num_trees", 1))), (lambda i: int(cells[i]["max_depth"]))
 
     def run(item):
         bins, idxs = item
-        deep = fit_tree(tr, features, label, max(int(cells[i]["max_depth"]) for i in idxs), bins, seed)
-        mses = tree_depths.depth_mses(tree_depths.leaf_paths(deep),
-                                      tree_depths.leaf_sums(deep, both, label, VEC),
-                                      sorted({int(cells[i]["max_depth"]) for i in idxs}))
-        return {i: mses[int(cells[i]["max_depth"])] for i in idxs}
-
-    scored: dict[int, tuple[float, float]] = {}
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for part in pool.map(run, list(groups.items())):
-            scored.update(part)
-    rows = [(i, "dt", None, int(c["max_depth"]), int(c["max_bins"]), None, None, *scored[i])
-            for i, c in enumerate(cells)]
-    results = spark.createDataFrame(rows, RESULT_SCHEMA)
-    best = grid_argmin(results).first()
-    if best is None:
-        return None, results, None
-    c = cells[best["cell"]]
-    model = fit_tree(tr, features, label, int(c["max_depth"]), int(c["max_bins"]), seed)
-    return model, results, c
-
-
-def _grid_linear(spark, train, test, features, label, cells):
-    both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+        sizes, depths = {size(i) for i in idxs}, {depth(i) for i in idxs}
+        trees = [0] * (1 in sizes) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
+        forest = ht.fit(rows, features, label, trees, max(depths), cuts[bins], seed)
+        mse = ht.errors(rows, forest, label, sizes, depths)
+        scored = {i: mse[size(i), depth(i)] for i in idxs}
+        fine = [(tem, i) for i, (_, tem) in scored.items() if not math.isnan(tem)]
+        # Of each bin count only the best cell's trees stay on the driver.
+        return scored, (*min(fine), forest.model(size(min(fine)[1]), depth(min(fine)[1]))) if fine else None
+
+    workers = max(1, parallelism) if all(size(i) == 1 for i in range(len(cells))) else 1  # a forest keeps all tasks busy
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        parts = list(pool.map(run, list(groups.items())))
+    scored = {i: mse for part, _ in parts for i, mse in part.items()}
+    out = [(i, algo, c.get("num_trees"), int(c["max_depth"]), int(c["max_bins"]), None, None, *scored[i])
+           for i, c in enumerate(cells)]
+    return _choose(spark, out, {best[1]: best[2] for _, best in parts if best}, cells)
+
+
+def _grid_linear(spark, both, features, label, cells):
     by = moments_by(both, "is_train", list(features), label)
     empty = Moments(np.zeros((len(features), len(features))), np.zeros(len(features)), 0.0, 0)
     m_train, m_test = by.get(True, empty), by.get(False, empty)
@@ -211,23 +144,12 @@ def default_cells(algo: str) -> list[dict]:
 
 
 def save_model(spark: SparkSession, model, path: str) -> str:
-    if isinstance(model, (LinearModel, CentreModel)):
-        model.save(spark, path)
-    else:
-        model.write().overwrite().save(path)
+    model.save(spark, path)
     return path
 
 
 def load_model(spark: SparkSession, path: str, algo: str):
-    algo = algo.lower()
-    if algo == "lr":
-        return LinearModel.load(spark, path)
-    if algo == "dt":
-        from pyspark.ml.regression import DecisionTreeRegressionModel
-        return DecisionTreeRegressionModel.load(path)
-    if algo == "rf":
-        from pyspark.ml.regression import RandomForestRegressionModel
-        return RandomForestRegressionModel.load(path)
-    if algo == "km":
-        return CentreModel.load(spark, path)
-    raise ValueError(algo)
+    kinds = {"lr": LinearModel, "dt": ht.TreeModel, "rf": ht.TreeModel, "km": CentreModel}
+    if algo.lower() not in kinds:
+        raise ValueError(f"algo must be one of {sorted(kinds)}, not {algo!r}")
+    return kinds[algo.lower()].load(spark, path)

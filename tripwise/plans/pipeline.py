@@ -77,10 +77,11 @@ def load_split(spark: SparkSession, opts: RunOptions, model_dir: str) -> RunOpti
     return replace(opts, split=r["split"], seed=r["seed"], train_fraction=r["train_fraction"])
 
 
-def split_frame(df: DataFrame, opts: RunOptions) -> tuple[DataFrame, DataFrame]:
+def split_frame(df: DataFrame, opts: RunOptions) -> DataFrame:
+    """``df`` with ``is_train``: one frame, computed once."""
     if opts.split == "random":
-        return splits.split_random(df, opts.seed, (opts.train_fraction, 1 - opts.train_fraction))
-    return splits.split_hash(df, "trip_id", opts.train_fraction, opts.seed)
+        return models.flagged(*splits.split_random(df, opts.seed, (opts.train_fraction, 1 - opts.train_fraction)))
+    return df.withColumn("is_train", ~held_out(opts))
 
 
 def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: str) -> DataFrame:
@@ -103,8 +104,8 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
                                                opts.seed, weighted=opts.kmeans_weighted)
             models.save_model(spark, km, kmeans_dir)
-            train, test = split_frame(labelled_features(t, w, clustering.centres_of(km), dataset), opts)
-            best, results, cell = models.grid_search(spark, algo, train, test, feats, LABEL, opts.cells,
+            both = split_frame(labelled_features(t, w, clustering.centres_of(km), dataset), opts)
+            best, results, cell = models.grid_search(spark, algo, both, None, feats, LABEL, opts.cells,
                                                      opts.seed, opts.parallelism)
             if best is None:
                 raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
