@@ -116,7 +116,7 @@ def test_grid_keeps_the_argmin_model(spark):
     best, res, cell = models.grid_search(spark, "dt", train, test, BIKE_FEATURES, "dur", cells, 1, parallelism=3)
     rows = sorted(res.collect(), key=lambda r: (r["test_mse"], r["cell"]))
     assert cell == cells[rows[0]["cell"]]
-    assert best.getMaxDepth() == cell["max_depth"]
+    assert best.depth == cell["max_depth"]
 
 
 def test_grid_lr_snapshots_equal_separate_fits(spark):

@@ -247,6 +247,17 @@ class TreeModel:
     features: list[str]
     trees: list[FlatTree]
 
+    @property
+    def depth(self) -> int:
+        """Levels below the root of the deepest tree."""
+        deepest = 0
+        for t in self.trees:
+            level = np.zeros(len(t.feature), np.int64)
+            for i in np.flatnonzero(t.feature >= 0):  # parents come before their children
+                level[t.left[i]] = level[t.right[i]] = level[i] + 1
+            deepest = max(deepest, int(level.max(initial=0)))
+        return deepest
+
     @property
     def toDebugString(self) -> str:
         lines = [f"TreeModel of {len(self.trees)} trees"]
