@@ -25,6 +25,7 @@ def test_train_test_predict(spark, dataset, algo):
              "lr": None}[algo]
     opts = pipeline.RunOptions(cells=cells, k_grid=(6, 7, 8), restarts=1, kmeans_iter=10)
     tr = pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "Training", opts)
+    assert tr["rejects"] == {"trips": {"accepted": ev.count()}, "weather": {"accepted": sv.weather(ev).count(), "header": 1}}
     assert tr["k"] in (6, 7, 8) and tr["best_cell"] is not None
     te = pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "test", opts)
     scored = spark.read.parquet(te["path"])
@@ -95,7 +96,7 @@ def test_partitioned_scored_output_round_trips(spark):
     assert one_day.count() == df.where(F.col("dt") == F.lit("2024-01-05").cast("date")).count() > 0
 
 
-def test_taxi_files_are_read_by_name_and_differing_headers_fail(spark):
+def test_taxi_files_are_read_by_name_whatever_their_headers(spark):
     from tripwise.operators import cleaning as cl
     ev = sv.table(spark, SF_SMALL, "events")
     wide = sv.yellow_file(ev)
@@ -104,12 +105,29 @@ def test_taxi_files_are_read_by_name_and_differing_headers_fail(spark):
     a, b = (readers.read_taxi_csv(spark, p, cl.YELLOW) for p in (one, two))
     assert a.count() == ev.count() and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
     assert a.select("trip_distance").count() == a.where("malformed or not malformed").count()
-    with pytest.raises(Exception, match="header does not conform"):
-        readers.read_taxi_csv(spark, [one, two], cl.YELLOW).collect()
+    three = writers.write_csv(wide.select("VendorID"), scratch_path(spark, "three"), header=True)
+    both = readers.read_taxi_csv(spark, [one, two, three], cl.YELLOW)
+    assert both.exceptAll(a.unionByName(b)).count() == 0 and both.count() == 2 * ev.count()
+    assert {(r.files, r.used) for r in readers.layouts(spark, [one, two, three], cl.YELLOW).collect()} >= {(1, True), (1, False)}
     with pytest.raises(ValueError, match="lpep_pickup_datetime"):
         readers.read_taxi_csv(spark, one, cl.GREEN)
 
 
+def test_rejected_lines_go_to_a_side_output_with_their_reasons(spark):
+    ev = sv.table(spark, SF_SMALL, "events")
+    path = scratch_path(spark, "mixed")
+    good = sv.trips(ev).select(*LAB["bike"]).limit(20)
+    writers.write_csv(good, path)
+    spark.createDataFrame([("2024-01-05,08:00:00,oops,1,40.7,-74,2,40.7,-74,1980,1",), ("no date,08:00:00,300,1,40.7,-74,2,40.7,-74,1980,1",),
+                           ("",), ("2024-01-05,08:00:00",)], "value string").write.mode("append").text(path)
+    side = scratch_path(spark, "side")
+    opts = pipeline.RunOptions(rejects_dir=side)
+    t, counts = pipeline._trips(spark, path, "bike", True, opts)
+    assert t.count() == 20 and counts["trips"] == {"accepted": 20, "dur": 2, "dt": 1}
+    kept = spark.read.parquet(side).collect()
+    assert sorted(r.reject for r in kept) == ["dt", "dur", "dur"] and any("no date" in r.raw for r in kept)
+
+
 def test_eight_and_nine_column_trip_files_give_the_same_rows(spark):
     ev = sv.table(spark, SF_SMALL, "events")
     path = writers.write_csv(sv.trips(ev).select(*LAB["taxi"]), scratch_path(spark, "eight"))

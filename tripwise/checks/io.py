@@ -100,6 +100,36 @@ def q_reject_counts(spark, sf_dir):
     return readers.trip_rejects(spark, path, "taxi")
 
 
+@register("rejects_by_reason", with_views(["trips"], """select reason, count(*) as lines from (select
+ case when trip_id % 17 = 0 then 'header' when trip_id % 11 = 0 then 'dt' when trip_id % 13 = 0 then 'dur'
+  when trip_id % 7 = 0 then 'lat1' else 'accepted' end as reason from trips) q group by reason"""))
+def q_rejects_by_reason(spark, sf_dir):
+    """Why lines of damaged taxi trip files are rejected: the first field that is missing or does not parse."""
+    t = sv.trips(events(spark, sf_dir))
+    broken = {"dt": (11, "2024-99-01"), "dur": (13, "x"), "lat1": (7, "")}
+    fields = [F.when(F.col("trip_id") % broken[c][0] == 0, broken[c][1]).otherwise(F.col(c).cast("string")) if c in broken
+              else F.col(c).cast("string") for c in TAXI8]
+    path = scratch_path(spark, "damaged")
+    t.select(F.when(F.col("trip_id") % 17 == 0, F.lit(sv.TAXI_HEADER)).otherwise(F.concat_ws(",", *fields)).alias("value")) \
+        .write.text(path)
+    return readers.rejects_by_reason(readers.trip_lines(spark, path, "taxi"))
+
+
+@register("scan_mixed_headers", with_views(["raw_taxi", "raw_yellow"], "select * from raw_yellow where event_id % 31 <> 0"))
+def q_scan_mixed_headers(spark, sf_dir):
+    """Yellow files of three layouts under one glob (as published, columns reversed, names in capitals with one more
+    column), beside a file that lacks the columns."""
+    y = sv.yellow_file(events(spark, sf_dir))
+    path = scratch_path(spark, "layouts")
+    part = lambda i: y.where(F.col("VendorID").cast("bigint") % 3 == i)
+    writers.write_csv(part(0), f"{path}/a", header=True)
+    writers.write_csv(part(1).select(*reversed(y.columns)), f"{path}/b", header=True)
+    writers.write_csv(part(2).select(F.lit(1).alias("extra"), *[F.col(c).alias(c.upper()) for c in y.columns]), f"{path}/c", header=True)
+    writers.write_csv(y.select("VendorID"), f"{path}/d", header=True)
+    got = readers.read_taxi_csv(spark, f"{path}/*/*.csv", cl.YELLOW, keep=("VendorID",)).where(~F.col("malformed"))
+    return got.withColumn("event_id", F.col("VendorID").cast("bigint")).drop("VendorID", "malformed")
+
+
 @register("scan_raw_text", with_views(["raw_bike"], "select line from raw_bike"))
 def q_scan_raw_text(spark, sf_dir):
     path = scratch_path(spark, "rawbike")

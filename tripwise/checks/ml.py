@@ -360,6 +360,33 @@ def q_fit_dt_splits(spark, sf_dir):
     return spark.createDataFrame(out, "node int, feature string, threshold double, trips long")
 
 
+#: A printed tree over the bike features, and the same as SQL.
+PRINTED_TREE = """Tree of depth 3
+  If (feature 10 <= 15000.0)
+   If (feature 1 <= 0.5)
+    Predict: 400.5
+   Else (feature 1 > 0.5)
+    If (feature 13 <= 1960.0)
+     Predict: 512.25
+    Else (feature 13 > 1960.0)
+     Predict: 470.125
+  Else (feature 10 > 15000.0)
+   If (feature 12 <= 0.0)
+    Predict: 1500.0
+   Else (feature 12 > 0.0)
+    Predict: 1750.75
+"""
+PRINTED_SQL = """case when dist <= 15000 then case when tm <= 0.5 then 400.5e0 when yr <= 1960 then 512.25e0 else 470.125e0 end
+ when peak <= 0 then 1500e0 else 1750.75e0 end"""
+
+
+@register("score_printed_tree", bike_sql(f"select trip_id, dur, {PRINTED_SQL} as prediction, dur - {PRINTED_SQL} as residual from f"))
+def q_score_printed_tree(spark, sf_dir):
+    """A tree given in printed form scores the labelled rows."""
+    model = trees.TreeModel(BIKE_FEATURES, trees.parse_printed(PRINTED_TREE))
+    return scoring.score_labelled(model, bike_features(spark, sf_dir), BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
+
+
 @register("stream_predict", bike_sql(f"select round({linear_sql()}, 6) as prediction from f", False))
 def q_stream_predict(spark, sf_dir):
     """Unlabelled bike trip files scored by a streaming query with the linear model."""

@@ -44,6 +44,7 @@ class RunOptions:
     parallelism: int = 8
     kmeans_weighted: bool = False            # reduce the points to distinct ones with counts first
     output_format: str = "parquet"
+    rejects_dir: str | None = None           # where rejected trip lines go, with their reasons
 
 
 def _validate(dataset: str, algo: str, mode: str) -> tuple[str, str, str]:
@@ -58,6 +59,22 @@ def _frame(spark: SparkSession, src, reader) -> DataFrame:
     return src if isinstance(src, DataFrame) else reader(spark, src)
 
 
+def _counts(lines: DataFrame) -> dict[str, int]:
+    return {r["reason"]: r["lines"] for r in readers.rejects_by_reason(lines).collect()}
+
+
+def _trips(spark: SparkSession, src, dataset: str, labelled: bool, opts: RunOptions) -> tuple[DataFrame, dict]:
+    """Trips and how many lines were accepted or rejected for what, from ONE read of the files: all lines are
+    stored with their reason, good and bad ones are told apart there."""
+    if isinstance(src, DataFrame):
+        return src, {}
+    lines = readers.trip_lines(spark, src, dataset, labelled)
+    lines = stored(lines.withColumn("raw", F.when(F.col("reject").isNotNull(), F.col("raw"))), "trip-lines")
+    if opts.rejects_dir:
+        lines.where("reject is not null").select("reject", "raw").write.mode("overwrite").parquet(opts.rejects_dir)
+    return readers.good_trips(lines), {"trips": _counts(lines)}
+
+
 def held_out(opts: RunOptions):
     """The held-out condition of the hash split (test rows of training)."""
     return splits.hash_fraction(F.col("trip_id"), opts.seed) >= F.lit(opts.train_fraction)
@@ -98,7 +115,9 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
     feats = feature_names(dataset)
     labelled = mode != "prediction"
     w = _frame(spark, weather, readers.read_weather).persist()
-    t = _frame(spark, trips, lambda s, p: readers.read_trips(s, p, dataset, labelled))
+    t, rejects = _trips(spark, trips, dataset, labelled, opts)
+    if not isinstance(weather, DataFrame):  # a line a day
+        rejects["weather"] = _counts(readers.weather_lines(spark, weather))
     try:
         if mode == "training":
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
@@ -111,7 +130,7 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
                 raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
             models.save_model(spark, best, model_dir)
             save_split(spark, opts, model_dir)
-            return dict(mode=mode, k=len(clustering.centres_of(km)), best_cell=cell,
+            return dict(mode=mode, rejects=rejects, k=len(clustering.centres_of(km)), best_cell=cell,
                         results=results.orderBy("cell").collect(), elbow=elbow.collect())
         km = models.load_model(spark, kmeans_dir, "km")
         model = models.load_model(spark, model_dir, algo)
@@ -131,13 +150,13 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
                 scored = scored.observe(obs, F.avg(se).alias("mse"), F.avg(held).alias("mse_held_out"))
                 out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_test", opts.output_format)
                 m = obs.get
-                return dict(mode=mode, path=out, mse_all=m["mse"], mse_held_out=m["mse_held_out"])
+                return dict(mode=mode, rejects=rejects, path=out, mse_all=m["mse"], mse_held_out=m["mse_held_out"])
             finally:
                 joined.unpersist()
         data = build_features(t, w, clustering.centres_of(km), dataset, labelled=False)
         scored = scoring.score_unlabelled(model, data, feats)
         out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_prediction", opts.output_format)
-        return dict(mode=mode, path=out)
+        return dict(mode=mode, rejects=rejects, path=out)
     finally:
         w.unpersist()
 

@@ -20,14 +20,14 @@ from tripwise import schemas
 from tripwise.operators.clustering import Centre
 from tripwise.operators.models import predict
 from tripwise.plans.features import build_features, feature_names
-from tripwise.sources.readers import content_id, parse_trips
+from tripwise.sources.readers import good_trips, parse_trips
+
 
 def read_trip_stream(spark: SparkSession, trips_dir: str, dataset: str, max_files: int = 1000) -> DataFrame:
     raw = (spark.readStream.schema(schemas.trips_schema(dataset, labelled=False))
            .option("maxFilesPerTrigger", max_files).csv(trips_dir))
-    t = parse_trips(raw, dataset)
     # The same content hash as the batch reader: a trip keeps its id across restarts.
-    return t.withColumn("trip_id", content_id(t, [c for c in t.columns if c not in ("dur", "trip_distance")]))
+    return good_trips(parse_trips(raw, dataset))
 
 
 def start_prediction_stream(spark: SparkSession, trips_dir: str, weather: DataFrame, model,
