@@ -15,6 +15,7 @@ from tripwise.functions import (cartesian, chord_distance, day_fraction_of_time,
                                 peak_flag, weekday_flag)
 from tripwise.operators import clustering, joins, outliers
 from tripwise.plans.features import BIKE_FEATURES, TAXI_FEATURES, build_features
+from tripwise.session import scratch_path
 from tripwise.sources import standins as sv
 from tripwise.sources.standin_sql import centres_values, with_views
 
@@ -132,6 +133,22 @@ def q_speed_stats(spark, sf_dir):
     return s.select(r("speed_avg", 6).alias("speed_avg"), r("speed_sd", 6).alias("speed_sd"))
 
 
+@register("speed_stats_incremental", with_views(["trips", "weather"], f"""
+select round(avg(d/dur), 6) as speed_avg, round(stddev_pop(d/dur), 6) as speed_sd, count(distinct dt) as days
+from (select t.dt, dur, {dist_sql()} as d from trips t join weather w on t.dt = w.dt where dur >= 120 and dur <= 3600) q"""))
+def q_speed_stats_incremental(spark, sf_dir):
+    """The statistics from states of three batches of trips, kept as a table to which each batch is added."""
+    j = outliers.duration_closed(joins.join_weather(sv.trips(events(spark, sf_dir)), weather_df(spark, sf_dir)))
+    j = j.withColumn("dist", chord_distance(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")))
+    path = scratch_path(spark, "speed-state")
+    for batch in range(3):
+        outliers.day_moments(j.where(F.col("trip_id") % 3 == batch)).write.mode("append").parquet(path)
+    days = outliers.merge_moments(spark.read.parquet(path))
+    s = outliers.stats_of_moments(days)
+    return s.select(r("speed_avg", 6).alias("speed_avg"), r("speed_sd", 6).alias("speed_sd"),
+                    F.lit(days.count()).cast("long").alias("days"))
+
+
 @register("duration_closed", with_views(["trips", "weather"],
           "select trip_id, dur from trips t join weather w on t.dt = w.dt where dur >= 120 and dur <= 3600"))
 def q_duration_closed(spark, sf_dir):

@@ -88,8 +88,8 @@ def q_grid_argmin(spark, sf_dir):
     return best.select("cell", "speed", r("test_mse", 4).alias("test_mse"))
 
 
-GD_FEATURES = ["dist", "tm", "yr"]
-GD_STEP = 1e-8
+GD_FEATURES = BIKE_FEATURES
+GD_STEP = 1e-9
 GD_ITERS = 3
 
 
@@ -111,7 +111,7 @@ def _gd_sql() -> str:
     diff = " + ".join(f"pow(it2.w{j} - it1.w{j}, 2)" for j in range(n))
     norm = " + ".join(f"pow(it2.w{j}, 2)" for j in range(n))
     conv = f"sqrt({diff}) < {linear.CONVERGENCE_TOL!r} * greatest(sqrt({norm}), 1.0e0)"
-    cols = ", ".join(f"round(case when {conv} then it2.w{j} else it3.w{j} end, 12) as w_{x[j]}" for j in range(n))
+    cols = ", ".join(f"round(case when {conv} then it2.w{j} else it3.w{j} end, 9) as w_{x[j]}" for j in range(n))
     return bike_sql(f"select case when {conv} then 2 else 3 end as iterations, {cols} from it1, it2, it3",
                     extra=ctes)
 
@@ -124,7 +124,7 @@ def q_gd_linear(spark, sf_dir):
     w, done = linear.descend(m, GD_STEP, [GD_ITERS])[GD_ITERS]
     row = [int(done)] + [float(v) for v in w]
     df = spark.createDataFrame([row], "iterations int, " + ", ".join(f"w_{c} double" for c in GD_FEATURES))
-    return df.select("iterations", *[r(f"w_{c}", 12).alias(f"w_{c}") for c in GD_FEATURES])
+    return df.select("iterations", *[r(f"w_{c}", 9).alias(f"w_{c}") for c in GD_FEATURES])
 
 
 # ------------------------------------------------------------ rows-only fits

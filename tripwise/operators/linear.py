@@ -97,32 +97,16 @@ def _from_stats(vals: dict[int, float], d: int) -> Moments:
     return Moments(g, np.array(v[off:off + d]), float(v[off + d]), int(round(v[off + d + 1])))
 
 
-# Up to this many statistics the plain aggregate stays small enough for
-# generated code; beyond it each task multiplies its Arrow batches with numpy.
-MAX_SQL_STATS = 40
-
-
 def _moments_frame(df: DataFrame, features: list[str], label: str, key: str | None) -> DataFrame:
     """Statistics as (k, stat, v) rows: one value per statistic and key.
 
-    Rows with a NULL feature or label are left out.  Few features: one SQL
-    aggregate (partial per task), unpivoted.  Many features: each task emits
-    d(d+3)/2+2 partial sums per key from numpy, merged by one tiny group-by;
-    either way the shuffle carries (tasks x keys x stats) rows, never data rows.
+    Rows with a NULL feature or label are left out.  Each task emits
+    d(d+3)/2+2 partial sums per key from numpy, merged by one tiny group-by:
+    the shuffle carries (tasks x keys x stats) rows, never data rows.
     """
-    d = len(features)
     kexpr = F.col(key).cast("boolean") if key else F.lit(None).cast("boolean")
     data = df.select(kexpr.alias("_key"), *[F.col(c).cast("double") for c in list(features) + [label]]) \
              .dropna(subset=list(features) + [label])
-    names = _stat_names(d)
-    if len(names) <= MAX_SQL_STATS:
-        x = [F.col(f) for f in features]
-        y = F.col(label)
-        exprs = [F.sum(x[i] * x[j]) for i in range(d) for j in range(i, d)] + [F.sum(y * x[i]) for i in range(d)]
-        exprs += [F.sum(y * y), F.count(F.lit(1)).cast("double")]
-        agg = data.groupBy("_key").agg(*[e.alias(f"s{i}") for i, e in enumerate(exprs)])
-        stack = "stack({}, {}) as (stat, v)".format(len(exprs), ", ".join(f"{i}, s{i}" for i in range(len(exprs))))
-        return agg.selectExpr("_key as k", stack)
     part = data.mapInArrow(_partial_moments(list(features), label, "_key" if key else None),
                            "k boolean, stat int, v double")
     return part.groupBy("k", "stat").agg(F.sum("v").alias("v"))

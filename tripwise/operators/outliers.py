@@ -33,6 +33,32 @@ def speed_stats(df: DataFrame, dist: str = "dist", dur: str = "dur") -> DataFram
     return df.agg(F.avg(s).alias("speed_avg"), F.stddev_pop(s).alias("speed_sd"))
 
 
+def day_moments(df: DataFrame, day: str = "dt", dist: str = "dist", dur: str = "dur") -> DataFrame:
+    """The state of a speed statistic: one row a day with n, mean and m2 (squared deviations from the mean).
+
+    States of disjoint rows merge exactly, so a new day's trips shift the bounds without reading the old ones again.
+    """
+    s = speed(F.col(dist), F.col(dur))
+    return df.groupBy(F.col(day).alias("day")).agg(
+        F.count(s).alias("n"), F.avg(s).alias("mean"), (F.var_pop(s) * F.count(s)).alias("m2")).where("n > 0")
+
+
+def merge_moments(states: DataFrame) -> DataFrame:
+    """States of the same day, from several batches, as one row a day."""
+    mean = F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    # Deviations are taken from the merged mean of each day: no difference of large squares.
+    of = states.groupBy("day").agg(mean.alias("mean_all"))
+    return states.join(of, "day").groupBy("day").agg(
+        F.sum("n").alias("n"), F.first("mean_all").alias("mean"),
+        F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("mean_all"), 2)).alias("m2"))
+
+
+def stats_of_moments(states: DataFrame) -> DataFrame:
+    """One row as ``speed_stats`` gives it, from a table of states (a row a day)."""
+    whole = merge_moments(states.select(F.lit(0).alias("day"), "n", "mean", "m2"))
+    return whole.select(F.col("mean").alias("speed_avg"), F.sqrt(F.col("m2") / F.col("n")).alias("speed_sd"))
+
+
 def speed_3sigma(df: DataFrame, dist: str = "dist", dur: str = "dur", k: float = 3.0) -> DataFrame:
     """Keep rows with avg - k*sd < dist/dur < avg + k*sd (both strict).
 
