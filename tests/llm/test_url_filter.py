@@ -61,3 +61,11 @@ def test_empty_repeated_and_size_check(spark, tmp_path):
         assert "judge_by_join" in str(e)
     else:
         raise AssertionError("no size check")
+
+
+def test_a_column_named_like_the_helper_stays(spark):
+    df = spark.createDataFrame([("http://a.net/x", "kept")], "url string, __hit string")
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    for out in (uf.judge(df, [("net", "/", "block")]), uf.judge_by_join(df, rules)):
+        row = out.first()
+        assert (row["__hit"], row["rule"], row["verdict"]) == ("kept", "net/", "block")

@@ -14,7 +14,7 @@ chunks they have met (twice ``MEMO`` at most), so a chunk is normalised and cut
 
 Defined cases: null text counts as empty: no ids and empty decoded text; the strings of
 special tokens are special tokens, as in the library; a word of any length is merged in
-O(n log n); repeated rows stay; an empty table gives an empty table; other columns stay.
+O(n log n); repeated rows stay; an empty table gives an empty table; columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations

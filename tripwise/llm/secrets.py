@@ -20,7 +20,7 @@ once, so the join's output grows with the parts, not with their pairs.
 Defined cases: null text counts as empty; positions are code points, end exclusive;
 documents are told apart by two hashes of doc_id and text, so repeated rows get
 the same result each and a null doc_id works; a text of any length is scanned whole;
-an empty table gives an empty table.
+an empty table gives an empty table; ``scan`` reads doc_id and text only, ``redact`` keeps all columns.
 """
 
 from __future__ import annotations

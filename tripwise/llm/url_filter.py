@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripwise.llm.common import fresh
+
 Rule = tuple[str, str, str]
 #: Above so many bytes of rules the trie is not broadcast: use ``judge_by_join``.
 MAX_TRIE_BYTES = 32 << 20
@@ -93,8 +95,9 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url", default: str = "al
         return pd.DataFrame(found, columns=["rule", "verdict"])
 
     out = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    out = out.withColumn("__hit", walk("host", "path"))
-    return out.withColumns({"rule": F.col("__hit.rule"), "verdict": F.col("__hit.verdict")}).drop("__hit")
+    hit, = fresh(df, "__hit")
+    out = out.withColumn(hit, walk("host", "path"))
+    return out.withColumns({"rule": F.col(f"{hit}.rule"), "verdict": F.col(f"{hit}.verdict")}).drop(hit)
 
 
 def judge_by_join(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -117,8 +120,9 @@ def judge_by_join(df: DataFrame, rules: DataFrame, url: str = "url", default: st
         .withColumn("rh", F.array_join(F.slice("labels", F.col("i"), F.size("labels")), ".")) \
         .withColumn("rk", F.when(F.col("j") == 0, "").otherwise(
             F.concat(F.array_join(F.slice("pieces", F.lit(1), F.col("j")), "/"), F.lit("/"))))
+    hit, = fresh(df, "__hit")
     best = keys.join(held, ["rh", "rk"]).filter(F.col("path").startswith(F.col("rp"))) \
-        .groupBy("host", "path").agg(F.max("hit").alias("__hit"))
+        .groupBy("host", "path").agg(F.max("hit").alias(hit))
     out = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))}).join(best, ["host", "path"], "left")
-    return out.withColumns({"rule": F.col("__hit.rule"),
-                            "verdict": F.coalesce(F.col("__hit.verdict"), F.lit(default))}).drop("__hit")
+    return out.withColumns({"rule": F.col(f"{hit}.rule"),
+                            "verdict": F.coalesce(F.col(f"{hit}.verdict"), F.lit(default))}).drop(hit)
