@@ -9,7 +9,7 @@ from tripwise.checks.core import N_CENTRES, feature_rows_sql
 from tripwise.checks.registry import events, r, register, weather_df
 from tripwise.operators import clustering, linear, lloyd, models, scoring, splits
 from tripwise.operators import histogram_trees as trees
-from tripwise.plans.features import BIKE_FEATURES, LABEL, build_features
+from tripwise.plans.features import BIKE_FEATURES, LABEL, TAXI_FEATURES, build_features
 from tripwise.session import scratch_path
 from tripwise.sources import standins as sv
 from tripwise.sources.standin_sql import with_views
@@ -405,21 +405,104 @@ def q_stream_predict(spark, sf_dir):
     return spark.read.parquet(sink).select(r("prediction", 6).alias("prediction"))
 
 
-def _train_test_predict(spark, sf_dir, dataset: str, algo: str):
-    from tripwise.plans import pipeline
+#: A second printed tree, so that two make a forest.
+SECOND_TREE = """Tree of depth 2
+  If (feature 0 <= 0.25)
+   Predict: 640.5
+  Else (feature 0 > 0.25)
+   If (feature 2 <= 40.75)
+    Predict: 810.25
+   Else (feature 2 > 40.75)
+    Predict: 905.5
+"""
+SECOND_SQL = "case when days <= 0.25 then 640.5e0 when lat1 <= 40.75 then 810.25e0 else 905.5e0 end"
+TAXI_WEIGHTS = [round(0.01 + 0.003 * i, 6) for i in range(len(TAXI_FEATURES))]
+TRIP_COLUMNS = {"bike": ["dt", "time", "dur", "id1", "lat1", "lon1", "id2", "lat2", "lon2", "yr", "gdr"],
+                "taxi": ["dt", "time", "dur", "lat1", "lon1", "lat2", "lon2", "psg"]}
+FEATURES = {"bike": BIKE_FEATURES, "taxi": TAXI_FEATURES}
+
+
+def _given_model(dataset: str, algo: str, factor: float = 1.0):
+    """A model that needs no training."""
+    if algo == "lr":
+        return linear.LinearModel(FEATURES[dataset], [factor * w for w in (BIKE_WEIGHTS if dataset == "bike" else TAXI_WEIGHTS)])
+    printed = [PRINTED_TREE if dataset == "bike" else SECOND_TREE] + [SECOND_TREE] * (algo == "rf")
+    return trees.TreeModel(FEATURES[dataset], [t for p in printed for t in trees.parse_printed(p)])
+
+
+def _given_sql(dataset: str, algo: str) -> str:
+    if algo == "lr":
+        return linear_sql() if dataset == "bike" else " + ".join(f"{w!r}*{f}" for w, f in zip(TAXI_WEIGHTS, TAXI_FEATURES))
+    first = PRINTED_SQL if dataset == "bike" else SECOND_SQL
+    return f"({first} + {SECOND_SQL})/2" if algo == "rf" else first
+
+
+def _published(spark, dataset: str, algo: str, factor: float = 1.0, to: tuple[str, str] | None = None) -> tuple[str, str]:
+    """Folders of a published training whose model and clusters are given."""
+    from tripwise.plans import bundle
+    model_dir, km_dir = to or (scratch_path(spark, "given-model"), scratch_path(spark, "given-km"))
+    bundle.publish(spark, model_dir, km_dir, algo, clustering.CentreModel(sv.fixed_centres(N_CENTRES)),
+                   _given_model(dataset, algo, factor), dict(split="hash", seed=SEED, train_fraction=0.7))
+    return model_dir, km_dir
+
+
+def _trip_files(spark, sf_dir, dataset: str, labelled: bool, where: str = "true") -> tuple[str, str]:
     from tripwise.sources import writers
     ev = events(spark, sf_dir)
-    lab = (["dt", "time", "dur", "id1", "lat1", "lon1", "id2", "lat2", "lon2", "yr", "gdr"] if dataset == "bike"
-           else ["dt", "time", "dur", "lat1", "lon1", "lat2", "lon2", "psg"])
-    weather = writers.write_csv(sv.weather(ev), scratch_path(spark, "p-weather"), header=True)
-    trips = writers.write_csv(sv.trips(ev).select(*lab), scratch_path(spark, "p-trips"))
-    unl = writers.write_csv(sv.trips(ev).select(*[c for c in lab if c != "dur"]), scratch_path(spark, "p-unl"))
+    cols = [c for c in TRIP_COLUMNS[dataset] if labelled or c != "dur"]
+    return (writers.write_csv(sv.weather(ev), scratch_path(spark, "s-weather"), header=True),
+            writers.write_csv(sv.trips(ev).where(where).select(*cols), scratch_path(spark, "s-trips")))
+
+
+def _scored_sql(dataset: str, algo: str) -> str:
+    p = _given_sql(dataset, algo)
+    return feature_rows_sql(FEATURES[dataset], True, f"""select t.dt, f.dur, round({p}, 6) as prediction,
+ round(f.dur - ({p}), 6) as residual from (select * from f) f join (select trip_id as id, dt from trips) t on t.id = f.trip_id""")
+
+
+def _register_scored(dataset: str, algo: str) -> None:
+    @register(f"scored_output_{dataset}_{algo}", _scored_sql(dataset, algo))
+    def query(spark, sf_dir):
+        """What test mode writes for whole trip files, read back: a published model of each kind for both kinds of trips."""
+        from tripwise.plans import pipeline
+        weather, trips = _trip_files(spark, sf_dir, dataset, True)
+        out = pipeline.run(spark, weather, trips, *_published(spark, dataset, algo), dataset, algo, "test")
+        return spark.read.schema(out["schema"]).parquet(out["path"]).select(
+            "dt", "dur", r("prediction", 6).alias("prediction"), r("residual", 6).alias("residual"))
+
+
+for _dataset in FEATURES:
+    for _algo in ("dt", "rf", "lr"):
+        _register_scored(_dataset, _algo)
+
+
+RESCORED = "day(dt) in (5, 17)"
+
+
+@register("rescored_days", bike_sql(f"""select dt, round(case when {RESCORED} then 2 else 1 end * p, 6) as prediction
+ from (select t.dt, {linear_sql()} as p from (select * from f) f join (select trip_id as id, dt from trips) t on t.id = f.trip_id) q""", False))
+def q_rescored_days(spark, sf_dir):
+    """Prediction mode over all trips, then a newer model over two days of each month, which alone are replaced."""
+    from tripwise.plans import pipeline
+    weather, trips = _trip_files(spark, sf_dir, "bike", False)
+    dirs = _published(spark, "bike", "lr")
+    pipeline.run(spark, weather, trips, *dirs, "bike", "lr", "prediction")
+    _published(spark, "bike", "lr", 2.0, dirs)
+    weather, again = _trip_files(spark, sf_dir, "bike", False, RESCORED)
+    out = pipeline.run(spark, weather, again, *dirs, "bike", "lr", "prediction", pipeline.RunOptions(replace="days"))
+    return spark.read.schema(out["schema"]).parquet(out["path"]).select("dt", r("prediction", 6).alias("prediction"))
+
+
+def _train_test_predict(spark, sf_dir, dataset: str, algo: str):
+    from tripwise.plans import pipeline
+    weather, trips = _trip_files(spark, sf_dir, dataset, True)
+    _, unl = _trip_files(spark, sf_dir, dataset, False)
     model_dir, km_dir = scratch_path(spark, "p-model"), scratch_path(spark, "p-km")
     opts = pipeline.RunOptions(seed=SEED)
     pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "training", opts)
     pipeline.run(spark, weather, trips, model_dir, km_dir, dataset, algo, "test", opts)
     out = pipeline.run(spark, weather, unl, model_dir, km_dir, dataset, algo, "prediction", opts)
-    return spark.read.parquet(out["path"])
+    return spark.read.schema(out["schema"]).parquet(out["path"])
 
 
 @register("train_test_predict")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tripwise.operators import lloyd
 from tripwise.session import stored
+from tripwise.sources.ledger import Ledger, fingerprint, key_of
 
 Centre = tuple[float, float]
 
@@ -136,7 +137,8 @@ def centres_of(model: CentreModel) -> list[Centre]:
 
 
 def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID, restarts: int = RESTARTS,
-             max_iter: int = MAX_ITER, seed: int = 42, lat: str = "lat2", lon: str = "lon2", weighted: bool = False):
+             max_iter: int = MAX_ITER, seed: int = 42, lat: str = "lat2", lon: str = "lon2", weighted: bool = False,
+             journal: Ledger | None = None):
     """Fit every (k, restart) cell, average the cost per k, choose k by the elbow.
 
     Returns (model, elbow DataFrame, cost DataFrame).  The chosen model is the
@@ -144,10 +146,12 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     All cells run in one loop, one scan of the stored points an iteration.
     The cost of a cell is that of its final centres, for all cells in one more
     pass.  ``weighted`` reduces the points to distinct ones with their counts first: the same
-    seeds and, but for the order of sums, the same centres.
+    seeds and, but for the order of sums, the same centres.  ``journal`` keeps the centres of each pass over
+    the same points with the same parameters, for a search that begins again.
     """
     pts = stored(kmeans_points(points, lat, lon, weighted), "points")
-    fitted = lloyd.fit(pts, [(k, r) for k in ks for r in range(restarts)], seed, max_iter)
+    key = key_of(points=fingerprint(pts), ks=list(ks), restarts=restarts, max_iter=max_iter, seed=seed) if journal else ""
+    fitted = lloyd.fit(pts, [(k, r) for k in ks for r in range(restarts)], seed, max_iter, journal=journal, key=key)
     # Fewer different points than centres: what there is.  No point at all: no cost.
     sets = {cell: _model(c).centres for cell, c in fitted.items() if len(c)}
     costs = [tuple(c) for c in cost_table(pts, sets, "lat", "lon").collect()] if sets else []

@@ -294,11 +294,12 @@ class TreeModel:
         return TreeModel(json.loads(rows["features"].iloc[0]), trees)
 
 
-def numbered(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Features, label, ``is_train`` and a row number, stored once: draws of a row are the same in every pass."""
+def numbered(df: DataFrame, features: Sequence[str], label: str, path: str | None = None) -> DataFrame:
+    """Features, label, ``is_train`` and a row number, stored once (at ``path`` if given): draws of a row are the same
+    in every pass."""
     cols = [F.col(f).cast("double").alias(f) for f in features]
     return stored(df.select(*cols, F.col(label).cast("double").alias(label), "is_train",
-                            F.monotonically_increasing_id().alias(ROW)), "training-rows")
+                            F.monotonically_increasing_id().alias(ROW)), "training-rows", path)
 
 
 def _matrix(batch: pa.RecordBatch, features: int) -> np.ndarray:

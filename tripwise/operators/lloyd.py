@@ -102,12 +102,19 @@ def cluster_sums(points: DataFrame, cells: dict[Cell, np.ndarray]) -> DataFrame:
     return points.select("lat", "lon", "weight").mapInArrow(work, SUMS).groupBy("k", "restart", "cluster").agg(*sums)
 
 
-def fit(points: DataFrame, cells: Sequence[Cell], seed: int, max_iter: int, tol: float = TOL) -> dict[Cell, np.ndarray]:
-    """Settled centres of every cell (k, restart) over ``points`` (lat, lon, weight), which are read once a pass."""
-    begin = seeds(points, max(k for k, _ in cells), max(r for _, r in cells) + 1, seed)
-    now = {(k, r): begin[r][:k].copy() for k, r in cells}
-    live = {cell for cell in cells if len(now[cell])}
-    for _ in range(max_iter):
+def fit(points: DataFrame, cells: Sequence[Cell], seed: int, max_iter: int, tol: float = TOL, journal=None,
+        key: str = "") -> dict[Cell, np.ndarray]:
+    """Settled centres of every cell (k, restart) over ``points`` (lat, lon, weight), which are read once a pass.
+    With a ``journal`` (``Ledger``) each pass leaves its centres under ``key``, and a later call begins with them."""
+    kept = journal.get(key) if journal else None
+    if kept:
+        done, now = kept["done"], {(k, r): np.array(c, dtype=float).reshape(-1, 2) for k, r, c in kept["now"]}
+        live = {(k, r) for k, r in kept["live"]}
+    else:
+        begin = seeds(points, max(k for k, _ in cells), max(r for _, r in cells) + 1, seed)
+        done, now = 0, {(k, r): begin[r][:k].copy() for k, r in cells}
+        live = {cell for cell in cells if len(now[cell])}
+    for done in range(done + 1, max_iter + 1):
         if not live:
             break
         moved = {cell: now[cell].copy() for cell in live}
@@ -118,4 +125,6 @@ def fit(points: DataFrame, cells: Sequence[Cell], seed: int, max_iter: int, tol:
             now[cell] = centres
             if far <= tol * tol:
                 live.discard(cell)
+        if journal:
+            journal.put(key, dict(done=done, now=[(*cell, c.tolist()) for cell, c in now.items()], live=sorted(live)))
     return now

@@ -8,8 +8,10 @@ and depths, scored in one pass that yields train and test MSE together.
 from __future__ import annotations
 
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from threading import Lock
 from typing import Sequence
 
 import numpy as np
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from tripwise.operators import histogram_trees as ht
 from tripwise.operators.clustering import CentreModel
 from tripwise.operators.linear import LR_ITERATIONS, LR_STEPS, LinearModel, Moments, descend, moments_by
+from tripwise.sources.ledger import Ledger, key_of
 
 # Fixed values of the source's grids.
 DT_DEPTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16)
@@ -67,9 +70,14 @@ def grid_argmin(results: DataFrame, metric: str = "test_mse", order: str = "cell
 
 
 def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFrame | None, features: Sequence[str],
-                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4):
+                label: str = "dur", cells: list[dict] | None = None, seed: int = 42, parallelism: int = 4,
+                journal: Ledger | None = None):
     """Score every cell on both halves, choose by test MSE (``train`` and ``test``, or one frame with ``is_train``).
 
+    A ``journal`` keeps what is finished under the data and the parameters (of trees: the numbered rows, the thresholds,
+    and for each bin count the errors of its cells and its best model), so a search that begins again with the same ones
+    does the rest only.  The linear grid is one pass and begins anew.
+
     Returns (best model or None, results DataFrame, best cell dict or None).
     """
     algo = algo.lower()
@@ -77,35 +85,63 @@ def grid_search(spark: SparkSession, algo: str, train: DataFrame, test: DataFram
     both = flagged(train, test)
     if algo == "lr":
         return _grid_linear(spark, both, features, label, cells)
-    return _grid_trees(spark, algo, ht.numbered(both, features, label), features, label, cells, seed, parallelism)
+    path, key = journal and f"{journal.path}-rows-{uuid.uuid4().hex}", ""
+    rows = ht.numbered(both, features, label, path)
+    if journal is not None:
+        rows, key = journal.same_rows(rows, path, [*features, label, "is_train"])
+    return _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, journal, key)
 
 
-def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism):
+def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, journal=None, data=""):
     """One forest a bin count, as deep and with as many trees as its cells ask for; one pass scores them all."""
     groups: dict[int, list[int]] = {}
     for i, c in enumerate(cells):
         groups.setdefault(int(c["max_bins"]), []).append(i)
-    cuts = ht.thresholds(rows.where("is_train"), features, list(groups))
     size, depth = (lambda i: int(cells[i].get("num_trees", 1))), (lambda i: int(cells[i]["max_depth"]))
+    cuts = _kept_thresholds(rows, features, list(groups), journal, data)
 
     def run(item):
         bins, idxs = item
         sizes, depths = {size(i) for i in idxs}, {depth(i) for i in idxs}
+        key = key_of(data=data, features=list(features), label=label, seed=seed, bins=bins, all_bins=sorted(groups),
+                     cells=[(size(i), depth(i)) for i in idxs])
+        if journal is not None and (kept := journal.get(key)):
+            scored = dict(zip(idxs, map(tuple, kept["scored"])))
+            return scored, (scored[idxs[kept["best"]]][1], idxs[kept["best"]], kept["model"]) if kept["model"] else None
         trees = [0] * (1 in sizes) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
         forest = ht.fit(rows, features, label, trees, max(depths), cuts[bins], seed)
         mse = ht.errors(rows, forest, label, sizes, depths)
         scored = {i: mse[size(i), depth(i)] for i in idxs}
         fine = [(tem, i) for i, (_, tem) in scored.items() if not math.isnan(tem)]
-        # Of each bin count only the best cell's trees stay on the driver.
-        return scored, (*min(fine), forest.model(size(min(fine)[1]), depth(min(fine)[1]))) if fine else None
-
+        # Of each bin count only the best cell's trees stay on the driver (with a journal: its path).
+        best = (*min(fine), forest.model(size(min(fine)[1]), depth(min(fine)[1]))) if fine else None
+        if journal is not None:
+            path = save_model(spark, best[2], f"{journal.path}-model-{key[:16]}") if best else None
+            with lock:
+                journal.put(key, dict(scored=[scored[i] for i in idxs], best=best and idxs.index(best[1]), model=path))
+            best = best and (*best[:2], path)
+        return scored, best
+
+    lock = Lock()
     workers = max(1, parallelism) if all(size(i) == 1 for i in range(len(cells))) else 1  # a forest keeps all tasks busy
     with ThreadPoolExecutor(max_workers=workers) as pool:
         parts = list(pool.map(run, list(groups.items())))
     scored = {i: mse for part, _ in parts for i, mse in part.items()}
     out = [(i, algo, c.get("num_trees"), int(c["max_depth"]), int(c["max_bins"]), None, None, *scored[i])
            for i, c in enumerate(cells)]
-    return _choose(spark, out, {best[1]: best[2] for _, best in parts if best}, cells)
+    best, results, cell = _choose(spark, out, {best[1]: best[2] for _, best in parts if best}, cells)
+    return load_model(spark, best, algo) if isinstance(best, str) else best, results, cell
+
+
+def _kept_thresholds(rows, features, bins, journal, data):
+    """Thresholds of all bin counts.  A journal keeps them: sketches of a second run need not be equal to the bit."""
+    key = key_of(data=data, features=list(features), thresholds=sorted(bins))
+    if journal is None or (kept := journal.get(key)) is None:
+        cuts = ht.thresholds(rows.where("is_train"), features, bins)
+        if journal is not None:
+            journal.put(key, {str(b): [c.tolist() for c in of] for b, of in cuts.items()})
+        return cuts
+    return {int(b): [np.array(c, float) for c in of] for b, of in kept.items()}
 
 
 def _grid_linear(spark, both, features, label, cells):

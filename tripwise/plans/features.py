@@ -36,8 +36,8 @@ def feature_names(dataset: str) -> list[str]:
 
 
 def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
-                    labelled: bool = True) -> DataFrame:
-    """Feature rows before any duration or speed filter."""
+                    labelled: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """Feature rows before any duration or speed filter; ``carry`` names further trip columns to keep."""
     feats = feature_names(dataset)
     t = trips
     if "tm" not in t.columns:
@@ -54,18 +54,15 @@ def joined_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Cent
           .withColumn("dist", chord_distance(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")))
           .withColumn("weekday", weekday_flag(dt))
           .withColumn("peak", peak_flag(dt, F.col("tm"))))
-    cols = (["trip_id"] if "trip_id" in j.columns else []) + ([LABEL] if labelled else []) + feats
+    cols = (["trip_id"] if "trip_id" in j.columns else []) + list(carry) + ([LABEL] if labelled else []) + feats
     return j.select(*cols)
 
 
 def build_features(trips: DataFrame, weather: DataFrame, centres: Sequence[Centre], dataset: str,
-                   labelled: bool = True, persist_joined: bool = False) -> DataFrame:
+                   labelled: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """The model input: labelled rows are bounded (120..3600 s, closed) and
     speed outliers removed; unlabelled rows are only joined and projected."""
-    j = joined_features(trips, weather, centres, dataset, labelled)
+    j = joined_features(trips, weather, centres, dataset, labelled, carry)
     if not labelled:
         return j
-    j = duration_closed(j, LABEL)
-    if persist_joined:
-        j = j.persist()
-    return speed_3sigma(j, "dist", LABEL)
+    return speed_3sigma(duration_closed(j, LABEL), "dist", LABEL)

@@ -2,15 +2,21 @@
 
 run(spark, weather, trips, model_dir, kmeans_dir, dataset, algo, mode):
 
-* training:   choose k and fit location clusters on the trips' END points,
-              save them; build labelled features (bounded, outliers removed);
-              split; grid-search the algorithm; save the best model.
-* test:       load clusters and model; score every labelled row; write
+* training:   choose k and fit location clusters on the trips' END points;
+              build labelled features (bounded, outliers removed); split;
+              grid-search the algorithm; publish clusters, best model and
+              split as one version (``bundle``).
+* test:       load the published version; score every labelled row; write
               features + prediction + residual to ``<model_dir>_out_test``;
               report the all-rows MSE and the held-out MSE separately.
-* prediction: load clusters and model; score unlabelled rows; write to
+* prediction: load the published version; score unlabelled rows; write to
               ``<model_dir>_out_prediction``.
 
+Output is partitioned by day (``dt``); with ``replace="days"`` a run overwrites
+the days it has rows of and leaves the others.  (The speed bounds of a test run are
+those of the trips it is given.)  With ``journal_dir`` a training
+that lost its driver goes on where it stopped.
+
 One feature definition serves all three modes, so training and serving agree.
 """
 
@@ -18,14 +24,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.operators import clustering, models, scoring, splits
 from tripwise.operators.outliers import duration_closed, speed_3sigma
+from tripwise.plans import bundle
 from tripwise.plans.features import LABEL, build_features, feature_names, joined_features
 from tripwise.session import stored
 from tripwise.sources import readers, writers
+from tripwise.sources.ledger import Ledger
 
 DATASETS = ("taxi", "bike")
 ALGOS = ("dt", "rf", "lr")
@@ -44,6 +52,8 @@ class RunOptions:
     parallelism: int = 8
     kmeans_weighted: bool = False            # reduce the points to distinct ones with counts first
     output_format: str = "parquet"
+    replace: str = "all"                     # what scored output a run overwrites: "all", or its "days" only
+    journal_dir: str | None = None           # finished parts of the searches are kept there, for a resumed training
     rejects_dir: str | None = None           # where rejected trip lines go, with their reasons
 
 
@@ -80,20 +90,6 @@ def held_out(opts: RunOptions):
     return splits.hash_fraction(F.col("trip_id"), opts.seed) >= F.lit(opts.train_fraction)
 
 
-SPLIT = "split string, seed long, train_fraction double"
-
-
-def save_split(spark: SparkSession, opts: RunOptions, model_dir: str) -> None:
-    """Keep how a model's training rows were chosen beside it."""
-    row = (opts.split, opts.seed, float(opts.train_fraction))
-    spark.createDataFrame([row], SPLIT).coalesce(1).write.mode("overwrite").json(model_dir.rstrip("/") + "_split")
-
-
-def load_split(spark: SparkSession, opts: RunOptions, model_dir: str) -> RunOptions:
-    r = spark.read.schema(SPLIT).json(model_dir.rstrip("/") + "_split").first()
-    return replace(opts, split=r["split"], seed=r["seed"], train_fraction=r["train_fraction"])
-
-
 def split_frame(df: DataFrame, opts: RunOptions) -> DataFrame:
     """``df`` with ``is_train``: one frame, computed once."""
     if opts.split == "random":
@@ -101,10 +97,10 @@ def split_frame(df: DataFrame, opts: RunOptions) -> DataFrame:
     return df.withColumn("is_train", ~held_out(opts))
 
 
-def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: str) -> DataFrame:
+def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: str, carry=()) -> DataFrame:
     """Bounded, outlier-free feature rows from ONE read of the trips: the bounded join is stored once, and
     the speed statistics and the filtered rows both come from there."""
-    joined = duration_closed(joined_features(trips, weather, centres, dataset, labelled=True), LABEL)
+    joined = duration_closed(joined_features(trips, weather, centres, dataset, labelled=True, carry=carry), LABEL)
     return speed_3sigma(stored(joined, "features"), "dist", LABEL)
 
 
@@ -120,43 +116,37 @@ def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, da
         rejects["weather"] = _counts(readers.weather_lines(spark, weather))
     try:
         if mode == "training":
+            journal = Ledger(spark, opts.journal_dir) if opts.journal_dir else None
             km, elbow, _ = clustering.select_k(spark, t, opts.k_grid, opts.restarts, opts.kmeans_iter,
-                                               opts.seed, weighted=opts.kmeans_weighted)
-            models.save_model(spark, km, kmeans_dir)
+                                               opts.seed, weighted=opts.kmeans_weighted, journal=journal)
             both = split_frame(labelled_features(t, w, clustering.centres_of(km), dataset), opts)
             best, results, cell = models.grid_search(spark, algo, both, None, feats, LABEL, opts.cells,
-                                                     opts.seed, opts.parallelism)
+                                                     opts.seed, opts.parallelism, journal)
             if best is None:
                 raise RuntimeError("no model was chosen: every grid cell has an undefined test MSE")
-            models.save_model(spark, best, model_dir)
-            save_split(spark, opts, model_dir)
-            return dict(mode=mode, rejects=rejects, k=len(clustering.centres_of(km)), best_cell=cell,
+            how = dict(split=opts.split, seed=opts.seed, train_fraction=float(opts.train_fraction))
+            version = bundle.publish(spark, model_dir, kmeans_dir, algo, km, best, how)
+            return dict(mode=mode, rejects=rejects, version=version, k=len(clustering.centres_of(km)), best_cell=cell,
                         results=results.orderBy("cell").collect(), elbow=elbow.collect())
-        km = models.load_model(spark, kmeans_dir, "km")
-        model = models.load_model(spark, model_dir, algo)
+        trained = bundle.current(spark, model_dir, kmeans_dir, algo)
+        centres, more = clustering.centres_of(trained.clusters), {}
+        if mode == "test":
+            opts = replace(opts, **trained.split)
+            scored = scoring.score_labelled(trained.model, labelled_features(t, w, centres, dataset, ["dt"]), feats, LABEL)
+            # Both errors are metrics of the write.  A random split cannot be told from a row, so its held-out
+            # error is known from training only.
+            obs = Observation("mse")
+            se = F.pow(F.col(LABEL) - F.col("prediction"), 2)
+            held = F.when(held_out(opts), se) if opts.split == "hash" else F.lit(None).cast("double")
+            scored = scored.observe(obs, F.avg(se).alias("mse"), F.avg(held).alias("mse_held_out"))
+        else:
+            data = build_features(t, w, centres, dataset, labelled=False, carry=["dt"])
+            scored = scoring.score_unlabelled(trained.model, data, feats)
+        out = writers.write_scored(scored, f"{model_dir.rstrip('/')}_out_{mode}", opts.output_format,
+                                   partition_by=["dt"], replace=opts.replace)
         if mode == "test":
-            opts = load_split(spark, opts, model_dir)
-            # One read of the trips (bounded join cached for the statistics),
-            # scores written once, both MSEs collected as metrics of that write.
-            from pyspark.sql import Observation
-            joined = duration_closed(joined_features(t, w, clustering.centres_of(km), dataset, labelled=True),
-                                     LABEL).persist()
-            try:
-                scored = scoring.score_labelled(model, speed_3sigma(joined, "dist", LABEL), feats, LABEL)
-                obs = Observation("mse")
-                se = F.pow(F.col(LABEL) - F.col("prediction"), 2)
-                # A random split cannot be told from a row, so its held-out error is known from training only.
-                held = F.when(held_out(opts), se) if opts.split == "hash" else F.lit(None).cast("double")
-                scored = scored.observe(obs, F.avg(se).alias("mse"), F.avg(held).alias("mse_held_out"))
-                out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_test", opts.output_format)
-                m = obs.get
-                return dict(mode=mode, rejects=rejects, path=out, mse_all=m["mse"], mse_held_out=m["mse_held_out"])
-            finally:
-                joined.unpersist()
-        data = build_features(t, w, clustering.centres_of(km), dataset, labelled=False)
-        scored = scoring.score_unlabelled(model, data, feats)
-        out = writers.write_scored(scored, model_dir.rstrip("/") + "_out_prediction", opts.output_format)
-        return dict(mode=mode, rejects=rejects, path=out)
+            more = dict(mse_all=obs.get["mse"], mse_held_out=obs.get["mse_held_out"])
+        return dict(mode=mode, rejects=rejects, version=trained.version, path=out, schema=scored.schema, **more)
     finally:
         w.unpersist()
 
@@ -176,7 +166,7 @@ def main(argv: list[str]) -> int:
     spark = get_session()
     res = run(spark, argv[0], argv[1], argv[2], argv[3], argv[4], argv[5], argv[6])
     for k, v in res.items():
-        if k not in ("results", "elbow"):
+        if k not in ("results", "elbow", "schema"):
             print(f"{k}: {v}")
     return 0
 

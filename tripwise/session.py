@@ -65,9 +65,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tripwise/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df, name: str):
-    """``df`` written once below the checkpoint folder and read back from there: one copy, no cache.
+def stored(df, name: str, path: str | None = None):
+    """``df`` written once below the checkpoint folder (or at ``path``) and read back from there: one copy, no cache.
     Later jobs (a long grid search) read it, so a lost executor costs a re-read, not a re-run of the plan."""
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
