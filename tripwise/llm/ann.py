@@ -11,8 +11,10 @@ lower bound of the query.
 Plan.  Equal vectors are one entry that knows its k + 1 smallest ids (nobody can need more), found
 with a row limit inside the window, so a vector with a third of all rows shrinks before the
 shuffle.  Entries and queries are dealt into blocks by hash; the grid of (query block, entry block)
-is a co-group, so a task holds one block of each, whatever the sizes.  The first pass sends k + 1
-lower bounds a query and block, the second the best k + 1 exact scores; pairs are never rows.
+is a co-group of codes, so a task holds one block of each, whatever the sizes.  The first pass sends k + 1
+lower bounds a query and block, the second the entries of the block that a query has to see.  Only
+those entries' vectors are then brought to the query block, each once, for the exact scores: vectors move with what the bounds
+leave, codes (a bit a dimension) with the grid.
 
 Defined cases: vectors that are null, zero, or hold nulls or non-finite numbers, and rows without an id
 take no part, neither as queries; vectors are compared with those of the same length, each length in blocks of its
@@ -134,29 +136,54 @@ def search(df: DataFrame, is_query: Column, k: int = K, bits: int = BITS, epsilo
     least = F.get(F.sort_array(F.flatten(F.collect_list("low")), False), F.lit(top - 1))
     need = lows.groupBy("query").agg(F.coalesce(least, F.lit(-3.0).cast("float")).alias("need"))
 
-    def rerank(q: pa.Table, e: pa.Table) -> pa.Table:
-        who, what, score = [], [], []
+    def sift(q: pa.Table, e: pa.Table) -> pa.Table:
+        near, many_at = [], [0]
         if q.num_rows and e.num_rows:
             dim = q["dim"][0].as_py()
             turn = rotation(dim, bits)
             x, signs, f = _matrix(q["vec"], dim), _signs(e["code"], len(turn)), e["f"].to_numpy()
-            least = e["least"].to_numpy()
-            y, ids, names, needs = _matrix(e["vec"], dim), e["entry"].to_numpy(), q["query"].to_numpy(), q["need"].to_numpy()
-            xn, yn = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", y, y))
+            ids, needs = e["entry"].to_numpy(), q["need"].to_numpy()
             for at in range(0, len(x), TILE):
                 _, high = bounds(x[at:at + TILE], signs, f, turn, epsilon)
-                for i, near in enumerate(high >= needs[at:at + TILE, None], at):
-                    near = np.flatnonzero(near)
-                    s = np.einsum("ij,j->i", y[near], x[i]) / (yn[near] * xn[i])
-                    best = np.lexsort((least[near], -s))[:top]
-                    who.append(np.full(len(best), names[i]))
-                    what += [ids[near][best], least[near][best]]
-                    score.append(s[best])
+                for some in high >= needs[at:at + TILE, None]:
+                    near.append(ids[some])
+                    many_at.append(many_at[-1] + int(some.sum()))
+        else:
+            q = q.slice(0, 0)
+        flat = pa.array(np.concatenate(near) if near else [], pa.int64())
+        out = pa.table({"dim": q["dim"], "qb": q["qb"], "eb": q["eb"], "query": q["query"], "vec": q["vec"],
+                        "near": pa.ListArray.from_arrays(pa.array(many_at, pa.int32()), flat)})
+        return out.filter(np.diff(many_at) > 0)
+
+    seen = grid(queries.join(need, "query"), entries.select("entry", "dim", "code", "f")) \
+        .applyInArrow(sift, "dim int, qb long, eb long, query long, vec array<double>, near array<long>")
+    seen = written(seen, "candidates")
+    block = ["dim", "qb", "eb"]
+    # Names of its own: both sides of the last grid come from ``seen``.
+    shown = seen.select(*[F.col(c).alias(f"{c}_") for c in block], F.explode("near").alias("entry")).distinct() \
+        .join(entries.select("entry", "least", "vec"), "entry")
+
+    def rerank(q: pa.Table, e: pa.Table) -> pa.Table:
+        who, what, score = [], [], []
+        if q.num_rows:
+            dim = q["dim"][0].as_py()
+            e = e.sort_by("entry")
+            least, ids, names = e["least"].to_numpy(), e["entry"].to_numpy(), q["query"].to_numpy()
+            x, y = _matrix(q["vec"], dim), _matrix(e["vec"], dim)
+            xn, yn = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", y, y))
+            near_of = q["near"].combine_chunks()
+            for i in range(len(x)):
+                near = np.searchsorted(ids, near_of[i].values.to_numpy())
+                s = np.einsum("ij,j->i", y[near], x[i]) / (yn[near] * xn[i])
+                best = np.lexsort((least[near], -s))[:top]
+                who.append(np.full(len(best), names[i]))
+                what += [ids[near][best], least[near][best]]
+                score.append(s[best])
         cat = lambda parts, t: pa.array(np.concatenate(parts) if parts else [], t)
         return pa.table({"query": cat(who, pa.int64()), "entry": cat(what[0::2], pa.int64()), "least": cat(what[1::2], pa.int64()),
                          "score": cat(score, pa.float64())})
 
-    near = grid(queries.join(need, "query"), entries.select("entry", "least", "dim", "vec", "code", "f")) \
+    near = seen.groupBy(*block).cogroup(shown.groupBy(*[f"{c}_" for c in block])) \
         .applyInArrow(rerank, "query long, entry long, least long, score double")
     by_query = W.partitionBy("query").orderBy(F.desc("score"), "least", "entry")
     near = near.withColumn("n", F.row_number().over(by_query)).filter(F.col("n") <= top)
