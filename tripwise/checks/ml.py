@@ -239,11 +239,54 @@ def q_fit_rf(spark, sf_dir):
     return scoring.score_labelled(m, test, BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
 
 
-@register("fit_lr")
+#: Weights beyond this size only grow: the SQL stops there, before squares overflow.
+RUNAWAY = 1e140
+#: A cell with a larger error, or none, is reported as infinite.
+DIVERGED = 1e15
+
+
+def _descent_sql(steps, most: int, body: str) -> str:
+    """``body`` over the descent ``it`` (step, t, w, ends): one row an iteration and step size, from the moments ``m`` of both
+    halves (is_train, n, g, b, yy) over the bike feature rows ``x`` (trip_id, dur, x, is_train)."""
+    js = range(1, len(BIKE_FEATURES) + 1)
+    xs = ", ".join(f"cast({f} as double)" for f in BIKE_FEATURES)
+    gram = ", ".join("[" + ", ".join(f"sum(x[{i}]*x[{j}])" for j in js) + "]" for i in js)
+    turn = ", ".join(f"w[{j}] - step/sqrt(t + 1e0) * (list_dot_product(g[{j}], w) - b[{j}])/n" for j in js)
+    norm = lambda v: f"sqrt(list_dot_product({v}, {v}))"
+    apart = "sqrt(" + " + ".join(f"(nw[{j}] - w[{j}])*(nw[{j}] - w[{j}])" for j in js) + ")"
+    size = "greatest(" + ", ".join(f"abs(nw[{j}])" for j in js) + ")"
+    return bike_sql(body, extra={
+        "x": f"select trip_id, dur, [{xs}] as x, {splits.hash_fraction_sql('trip_id', SEED)} < 0.7 as is_train from f",
+        "m": f"""select is_train, count(*) as n, [{gram}] as g, [{', '.join(f'sum(dur*x[{j}])' for j in js)}] as b,
+ sum(dur*dur) as yy from x group by is_train""",
+        "it": f"""select step, 0 as t, [{', '.join('0e0' for _ in js)}] as w, false as ends
+  from (values {', '.join(f'({v!r}::double)' for v in steps)}) v(step)
+ union all select step, t + 1, nw, {size} > {RUNAWAY!r}
+  or (t > 0 and {apart} < {linear.CONVERGENCE_TOL!r} * greatest({norm('nw')}, 1e0))
+  from (select it.*, [{turn}] as nw from it, m where is_train and not ends and t < {most}) q"""
+    }).replace("with ", "with recursive ", 1)
+
+
+def _grid_lr_sql() -> str:
+    js = range(1, len(BIKE_FEATURES) + 1)
+    mse = f"(list_dot_product(w, [{', '.join(f'list_dot_product(g[{j}], w)' for j in js)}]) - 2*list_dot_product(w, b) + yy)/n"
+    cells = ", ".join(f"({i}, {c['iterations']}, {c['step']!r}::double)" for i, c in enumerate(models.default_cells("lr")))
+    shown = f"case when {mse} < {DIVERGED!r} then round({mse}, 2) else 'infinity'::double end"
+    return _descent_sql(linear.LR_STEPS, max(linear.LR_ITERATIONS), f"""select cell, iterations, step,
+ max({shown}) filter (is_train) as train_mse, max({shown}) filter (not is_train) as test_mse from (
+  select c.cell, c.iterations, c.step, it.w from (values {cells}) c(cell, iterations, step)
+  join it on it.step = c.step and it.t <= c.iterations qualify row_number() over (partition by c.cell order by it.t desc) = 1) q, m
+ group by cell, iterations, step""")
+
+
+@register("fit_lr", _descent_sql([1e-9], 100, """select trip_id, dur, round(list_dot_product(w, x), 4) as prediction,
+ round(dur - list_dot_product(w, x), 4) as residual from x, (select w from it order by t desc limit 1) last where not is_train"""))
 def q_fit_lr(spark, sf_dir):
+    """Held-out trips scored by a linear model of up to 100 steps."""
     train, test = _split(spark, sf_dir)
     m = linear.fit_linear_sgd(train, BIKE_FEATURES, LABEL, iterations=100, step=1e-9)
-    return scoring.score_labelled(m, test, BIKE_FEATURES).select("trip_id", "dur", "prediction", "residual")
+    return scoring.score_labelled(m, test, BIKE_FEATURES).select(
+        "trip_id", "dur", r("prediction", 4).alias("prediction"), r("residual", 4).alias("residual"))
 
 
 @register("grid_dt")
@@ -267,11 +310,12 @@ def q_grid_rf(spark, sf_dir):
     return results
 
 
-@register("grid_lr")
+@register("grid_lr", _grid_lr_sql())
 def q_grid_lr(spark, sf_dir):
-    """The full 30-cell linear grid: two aggregates (train, test) in all."""
+    """The full 30-cell linear grid: one aggregate for both halves.  Cells whose steps are too large diverge."""
     _, results, _ = models.grid_search(spark, "lr", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL)
-    return results
+    shown = lambda c: F.when(F.col(c) < DIVERGED, r(c, 2)).otherwise(float("inf")).alias(c)
+    return results.select("cell", "iterations", "step", shown("train_mse"), shown("test_mse"))
 
 
 def _differing(a, b, algo: str):
