@@ -148,6 +148,17 @@ def q_sample_rows(spark, sf_dir):
     return splits.sample_rows(sv.trips(events(spark, sf_dir)), 0.1, SEED)
 
 
+@register("sample_fits", with_views(["trips"], "select 0 as strangers, 0 as repeated, true as share_fits from trips limit 1"))
+def q_sample_fits(spark, sf_dir):
+    """The seeded sample has trips of the table only, none twice, and about a tenth of them."""
+    t = sv.trips(events(spark, sf_dir)).select("trip_id")
+    each = splits.sample_rows(t, 0.1, SEED).withColumn("a", F.lit(1)).withColumn("b", F.lit(0)) \
+        .union(t.withColumn("a", F.lit(0)).withColumn("b", F.lit(1))).groupBy("trip_id").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return each.agg(F.count_if(F.col("b") == 0).cast("int").alias("strangers"),
+                    F.count_if(F.col("a") > F.col("b")).cast("int").alias("repeated"),
+                    (F.abs(F.sum("a") / F.sum("b") - 0.1) < 0.05).alias("share_fits"))
+
+
 def lloyd_sql(ks, restarts: int, body: str, max_iter: int = clustering.MAX_ITER) -> str:
     """``body`` over the points ``pts`` and the settled centres ``settled`` (k, r, a1, b1, a2, b2, ...) of every cell.
 
@@ -404,6 +415,78 @@ def q_fit_dt_splits(spark, sf_dir):
     return spark.createDataFrame(out, "node int, feature string, threshold double, trips long")
 
 
+@register("fit_rf_trees", bike_sql(f"""select count(*) as held_out, 0 as not_the_mean, 0 as not_the_prefix
+ from f where {splits.hash_fraction_sql('trip_id', SEED)} >= 0.7"""))
+def q_fit_rf_trees(spark, sf_dir):
+    """A forest predicts the mean of its trees, and the forest of its first two trees is the one fitted with two."""
+    _, test = _split(spark, sf_dir)
+    rows = trees.numbered(_flagged(spark, sf_dir), BIKE_FEATURES, LABEL)  # draws belong to numbered rows
+    cuts = trees.thresholds(rows.where("is_train"), BIKE_FEATURES, [SPLIT_BINS])[SPLIT_BINS]
+    forest, two = (trees.fit(rows, BIKE_FEATURES, LABEL, range(1, n + 1), 4, cuts, SEED).model(n, 4) for n in (4, 2))
+    df = two.transform(forest.transform(test), "two")
+    for i, t in enumerate(forest.trees):
+        df = trees.TreeModel(BIKE_FEATURES, [t]).transform(df, f"tree_{i}")
+    mean = lambda n: sum((F.col(f"tree_{i}") for i in range(n)), F.lit(0.0)) / n
+    off = lambda a, b: F.count_if(F.abs(a - b) > 1e-9 * F.abs(b)).cast("int")
+    return df.agg(F.count("*").alias("held_out"), off(F.col("prediction"), mean(4)).alias("not_the_mean"),
+                  off(F.col("two"), mean(2)).alias("not_the_prefix"))
+
+
+SHALLOW = [dict(max_depth=d, max_bins=b) for d in (1, 2) for b in models.DT_BINS]
+
+
+def _shallow_grid_sql() -> str:
+    """Errors of the grid's trees cut at one and two levels, for all bin counts: thresholds by rank, splits from running sums."""
+    n = len(BIKE_FEATURES)
+    xs = ", ".join(f"cast({f} as double)" for f in BIKE_FEATURES)
+    bins = ", ".join(f"({b})" for b in models.DT_BINS)
+
+    def running(rows: str, by: str) -> str:
+        over = f"over (partition by {by} order by v)"
+        return f"select {by}, v, sum(c) {over} as nl, sum(s) {over} as sl from (select {by}, v, count(*)::double as c, sum(dur) as s from {rows} group by {by}, v) q"
+
+    def best(found: str, by: str) -> str:
+        return f"""select {by}, f, t from (select *, sl*sl/nl + (s - sl)*(s - sl)/(n - nl) - s*s/n as gain from ({found}) q
+  where nl > 0 and nl < n) q where gain > 1e-12 * greatest(1, s*s/n) qualify row_number() over (partition by {by} order by gain desc, f, t) = 1"""
+
+    def error(node: str, depth: int) -> str:
+        return f"""select b, {depth} as depth, is_train, avg((dur - mean)*(dur - mean)) as mse from leaf join
+  (select b, {node} as place, sum(dur)/count(*) as mean from leaf where is_train group by b, {node}) q using (b)
+  where place = {node} group by b, is_train"""
+
+    cells = ", ".join(f"({i}, {c['max_depth']}, {c['max_bins']})" for i, c in enumerate(SHALLOW))
+    return bike_sql(f"""select cell, max_depth, max_bins, max(round(mse, 2)) filter (is_train) as train_mse,
+ max(round(mse, 2)) filter (not is_train) as test_mse
+ from (values {cells}) c(cell, max_depth, max_bins) join ({error('node', 1)} union all {error('under', 2)}) e
+ on e.b = max_bins and e.depth = max_depth group by cell, max_depth, max_bins""", extra={
+        "bins": f"select b from (values {bins}) v(b)",
+        "x": f"select trip_id, dur, [{xs}] as x, {splits.hash_fraction_sql('trip_id', SEED)} < 0.7 as is_train from f",
+        "fr": f"select dur, unnest(x) as v, unnest(range({n})) as f from x where is_train",
+        "ranked": "select f, v, row_number() over (partition by f order by v) as rn, count(*) over (partition by f) as n from fr",
+        "cuts": """select distinct b, f, v as t from ranked join (select b, unnest(range(1, b)) as i from bins) i
+  on rn = ceil(i / b::double * n)""",
+        "sums": running("fr", "f"),
+        "root": best("""select c.b, c.f, c.t, nl, sl, w.n, w.s from cuts c join sums on sums.f = c.f and sums.v = c.t,
+   (select count(*)::double as n, sum(dur) as s from x where is_train) w""", "b"),
+        "side": """select x.*, bins.b, case when root.f is null then 1 when x.x[root.f + 1] <= root.t then 2 else 3 end as node
+  from x cross join bins left join root on root.b = bins.b""",
+        "below": f"select b, node, dur, unnest(x) as v, unnest(range({n})) as f from side where is_train and node > 1",
+        "sums_below": running("below", "b, node, f"),
+        "child": best("""select c.b, c.node, c.f, c.t, p.nl, p.sl, c.n, c.s from
+   (select cuts.b, w.node, cuts.f, cuts.t, w.n, w.s from cuts join (select b, node, count(*)::double as n, sum(dur) as s
+     from side where is_train group by b, node) w on w.b = cuts.b where w.node > 1) c
+   asof join sums_below p on p.b = c.b and p.node = c.node and p.f = c.f and c.t >= p.v""", "b, node"),
+        "leaf": """select side.b, dur, is_train, side.node, case when child.f is null then side.node when x[child.f + 1] <= child.t
+  then 2*side.node else 2*side.node + 1 end as under from side left join child on child.b = side.b and child.node = side.node"""})
+
+
+@register("grid_dt_shallow", _shallow_grid_sql())
+def q_grid_dt_shallow(spark, sf_dir):
+    """Errors on both halves of the tree grid's cells at depths one and two, all bin counts, against a search in SQL."""
+    _, results, _ = models.grid_search(spark, "dt", _flagged(spark, sf_dir), None, BIKE_FEATURES, LABEL, SHALLOW, SEED)
+    return results.select("cell", "max_depth", "max_bins", r("train_mse", 2).alias("train_mse"), r("test_mse", 2).alias("test_mse"))
+
+
 #: A printed tree over the bike features, and the same as SQL.
 PRINTED_TREE = """Tree of depth 3
   If (feature 10 <= 15000.0)
