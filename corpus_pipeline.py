@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwise.llm import packing, quality, secrets, simhash, toxicity
-from tripwise.llm.common import free_prefix, table, tokenizer_path, written
+from tripwise.llm.common import free_prefix, table, tokenizer_path
+from tripwise.session import scratch_path, scratch_space, stored
 
 #: SQL cannot express trained classifiers; the tests compare with a brute-force version.
 ORACLE_SQL = None
@@ -55,8 +56,10 @@ STAGES = [("toxicity", drop_toxic), ("quality", drop_low_quality), ("near_duplic
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table ``documents``."""
+    """All stages over the whole table ``documents``.  A stage's scratch tables go once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch_space(spark):
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}", path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,7 +31,7 @@ from tripwise.operators import clustering, models, scoring, splits
 from tripwise.operators.outliers import duration_closed, speed_3sigma
 from tripwise.plans import bundle
 from tripwise.plans.features import LABEL, build_features, feature_names, joined_features
-from tripwise.session import stored
+from tripwise.session import scratch_space, stored
 from tripwise.sources import readers, writers
 from tripwise.sources.ledger import Ledger
 
@@ -106,8 +106,14 @@ def labelled_features(trips: DataFrame, weather: DataFrame, centres, dataset: st
 
 def run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, dataset: str, algo: str,
         mode: str, opts: RunOptions | None = None) -> dict:
+    """One mode for one dataset and algorithm; what it returns are values and paths, so its scratch tables go with it."""
     dataset, algo, mode = _validate(dataset, algo, mode)
-    opts = opts or RunOptions()
+    with scratch_space(spark):
+        return _run(spark, weather, trips, model_dir, kmeans_dir, dataset, algo, mode, opts or RunOptions())
+
+
+def _run(spark: SparkSession, weather, trips, model_dir: str, kmeans_dir: str, dataset: str, algo: str, mode: str,
+         opts: RunOptions) -> dict:
     feats = feature_names(dataset)
     labelled = mode != "prediction"
     w = _frame(spark, weather, readers.read_weather).persist()

@@ -12,6 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -60,9 +63,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_space: ContextVar[str | None] = ContextVar("scratch_space", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tripwise/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the checkpoint folder, in the innermost open ``scratch_space``."""
+    below = _space.get() or f"{checkpoint_root(spark).rstrip('/')}/tripwise"
+    return f"{below}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables of the block go below one folder, which is deleted when the block ends or fails.
+
+    What outlives the block has to be written, to a path from outside it: a frame that still reads scratch tables
+    cannot be computed any more.  Spaces nest.  Without one, scratch is left to the cluster's own cleaning.
+    """
+    path = scratch_path(spark, "space")
+    outer = _space.set(path)
+    try:
+        yield path
+    finally:
+        _space.reset(outer)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df, name: str, path: str | None = None):
