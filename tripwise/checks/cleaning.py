@@ -53,9 +53,8 @@ def q_reject_malformed(spark, sf_dir):
 @register("f_unquote", with_views(BIKE_VIEWS, f"""select event_id, array_to_string(list_transform(f,
  lambda x: regexp_replace(regexp_replace(x, '^"', ''), '"$', '')), '|') as fields from ({split_sql()}) s"""))
 def q_f_unquote(spark, sf_dir):
-    from tripwise.functions import unquote_fields
     d = raw(spark, sf_dir).withColumn("f", cl.split_line(F.col("line")))
-    return d.select("event_id", F.concat_ws("|", unquote_fields(F.col("f"))).alias("fields"))
+    return d.select("event_id", F.concat_ws("|", F.transform("f", cl.unquote)).alias("fields"))
 
 
 @register("f_normalise_date", with_views(BIKE_VIEWS, f"""select a.event_id, a.dt as dt_iso_kept, b.dt as dt_strict
@@ -124,7 +123,7 @@ def green(spark, sf_dir):
 
 @register("trip_duration", with_views(TAXI_VIEWS, f"select event_id, Duration from ({PROJ}) p"))
 def q_trip_duration(spark, sf_dir):
-    return cl.trip_duration(yellow(spark, sf_dir), cl.YELLOW).select("event_id", "Duration")
+    return yellow(spark, sf_dir).select("event_id", cl.trip_duration(cl.YELLOW).alias("Duration"))
 
 
 @register("split_timestamp", with_views(TAXI_VIEWS, f"select event_id, pck_date, pck_hms from ({PROJ}) p"))
@@ -141,7 +140,6 @@ def q_project_taxi(spark, sf_dir):
 @register("duration_open", with_views(TAXI_VIEWS, f"select event_id, Duration from ({PROJ}) p "
                                                   "where Duration > 120 and Duration < 3600"))
 def q_duration_open(spark, sf_dir):
-    from tripwise.operators.outliers import duration_open
     p = cl.project_taxi(yellow(spark, sf_dir), cl.YELLOW, keep=("event_id",))
     return duration_open(p, "Duration").select("event_id", "Duration")
 

@@ -3,10 +3,10 @@
 from tripwise.functions.calendar import (day_fraction, day_fraction_of_time, day_of_year_fraction,
                                          peak_flag, weekday_flag)
 from tripwise.functions.geo import cartesian, chord_distance, speed
-from tripwise.functions.text import normalise_date, normalise_time, unquote_fields
+from tripwise.functions.text import normalise_date, normalise_time
 
 __all__ = [
     "day_fraction", "day_fraction_of_time", "day_of_year_fraction", "peak_flag", "weekday_flag",
     "cartesian", "chord_distance", "speed",
-    "normalise_date", "normalise_time", "unquote_fields",
+    "normalise_date", "normalise_time",
 ]

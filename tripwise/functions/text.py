@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def unquote_fields(arr: Column) -> Column:
-    """Strip one leading, then one trailing double quote from every field."""
-    return F.transform(arr, lambda x: F.regexp_replace(x, r'^"|"$', ""))
-
-
 def normalise_date(text: Column, keep_iso: bool) -> Column:
     """ISO ``yyyy-MM-dd`` text of a ``M/d/yyyy`` date.
 

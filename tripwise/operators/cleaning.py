@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwise.functions.text import normalise_date, normalise_time
+from tripwise.operators.outliers import duration_open
 
 BIKE_ARITY = 15
 # Positions in a raw bike line: duration, start time, start id, start lat, start lon,
@@ -150,11 +151,11 @@ def clean_bike(raw: DataFrame, profile: BikeProfile = BIKE_2016, line: str = "li
     return bike_bounds(validate_regex(bike_fields(raw, profile, line)))
 
 
-def clean_bike_years(raws: dict[str, DataFrame], profiles: dict[str, BikeProfile]) -> DataFrame:
-    """Clean each year with its own profile and union them by name."""
+def clean_bike_years(raws: dict[str, DataFrame], profiles: dict[str, BikeProfile], year_col: str = "_year") -> DataFrame:
+    """Clean each year with its own profile and union them by name; ``year_col`` tells the year."""
     out = None
     for year, raw in raws.items():
-        c = clean_bike(raw, profiles[year])
+        c = clean_bike(raw, profiles[year]).withColumn(year_col, F.lit(year))
         out = c if out is None else out.unionByName(c)
     return out
 
@@ -209,21 +210,19 @@ def _epoch(c: Column, pattern: str) -> Column:
     return F.unix_timestamp(F.try_to_timestamp(c, F.lit(pattern)) if pattern else F.try_to_timestamp(c))
 
 
-def trip_duration(df: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
-    """Duration = dropoff - pickup in seconds (text parsed with the source pattern)."""
-    return df.withColumn("Duration", _epoch(F.col(spec.dropoff), spec.ts_pattern)
-                         - _epoch(F.col(spec.pickup), spec.ts_pattern))
+def trip_duration(spec: TaxiSpec = YELLOW) -> Column:
+    """Dropoff - pickup in seconds (text parsed with the source pattern)."""
+    return _epoch(F.col(spec.dropoff), spec.ts_pattern) - _epoch(F.col(spec.pickup), spec.ts_pattern)
 
 
 def project_taxi(df: DataFrame, spec: TaxiSpec = YELLOW, keep: tuple[str, ...] = ()) -> DataFrame:
     """Pick and rename: pickup date and time of day, duration, coordinates,
     passengers and distance (under the yellow names)."""
     pck = _epoch(F.col(spec.pickup), spec.ts_pattern)
-    drp = _epoch(F.col(spec.dropoff), spec.ts_pattern)
     return df.select(*keep,
                      F.from_unixtime(pck, "yyyy-MM-dd").alias("pck_date"),
                      F.from_unixtime(pck, "HH:mm:ss").alias("pck_hms"),
-                     (drp - pck).alias("Duration"),
+                     trip_duration(spec).alias("Duration"),
                      F.col(spec.pickup_lat).alias("pickup_latitude"),
                      F.col(spec.pickup_lon).alias("pickup_longitude"),
                      F.col(spec.dropoff_lat).alias("dropoff_latitude"),
@@ -263,12 +262,8 @@ def bounding_box(df: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
     return df.where(_in_box(spec.lon_box, spec.lat_box))
 
 
-def duration_open_condition() -> Column:
-    return (F.col("Duration") > F.lit(120)) & (F.col("Duration") < F.lit(3600))
-
-
 def clean_taxi(raw: DataFrame, spec: TaxiSpec = YELLOW, keep: tuple[str, ...] = ()) -> DataFrame:
-    p = project_taxi(raw, spec, keep).where(duration_open_condition())
+    p = duration_open(project_taxi(raw, spec, keep))
     return bounding_box(coords_not_null(p), spec)
 
 
@@ -285,4 +280,4 @@ def step_count_exprs(spec: TaxiSpec = YELLOW) -> list[Column]:
 
 def cleaning_counts(raw: DataFrame, spec: TaxiSpec = YELLOW) -> DataFrame:
     """The three step counts of the taxi job (after duration, non-null, box) in one pass."""
-    return project_taxi(raw, spec).where(duration_open_condition()).agg(*step_count_exprs(spec))
+    return duration_open(project_taxi(raw, spec)).agg(*step_count_exprs(spec))

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.operators import cleaning as cl
+from tripwise.operators.outliers import duration_open
 from tripwise.sources import readers, writers
 
 BIKE_PROFILES = {"2015": cl.BIKE_2015, "2016": cl.BIKE_2016}
@@ -25,10 +26,7 @@ def clean_bike_job(spark: SparkSession, year_dirs: dict[str, str], out_dir: str,
                    profiles: dict[str, cl.BikeProfile] | None = None) -> dict:
     from pyspark.sql import Observation
     profiles = profiles or BIKE_PROFILES
-    allc = None
-    for year, path in year_dirs.items():
-        c = cl.clean_bike(readers.read_lines(spark, path), profiles[year]).withColumn("_year", F.lit(year))
-        allc = c if allc is None else allc.unionByName(c)
+    allc = cl.clean_bike_years({y: readers.read_lines(spark, path) for y, path in year_dirs.items()}, profiles)
     obs = Observation("bike_counts")
     observed = allc.observe(obs, *[F.count_if(F.col("_year") == F.lit(y)).alias(y) for y in year_dirs])
     writers.write_lines(observed, out_dir, cl.BIKE_OUT)
@@ -43,7 +41,7 @@ def clean_taxi_job(spark: SparkSession, pattern: str, out_dir: str, spec: cl.Tax
     p = cl.project_taxi(raw, spec, keep=("malformed",))
     p = p.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("malformed").alias("malformed"),
                   F.count_if(F.col("Duration").isNull()).alias("no_time"))
-    p = (p.where(~F.col("malformed")) if spec.drop_malformed else p).drop("malformed").where(cl.duration_open_condition())
+    p = duration_open((p.where(~F.col("malformed")) if spec.drop_malformed else p).drop("malformed"))
     p = p.observe(obs, *cl.step_count_exprs(spec))
     writers.write_csv(cl.bounding_box(cl.coords_not_null(p), spec), out_dir, header=False)
     return dict(path=out_dir, **{k: int(v) for o in (seen, obs) for k, v in o.get.items()})
