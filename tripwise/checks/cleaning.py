@@ -61,13 +61,11 @@ def q_f_unquote(spark, sf_dir):
 @register("f_normalise_date", with_views(BIKE_VIEWS, f"""select a.event_id, a.dt as dt_iso_kept, b.dt as dt_strict
  from ({FIELDS16}) a join ({bike_fields_sql(cl.BIKE_2016.header_prefixes, False)}) b on a.event_id = b.event_id"""))
 def q_f_normalise_date(spark, sf_dir):
-    from tripwise.functions import normalise_date
-    d = cl.drop_headers(raw(spark, sf_dir), "line", cl.BIKE_2016.header_prefixes)
-    d = cl.reject_malformed(d.withColumn("f", cl.split_line(F.col("line"))))
-    from tripwise.functions import unquote_fields
-    start = F.split(F.get(unquote_fields(F.col("f")), 1), " ")
-    return d.select("event_id", normalise_date(F.get(start, 0), True).alias("dt_iso_kept"),
-                    normalise_date(F.get(start, 0), False).alias("dt_strict"))
+    """Dates under both rules, joined on event_id as in the SQL: a repeated key pairs all its rows, a null key none."""
+    rb = raw(spark, sf_dir)
+    strict = cl.BikeProfile(cl.BIKE_2016.header_prefixes, keep_iso_dates=False)
+    kept = cl.bike_fields(rb, cl.BIKE_2016).select("event_id", F.col("dt").alias("dt_iso_kept"))
+    return kept.join(cl.bike_fields(rb, strict).select("event_id", F.col("dt").alias("dt_strict")), "event_id")
 
 
 @register("f_normalise_time", with_views(BIKE_VIEWS, f"select event_id, time from ({FIELDS16}) f"))
