@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwise.operators import lloyd
-from tripwise.session import stored
+from tripwise.session import spread, stored
 from tripwise.sources.ledger import Ledger, fingerprint, key_of
 
 Centre = tuple[float, float]
@@ -124,7 +124,7 @@ class CentreModel:
 def fit_kmeans(points: DataFrame, k: int, seed: int, max_iter: int = MAX_ITER,
                lat: str = "lat2", lon: str = "lon2", weighted: bool = False) -> CentreModel:
     """One fit: seeds in stored hash order, Euclidean distance, at most ``max_iter`` iterations (``lloyd``)."""
-    pts = stored(kmeans_points(points, lat, lon, weighted), "points")
+    pts = stored(spread(kmeans_points(points, lat, lon, weighted)), "points")
     return _model(lloyd.fit(pts, [(k, 0)], seed, max_iter)[k, 0])
 
 
@@ -149,7 +149,7 @@ def select_k(spark: SparkSession, points: DataFrame, ks: Sequence[int] = K_GRID,
     seeds and, but for the order of sums, the same centres.  ``journal`` keeps the centres of each pass over
     the same points with the same parameters, for a search that begins again.
     """
-    pts = stored(kmeans_points(points, lat, lon, weighted), "points")
+    pts = stored(spread(kmeans_points(points, lat, lon, weighted)), "points")
     key = key_of(points=fingerprint(pts), ks=list(ks), restarts=restarts, max_iter=max_iter, seed=seed) if journal else ""
     fitted = lloyd.fit(pts, [(k, r) for k in ks for r in range(restarts)], seed, max_iter, journal=journal, key=key)
     # Fewer different points than centres: what there is.  No point at all: no cost.

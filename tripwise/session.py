@@ -17,6 +17,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, app: str = "tripwise", shuffle_partitions: int | None = None,
@@ -89,6 +90,12 @@ def scratch_space(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def spread(df, *by):
+    """Rows dealt over all cores, by ``by`` or one by one.  Small files and row groups read back as few tasks, however much
+    is computed on each row; two tasks a core are two files a core when they are stored."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, *(by or [F.monotonically_increasing_id()]))
+
+
 def stored(df, name: str, path: str | None = None):
     """``df`` written once below the checkpoint folder (or at ``path``) and read back from there: one copy, no cache.
     Later jobs (a long grid search) read it, so a lost executor costs a re-read, not a re-run of the plan."""
