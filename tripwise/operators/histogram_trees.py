@@ -268,12 +268,10 @@ class TreeModel:
     def predict_col(self, spark: SparkSession) -> Column:
         shared = spark.sparkContext.broadcast(self.trees)
 
-        @F.pandas_udf("double")
-        def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            trees = shared.value
-            for batch in batches:
-                x = np.column_stack([c.to_numpy(float) for c in batch])
-                yield pd.Series(sum(t.value[t.leaves(x)] for t in trees) / len(trees))
+        @F.pandas_udf("double")  # not of iterators: several models in one projection share a worker
+        def score(*batch: pd.Series) -> pd.Series:
+            trees, x = shared.value, np.column_stack([c.to_numpy(float) for c in batch])
+            return pd.Series(sum(t.value[t.leaves(x)] for t in trees) / len(trees))
 
         return score(*[F.col(f).cast("double") for f in self.features])
 
