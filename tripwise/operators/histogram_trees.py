@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.session import stored
+from tripwise.session import spread, stored
 
 LOCAL = 200_000              # rows of a node that is finished in one task
 HISTOGRAMS = 64 << 20        # bytes of histograms a task holds in one pass
 SLOTS = 1 << 21              # histogram cells searched at once
+SENT = 16 << 20              # bytes of packed rows that a task sends at once
 ACCURACY = 100_000           # of the quantile sketches: ranks are off by a hundred-thousandth of the rows at most
 ROW = "__row"
 
@@ -88,6 +89,31 @@ def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint16)
 
 
+def ranked(rows: DataFrame, features: Sequence[str], label: str, cuts: dict[int, list[np.ndarray]]) -> DataFrame:
+    """Training rows (of ``numbered``) for ``fit``, stored once for all bin counts and passes: each row's bins among the
+    thresholds of all bin counts together (``ranks``, 16 bits a feature), label and row number."""
+    m, every = len(features), every_threshold(cuts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranks = _bins(_matrix(batch, m), every) if batch.num_rows else np.empty((0, m), np.uint16)
+            ranks = pa.Array.from_buffers(pa.binary(2 * m), len(ranks), [None, pa.py_buffer(ranks.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([ranks, batch.column(m), batch.column(m + 1)], ["ranks", label, ROW])
+
+    train = rows.where("is_train").select(*features, label, ROW)
+    return stored(spread(train.mapInArrow(work, f"ranks binary, `{label}` double, `{ROW}` long"), ROW), "ranked-rows")
+
+
+def every_threshold(cuts: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
+    """Thresholds of each feature, of all bin counts together."""
+    return [np.unique(np.concatenate(of)) for of in zip(*cuts.values())]
+
+
+def _tables(cuts: list[np.ndarray], every: list[np.ndarray]) -> list[np.ndarray]:
+    """The bin among ``cuts`` of each rank among ``every``: how many of the cuts are among the first so many."""
+    return [np.concatenate([[0], np.cumsum(np.isin(e, c))]).astype(np.uint16) for c, e in zip(cuts, every)]
+
+
 def _scan(n: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best fall of squared error and its bin for every row of histograms (nodes x bins)."""
     left_n, left_s = np.cumsum(n, axis=1), np.cumsum(s, axis=1)
@@ -105,28 +131,33 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, root: int, max_depth: i
     """Nodes (number, weight, label sum, feature or -1, bin) of the subtree below ``root`` over the given rows."""
     out: list[tuple[int, float, float, int, int]] = []
     nodes, slot = np.array([root]), np.zeros(len(y), np.int64)
+    wy, m = w * y, bins.shape[1]
     for depth in range(root.bit_length() - 1, max_depth + 1):
-        n, s = np.bincount(slot, w, len(nodes)), np.bincount(slot, w * y, len(nodes))
+        n, s = np.bincount(slot, w, len(nodes)), np.bincount(slot, wy, len(nodes))
         best, feature, cut = np.zeros(len(nodes)), np.full(len(nodes), -1), np.zeros(len(nodes), np.int64)
         if depth < max_depth:
-            may = allowed(tree, nodes, bins.shape[1], seed)
+            may = allowed(tree, nodes, m, seed)
+            which = np.nonzero(may)[1].reshape(len(nodes), -1)  # as many features in each node, in ascending order
+            flat, start = bins.ravel(), np.arange(len(slot)) * m
             for a in range(0, len(nodes), max(1, SLOTS // width)):
                 b = min(len(nodes), a + max(1, SLOTS // width))
-                inside = np.flatnonzero((slot >= a) & (slot < b)) if b - a < len(nodes) else np.arange(len(slot))
-                for f in range(bins.shape[1]):
-                    rows = inside[may[slot[inside], f]]
-                    key, size = (slot[rows] - a) * width + bins[rows, f], (b - a) * width
-                    gain, at = _scan(np.bincount(key, w[rows], size).reshape(-1, width),
-                                     np.bincount(key, w[rows] * y[rows], size).reshape(-1, width))
+                inside = slice(None) if b - a == len(nodes) else np.flatnonzero((slot >= a) & (slot < b))
+                at_slot, at_start, at_w, at_wy = slot[inside], start[inside], w[inside], wy[inside]
+                base, size = (at_slot - a) * width, (b - a) * width
+                for j in range(which.shape[1]):
+                    key = base + flat[at_start + which[at_slot, j]]
+                    gain, at = _scan(np.bincount(key, at_w, size).reshape(-1, width),
+                                     np.bincount(key, at_wy, size).reshape(-1, width))
                     more = gain > best[a:b]
-                    best[a:b][more], feature[a:b][more], cut[a:b][more] = gain[more], f, at[more]
+                    best[a:b][more], feature[a:b][more], cut[a:b][more] = gain[more], which[a:b, j][more], at[more]
             feature[best <= 1e-12 * np.maximum(1, s * s / np.maximum(n, 1))] = -1
         out += zip(nodes.tolist(), n.tolist(), s.tolist(), feature.tolist(), cut.tolist())
         split = feature >= 0
         if not split.any():
             break
         keep = split[slot]
-        bins, y, w, slot = bins[keep], y[keep], w[keep], slot[keep]
+        if not keep.all():
+            bins, wy, w, slot = bins[keep], wy[keep], w[keep], slot[keep]
         place = np.cumsum(split) - 1
         right = bins[np.arange(len(slot)), feature[slot]] > cut[slot]
         slot = 2 * place[slot] + right
@@ -293,11 +324,11 @@ class TreeModel:
 
 
 def numbered(df: DataFrame, features: Sequence[str], label: str, path: str | None = None) -> DataFrame:
-    """Features, label, ``is_train`` and a row number, stored once (at ``path`` if given): draws of a row are the same
-    in every pass."""
+    """Features, label, ``is_train`` and a row number, stored once (at ``path`` if given) and dealt over all cores: draws of a
+    row are the same in every pass."""
     cols = [F.col(f).cast("double").alias(f) for f in features]
-    return stored(df.select(*cols, F.col(label).cast("double").alias(label), "is_train",
-                            F.monotonically_increasing_id().alias(ROW)), "training-rows", path)
+    rows = df.select(*cols, F.col(label).cast("double").alias(label), "is_train", F.monotonically_increasing_id().alias(ROW))
+    return stored(spread(rows, ROW), "training-rows", path)
 
 
 def _matrix(batch: pa.RecordBatch, features: int) -> np.ndarray:
@@ -305,13 +336,24 @@ def _matrix(batch: pa.RecordBatch, features: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, features: Sequence[str], label: str, trees: Sequence[int], max_depth: int,
-        cuts: list[np.ndarray], seed: int, local: int = LOCAL) -> Forest:
-    """The trees of the given numbers over the training rows of ``rows`` (from ``numbered``)."""
+        cuts: list[np.ndarray], seed: int, local: int = LOCAL, ranks: DataFrame | None = None,
+        every: list[np.ndarray] | None = None) -> Forest:
+    """The trees of the given numbers over the training rows of ``rows`` (from ``numbered``).  A grid gives the same rows as
+    ``ranks`` (from ``ranked``) among ``every`` threshold, which spares each pass the search for bins."""
     features, m, width = list(features), len(features), max([len(c) for c in cuts], default=0) + 1
     forest = Forest(features, cuts, max_depth, {t: {} for t in trees})
-    train = rows.where("is_train").select(*features, label, ROW)
+    train = rows.where("is_train").select(*features, label, ROW) if ranks is None else ranks
+    tables = None if ranks is None else _tables(cuts, every)
     spark, total = rows.sparkSession, train.count()
     todo = {(t, 1): float(total) for t in trees} if total else {}
+
+    def binned(batch: pa.RecordBatch) -> np.ndarray:
+        if tables is None:
+            return _bins(_matrix(batch, m), cuts)
+        held = batch.column(0)
+        at = np.frombuffer(held.buffers()[2], np.uint16, len(held) * m, 2 * m * held.offset).reshape(-1, m)
+        return np.column_stack([table[at[:, f]] for f, table in enumerate(tables)])
+
     while todo:
         small = {key for key, n in todo.items() if n <= local}
         large = sorted(set(todo) - small)[:max(1, HISTOGRAMS // (m * width * 16))]
@@ -323,28 +365,45 @@ def fit(rows: DataFrame, features: Sequence[str], label: str, trees: Sequence[in
             by_tree: dict[int, list[int]] = {}
             for t, node in sorted(wanted):
                 by_tree.setdefault(t, []).append(node)
-            sums = {key: np.zeros((2, m, width)) for key in wanted if key not in few}
+            large = {t: [node for node in nodes if (t, node) not in few] for t, nodes in by_tree.items()}
+            sums = {t: np.zeros((2, m, len(nodes) * width)) for t, nodes in large.items() if nodes}
             for batch in batches:
-                bins, y, row = _bins(_matrix(batch, m), cuts), batch.column(m).to_numpy(), batch.column(m + 1).to_numpy()
-                out = []
+                if not batch.num_rows:
+                    continue
+                bins, y, row = binned(batch), batch.column(batch.num_columns - 2).to_numpy(), batch.column(batch.num_columns - 1).to_numpy()
+                out, held = [], 0
                 for t, nodes in by_tree.items():
                     w = weights(row, t, seed)
                     at = np.where(w > 0, _route(grown[t], bins), 0)
+                    if t in sums:
+                        place = np.searchsorted(large[t], at)
+                        of = np.flatnonzero(np.take(large[t], place, mode="clip") == at)
+                        base, w_of, size = place[of] * width, w[of], len(large[t]) * width
+                        wy = w_of * y[of]
+                        for f in range(m):
+                            key = base + bins[of, f]
+                            sums[t][0, f] += np.bincount(key, w_of, size)
+                            sums[t][1, f] += np.bincount(key, wy, size)
+                    nodes = [node for node in nodes if (t, node) in few]
+                    if not nodes:
+                        continue
                     order = np.argsort(at, kind="stable")
                     edges = np.searchsorted(at[order], nodes)
                     ends = np.searchsorted(at[order], nodes, "right")
                     for node, begin, end in zip(nodes, edges, ends):
                         of = order[begin:end]
-                        if not len(of):
-                            continue
-                        if (t, node) in few:
+                        if len(of):
                             out.append((t, node, bins[of].tobytes(), y[of].tobytes(), w[of].tobytes()))
-                        else:
-                            for f in range(m):
-                                sums[t, node][0, f] += np.bincount(bins[of, f], w[of], width)
-                                sums[t, node][1, f] += np.bincount(bins[of, f], w[of] * y[of], width)
+                            held += len(of) * (2 * m + 16)
+                    if held > SENT:
+                        yield _blobs(out)
+                        out, held = [], 0
                 yield _blobs(out)
-            yield _blobs([(t, node, None, s[1].tobytes(), s[0].tobytes()) for (t, node), s in sums.items() if s[0].any()])
+            for t, s in sums.items():
+                s = s.reshape(2, m, -1, width)
+                for j, node in enumerate(large[t]):
+                    if s[0, :, j].any():
+                        yield _blobs([(t, node, None, s[1, :, j].tobytes(), s[0, :, j].tobytes())])
 
         def search(part: pa.Table) -> pa.Table:
             t, node = part["tree"][0].as_py(), part["node"][0].as_py()

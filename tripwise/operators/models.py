@@ -100,16 +100,22 @@ def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, jo
     size, depth = (lambda i: int(cells[i].get("num_trees", 1))), (lambda i: int(cells[i]["max_depth"]))
     cuts = _kept_thresholds(rows, features, list(groups), journal, data)
 
+    def kept_key(bins, idxs):
+        return key_of(data=data, features=list(features), label=label, seed=seed, bins=bins, all_bins=sorted(groups),
+                      cells=[(size(i), depth(i)) for i in idxs])
+
+    done = journal is not None and all(journal.get(kept_key(*item)) for item in groups.items())
+    ranks, every = (None, None) if done else (ht.ranked(rows, features, label, cuts), ht.every_threshold(cuts))
+
     def run(item):
         bins, idxs = item
         sizes, depths = {size(i) for i in idxs}, {depth(i) for i in idxs}
-        key = key_of(data=data, features=list(features), label=label, seed=seed, bins=bins, all_bins=sorted(groups),
-                     cells=[(size(i), depth(i)) for i in idxs])
+        key = kept_key(bins, idxs)
         if journal is not None and (kept := journal.get(key)):
             scored = dict(zip(idxs, map(tuple, kept["scored"])))
             return scored, (scored[idxs[kept["best"]]][1], idxs[kept["best"]], kept["model"]) if kept["model"] else None
         trees = [0] * (1 in sizes) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
-        forest = ht.fit(rows, features, label, trees, max(depths), cuts[bins], seed)
+        forest = ht.fit(rows, features, label, trees, max(depths), cuts[bins], seed, ranks=ranks, every=every)
         mse = ht.errors(rows, forest, label, sizes, depths)
         scored = {i: mse[size(i), depth(i)] for i in idxs}
         fine = [(tem, i) for i, (_, tem) in scored.items() if not math.isnan(tem)]
