@@ -26,6 +26,7 @@ def test_ranks_give_the_trees_of_the_rows(spark):
     rows = ht.numbered(_rows(spark), FEATURES, "dur")
     cuts = ht.thresholds(rows.where("is_train"), FEATURES, [5, 12, 32])
     ranks, every = ht.ranked(rows, FEATURES, "dur", cuts), ht.every_threshold(cuts)
+    assert all((a == b).all() for a, b in zip(ranks.every, every))
     x = np.array([[*r] for r in rows.select(*FEATURES).collect()])
     at = ht._bins(x, every)
     for b, of in cuts.items():
@@ -33,7 +34,7 @@ def test_ranks_give_the_trees_of_the_rows(spark):
             assert (table[at[:, f]] == ht._bins(x, of)[:, f]).all()
         for local in (50, 100_000):  # histograms first, or whole trees where their rows meet
             plain = ht.fit(rows, FEATURES, "dur", [0, 1, 2], 6, of, 9, local)
-            assert ht.fit(rows, FEATURES, "dur", [0, 1, 2], 6, of, 9, local, ranks, every).nodes == plain.nodes
+            assert ht.fit(ranks, FEATURES, "dur", [0, 1, 2], 6, of, 9, local).nodes == plain.nodes
             assert all(len(plain.nodes[t]) > 20 for t in range(3))
 
 

@@ -89,7 +89,14 @@ def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint16)
 
 
-def ranked(rows: DataFrame, features: Sequence[str], label: str, cuts: dict[int, list[np.ndarray]]) -> DataFrame:
+@dataclass
+class Ranked:
+    """Training rows as ranks among ``every`` threshold."""
+    rows: DataFrame
+    every: list[np.ndarray]
+
+
+def ranked(rows: DataFrame, features: Sequence[str], label: str, cuts: dict[int, list[np.ndarray]]) -> Ranked:
     """Training rows (of ``numbered``) for ``fit``, stored once for all bin counts and passes: each row's bins among the
     thresholds of all bin counts together (``ranks``, 16 bits a feature), label and row number."""
     m, every = len(features), every_threshold(cuts)
@@ -101,7 +108,8 @@ def ranked(rows: DataFrame, features: Sequence[str], label: str, cuts: dict[int,
             yield pa.RecordBatch.from_arrays([ranks, batch.column(m), batch.column(m + 1)], ["ranks", label, ROW])
 
     train = rows.where("is_train").select(*features, label, ROW)
-    return stored(spread(train.mapInArrow(work, f"ranks binary, `{label}` double, `{ROW}` long"), ROW), "ranked-rows")
+    ranks = train.mapInArrow(work, f"ranks binary, `{label}` double, `{ROW}` long")
+    return Ranked(stored(spread(ranks, ROW), "ranked-rows"), every)
 
 
 def every_threshold(cuts: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
@@ -335,16 +343,16 @@ def _matrix(batch: pa.RecordBatch, features: int) -> np.ndarray:
     return np.column_stack([batch.column(i).to_numpy() for i in range(features)]) if batch.num_rows else np.empty((0, features))
 
 
-def fit(rows: DataFrame, features: Sequence[str], label: str, trees: Sequence[int], max_depth: int,
-        cuts: list[np.ndarray], seed: int, local: int = LOCAL, ranks: DataFrame | None = None,
-        every: list[np.ndarray] | None = None) -> Forest:
-    """The trees of the given numbers over the training rows of ``rows`` (from ``numbered``).  A grid gives the same rows as
-    ``ranks`` (from ``ranked``) among ``every`` threshold, which spares each pass the search for bins."""
+def fit(rows: DataFrame | Ranked, features: Sequence[str], label: str, trees: Sequence[int], max_depth: int,
+        cuts: list[np.ndarray], seed: int, local: int = LOCAL) -> Forest:
+    """The trees of the given numbers over the training rows of ``rows`` (from ``numbered``).  A grid gives them as
+    ranks (from ``ranked``), which spares each pass the search for bins."""
     features, m, width = list(features), len(features), max([len(c) for c in cuts], default=0) + 1
     forest = Forest(features, cuts, max_depth, {t: {} for t in trees})
-    train = rows.where("is_train").select(*features, label, ROW) if ranks is None else ranks
-    tables = None if ranks is None else _tables(cuts, every)
-    spark, total = rows.sparkSession, train.count()
+    of_ranks = isinstance(rows, Ranked)
+    train = rows.rows if of_ranks else rows.where("is_train").select(*features, label, ROW)
+    tables = _tables(cuts, rows.every) if of_ranks else None
+    spark, total = train.sparkSession, train.count()
     todo = {(t, 1): float(total) for t in trees} if total else {}
 
     def binned(batch: pa.RecordBatch) -> np.ndarray:

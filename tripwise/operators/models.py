@@ -105,7 +105,7 @@ def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, jo
                       cells=[(size(i), depth(i)) for i in idxs])
 
     done = journal is not None and all(journal.get(kept_key(*item)) for item in groups.items())
-    ranks, every = (None, None) if done else (ht.ranked(rows, features, label, cuts), ht.every_threshold(cuts))
+    ranks = None if done else ht.ranked(rows, features, label, cuts)
 
     def run(item):
         bins, idxs = item
@@ -115,7 +115,7 @@ def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, jo
             scored = dict(zip(idxs, map(tuple, kept["scored"])))
             return scored, (scored[idxs[kept["best"]]][1], idxs[kept["best"]], kept["model"]) if kept["model"] else None
         trees = [0] * (1 in sizes) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
-        forest = ht.fit(rows, features, label, trees, max(depths), cuts[bins], seed, ranks=ranks, every=every)
+        forest = ht.fit(ranks, features, label, trees, max(depths), cuts[bins], seed)
         mse = ht.errors(rows, forest, label, sizes, depths)
         scored = {i: mse[size(i), depth(i)] for i in idxs}
         fine = [(tem, i) for i, (_, tem) in scored.items() if not math.isnan(tem)]
