@@ -9,6 +9,10 @@ of squared error, ties to the first feature, then the smallest threshold.  A nod
 where its rows meet: tasks send the rows as packed bins instead, and the whole subtree grows there by the same
 search.  What reaches the driver is tree-sized.
 
+Whole trees.  The trees of a large forest over rows that a task can hold (``HELD``) are dealt to the tasks instead: each reads
+all stored ranks itself and grows its trees from end to end, so that no row is sent.  Rows are records of weight, weighted label and
+bins, moved to their node at each split: a node's rows lie together, and what is below a small node stays in the cache.
+
 Randomness has no state.  A row's bootstrap weight in tree t is a Poisson number hashed from (seed, t, row); the features
 a node may use are those with the smallest hashes of (seed, t, node, feature).  So a tree depends on its number
 alone: the first n trees of a forest are the forest of n trees, and a tree cut at depth d is the tree of
@@ -23,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,13 +36,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.session import spread, stored
+from tripwise.session import compiled_methods, spread, stored
 
 LOCAL = 200_000              # rows of a node that is finished in one task
 HISTOGRAMS = 64 << 20        # bytes of histograms a task holds in one pass
-SLOTS = 1 << 21              # histogram cells searched at once
+SLOTS = 1 << 21              # histogram cells held at once
+SCANNED = 1 << 14            # histogram cells searched at once
 SENT = 16 << 20              # bytes of packed rows that a task sends at once
+HELD = 256 << 20             # bytes of training rows that a task holds to grow whole trees
+STORED = 2048                # rows of a stored block of ranks
+BLOCK = 8192                 # records that are counted or moved at once: they stay in a core's cache
+FEW = 8192                   # records of a node whose subtree grows a level at a time
+TOP = 4                      # levels of a tree that are walked by comparing whole columns
 ACCURACY = 100_000           # of the quantile sketches: ranks are off by a hundred-thousandth of the rows at most
+SKETCHES = 5                 # features sketched in one pass: a sketch of so many ranks takes tens of megabytes a task
 ROW = "__row"
 
 #: Cumulative Poisson(1) probabilities.
@@ -63,7 +75,13 @@ def weights(rows: np.ndarray, tree: int, seed: int) -> np.ndarray:
     if tree == 0:
         return np.ones(len(rows))
     u = (_hashed(seed, tree, rows) >> np.uint64(11)).astype(float) / (1 << 53)
-    return np.searchsorted(POISSON, u, "right").astype(float)
+    drawn = (u >= POISSON[0]).astype(float)
+    more = np.flatnonzero(u >= POISSON[1])
+    for p in POISSON[2:]:
+        drawn[more] += 1
+        more = more[u[more] >= p]
+    drawn[more] += 1
+    return drawn
 
 
 def allowed(tree: int, nodes: np.ndarray, features: int, seed: int) -> np.ndarray:
@@ -79,8 +97,11 @@ def allowed(tree: int, nodes: np.ndarray, features: int, seed: int) -> np.ndarra
 def thresholds(train: DataFrame, features: Sequence[str], bins: Sequence[int]) -> dict[int, list[np.ndarray]]:
     """{bin count: sorted different thresholds of each feature}, one sketch a feature for all bin counts."""
     probs = sorted({i / b for b in bins for i in range(1, b)})
-    row = train.agg(*[F.percentile_approx(f, probs, ACCURACY).alias(f) for f in features]).first()
-    value = {f: dict(zip(probs, row[f] or [])) for f in features}
+    value: dict[str, dict[float, float]] = {}
+    for at in range(0, len(features), SKETCHES):
+        some = features[at:at + SKETCHES]
+        row = train.agg(*[F.percentile_approx(f, probs, ACCURACY).alias(f) for f in some]).first()
+        value |= {f: dict(zip(probs, row[f] or [])) for f in some}
     return {b: [np.unique([value[f][i / b] for i in range(1, b)] if value[f] else []).astype(float) for f in features]
             for b in bins}
 
@@ -91,25 +112,34 @@ def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
 
 @dataclass
 class Ranked:
-    """Training rows as ranks among ``every`` threshold."""
+    """Rows of both halves as ranks among ``every`` threshold."""
     rows: DataFrame
     every: list[np.ndarray]
 
 
+BLOCKS = "ranks binary, labels binary, numbers binary, held int, is_train boolean"
+
+
 def ranked(rows: DataFrame, features: Sequence[str], label: str, cuts: dict[int, list[np.ndarray]]) -> Ranked:
-    """Training rows (of ``numbered``) for ``fit``, stored once for all bin counts and passes: each row's bins among the
-    thresholds of all bin counts together (``ranks``, 16 bits a feature), label and row number."""
+    """Rows (of ``numbered``) for ``fit`` and ``errors``, stored once for all bin counts and passes: each row's bins among the
+    thresholds of all bin counts together (``ranks``, 16 bits a feature), label and row number.  A stored row is a block of
+    up to ``STORED`` rows of one half as bytes, so that a task reads them as fast as they can be copied."""
     m, every = len(features), every_threshold(cuts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ranks = _bins(_matrix(batch, m), every) if batch.num_rows else np.empty((0, m), np.uint16)
-            ranks = pa.Array.from_buffers(pa.binary(2 * m), len(ranks), [None, pa.py_buffer(ranks.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([ranks, batch.column(m), batch.column(m + 1)], ["ranks", label, ROW])
+            y, row = batch.column(m).to_numpy(), batch.column(m + 1).to_numpy()
+            half = batch.column(m + 2).to_numpy(zero_copy_only=False)
+            blocks = [(of[a:a + STORED], flag) for flag in (True, False) for of in [np.flatnonzero(half == flag)]
+                      for a in range(0, len(of), STORED)]
+            cols = [pa.array([x[of].tobytes() for of, _ in blocks], pa.binary()) for x in (ranks, y, row)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([len(of) for of, _ in blocks], pa.int32()),
+                                              pa.array([flag for _, flag in blocks], pa.bool_())],
+                                             ["ranks", "labels", "numbers", "held", "is_train"])
 
-    train = rows.where("is_train").select(*features, label, ROW)
-    ranks = train.mapInArrow(work, f"ranks binary, `{label}` double, `{ROW}` long")
-    return Ranked(stored(spread(ranks, ROW), "ranked-rows"), every)
+    blocks = rows.select(*features, label, ROW, "is_train").mapInArrow(work, BLOCKS)
+    return Ranked(stored(blocks.repartition(2 * blocks.sparkSession.sparkContext.defaultParallelism), "ranked-rows"), every)
 
 
 def every_threshold(cuts: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
@@ -122,42 +152,74 @@ def _tables(cuts: list[np.ndarray], every: list[np.ndarray]) -> list[np.ndarray]
     return [np.concatenate([[0], np.cumsum(np.isin(e, c))]).astype(np.uint16) for c, e in zip(cuts, every)]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], m: int, cuts: list[np.ndarray], tables: list[np.ndarray] | None) -> Iterator[tuple]:
+    """Bins, labels and the column after them (row numbers; ``is_train`` for ``errors``) of the rows of ``numbered``, or (with
+    ``tables``) of the blocks of ``ranked``, brought together to ``BLOCK`` rows or more."""
+    held, rows = [], 0
+    for batch in batches:
+        if tables is None:
+            if batch.num_rows:
+                yield _bins(_matrix(batch, m), cuts), batch.column(m).to_numpy(), batch.column(m + 1).to_numpy(zero_copy_only=False)
+            continue
+        for i in range(batch.num_rows):
+            ranks, y, last = (c[i] for c in batch.columns)
+            at = np.frombuffer(ranks.as_buffer(), np.uint16).reshape(-1, m)
+            last = np.frombuffer(last.as_buffer(), np.int64) if pa.types.is_binary(last.type) else np.full(len(at), last.as_py())
+            held.append((np.column_stack([table.take(at[:, f]) for f, table in enumerate(tables)]), np.frombuffer(y.as_buffer()), last))
+            if (rows := rows + len(at)) >= BLOCK:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, rows = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _scan(n: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best fall of squared error and its bin for every row of histograms (nodes x bins)."""
-    left_n, left_s = np.cumsum(n, axis=1), np.cumsum(s, axis=1)
-    all_n, all_s = left_n[:, -1:], left_s[:, -1:]
-    right_n, right_s = all_n - left_n, all_s - left_s
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = left_s ** 2 / left_n + right_s ** 2 / right_n - all_s ** 2 / all_n
-    gain[(left_n <= 0) | (right_n <= 0)] = 0
-    at = gain.argmax(axis=1)
-    return np.take_along_axis(gain, at[:, None], 1)[:, 0], at
+    best, where, step = np.empty(len(n)), np.empty(len(n), np.int64), max(1, SCANNED // n.shape[1])
+    for a in range(0, len(n), step):
+        left_n, left_s = np.cumsum(n[a:a + step], axis=1), np.cumsum(s[a:a + step], axis=1)
+        all_n, all_s = left_n[:, -1:], left_s[:, -1:]
+        right_n, right_s = all_n - left_n, all_s - left_s
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = left_s ** 2 / left_n + right_s ** 2 / right_n - all_s ** 2 / all_n
+        gain[(left_n <= 0) | (right_n <= 0)] = 0
+        where[a:a + step] = at = gain.argmax(axis=1)
+        best[a:a + step] = gain[np.arange(len(at)), at]
+    return best, where
 
 
 def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, root: int, max_depth: int, tree: int, seed: int,
          width: int) -> list[tuple[int, float, float, int, int]]:
     """Nodes (number, weight, label sum, feature or -1, bin) of the subtree below ``root`` over the given rows."""
+    return _grow(bins, w * y, w, root, max_depth, tree, seed, width)
+
+
+def _grow(bins: np.ndarray, wy: np.ndarray, w: np.ndarray, root: int, max_depth: int, tree: int, seed: int,
+          width: int) -> list[tuple[int, float, float, int, int]]:
     out: list[tuple[int, float, float, int, int]] = []
-    nodes, slot = np.array([root]), np.zeros(len(y), np.int64)
-    wy, m = w * y, bins.shape[1]
+    nodes, slot, m = np.array([root]), np.zeros(len(wy), np.int64), bins.shape[1]
     for depth in range(root.bit_length() - 1, max_depth + 1):
         n, s = np.bincount(slot, w, len(nodes)), np.bincount(slot, wy, len(nodes))
         best, feature, cut = np.zeros(len(nodes)), np.full(len(nodes), -1), np.zeros(len(nodes), np.int64)
         if depth < max_depth:
             may = allowed(tree, nodes, m, seed)
             which = np.nonzero(may)[1].reshape(len(nodes), -1)  # as many features in each node, in ascending order
-            flat, start = bins.ravel(), np.arange(len(slot)) * m
-            for a in range(0, len(nodes), max(1, SLOTS // width)):
-                b = min(len(nodes), a + max(1, SLOTS // width))
+            flat, start, tries = bins.ravel(), np.arange(len(slot)) * m, which.shape[1]
+            for a in range(0, len(nodes), max(1, SLOTS // (width * tries))):
+                b = min(len(nodes), a + max(1, SLOTS // (width * tries)))
                 inside = slice(None) if b - a == len(nodes) else np.flatnonzero((slot >= a) & (slot < b))
                 at_slot, at_start, at_w, at_wy = slot[inside], start[inside], w[inside], wy[inside]
-                base, size = (at_slot - a) * width, (b - a) * width
-                for j in range(which.shape[1]):
-                    key = base + flat[at_start + which[at_slot, j]]
-                    gain, at = _scan(np.bincount(key, at_w, size).reshape(-1, width),
-                                     np.bincount(key, at_wy, size).reshape(-1, width))
-                    more = gain > best[a:b]
-                    best[a:b][more], feature[a:b][more], cut[a:b][more] = gain[more], which[a:b, j][more], at[more]
+                base, size, sums = (at_slot - a) * width, (b - a) * width, np.empty((2, b - a, tries, width))
+                for j in range(tries):
+                    key = which[:, j].take(at_slot)
+                    key += at_start
+                    key = base + flat.take(key)
+                    for of, x in zip(sums, (at_w, at_wy)):
+                        of[:, j] = np.bincount(key, x, size).reshape(-1, width)
+                gain, at = (x.reshape(-1, tries) for x in _scan(*sums.reshape(2, -1, width)))
+                j, row = np.where(np.isnan(gain), -np.inf, gain).argmax(axis=1), np.arange(b - a)
+                more = np.flatnonzero(gain[row, j] > 0)
+                best[a + more], feature[a + more], cut[a + more] = gain[more, j[more]], which[a + more, j[more]], at[more, j[more]]
             feature[best <= 1e-12 * np.maximum(1, s * s / np.maximum(n, 1))] = -1
         out += zip(nodes.tolist(), n.tolist(), s.tolist(), feature.tolist(), cut.tolist())
         split = feature >= 0
@@ -173,6 +235,162 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, root: int, max_depth: i
     return out
 
 
+class Records:
+    """Training rows that a task holds, and the trees it grows of them.  A record is the weight, the weighted label and the bins,
+    padded to words.  Where labels are whole numbers of a bounded size, weight and label share a double (``weight *
+    UNIT + sum``): sums over ``BLOCK`` records stay below 2^53, so one histogram holds both exactly.  Else they are a complex number."""
+
+    def __init__(self, rows: int, features: int, width: int):
+        self.m, self.width, self.code = features, width, _code(width)
+        self.bins = np.zeros((rows, record_bytes(features, width) // 8 - 2), np.uint64)
+        self.y, self.row, self.rows, self.shared = np.empty(rows), np.empty(rows, np.int64), 0, True
+
+    def add(self, bins: np.ndarray, y: np.ndarray, row: np.ndarray) -> None:
+        a, b = self.rows, self.rows + len(y)
+        self.bins.view(self.code)[a:b, :self.m] = bins
+        self.y[a:b], self.row[a:b], self.rows = y, row, b
+        self.shared = self.shared and bool(((np.abs(y) < UNIT / 2 / BLOCK / len(POISSON)) & (y == np.rint(y))).all())
+
+    def drawn(self, tree: int, seed: int) -> np.ndarray:
+        """Records of the rows that are drawn for a tree; the last tree's are overwritten."""
+        self.head = 1 if self.shared else 2
+        if not hasattr(self, "space"):
+            self.space = [np.empty((self.rows, self.head + self.bins.shape[1]), np.uint64) for _ in range(2)]
+        n = 0
+        for a in range(0, self.rows, BLOCK):
+            w = weights(self.row[a:a + BLOCK], tree, seed)
+            of = np.flatnonzero(w)
+            to, w, y = self.space[0][n:n + len(of)], w[of], self.y[a:a + BLOCK].take(of)
+            for i, x in enumerate([w * (UNIT + y)] if self.shared else [w, w * y]):
+                to[:, i] = x.view(np.uint64)
+            to[:, self.head:] = self.bins[a:a + BLOCK].take(of, axis=0)
+            n += len(of)
+        return self.space[0][:n]
+
+    def codes(self, records: np.ndarray) -> np.ndarray:
+        return records[:, self.head:].view(self.code)[:, :self.m]
+
+    def drawn_labels(self, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight and weighted label of every record."""
+        heads = [np.ascontiguousarray(records[:, i]).view(float) for i in range(self.head)]
+        return _parted(heads[0]) if self.shared else tuple(heads)
+
+    def histograms(self, records: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight and weighted label sum of every bin of the features ``which``."""
+        n, s = np.zeros((2, len(which), self.width))
+        for a in range(0, len(records), BLOCK):
+            block = records[a:a + BLOCK]
+            codes, heads = self.codes(block), np.ascontiguousarray(block[:, :self.head])
+            if self.shared:
+                of, heads = np.empty(n.shape), heads.view(float)[:, 0]
+                for j, f in enumerate(which):
+                    of[j] = np.bincount(codes[:, f].astype(np.intp), heads, self.width)
+                block_n, block_s = _parted(of)
+            else:
+                of, heads = np.zeros(n.shape, complex), heads.view(complex)[:, 0]
+                for j, f in enumerate(which):
+                    np.add.at(of[j], codes[:, f].astype(np.intp), heads)
+                block_n, block_s = of.real, of.imag
+            n += block_n
+            s += block_s
+        return n, s
+
+    def halve(self, records: np.ndarray, feature: int, cut: int) -> tuple[np.ndarray, np.ndarray]:
+        """Records left and right of a split, in their own place: each half in its order."""
+        left, right, aside = 0, 0, self.space[1]
+        for a in range(0, len(records), BLOCK):
+            block = records[a:a + BLOCK]
+            over = self.codes(block)[:, feature] > cut
+            of = np.flatnonzero(over)
+            block.take(of, axis=0, out=aside[right:right + len(of)], mode="clip")
+            right += len(of)
+            of = np.flatnonzero(~over)
+            block.take(of, axis=0, out=records[left:left + len(of)], mode="clip")
+            left += len(of)
+        records[left:] = aside[:right]
+        return records[:left], records[left:]
+
+    def grow(self, tree: int, max_depth: int, seed: int) -> list[tuple[int, float, float, int, int]]:
+        """Nodes of a whole tree, as ``grow`` gives them."""
+        out: list[tuple[int, float, float, int, int]] = []
+        early = allowed(tree, np.arange(1 << min(max_depth, 12)), self.m, seed)
+        waiting = [(1, self.drawn(tree, seed))]
+        while waiting:
+            node, records = waiting.pop()
+            if len(records) <= FEW or node.bit_length() > max_depth:
+                if len(records):
+                    w, wy = self.drawn_labels(records)
+                    out += _grow(np.ascontiguousarray(self.codes(records)), wy, w, node, max_depth, tree, seed, self.width)
+                continue
+            which = np.flatnonzero(early[node] if node < len(early) else allowed(tree, np.array([node]), self.m, seed)[0])
+            n, s = self.histograms(records, which)
+            n0, s0 = float(n[0].sum()), float(s[0].sum())
+            gain, at = _scan(n, s)
+            best = int(gain.argmax())
+            if not gain[best] > 1e-12 * max(1, s0 * s0 / n0):
+                out.append((node, n0, s0, -1, 0))
+                continue
+            feature, cut = int(which[best]), int(at[best])
+            out.append((node, n0, s0, feature, cut))
+            if node.bit_length() == max_depth:  # the children are leaves: their sums are known
+                ln, ls = float(n[best, :cut + 1].sum()), float(s[best, :cut + 1].sum())
+                out += [(2 * node, ln, ls, -1, 0), (2 * node + 1, n0 - ln, s0 - ls, -1, 0)]
+                continue
+            left, right = self.halve(records, feature, cut)
+            waiting += [(2 * node + 1, right), (2 * node, left)]
+        return out
+
+
+#: A weight's place in a double that it shares with a weighted label sum: sums of ``BLOCK`` weights fit above it.
+UNIT = 2.0 ** (53 - (BLOCK * len(POISSON)).bit_length())
+
+
+def _parted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weight and weighted label sum of doubles that hold both."""
+    w = np.rint(x / UNIT)
+    return w, x - w * UNIT
+
+
+def _code(width: int) -> type:
+    return np.uint8 if width <= 256 else np.uint16
+
+
+def record_bytes(features: int, width: int) -> int:
+    """Size of a record: two numbers and the bins, in words."""
+    return 16 + -(-features * _code(width)().itemsize // 8) * 8
+
+
+def _dealt(trees: Sequence[int], features: int, parts: int) -> list[list[int]]:
+    """Trees in parts of about equal work: tree 0 sees all rows and features, the others draw 63 % and a third."""
+    out, work = [[] for _ in range(min(parts, len(trees)))], [0.0] * min(parts, len(trees))
+    for t in sorted(trees):
+        i = work.index(min(work))
+        out[i].append(t)
+        work[i] += 1 if t else features / -(-features // 3) / 0.63
+    return out
+
+
+def _whole_trees(train: DataFrame, total: int, pieces, m: int, trees: Sequence[int], max_depth: int, seed: int, width: int) -> pa.Table:
+    """Trees grown from end to end, some in each task.  Every task reads all of ``train`` (stored ranks, labels, row numbers)."""
+    spark = train.sparkSession
+    parts = _dealt(trees, m, spark.sparkContext.defaultParallelism)
+
+    def work(mine: list[int]):
+        def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = Records(total, m, width)
+            for piece in pieces(batches):
+                held.add(*piece)
+            for t in mine:
+                cols = list(zip(*held.grow(t, max_depth, seed))) or [()] * 5
+                arrays = [pa.array([t] * len(cols[0]), pa.int32()), *(pa.array(c, f.type) for c, f in zip(cols, list(NODE_TYPES)[1:]))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=NODE_TYPES)
+        return grown
+
+    one = train.coalesce(1)
+    with ThreadPoolExecutor(len(parts)) as pool:
+        return pa.concat_tables(pool.map(lambda mine: one.mapInArrow(work(mine), NODES).toArrow(), parts))
+
+
 NODES = "tree int, node long, n double, s double, feature int, cut int"
 
 
@@ -336,7 +554,8 @@ def numbered(df: DataFrame, features: Sequence[str], label: str, path: str | Non
     row are the same in every pass."""
     cols = [F.col(f).cast("double").alias(f) for f in features]
     rows = df.select(*cols, F.col(label).cast("double").alias(label), "is_train", F.monotonically_increasing_id().alias(ROW))
-    return stored(spread(rows, ROW), "training-rows", path)
+    with compiled_methods(df.sparkSession):  # features of a trip are more code than HotSpot compiles in one method
+        return stored(spread(rows, ROW), "training-rows", path)
 
 
 def _matrix(batch: pa.RecordBatch, features: int) -> np.ndarray:
@@ -350,17 +569,21 @@ def fit(rows: DataFrame | Ranked, features: Sequence[str], label: str, trees: Se
     features, m, width = list(features), len(features), max([len(c) for c in cuts], default=0) + 1
     forest = Forest(features, cuts, max_depth, {t: {} for t in trees})
     of_ranks = isinstance(rows, Ranked)
-    train = rows.rows if of_ranks else rows.where("is_train").select(*features, label, ROW)
+    train = (rows.rows if of_ranks else rows).where("is_train")
+    spark, total = train.sparkSession, train.agg(F.sum("held") if of_ranks else F.count("*")).first()[0] or 0
+    train = train.select("ranks", "labels", "numbers") if of_ranks else train.select(*features, label, ROW)
     tables = _tables(cuts, rows.every) if of_ranks else None
-    spark, total = train.sparkSession, train.count()
     todo = {(t, 1): float(total) for t in trees} if total else {}
 
-    def binned(batch: pa.RecordBatch) -> np.ndarray:
-        if tables is None:
-            return _bins(_matrix(batch, m), cuts)
-        held = batch.column(0)
-        at = np.frombuffer(held.buffers()[2], np.uint16, len(held) * m, 2 * m * held.offset).reshape(-1, m)
-        return np.column_stack([table[at[:, f]] for f, table in enumerate(tables)])
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        return _pieces(batches, m, cuts, tables)
+
+    if of_ranks and todo and 2 * len(trees) >= spark.sparkContext.defaultParallelism \
+            and total * record_bytes(m, width) <= HELD:
+        found = _whole_trees(train, total, pieces, m, trees, max_depth, seed, width)
+        for t, i, *node in zip(*[c.to_numpy().tolist() for c in found.columns]):
+            forest.nodes[t][i] = tuple(node)
+        return forest
 
     while todo:
         small = {key for key, n in todo.items() if n <= local}
@@ -375,10 +598,7 @@ def fit(rows: DataFrame | Ranked, features: Sequence[str], label: str, trees: Se
                 by_tree.setdefault(t, []).append(node)
             large = {t: [node for node in nodes if (t, node) not in few] for t, nodes in by_tree.items()}
             sums = {t: np.zeros((2, m, len(nodes) * width)) for t, nodes in large.items() if nodes}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                bins, y, row = binned(batch), batch.column(batch.num_columns - 2).to_numpy(), batch.column(batch.num_columns - 1).to_numpy()
+            for bins, y, row in pieces(batches):
                 out, held = [], 0
                 for t, nodes in by_tree.items():
                     w = weights(row, t, seed)
@@ -472,62 +692,107 @@ def _route(nodes: dict[int, tuple], bins: np.ndarray) -> np.ndarray:
 ERRORS = "trees int, depth int, is_train boolean, sse double, n long"
 
 
-def errors(rows: DataFrame, forest: Forest, label: str, sizes: Sequence[int], depths: Sequence[int]) -> dict:
+def errors(rows: DataFrame | Ranked, forest: Forest, label: str, sizes: Sequence[int], depths: Sequence[int]) -> dict:
     """{(trees, depth): (train MSE, test MSE)} for every size and depth in one pass: running means over the trees."""
     m, sizes, depths = len(forest.features), sorted(sizes), sorted(depths)
     numbers = ([0] if 1 in sizes else []) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
-    shared = rows.sparkSession.sparkContext.broadcast({t: forest.flat(t) for t in numbers})  # inner nodes have means too
+    of_ranks, cuts = isinstance(rows, Ranked), forest.cuts
+    table, tables = (rows.rows, _tables(cuts, rows.every)) if of_ranks else (rows, None)
+    code = _code(max([len(c) for c in cuts], default=0) + 1)
+    shared = table.sparkSession.sparkContext.broadcast({t: _nodes(forest.nodes.get(t, {}), max(depths)) for t in numbers})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
+        trees = {t: Walk(nodes, depths, code) for t, nodes in shared.value.items()}
         total: dict[tuple, list] = {}
 
-        def add(size: int, depth: int, got: np.ndarray, y: np.ndarray, train: np.ndarray) -> None:
+        def add(size: int, got: np.ndarray, y: np.ndarray, train: np.ndarray) -> None:
+            square = (y[:, None] - got) ** 2
             for flag, of in ((True, train), (False, ~train)):
-                t = total.setdefault((size, depth, flag), [0.0, 0])
-                t[0] += float(((y[of] - got[of]) ** 2).sum())
-                t[1] += int(of.sum())
-
-        for batch in batches:
-            x, y = _matrix(batch, m), batch.column(m).to_numpy()
-            train = batch.column(m + 1).to_numpy(zero_copy_only=False)
-            running = np.zeros((len(depths), len(y)))
+                sse, n = square[of].sum(axis=0), int(of.sum())
+                for d, e in zip(depths, sse):
+                    t = total.setdefault((size, d, flag), [0.0, 0])
+                    t[0] += float(e)
+                    t[1] += n
+
+        for bins, y, train in _pieces(batches, m, cuts, tables):
+            columns = np.ascontiguousarray(bins.T, code)
+            running = np.zeros((len(y), len(depths)))
             for t in numbers:
-                got = _at_depths(trees[t], x, depths)
+                got = trees[t].values.take(trees[t].leaves(columns), axis=0)
                 if t == 0:
-                    for d, g in zip(depths, got):
-                        add(1, d, g, y, train)
+                    add(1, got, y, train)
                     continue
                 running += got
                 if t in sizes and t > 1:
-                    for d, g in zip(depths, running / t):
-                        add(t, d, g, y, train)
+                    add(t, running / t, y, train)
         out = [(*key, *v) for key, v in total.items()]
         cols = list(zip(*out)) or [()] * 5
         types = (pa.int32(), pa.int32(), pa.bool_(), pa.float64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["trees", "depth", "is_train", "sse", "n"])
 
-    sums = rows.select(*forest.features, label, "is_train").mapInArrow(work, ERRORS) \
+    sums = table.select(*(["ranks", "labels"] if of_ranks else [*forest.features, label]), "is_train").mapInArrow(work, ERRORS) \
         .groupBy("trees", "depth", "is_train").agg(F.sum("sse").alias("sse"), F.sum("n").alias("n")).collect()
     mse = {(r["trees"], r["depth"], r["is_train"]): r["sse"] / r["n"] if r["n"] else float("nan") for r in sums}
     nan = float("nan")
     return {(t, d): (mse.get((t, d, True), nan), mse.get((t, d, False), nan)) for t in sizes for d in depths}
 
 
-def _at_depths(tree: FlatTree, x: np.ndarray, depths: Sequence[int]) -> np.ndarray:
-    """Prediction of every row by the tree cut at each of the ascending ``depths``."""
-    at, out = np.zeros(len(x), np.int64), []
-    if not len(tree.feature):
-        return np.full((len(depths), len(x)), np.nan)
-    done = 0
-    for depth in depths:
-        for _ in range(depth - done):
-            f = tree.feature[at]
-            live = np.flatnonzero(f >= 0)
-            if not len(live):
-                break
-            here = at[live]
-            at[live] = np.where(x[live, f[live]] <= tree.threshold[here], tree.left[here], tree.right[here])
-        done = depth
-        out.append(tree.value[at])
-    return np.array(out)
+def _nodes(of: dict[int, tuple], depth: int) -> tuple[np.ndarray, ...]:
+    """Number, level, feature (-1 in a leaf), bin and mean label of the nodes of a tree cut at ``depth``, level by level."""
+    number = sorted(i for i in of if i.bit_length() <= depth + 1)
+    level = np.array([i.bit_length() - 1 for i in number], np.int64)
+    feature = np.array([of[i][2] for i in number], np.int64)
+    feature[level == depth] = -1
+    return (np.array(number, np.int64), level, feature, np.array([of[i][3] for i in number], np.int64),
+            np.array([of[i][1] / of[i][0] for i in number]))
+
+
+class Walk:
+    """A tree that rows, given as columns of bins, walk down together.  Nodes are in the order of ``_nodes``, so those of a split
+    are neighbours; a leaf is below itself.  ``values`` has each node's prediction at every depth."""
+
+    def __init__(self, nodes: tuple[np.ndarray, ...], depths: Sequence[int], code: type):
+        number, level, feature, cut, mean = nodes
+        inner, here = feature >= 0, np.arange(len(number))
+        self.levels = int(level.max(initial=0))
+        self.feature = np.where(inner, feature, 0)
+        self.cut = np.where(inner, cut, np.iinfo(code).max).astype(code)
+        self.below = np.where(inner, np.searchsorted(number, 2 * number), here)
+        self.values = np.full((max(1, len(number)), len(depths)), np.nan)
+        above = np.searchsorted(number, number // 2)
+        for depth in range(self.levels + 1 if len(number) else 0):
+            of = np.flatnonzero(level == depth)
+            self.values[of] = np.where(np.array(depths) >= depth, mean[of, None], self.values[above[of]])
+
+    def leaves(self, columns: np.ndarray) -> np.ndarray:
+        """The leaf of every row.  The first levels compare whole columns, the others look up each row's own."""
+        n = columns.shape[1]
+        at = np.zeros(n, np.int64)
+        if not self.levels:
+            return at
+        reached = [(0, np.ones(n, bool))]
+        for _ in range(min(TOP, self.levels)):
+            lower = []
+            for node, rows in reached:
+                if (below := int(self.below[node])) == node:
+                    lower.append((node, rows))
+                    continue
+                right = columns[self.feature[node]] > self.cut[node]
+                right &= rows
+                lower += [(below, rows ^ right), (below + 1, right)]
+            reached = lower
+        near = np.zeros(n, np.uint8)
+        for node, rows in reached:
+            near |= rows.view(np.uint8) * np.uint8(node)
+        at[:] = near
+        flat, row, start = columns.ravel(), np.arange(n), self.feature * n
+        cell, held, cut, to = np.empty(n, np.int64), np.empty(n, columns.dtype), np.empty(n, columns.dtype), np.empty(n, np.int64)
+        for _ in range(self.levels - TOP):
+            start.take(at, out=cell, mode="clip")
+            cell += row
+            flat.take(cell, out=held, mode="clip")
+            self.cut.take(at, out=cut, mode="clip")
+            self.below.take(at, out=to, mode="clip")
+            to += held > cut
+            at, to = to, at
+        return at

@@ -116,7 +116,7 @@ def _grid_trees(spark, algo, rows, features, label, cells, seed, parallelism, jo
             return scored, (scored[idxs[kept["best"]]][1], idxs[kept["best"]], kept["model"]) if kept["model"] else None
         trees = [0] * (1 in sizes) + list(range(1, max(sizes) + 1 if max(sizes) > 1 else 1))
         forest = ht.fit(ranks, features, label, trees, max(depths), cuts[bins], seed)
-        mse = ht.errors(rows, forest, label, sizes, depths)
+        mse = ht.errors(ranks, forest, label, sizes, depths)
         scored = {i: mse[size(i), depth(i)] for i in idxs}
         fine = [(tem, i) for i, (_, tem) in scored.items() if not math.isnan(tem)]
         # Of each bin count only the best cell's trees stay on the driver (with a journal: its path).

@@ -90,6 +90,23 @@ def scratch_space(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: HotSpot does not compile methods of more bytes of code; Spark would by default run them interpreted.
+COMPILED = 8000
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Stages that begin in the block run operator by operator where their one generated method would be interpreted, also in
+    a session that has not set ``spark.sql.codegen.hugeMethodLimit`` as ``get_session`` does.  Rows are the same."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), COMPILED)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df, *by):
     """Rows dealt over all cores, by ``by`` or one by one.  Small files and row groups read back as few tasks, however much
     is computed on each row; two tasks a core are two files a core when they are stored."""
